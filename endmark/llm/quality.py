@@ -94,10 +94,10 @@ def calibrate(measured: DataFrame, labels: DataFrame, key: str = "doc_id", strat
     held = held.join(good, "_key", "left_semi")
     cuts = held.select("stratum", F.explode("rules").alias("r")).select("stratum", "r.rule", "r.x", F.posexplode("r.cuts").alias("at", "cutoff"))
     at = cuts.groupBy("stratum", "rule", "at", "cutoff").agg(F.count("*").alias("good"), F.sum((F.col("x") > F.col("cutoff")).cast("long")).alias("rejected"))
-    strata = at.agg(F.count_distinct(F.coalesce(F.concat(F.lit("="), "stratum"), F.lit("")))).alias("n").toDF("strata")
-    at = at.crossJoin(F.broadcast(strata))  # one row
+    at = written(at)
+    strata = max(1, at.select("stratum").distinct().count())
     p = F.when(F.col("rejected") <= F.col("good") * alpha, binomial_cdf(F.col("rejected"), F.col("good"), alpha)).otherwise(1.0)
-    at = at.withColumn("p_value", p).withColumn("passes", F.col("p_value") <= F.lit(delta) / (F.col("strata") * len(RULES)))
+    at = at.withColumn("p_value", p).withColumn("passes", F.col("p_value") <= delta / (strata * len(RULES)))
     first = Window.partitionBy("stratum", "rule").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     at = at.withColumn("so_far", F.min("passes").over(first)).filter("so_far")
     last = Window.partitionBy("stratum", "rule").orderBy(F.desc("at"))

@@ -5,14 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import bpe, mixing, sharding
+from .common import table, text_of
 from .quality import MEASURES, quality_report
 
 
+def tokenizer_path() -> str:
+    """The public vocabulary that the queries use; operators take a path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", *MEASURES, "base_failed", "kept")
 
 
-QUERIES = {"op7_quality_rules": op7_quality_rules}
+def op8_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", (F.octet_length(text_of()).cast("long") + 16).alias("size"), F.crc32(text_of().cast("binary")).alias("text_crc32"))
+    out = sharding.shard_rows(sized, shards=40, seed=2024, order=["doc_id", "size", "text_crc32"])
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_number")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep_text=False)
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe)}
 ORACLES: dict[str, str] = {}
