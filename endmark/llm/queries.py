@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, simhash
+from . import bpe, license_scan, mixing, sharding, simhash
 from .common import table, text_of
 from .quality import MEASURES, quality_report
 
@@ -17,6 +17,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,5 +51,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op5_simhash, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op5_simhash, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe)}
 ORACLES: dict[str, str] = {}
