@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, license_scan, mixing, sharding, simhash
+from . import bpe, license_scan, mixing, secret_scan, sharding, simhash
 from .common import table, text_of
 from .quality import MEASURES, quality_report
 
@@ -22,6 +22,15 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.array(*[F.lit(r.kind) for r in secret_scan.RULES])
+    joined = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", F.get(kinds, x["kind_no"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
+    count = lambda no: F.size(F.filter("secrets", lambda x: x["kind_no"] == no)).cast("long")
+    base = F.filter("secrets", lambda x: x["kind_no"] < 3)
+    return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -51,5 +60,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op5_simhash, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op4_secret_scan, op5_simhash, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe)}
 ORACLES: dict[str, str] = {}
