@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, license_scan, mixing, secret_scan, sharding, simhash
+from . import ann, bpe, chat_format, license_scan, mixing, pii, secret_scan, sharding, simhash
 from .common import table, text_of
 from .quality import MEASURES, quality_report
 
@@ -22,6 +22,24 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    turns = turns.unionByName(extra).withColumn("parts", F.array(chat_format.part("text", text=F.col("text"))))
+    out = chat_format.format_chat(turns)
+    out = out.withColumn("turns", chat_format.read_back(F.col("formatted"))).withColumn("learned", F.array_join(chat_format.under_loss(F.col("formatted"), F.col("loss")), ""))
+    joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"), F.char_length("learned").cast("long").alias("loss_chars"),
+        F.sha2(F.col("learned"), 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"), F.size("attachments").cast("long").alias("n_attachments"), "attachment_tokens")
+
+
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.secret_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     kinds = F.array(*[F.lit(r.kind) for r in secret_scan.RULES])
@@ -36,6 +54,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key="endmark demonstration key")
+    count = lambda kind: F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", "text", F.size("pii").cast("long").alias("n_values"), *map(count, pii.KINDS))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", *MEASURES, "base_failed", "kept")
@@ -55,10 +79,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    coded = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op4_secret_scan, op5_simhash, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_nearest_neighbours, op4_secret_scan, op5_simhash, op6_pii, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe)}
 ORACLES: dict[str, str] = {}
