@@ -17,6 +17,7 @@ Rows, their order and extra columns are kept; columns named like the results are
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 from collections.abc import Iterator
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 BREAKS = " \n"
 CHUNK_BITS = 9  # a cut about every 512 bytes
-KEEP_CHUNKS, KEEP_SPANS = 20_000, 250_000
+KEEP_CHUNKS, KEEP_SPANS = 15_000, 300_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -44,7 +45,7 @@ def cuts(data: np.ndarray) -> np.ndarray:
 
 
 class Remembered(dict):
-    """What `make` gave for a key, for the last two generations of `most` keys."""
+    """Values of the last two generations of `most` keys; `make` gives one that is missing."""
 
     def __init__(self, make, most: int):
         super().__init__()
@@ -52,16 +53,50 @@ class Remembered(dict):
 
     def __missing__(self, key):
         got = self.old.get(key)
-        if got is None:
-            got = self.make(key)
+        return self.keep(key, self.make(key) if got is None else got)
+
+    def keep(self, key, value):
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
-        self[key] = got
-        return got
+        self[key] = value
+        return value
+
+
+MARKS = frozenset(",.;:!?")
+_PROBES = ("a", "the", "straße", "él", "ñandú", "internationalisation")
+
+
+def _latin(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or max(word) < "Ā")
+
+
+def _for_words(own, path: str):
+    """The same tokenizer without the regex splits of its pre-tokenizer, for spans of Latin-1 letters, which those leave whole;
+    None if it has none, or if the two disagree on a probe."""
+    from tokenizers import Tokenizer
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers")
+    if not parts or all(x["type"] != "Split" for x in parts):
+        return None
+    spec["pre_tokenizer"]["pretokenizers"] = [x for x in parts if x["type"] != "Split"]
+    plain = Tokenizer.from_str(json.dumps(spec))
+    plain.no_truncation()
+    plain.no_padding()
+    ids = lambda t, x: t.encode(x, add_special_tokens=False).ids
+    agree = all(ids(own, x) == ids(plain, x) == ids(own, x.upper() if x != "straße" else x) for x in _PROBES)
+    return plain if agree and all(ids(own, x + m) == ids(own, x) + ids(own, m) for x in _PROBES for m in MARKS) else None
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
 
 
 class Encoder:
+    """Token ids are kept packed, four bytes each, so that pieces are put together by joining bytes."""
+
     def __init__(self, path: str, breaks: str = BREAKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -70,28 +105,54 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.breaks = breaks
-        self.spans = Remembered(lambda span: self.tokenizer.encode(span, add_special_tokens=False).ids, KEEP_SPANS)
+        self.plain = _for_words(self.tokenizer, path)
+        self.words = Remembered(lambda word: _packed(self.plain.encode(word, add_special_tokens=False).ids), KEEP_SPANS)
+        self.spans = Remembered(lambda span: _packed(self.tokenizer.encode(span, add_special_tokens=False).ids), KEEP_SPANS)
         self.chunks = Remembered(self._chunk, KEEP_CHUNKS)
 
-    def _pieces(self, text: str) -> list[str]:
+    def _pieces(self, chunk: bytes) -> list[str]:
+        text = chunk.decode()
         for b in self.breaks[1:]:
             text = text.replace(b, self.breaks[0])
         return text.split(self.breaks[0])
 
-    def _chunk(self, chunk: bytes) -> tuple[str, array | None, str]:
+    def _chunk(self, chunk: bytes, pieces: list[str] | None = None) -> tuple[str, bytes | None, str]:
         """Head, ids between, tail; without a break it is all head and the ids are None."""
-        pieces = self._pieces(chunk.decode())
+        pieces = pieces or self._pieces(chunk)
         if len(pieces) == 1:
             return pieces[0], None, ""
-        ids, spans = array("i"), self.spans
-        for span in pieces[1:-1]:
-            if span:
-                ids.extend(spans[span])
-        return pieces[0], ids, pieces[-1]
-
-    def encode(self, chunks: list[bytes]) -> array:
-        """Token ids of the text that the chunks make up."""
-        out, carried = array("i"), []
+        return pieces[0], b"".join(map(self.spans.__getitem__, pieces[1:-1])), pieces[-1]
+
+    def prepare(self, chunks: list[bytes]) -> None:
+        """Encode the chunks that are new. Spans that are new in them are encoded all at once: a batch costs less than as many calls."""
+        new = set(chunks).difference(self.chunks, self.chunks.old)
+        pieces = {chunk: self._pieces(chunk) for chunk in new}
+        self.spans.setdefault("", b"")
+        self._spans(list(set().union(*[x[1:-1] for x in pieces.values()]).difference(self.spans, self.spans.old)))
+        for chunk, own in pieces.items():
+            self.chunks.keep(chunk, self._chunk(chunk, own))
+
+    def _spans(self, missing: list[str]) -> None:
+        if self.plain:
+            # a Latin-1 word and one mark after it are coded apart, and the word's case doesn't count
+            cut = [(x, x[:-1].lower(), x[-1]) if x[-1] in MARKS else (x, x.lower(), "") for x in missing]
+            apart = [x for x in cut if _latin(x[1])]
+            missing = [x[0] for x in cut if not _latin(x[1])]
+            self._batch(self.plain, self.words, list({w for _, w, _ in apart if w not in self.words and w not in self.words.old}))
+            for span, word, mark in apart:
+                self.spans.keep(span, self.words[word] + (self.spans[mark] if mark else b""))
+        self._batch(self.tokenizer, self.spans, missing)
+
+    @staticmethod
+    def _batch(tokenizer, kept: Remembered, texts: list[str]) -> None:
+        for low in range(0, len(texts), 10_000):
+            part = texts[low : low + 10_000]
+            for text, coded in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                kept.keep(text, _packed(coded.ids))
+
+    def encode(self, chunks: list[bytes]) -> bytes:
+        """Packed token ids of the text that the chunks make up."""
+        out, carried = [], []
         for chunk in chunks:
             head, ids, tail = self.chunks[chunk]
             if head:
@@ -99,17 +160,17 @@ class Encoder:
             if ids is None:
                 continue
             if carried:  # the join: encode the span across it
-                out.extend(self.spans["".join(carried)])
-            out.extend(ids)
+                out.append(self.spans["".join(carried)])
+            out.append(ids)
             carried = [tail] if tail else []
         if carried:
-            out.extend(self.spans["".join(carried)])
-        return out
+            out.append(self.spans["".join(carried)])
+        return b"".join(out)
 
     def encode_text(self, text: str) -> list[int]:
         data = text.encode()
         at = [0, *cuts(np.frombuffer(data, dtype=np.uint8)).tolist(), len(data)]
-        return self.encode([data[a:b] for a, b in zip(at, at[1:], strict=False)]).tolist()
+        return list(memoryview(self.encode([data[a:b] for a, b in zip(at, at[1:], strict=False)])).cast("i"))
 
 
 @lru_cache(maxsize=2)
@@ -133,48 +194,68 @@ def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays([*[c for _, c in kept], values], schema=pa.schema([*[f for f, _ in kept], pa.field(name, values.type)]))
 
 
-def _lists(offsets: list[int], flat: array) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, dtype=np.int32) if flat else np.zeros(0, np.int32)))
+ROWS = 512  # of a result batch: bounds what a worker holds beside the batch it was sent
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", breaks: str = BREAKS) -> DataFrame:
-    """docs with the token ids (array<int>) of each text."""
-    check_breaks(path, breaks)
+def _encoded(own: Encoder, column: pa.Array) -> pa.Array:
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = data.slice(int(ends[0]), int(ends[-1] - ends[0])).to_pybytes() if data is not None else b""
+    ends = ends - ends[0]
+    places = cuts(np.frombuffer(data, dtype=np.uint8))
+    low = np.searchsorted(places, ends[:-1] + 8)  # the window lies inside the text
+    high = np.searchsorted(places, ends[1:])
+    texts = []
+    for k in range(len(column)):
+        edges = [int(ends[k]), *places[low[k] : high[k]].tolist(), int(ends[k + 1])]
+        texts.append([data[a:b] for a, b in zip(edges, edges[1:], strict=False)])
+    own.prepare([c for chunks in texts for c in chunks])
+    coded = [own.encode(chunks) for chunks in texts]
+    at = np.cumsum([0, *map(len, coded)]) // 4
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(coded), dtype=np.int32)))
+
+
+def _decoded(own: Encoder, column: pa.Array) -> pa.Array:
+    column = column.cast(pa.list_(pa.int32())).fill_null([])
+    at, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    ids = [flat[a:b].tolist() for a, b in zip(at, at[1:], strict=False)]  # far cheaper than to_pylist()
+    return pa.array(own.tokenizer.decode_batch(ids, skip_special_tokens=False), pa.string())
+
+
+def _apply(df: DataFrame, path: str, breaks: str, steps: list[tuple[str, str, object, T.DataType]], drop: tuple[str, ...] = ()) -> DataFrame:
+    """df with a column for each step (input, output, function, type), computed in one pass; without the columns of drop."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, breaks)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary()).fill_null(b"")
-            _, offsets, data = column.buffers()
-            ends = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
-            data = data.to_pybytes() if data is not None else b""
-            places = cuts(np.frombuffer(data, dtype=np.uint8))
-            flat, at = array("i"), [0]
-            low = np.searchsorted(places, ends[:-1] + 8)  # the window lies inside the text
-            high = np.searchsorted(places, ends[1:])
-            for k in range(len(column)):
-                edges = [int(ends[k]), *places[low[k] : high[k]].tolist(), int(ends[k + 1])]
-                flat.extend(own.encode([data[a:b] for a, b in zip(edges, edges[1:], strict=False)]))
-                at.append(len(flat))
-            yield _with_column(batch, ids, _lists(at, flat))
-
-    kept = [f for f in docs.schema if f.name.lower() != ids.lower()]
-    schema = T.StructType(kept).add(ids, T.ArrayType(T.IntegerType()))
-    return docs.mapInArrow(run, schema)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                for source, name, of, _ in steps:
+                    part = _with_column(part, name, of(own, part.column(part.schema.get_field_index(source))))
+                yield part.select([f.name for f in part.schema if f.name not in drop])
+
+    fields = list(df.schema)
+    for _, name, _, kind in steps:
+        fields = [f for f in fields if f.name.lower() != name.lower()] + [T.StructField(name, kind)]
+    return df.mapInArrow(run, T.StructType([f for f in fields if f.name not in drop]))
+
+
+IDS, TEXT = T.ArrayType(T.IntegerType()), T.StringType()
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", breaks: str = BREAKS) -> DataFrame:
+    """docs with the token ids (array<int>) of each text."""
+    check_breaks(path, breaks)
+    return _apply(docs, path, breaks, [(text, ids, _encoded, IDS)])
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """df with the text that the token ids stand for, special tokens included."""
+    """df with the text that the token ids stand for, special tokens included; null ids stand for none."""
+    return _apply(df, path, BREAKS, [(ids, text, _decoded, TEXT)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path).tokenizer
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids))
-            out = []
-            for low in range(0, len(column), 256):
-                out += own.decode_batch([x or [] for x in column.slice(low, 256).to_pylist()], skip_special_tokens=False)
-            yield _with_column(batch, text, pa.array(out, pa.string()))
-
-    kept = [f for f in df.schema if f.name.lower() != text.lower()]
-    schema = T.StructType(kept).add(text, T.StringType())
-    return df.mapInArrow(run, schema)
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", breaks: str = BREAKS) -> DataFrame:
+    """docs without the text, with its token ids and what they decode to, in one pass over the rows."""
+    check_breaks(path, breaks)
+    return _apply(docs, path, breaks, [(text, ids, _encoded, IDS), (ids, decoded, _decoded, TEXT)], (text,))
