@@ -54,3 +54,9 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is computed once a row: later filters on it stay above it. (Through a plain projection Catalyst
+    pushes a filter down with the column's whole expression in it, and what that refers to in turn.)"""
+    return df.select("*", F.explode(F.array(value)).alias(name))

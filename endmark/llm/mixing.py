@@ -26,6 +26,7 @@ from .common import SPACE, fresh, text_of, words_of, written
 
 BLOCKS = 4096  # three hex digits
 WEIGHTS = (5, 2, 1)
+SHARDS, SHARD_WORDS = 64, 1 << 27
 
 
 def word_count(text: Column) -> Column:
@@ -77,10 +78,11 @@ def _cut(words: DataFrame, at: str, rest: Column) -> DataFrame:
     return before.filter((F.col("before") < rest) & (F.col("before") + F.col("words") >= rest)).select("source_no", F.col(at).alias(f"cut_{at}"), (rest - F.col("before")).alias(f"rest_{at}"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", shards: int = 64, seed: int = 7,
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", shards: int | None = None, seed: int = 7,
         weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, keep_text: bool = True) -> DataFrame:
     """docs with size, source_size (long), target (double), taken (long) and draws: an array of (epoch int, shard int,
-    place string, words long), one for each copy the mix takes; place orders a shard's copies. keep_text=False: without the text."""
+    place string, words long), one for each copy the mix takes; place orders a shard's copies. keep_text=False: without the text.
+    Without a number of shards there are SHARDS, or more where one would take over SHARD_WORDS words."""
     added = ("size", "source_size", "target", "taken", "draws")
     docs = docs.drop(*[c for c in added if c not in (key, text, source)])
     h, s, at_source, at_no, at_h, part, last, of = fresh(docs, "h", "s", "at_source", "at_no", "at_h", "part", "last", "plan")
@@ -104,7 +106,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     plan = plan.join(_cut(b2, "b2", F.col("rest_b1")), "source_no", "left")
 
     # exact block quotas, dealt to the shards
-    rows = plan.select("source_no", "epochs", "cut_b1").collect()
+    rows = plan.select("source_no", "epochs", "cut_b1", "quota").collect()
+    shards = shards or max(SHARDS, -(-sum(r.quota for r in rows) // SHARD_WORDS))
     given = np.array([r.epochs * BLOCKS + (0 if r.cut_b1 is None else r.cut_b1 + 1) for r in rows], dtype=np.int64)
     order = np.argsort([r.source_no for r in rows]) if rows else []
     ends = np.cumsum(split_quotas(given[order], shards, seed), axis=1) if rows else np.zeros((0, shards))
@@ -130,10 +133,12 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     return out.drop(h, s, at_source, at_no, at_h, part, last, of)
 
 
-def draw(mixed: DataFrame, text: str = "text") -> DataFrame:
-    """A row for each copy the mix takes, with shard and place added; a copy taken in part has its first words only."""
+def draw(mixed: DataFrame, text: str = "text", shuffle: bool = True) -> DataFrame:
+    """A row for each copy the mix takes, with shard and place added; a copy taken in part has its first words only.
+    With shuffle, a shard's rows lie together in the order of place."""
     one = fresh(mixed, "draw")[0]
     out = mixed.withColumn(one, F.explode("draws"))
     part = F.array_join(F.slice(words_of(text_of(text)), 1, F.col(one)["words"].cast("int")), " ")
     out = out.withColumn(text, F.when(F.col(one)["words"] < F.col("size"), part).otherwise(F.col(text)))
-    return out.withColumn("shard", F.col(one)["shard"]).withColumn("place", F.col(one)["place"]).drop(one, "draws", "size", "source_size", "target", "taken")
+    out = out.withColumn("shard", F.col(one)["shard"]).withColumn("place", F.col(one)["place"]).drop(one, "draws", "size", "source_size", "target", "taken")
+    return out.repartition("shard").sortWithinPartitions("shard", "place") if shuffle else out

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, fresh, text_of, words_of, written
+from .common import SPACE, fresh, once, text_of, words_of, written
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_lines", "n_upper", "n_shouts")
@@ -46,24 +46,26 @@ def _repeat_words(words: Column, grams: Column) -> Column:
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with MEASURES and EXTRA (long) added; columns of these names are replaced."""
-    t, w, ls, g = fresh(docs.drop(*MEASURES, *EXTRA), "t", "w", "ls", "g")
+    t, w, ls, g, m = fresh(docs.drop(*MEASURES, *EXTRA), "t", "w", "ls", "g", "m")
     d = docs.withColumn(t, text_of(text)).drop(*MEASURES, *EXTRA)
     d = d.withColumn(w, words_of(F.col(t)))
     d = d.withColumn(ls, F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{SPACE}]")))
     d = d.withColumn("n_words", F.size(w).cast("long"))
     windows = F.transform(F.sequence(F.lit(1), F.col("n_words").cast("int") - 2), lambda i: F.concat_ws(" ", F.slice(F.col(w), i, 3)))
     d = d.withColumn(g, F.when(F.col("n_words") >= 3, windows).otherwise(F.array().cast("array<string>")))
-    count = lambda keep: F.char_length(F.regexp_replace(t, keep, "")).cast("long")
-    d = d.withColumns({
-        "word_chars": F.char_length(F.array_join(w, "")).cast("long"),
+    count = lambda keep: F.char_length(F.regexp_replace(t, keep, ""))
+    measures = {
+        "n_words": F.col("n_words"),
+        "word_chars": F.char_length(F.array_join(w, "")),
         "n_symbols": count("[^#*$%&|<>]+"),
         "n_upper": count("[^\\p{Lu}]+"),
         "n_shouts": count("[^!?]+"),
-        "n_lines": F.size(ls).cast("long"),
-        "n_dup_lines": (F.size(ls) - F.size(F.array_distinct(ls))).cast("long"),
-        "n_repeat_words": F.when(F.size(F.array_distinct(g)) < F.size(g), _repeat_words(F.col(w), F.col(g))).otherwise(0).cast("long"),
-    })
-    return d.drop(t, w, ls, g)
+        "n_lines": F.size(ls),
+        "n_dup_lines": F.size(ls) - F.size(F.array_distinct(ls)),
+        "n_repeat_words": F.when(F.size(F.array_distinct(g)) < F.size(g), _repeat_words(F.col(w), F.col(g))).otherwise(0),
+    }
+    d = once(d, m, F.struct(*[x.cast("long").alias(n) for n, x in measures.items()])).drop("n_words")
+    return d.withColumns({n: F.col(m)[n] for n in measures}).drop(t, w, ls, g, m)
 
 
 def base_failed() -> Column:

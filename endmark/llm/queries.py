@@ -84,5 +84,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_nearest_neighbours, op4_secret_scan, op5_simhash, op6_pii, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_nearest_neighbours, op4_secret_scan, op5_simhash, op6_pii, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe, pipeline)}
 ORACLES: dict[str, str] = {}
