@@ -6,7 +6,7 @@ A turn is `<|turn|>role<|text|>content<|end|>`. Control strings inside roles and
 after their first character, which `unescape` takes away again; strings that already look escaped get one more,
 so any text comes back unchanged. The loss mask lists the spans of the assistant's text parts.
 
-Only DataFrame functions are used. Turns are ordered by turn (nulls first), ties by role, then content. Null roles, texts and
+Only DataFrame functions are used. Turns are ordered by turn (nulls first), ties by role, then content as written. Null roles, texts and
 parts are empty; null conversation ids form one conversation. A conversation is one row of the result and is gathered
 as such; turns are formatted before they are gathered. Repeated rows are repeated turns.
 """
@@ -70,13 +70,13 @@ def format_chat(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", rol
     lengths = F.transform("flat", lambda p: F.char_length(p["written"]))
     one = one.withColumn("head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT))).withColumn("ends", running(lengths, lambda a, b: a + b))
     placed = F.zip_with("flat", "ends", lambda p, e: F.struct((F.char_length("head") + e - F.char_length(p["written"])).alias("start"), F.char_length(p["written"]).alias("length"), p["kind"].alias("kind"), p["uri"].alias("uri"), p["tokens"].alias("tokens")))
-    one = one.withColumn("parts", placed).withColumn("written", F.concat("head", F.array_join(F.transform("flat", lambda p: p["written"]), ""), F.lit(END)))
-    row = F.struct("turn", "role", "written", "parts")
+    one = one.withColumn("parts", placed).withColumn("content", F.array_join(F.transform("flat", lambda p: p["written"]), ""))
+    row = F.struct("turn", "role", "content", "head", "parts")
     out = one.groupBy("conv").agg(F.sort_array(F.collect_list(row)).alias("rows"))
     texts = lambda r, k: F.transform(F.filter(r["parts"], lambda p: (p["kind"] == "text") & (r["role"] == learn)), lambda p: F.struct(k.alias("turn"), p["start"].alias("start"), p["length"].alias("length")))
     others = lambda r, k: F.transform(F.filter(r["parts"], lambda p: p["kind"] != "text"), lambda p: F.struct(k.alias("turn"), p["start"].alias("start"), p["kind"].alias("kind"), p["uri"].alias("uri"), p["tokens"].alias("tokens")))
     out = out.select(
-        F.col("conv").alias(conv), F.size("rows").cast("long").alias("n_turns"), F.array_join(F.transform("rows", lambda r: r["written"]), "").alias("formatted"),
+        F.col("conv").alias(conv), F.size("rows").cast("long").alias("n_turns"), F.array_join(F.transform("rows", lambda r: F.concat(r["head"], r["content"], F.lit(END))), "").alias("formatted"),
         F.flatten(F.transform("rows", texts)).alias("loss"), F.flatten(F.transform("rows", others)).alias("attachments"))
     return out.withColumn("attachment_tokens", F.aggregate("attachments", F.lit(0).cast("long"), lambda s, a: s + a["tokens"]))
 
