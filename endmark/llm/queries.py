@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import ann, bpe, chat_format, license_scan, mixing, pii, secret_scan, sharding, simhash
 from .common import table, text_of
+from .oracles import ORACLES
 from .quality import MEASURES, quality_report
 
 
@@ -91,4 +92,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_nearest_neighbours, op4_secret_scan, op5_simhash, op6_pii, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe, pipeline)}
-ORACLES: dict[str, str] = {}
+
+
+__all__ = ["ORACLES", "QUERIES"]
