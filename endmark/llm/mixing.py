@@ -26,7 +26,7 @@ from .common import SPACE, fresh, text_of, words_of, written
 
 BLOCKS = 4096  # three hex digits
 WEIGHTS = (5, 2, 1)
-SHARDS, SHARD_WORDS = 64, 1 << 27
+SHARDS, SHARD_WORDS = 64, 1 << 26
 
 
 def word_count(text: Column) -> Column:
@@ -67,6 +67,20 @@ def split_quotas(blocks: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def _reached(ends: Column, at: Column) -> Column:
+    """How many of the ascending ends are <= at, by bisection."""
+    n = F.size(ends)
+    mid = lambda s: F.floor((s["low"] + s["high"]) / 2).cast("int")
+
+    def halve(s: Column, _: Column) -> Column:
+        right = F.get(ends, mid(s)) <= at
+        open_ = s["low"] < s["high"]
+        return F.struct(F.when(open_ & right, mid(s) + 1).otherwise(s["low"]).alias("low"), F.when(open_ & ~right, mid(s)).otherwise(s["high"]).alias("high"))
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(n + 1)).cast("int"))
+    return F.aggregate(rounds, F.struct(F.lit(0).alias("low"), n.alias("high")), halve, lambda s: s["low"])
+
+
 def _block(column: str, at: int) -> Column:
     return F.conv(F.substring(column, at, 3), 16, 10).cast("int")
 
@@ -127,7 +141,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     whole = (c1 < F.col(of)["cut_b1"]) | ((c1 == F.col(of)["cut_b1"]) & (c2 < F.col(of)["cut_b2"]))
     out = out.withColumn(last, F.when(whole, F.col("size")).otherwise(F.coalesce(part, F.lit(0))).cast("long"))
     copies = F.filter(F.transform(F.sequence(F.lit(0), epochs), lambda k: F.struct(
-        k.alias("epoch"), F.size(F.filter(F.col(of)["ends"], lambda e: e <= k * BLOCKS + c1)).cast("int").alias("shard"),
+        k.alias("epoch"), _reached(F.col(of)["ends"], k * BLOCKS + c1).alias("shard"),
         F.md5(F.concat(F.lit(f"{seed}:place:"), k.cast("string"), F.col(h))).alias("place"), F.when(k < epochs, F.col("size")).otherwise(F.col(last)).alias("words"))), lambda x: x["words"] > 0)
     out = out.withColumns({"source_size": F.col(of)["source_size"], "target": F.col(of)["target"], "taken": epochs * F.col("size") + F.col(last), "draws": copies})
     return out.drop(h, s, at_source, at_no, at_h, part, last, of)

@@ -201,6 +201,9 @@ def test_mixing(docs, rows, empty):
     out = mixing.mix(docs, shards=5)
     drawn = mixing.draw(out).withColumn("words", mixing.word_count(F.coalesce("text", F.lit(""))))
     assert drawn.agg(F.sum("words")).first()[0] == sum(taken)
+    assert {r.shard for r in drawn.select("shard").distinct().collect()} == set(range(5))
+    ends = F.array(*map(F.lit, (2, 2, 5, 9)))
+    assert [r[0] for r in docs.sparkSession.range(10).orderBy("id").select(mixing._reached(ends, F.col("id"))).collect()] == [sum(e <= k for e in (2, 2, 5, 9)) for k in range(10)]
     assert mixing.mix(empty).count() == 0
 
 
