@@ -33,39 +33,55 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
 }
 
 
-def _repeat_words(words: Column, grams: Column) -> Column:
-    """Words covered by 3-word windows that occur at least twice; grams are the windows in order."""
-    ordered = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
-    # consecutive equal windows of the sorted list are the repeated ones
-    ordered_next = F.slice(ordered, 2, F.size(grams))
-    pairs = F.filter(F.arrays_zip(ordered.alias("a"), ordered_next.alias("b")), lambda p: p["a"]["g"] == p["b"]["g"])
-    starts = F.sort_array(F.array_distinct(F.flatten(F.transform(pairs, lambda p: F.array(p["a"]["i"], p["b"]["i"])))))
-    gaps = F.zip_with(starts, F.slice(starts, 2, F.size(grams)), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
-    return F.aggregate(gaps, F.lit(0), lambda s, x: s + x)
+def _let(value: Column, of) -> Column:
+    """of(value) with value computed once."""
+    return F.get(F.transform(F.array(value), lambda x: of(x)), F.lit(0))
+
+
+def _repeat_words(words: Column) -> Column:
+    """Words covered by 3-word windows that occur at least twice."""
+
+    def covered(grams: Column) -> Column:
+        ordered = F.sort_array(F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+        return _let(ordered, lambda s: _let(pairs(s), starts))
+
+    # neighbours in the sorted list that are equal are the repeated windows
+    pairs = lambda s: F.filter(F.arrays_zip(s.alias("a"), F.slice(s, F.lit(2), F.size(s)).alias("b")), lambda p: p["a"]["g"] == p["b"]["g"])
+
+    def starts(p: Column) -> Column:
+        return _let(F.sort_array(F.array_distinct(F.flatten(F.transform(p, lambda x: F.array(x["a"]["i"], x["b"]["i"]))))), total)
+
+    def total(at: Column) -> Column:
+        gaps = F.zip_with(at, F.slice(at, F.lit(2), F.size(at)), lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3))))
+        return F.aggregate(gaps, F.lit(0), lambda s, x: s + x)
+
+    grams = F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1), F.lit(" "), F.get(words, i + 2)))
+    return _let(grams, covered)
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with MEASURES and EXTRA (long) added; columns of these names are replaced."""
-    t, w, ls, g, m = fresh(docs.drop(*MEASURES, *EXTRA), "t", "w", "ls", "g", "m")
+    t, w, ls, g, m, marks = fresh(docs.drop(*MEASURES, *EXTRA), "t", "w", "ls", "g", "m", "marks")
     d = docs.withColumn(t, text_of(text)).drop(*MEASURES, *EXTRA)
     d = d.withColumn(w, words_of(F.col(t)))
     d = d.withColumn(ls, F.filter(F.split(t, "\n"), lambda x: x.rlike(f"[^{SPACE}]")))
-    d = d.withColumn("n_words", F.size(w).cast("long"))
-    windows = F.transform(F.sequence(F.lit(1), F.col("n_words").cast("int") - 2), lambda i: F.concat_ws(" ", F.slice(F.col(w), i, 3)))
-    d = d.withColumn(g, F.when(F.col("n_words") >= 3, windows).otherwise(F.array().cast("array<string>")))
-    count = lambda keep: F.char_length(F.regexp_replace(t, keep, ""))
+    # equal windows have equal hashes: only texts with a hash that repeats need the windows themselves
+    hashes = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+    d = d.withColumn(g, F.when(F.size(w) >= 3, hashes).otherwise(F.array().cast("array<bigint>")))
+    d = d.withColumn(marks, F.regexp_replace(t, "[^#*$%&|<>!?\\p{Lu}]+", ""))
+    count = lambda keep: F.char_length(F.regexp_replace(marks, keep, ""))
     measures = {
-        "n_words": F.col("n_words"),
+        "n_words": F.size(w),
         "word_chars": F.char_length(F.array_join(w, "")),
         "n_symbols": count("[^#*$%&|<>]+"),
         "n_upper": count("[^\\p{Lu}]+"),
         "n_shouts": count("[^!?]+"),
         "n_lines": F.size(ls),
         "n_dup_lines": F.size(ls) - F.size(F.array_distinct(ls)),
-        "n_repeat_words": F.when(F.size(F.array_distinct(g)) < F.size(g), _repeat_words(F.col(w), F.col(g))).otherwise(0),
+        "n_repeat_words": F.when(F.size(F.array_distinct(g)) < F.size(g), _repeat_words(F.col(w))).otherwise(0),
     }
-    d = once(d, m, F.struct(*[x.cast("long").alias(n) for n, x in measures.items()])).drop("n_words")
-    return d.withColumns({n: F.col(m)[n] for n in measures}).drop(t, w, ls, g, m)
+    d = once(d, m, F.struct(*[x.cast("long").alias(n) for n, x in measures.items()]))
+    return d.withColumns({n: F.col(m)[n] for n in measures}).drop(t, w, ls, g, m, marks)
 
 
 def base_failed() -> Column:
