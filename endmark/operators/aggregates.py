@@ -155,3 +155,19 @@ def sample_correlation(pau: DataFrame, n_samples: int) -> DataFrame:
     a = whole.select("pac_id", F.col("sample_id").alias("a"), F.col("pau").alias("pa"))
     b = whole.select("pac_id", F.col("sample_id").alias("b"), F.col("pau").alias("pb"))
     return a.join(b, "pac_id").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("n"), F.corr("pa", "pb").alias("r"))
+
+
+def single_ends(exons: DataFrame) -> DataFrame:
+    """(gene_id, end_site) of genes whose transcripts all end at one 3' site. exons: gene_id, transcript_id, strand, start, end."""
+    tx = exons.groupBy("gene_id", "transcript_id", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    site = F.when(F.col("strand") == "+", F.col("end")).otherwise(F.col("start"))
+    return tx.groupBy("gene_id").agg(F.max(site).alias("end_site"), F.count_distinct(site).alias("n")).filter("n = 1").select("gene_id", "end_site")
+
+
+def unit_histogram(values: DataFrame, column: str) -> DataFrame:
+    """(bin, n) of values in [0, 1] in min(10, max(3, ceil(sqrt(count)))) bins."""
+    import math
+
+    n = values.filter(F.col(column).isNotNull()).count()
+    bins = min(10, max(3, math.ceil(math.sqrt(n))))
+    return values.filter(F.col(column).isNotNull()).groupBy(F.least(F.floor(F.col(column) * bins), F.lit(bins - 1)).cast("long").alias("bin")).agg(F.count("*").alias("n"))

@@ -102,3 +102,26 @@ def prioritised(points: DataFrame, tagged: list[DataFrame], key: str) -> DataFra
     best = Window.partitionBy(key)
     found = out.withColumn("_best", F.min("_priority").over(best)).filter("_priority = _best").drop("_priority", "_best")
     return found.unionByName(points.join(found.select(key), key, "left_anti"), allowMissingColumns=True)
+
+
+def updated(base: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """base with the columns of new where keys match, nulls included; a key that base lacks is an error."""
+    if new.join(base, keys, "left_anti").limit(1).count():
+        raise ValueError("an update names an unknown key")
+    n = new.select(*keys, F.struct(*columns).alias("_new"))
+    out = base.join(n, keys, "left")
+    return out.withColumns({c: F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c)) for c in columns}).drop("_new")
+
+
+def comparison_pairs(comparisons: DataFrame) -> DataFrame:
+    """Pairs (a < b) of comparisons (stem, control, treatment), related by a shared control, chained (one's treatment is the other's control) or unrelated. Comparisons are few."""
+    a = comparisons.select(F.col("stem").alias("a"), F.col("control").alias("ca"), F.col("treatment").alias("ta"))
+    b = comparisons.select(F.col("stem").alias("b"), F.col("control").alias("cb"), F.col("treatment").alias("tb"))
+    chained = (F.col("ta") == F.col("cb")) | (F.col("tb") == F.col("ca"))
+    return a.join(b, F.col("a") < F.col("b")).withColumn("relation", F.when(F.col("ca") == F.col("cb"), "shared_control").when(chained, "chained").otherwise("unrelated"))
+
+
+def renamed_contigs(df: DataFrame, aliases: DataFrame) -> DataFrame:
+    """df with contigs under their target names."""
+    al = aliases.select(F.col("alias").alias("_alias"), F.col("target").alias("_target"))
+    return df.join(al, F.col("contig") == F.col("_alias"), "left").withColumn("contig", F.coalesce("_target", "contig")).drop("_alias", "_target")
