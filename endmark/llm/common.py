@@ -2,31 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: White space of the word rules: U+0020 and U+0009 to U+000D.
-SPACE = "\\x20\\x09-\\x0D"
-
+from ..plans.storage import shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = f"file://{tempfile.mkdtemp(prefix='endmark_')}"
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
+__all__ = ["SPACE", "fresh", "once", "shared_dir", "table", "text_of", "words_of", "written"]
 
-
-def written(df: DataFrame) -> DataFrame:
-    """df as a Parquet table in the shared folder, read back: later stages survive lost executors and skip its plan."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: White space of the word rules: U+0020 and U+0009 to U+000D.
+SPACE = "\\x20\\x09-\\x0D"
 
 
 def text_of(name: str = "text") -> Column:
