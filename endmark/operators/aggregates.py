@@ -171,3 +171,9 @@ def unit_histogram(values: DataFrame, column: str) -> DataFrame:
     n = values.filter(F.col(column).isNotNull()).count()
     bins = min(10, max(3, math.ceil(math.sqrt(n))))
     return values.filter(F.col(column).isNotNull()).groupBy(F.least(F.floor(F.col(column) * bins), F.lit(bins - 1)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+
+
+def with_zero_rows(rows: DataFrame, levels: DataFrame, name: str = "n") -> DataFrame:
+    """Counts of rows for every combination of levels (a small table), 0 where there are none."""
+    keys = levels.columns
+    return levels.join(rows.groupBy(*keys).agg(F.count("*").alias(name)), keys, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))

@@ -13,7 +13,7 @@ def gene_names(features: DataFrame) -> DataFrame:
     """(gene_id, gene_name): the first name on a gene record, else the first elsewhere, else the id. features: gene_id, type, gene_name, line_no."""
     first = lambda c: F.min_by("gene_name", F.when(c & F.col("gene_name").isNotNull(), F.col("line_no")))
     names = features.filter("gene_id is not null").groupBy("gene_id").agg(first(F.col("type") == "gene").alias("a"), first(F.lit(True)).alias("b"))
-    return names.select("gene_id", F.coalesce("a", "b", "gene_id").alias("gene_name"))
+    return names.select("gene_id", F.coalesce("a", "b", F.col("gene_id").cast("string")).alias("gene_name"))
 
 
 def terminal_exons(exons: DataFrame) -> DataFrame:

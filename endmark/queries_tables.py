@@ -220,3 +220,81 @@ def m3_proportion_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def m19_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     names, scores, shares = models.usage_pca(aggregates.usage(v.site_counts(spark, sf_dir)), 8)
     return spark.createDataFrame([(s, k + 1, float(scores[j, k]), float(shares[k])) for j, s in enumerate(names) for k in range(scores.shape[1])], "sample_id string, component int, score double, variance_share double")
+
+
+@query(f"""{FULL}, m AS (SELECT pac_id, 'M'||(coordinate%7) AS motif, coordinate%11=0 AS rescued FROM atlas_v), d AS (SELECT c.gene_id, c.pac_id, c.sample_id, c."count", motif FROM counts c JOIN m ON m.pac_id=c.pac_id WHERE NOT rescued),
+w AS (SELECT *, sum("count") OVER (PARTITION BY gene_id, sample_id) AS t FROM d), n AS (SELECT gene_id, sample_id, count(DISTINCT pac_id) AS n FROM d GROUP BY 1,2),
+p AS (SELECT w.sample_id, w.gene_id, motif, sum("count"/t) AS share FROM w JOIN n ON n.gene_id=w.gene_id AND n.sample_id=w.sample_id WHERE t>=10 AND n>=2 GROUP BY 1,2,3) SELECT sample_id, motif, round(asin(sqrt(avg(share))),9) AS score, count(*) AS genes FROM p GROUP BY 1,2""")
+def a9_w3_f9_motif_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.annotation import motif_usage
+
+    c = F.col("coordinate")
+    motifs = v.atlas(spark, sf_dir).select("pac_id", F.concat(F.lit("M"), c % 7).alias("motif"), (c % 11 == 0).alias("rescued"))
+    return motif_usage(v.site_counts(spark, sf_dir), motifs).withColumn("score", F.round("score", 9))
+
+
+@query(f"""{BASE} SELECT 'PACv1.x.'||chrom||'.'||strand||'.'||coordinate AS pac_id, chrom||':'||coordinate||':'||strand AS locus, chrom||':'||(greatest(coordinate-100,0)+1)||'-'||(coordinate+100) AS browser_interval,
+ CASE WHEN coordinate%13=0 OR coordinate%7=0 THEN 'low' WHEN coordinate%5=0 THEN 'moderate' WHEN coordinate%2=0 AND coordinate%9>=2 THEN 'high' ELSE 'moderate' END AS confidence FROM atlas_v""")
+def p15_p16_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.annotation import confidence, labels
+
+    c = F.col("coordinate")
+    d = labels(v.atlas(spark, sf_dir).withColumnRenamed("chrom", "contig"), "x")
+    return d.select("pac_id", "locus", "browser_interval", confidence(c % 13 == 0, c % 7 == 0, c % 5 == 0, c % 2 == 0, c % 9).alias("confidence"))
+
+
+@query(f"""WITH {SEQS} SELECT doc_id, coalesce(list_max(list_transform(regexp_extract_all(w,'A+'), lambda x: length(x))),0)>3 OR (length(w)>0 AND (length(w)-length(replace(w,'A','')))/length(w)>0.5) AS primed FROM (SELECT doc_id, substr(seq,1,12) AS w FROM seqs)""")
+def p17_priming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.annotation import priming
+
+    return v.sequences(spark, sf_dir).select("doc_id", priming(F.substring("seq", 1, 12), 3, 0.5).alias("primed"))
+
+
+@query("""SELECT o_custkey AS gene_id, coalesce(arg_min(nm, o_orderkey) FILTER (g AND nm IS NOT NULL), arg_min(nm, o_orderkey) FILTER (nm IS NOT NULL), CAST(o_custkey AS VARCHAR)) AS gene_name FROM (SELECT *, o_orderstatus='F' AS g, CASE WHEN o_orderkey%3=0 THEN NULL ELSE o_orderpriority END AS nm FROM orders) GROUP BY o_custkey""")
+def a5_gene_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.annotation import gene_names
+
+    key = F.col("o_orderkey")
+    d = v.load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("gene_id"), F.when(F.col("o_orderstatus") == "F", "gene").otherwise("exon").alias("type"), F.when(key % 3 != 0, F.col("o_orderpriority")).alias("gene_name"), key.alias("line_no"))
+    return gene_names(d).select("gene_id", F.col("gene_name").cast("string").alias("gene_name"))
+
+
+@query(f"""WITH e AS (SELECT o_custkey AS gene_id, o_orderkey AS tx, CASE WHEN o_custkey%2=0 THEN '+' ELSE '-' END AS strand, CAST(l_linenumber*100000+l_partkey*10+l_suppkey%10 AS BIGINT) AS line_no, (l_partkey%50)*40 AS start, (l_partkey%50)*40+10+l_suppkey%60 AS "end" FROM lineitem JOIN orders ON l_orderkey=o_orderkey),
+d AS (SELECT *, row_number() OVER (PARTITION BY gene_id, tx ORDER BY CASE WHEN strand='+' THEN "end" ELSE -start END DESC, line_no)=1 AS last, count(*) OVER (PARTITION BY gene_id, tx) AS n FROM e), s AS (SELECT *, max(n) OVER (PARTITION BY gene_id)>1 AS spliced FROM d)
+SELECT gene_id, tx AS transcript_id, start, "end" FROM s WHERE last AND NOT (n=1 AND spliced) AND NOT EXISTS (SELECT 1 FROM s i WHERE NOT i.last AND i.gene_id=s.gene_id AND i.tx<>s.tx AND s.start<i."end" AND i.start<s."end")""")
+def a29_terminal_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators.annotation import terminal_exons
+
+    lines = v.load(spark, sf_dir, "lineitem").join(v.load(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    start = (F.col("l_partkey") % 50) * 40
+    e = lines.select(F.col("o_custkey").alias("gene_id"), F.col("o_orderkey").alias("transcript_id"), F.lit("c").alias("contig"), F.when(F.col("o_custkey") % 2 == 0, "+").otherwise("-").alias("strand"), start.alias("start"), (start + 10 + F.col("l_suppkey") % 60).alias("end"), (F.col("l_linenumber") * 100000 + F.col("l_partkey") * 10 + F.col("l_suppkey") % 10).cast("long").alias("line_no"))
+    return terminal_exons(e).select("gene_id", "transcript_id", "start", "end")
+
+
+@query(f"""{FULL}, {_FIT} SELECT comparison, round(median(delta),9) AS median_delta, round(quantile_cont(delta,0.25),9) AS q25 FROM fitted GROUP BY 1""")
+def f12_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    finite = F.when(F.abs("delta") < float("inf"), F.col("delta"))
+    return fitted(spark, sf_dir).groupBy("comparison").agg(_r(F.median(finite), "median_delta"), _r(F.percentile(finite, 0.25), "q25"))
+
+
+@query(f"""{FULL}, x AS (SELECT c.pac_id, c.gene_id, s.condition, count(*) FILTER ("count">0) AS supporting, CAST(sum("count") AS BIGINT) AS reads, string_agg("count"::VARCHAR, ',' ORDER BY c.sample_id) AS raw FROM counts c JOIN samples_v s ON s.sample_id=c.sample_id GROUP BY 1,2,3) SELECT pac_id, condition, supporting, reads, CAST(sum(reads) OVER (PARTITION BY gene_id, condition) AS BIGINT) AS gene_total, raw FROM x""")
+def a37_w4_group_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = v.site_counts(spark, sf_dir).join(v.samples(spark), "sample_id").groupBy("pac_id", "gene_id", "condition")
+    raw = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sample_id", "count"))), lambda x: x["count"].cast("string")), ",")  # a condition's samples are few
+    g = d.agg(F.count_if(F.col("count") > 0).alias("supporting"), F.sum("count").alias("reads"), raw.alias("raw"))
+    return g.select("pac_id", "condition", "supporting", "reads", F.sum("reads").over(Window.partitionBy("gene_id", "condition")).alias("gene_total"), "raw")
+
+
+@query(f"""{FULL}, {_FIT}, e AS (SELECT *, {_EVENT} AS ev, CASE WHEN coordinate%3=0 THEN 'intron' ELSE 'last_exon' END AS region FROM fitted) SELECT r.region AS region, v.ev AS event_type, coalesce(n,0) AS n FROM (VALUES ('intron'),('last_exon'),('internal_exon')) r(region) CROSS JOIN (VALUES ('gained'),('lost'),('increased_usage'),('decreased_usage')) v(ev)
+LEFT JOIN (SELECT region, ev, count(*) AS n FROM e GROUP BY 1,2) c ON c.region=r.region AND c.ev=v.ev""")
+def a44_counts_with_zero_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _called(spark, sf_dir).withColumn("region", F.when(F.col("coordinate") % 3 == 0, "intron").otherwise("last_exon"))
+    levels = [(r, e) for r in ("intron", "last_exon", "internal_exon") for e in ("gained", "lost", "increased_usage", "decreased_usage")]
+    grid = spark.createDataFrame(levels, "region string, event_type string")
+    return aggregates.with_zero_rows(d, grid)
+
+
+@query(f"""{FULL}, {_FIT} SELECT pac_id, comparison, row_number() OVER (PARTITION BY comparison ORDER BY gene_id, coordinate, pac_id) AS place FROM fitted""")
+def t1_t2_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("comparison").orderBy("gene_id", "coordinate", "pac_id")
+    return fitted(spark, sf_dir).select("pac_id", "comparison", F.row_number().over(w).cast("long").alias("place"))
