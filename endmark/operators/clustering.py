@@ -8,8 +8,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.storage import spread
 from .aggregates import islands, seed_metrics
 
+#: Islands handed over together: most are tiny, and a call costs more than an island.
+TOGETHER = 64
+
 
 def greedy_clusters(observed: DataFrame, seed_radius: int = 12, cluster_radius: int = 24) -> DataFrame:
     """Greedy exact-boundary clustering: seeds in order of (-supporting, -capped, -raw, coordinate); an unassigned seed takes the unassigned
@@ -32,7 +36,9 @@ def greedy_clusters(observed: DataFrame, seed_radius: int = 12, cluster_radius:
                 out.append((part.contig[0], part.strand[0], at[k], at[own].tolist(), int(part.own.to_numpy()[own].sum())))
         return pd.DataFrame(out, columns=["contig", "strand", "seed", "members", "total"])
 
-    return ranked.groupBy("contig", "strand", "island").applyInPandas(run, "contig string, strand string, seed long, members array<long>, total long")
+    # islands are too far apart to touch each other's coordinates, so some may share a call
+    ranked = spread(ranked.withColumn("together", F.floor(F.col("island") / TOGETHER)), "contig", "strand", "together")
+    return ranked.groupBy("contig", "strand", "together").applyInPandas(run, "contig string, strand string, seed long, members array<long>, total long")
 
 
 def local_peaks(score: np.ndarray) -> np.ndarray:
@@ -59,7 +65,10 @@ def kernel_peaks(observed: DataFrame, kernel: list[float], low: int, bin_size: i
     blocks = islands(binned, ["contig", "strand"], "bin", len(kernel) + abs(low) + (resolution - 1) // bin_size + 1)
     apart = (resolution - 1) // bin_size
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
+    def run(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([peaks_of(part) for _, part in parts.groupby("island")])
+
+    def peaks_of(part: pd.DataFrame) -> pd.DataFrame:
         first = int(part.bin.min())
         depth = np.zeros(int(part.bin.max()) - first + 1)
         depth[part.bin.to_numpy() - first] = part.depth
@@ -72,4 +81,5 @@ def kernel_peaks(observed: DataFrame, kernel: list[float], low: int, bin_size: i
                 kept.append(int(p))
         return pd.DataFrame({"contig": part.contig.iloc[0], "strand": part.strand.iloc[0], "bin": [p + first + low for p in sorted(kept)], "score": [score[p] for p in sorted(kept)]})
 
-    return blocks.groupBy("contig", "strand", "island").applyInPandas(run, "contig string, strand string, bin long, score double")
+    blocks = spread(blocks.withColumn("together", F.floor(F.col("island") / TOGETHER)), "contig", "strand", "together")
+    return blocks.groupBy("contig", "strand", "together").applyInPandas(run, "contig string, strand string, bin long, score double")

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.storage import spread
+
 #: Grid of precisions for the shared estimate.
 GRID = tuple(float(x) for x in np.geomspace(2, 20000, 25))
 
@@ -67,22 +69,32 @@ def log_likelihood(y: np.ndarray, p: np.ndarray, precision: np.ndarray | float)
     return own.sum(axis=1) + (log_gamma(y + a[:, None, :]) - log_gamma(a)[:, None, :]).sum(axis=(1, 2))
 
 
-def fit_proportions(y: np.ndarray, precision: float, steps: int = 100, tolerance: float = 1e-7) -> tuple[np.ndarray, np.ndarray]:
-    """Maximum-likelihood proportions of each model of a batch at a given precision, by Minka's fixed point on the mean: (models x sites, log-likelihoods)."""
-    p = (y.sum(axis=1) + 1e-3) / (y.sum(axis=(1, 2)) + 1e-3 * y.shape[2])[:, None]
-    best, todo = log_likelihood(y, p, precision), np.arange(len(y))
-    for _ in range(steps):
-        a = np.maximum(p[todo] * precision, 1e-10)
-        # the sum over j < y of 1 / (a + j) is a difference of digammas
-        w = a * (digamma(y[todo] + a[:, None, :]) - digamma(a)[:, None, :]).sum(axis=1)
-        new = w / np.maximum(w.sum(axis=1, keepdims=True), 1e-300)
-        value = log_likelihood(y[todo], new, precision)
-        better = value > best[todo] + tolerance
-        p[todo[better]], best[todo[better]] = new[better], value[better]
-        todo = todo[better]
+def _mean_step(y: np.ndarray, p: np.ndarray, precision: float) -> np.ndarray:
+    """Minka's fixed point on the mean: the sum over j < y of 1 / (a + j), a difference of digammas, weighs each site."""
+    a = np.maximum(p * precision, 1e-10)
+    w = a * (digamma(y + a[:, None, :]) - digamma(a)[:, None, :]).sum(axis=1)
+    return w / np.maximum(w.sum(axis=1, keepdims=True), 1e-300)
+
+
+def fit_proportions(y: np.ndarray, precision: float, rounds: int = 40, tolerance: float = 1e-6) -> tuple[np.ndarray, np.ndarray]:
+    """Maximum-likelihood proportions of each model of a batch at a given precision: fixed-point steps, extrapolated from two of them and
+    followed by a third (SQUAREM). A model is done when no proportion moves by more than tolerance. -> (models x sites, log-likelihoods)"""
+    p, todo = (y.sum(axis=1) + 1e-3) / (y.sum(axis=(1, 2)) + 1e-3 * y.shape[2])[:, None], np.arange(len(y))
+    for _ in range(rounds):
+        at, p0 = y[todo], p[todo]
+        p1 = _mean_step(at, p0, precision)
+        p2 = _mean_step(at, p1, precision)
+        r, v = p1 - p0, p2 - 2 * p1 + p0
+        alpha = -np.maximum(1.0, np.sqrt((r * r).sum(axis=1) / np.maximum((v * v).sum(axis=1), 1e-30)))[:, None]
+        far = np.maximum(p0 - 2 * alpha * r + alpha * alpha * v, 1e-12)
+        new = _mean_step(at, far / far.sum(axis=1, keepdims=True), precision)
+        worse = log_likelihood(at, new, precision) < log_likelihood(at, p2, precision)
+        new[worse] = p2[worse]
+        p[todo] = new
+        todo = todo[np.abs(new - p0).max(axis=1) > tolerance]
         if not len(todo):
             break
-    return p, best
+    return p, log_likelihood(y, p, precision)
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -118,7 +130,7 @@ def precision_grid(counts: DataFrame, grid: tuple[float, ...] = GRID) -> DataFra
         out = [(part.gene_id.iloc[0], g, float(v)) for g, v in zip(grid, total, strict=True)] if len(y) else []
         return pd.DataFrame(out, columns=["gene_id", "precision", "log_likelihood"])
 
-    return counts.groupBy("gene_id").applyInPandas(run, "gene_id string, precision double, log_likelihood double")
+    return spread(counts, "gene_id").groupBy("gene_id").applyInPandas(run, "gene_id string, precision double, log_likelihood double")
 
 
 def moderated_precision(counts: DataFrame, weight: float = 5.0, grid: tuple[float, ...] = GRID) -> DataFrame:
@@ -154,7 +166,7 @@ def fit_genes(counts: DataFrame, control: str) -> DataFrame:
                 out += [(gene, treatment, site, float(p[0, k]), float(p[1, k]), gene_lr, len(sites) - 1, float(lr[k])) for k, site in enumerate(sites)]
         return pd.DataFrame(out, columns=["gene_id", "treatment", "pac_id", "control_fit", "treatment_fit", "gene_lr", "gene_df", "pac_lr"])
 
-    return counts.groupBy("gene_id").applyInPandas(run, "gene_id string, treatment string, pac_id string, control_fit double, treatment_fit double, gene_lr double, gene_df int, pac_lr double")
+    return spread(counts, "gene_id").groupBy("gene_id").applyInPandas(run, "gene_id string, treatment string, pac_id string, control_fit double, treatment_fit double, gene_lr double, gene_df int, pac_lr double")
 
 
 def boundary_genes(counts: DataFrame) -> DataFrame:
@@ -199,7 +211,7 @@ def bootstrap_deltas(counts: DataFrame, fits: DataFrame, control: str, treatment
         delta = fitted[treatment] - fitted[control]
         return pd.DataFrame({"gene_id": part.gene_id.iloc[0], "pac_id": delta.index, "replicate": int(part.replicate.iloc[0]), "delta": delta.to_numpy()})
 
-    return d.groupBy("gene_id", "replicate").applyInPandas(run, "gene_id string, pac_id string, replicate int, delta double")
+    return spread(d, "gene_id", "replicate").groupBy("gene_id", "replicate").applyInPandas(run, "gene_id string, pac_id string, replicate int, delta double")
 
 
 def stagewise(tests: DataFrame, alpha: float = 0.05) -> DataFrame:

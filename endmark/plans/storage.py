@@ -23,3 +23,9 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}.parquet"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys into the session's number of shuffle partitions. Adaptive execution merges partitions that are small in bytes, which would leave groups
+    that cost much time to one task; a stated number stays."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
