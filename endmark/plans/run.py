@@ -72,3 +72,27 @@ def compare(counts: DataFrame, atlas: DataFrame, samples: DataFrame, control: st
     for one in shifts.values():
         out = one if out is None else out.unionByName(one)
     return {"counts": whole, "usage": aggregates.usage(whole), "filtering": filtering, "sites": sites} | ({"shifts": out} if out is not None else {})
+
+
+def discover_proximal(evidence: DataFrame, kernel: DataFrame, settings: Settings, bin_size: int = 10, span: int = 500, ratio: float = 2.0) -> DataFrame:
+    """Sites of proximal-tag evidence: kernel-matched peaks, then reads of each peak by the likelihood-ratio rule with ties by the oriented coordinate, then support.
+    kernel: (offset, weight) of reads upstream of a site, offset >= 0. A site at a negative coordinate is dropped. -> as discover(), members being the reads' coordinates."""
+    from ..operators.family import resolution
+
+    rows = kernel.orderBy("offset").collect()  # one row an offset of the kernel
+    binned: dict[int, float] = {}
+    for r in rows:
+        binned[int(r.offset) // bin_size] = binned.get(int(r.offset) // bin_size, 0.0) + r.weight
+    low, high = min(binned), max(binned)
+    total = sum(binned.values())
+    weights = [binned.get(k, 0.0) / total for k in range(low, high + 1)]
+    import numpy as np
+
+    apart = resolution(np.array(weights)) * bin_size
+    peaks = clustering.kernel_peaks(evidence, weights, low, bin_size, apart)
+    sign = F.when(F.col("strand") == "+", 1).otherwise(-1)
+    sites = written(peaks.withColumn("site", (F.col("bin") * bin_size * sign).cast("long")).filter("site >= 0").select("contig", "strand", "site", F.concat_ws(".", F.lit("PACv1"), F.lit(settings.assembly), "contig", "strand", F.col("site").cast("string")).alias("pac_id")))
+    got = joins.band_assign(evidence, sites, kernel.filter("weight > 0"), ["contig", "strand"], ["sample_id", "contig", "strand", "coordinate"], "coordinate", "site", span, ratio, "oriented")
+    per = got.filter("status = 'assigned'").groupBy("pac_id", "contig", "strand", "site").agg(F.array_sort(F.collect_set("coordinate")).alias("members"), F.sum("count").alias("total"), F.count_distinct("sample_id").alias("samples"))
+    kept = per.filter((F.col("total") >= settings.pac_least_count) & (F.col("samples") >= settings.pac_least_samples))
+    return kept.select("pac_id", "contig", "strand", F.col("site").alias("coordinate"), "members", "total", "samples")

@@ -64,3 +64,12 @@ def test_whole_analysis(spark):
     assert out["usage"].filter("pau is null").count() == 0
     with pytest.raises(ValueError, match="alpha"):
         run.Settings(alpha=2)
+
+
+def test_proximal_discovery(spark):
+    """Reads 20, 50 and 80 nt upstream of sites at 1000 (+), 3000 (+) and 2000 (-)."""
+    rows = [(f"S{s}", "c", strand, site + side * offset, 3) for s in range(3) for site, strand, side in ((1000, "+", -1), (3000, "+", -1), (2000, "-", 1)) for offset in (20, 50, 80)]
+    evidence = spark.createDataFrame(rows, "sample_id string, contig string, strand string, coordinate long, count long")
+    kernel = spark.createDataFrame([(o, max(0.0, 1 - abs(o - 50) / 60)) for o in range(0, 101)], "offset long, weight double")
+    got = {(r.strand, round(r.coordinate, -2)): (r.total, r.samples, len(r.members)) for r in run.discover_proximal(evidence, kernel, run.Settings()).collect()}
+    assert got == {("+", 1000): (27, 3, 3), ("+", 3000): (27, 3, 3), ("-", 2000): (27, 3, 3)}
