@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import spread
+
 DIRECTIONS, LEAF, SHARD, QUERIES = 8, 64, 4096, 2048
 
 
@@ -119,7 +121,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, key: str = "vec_i
         return pd.DataFrame({"query_id": q, "vec_id": i, "score": d, "part": int(near.shard.iloc[0]) % 64 if len(near) else 0})
 
     keys = ("shard", "block")
-    found = rows.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(find, "query_id long, vec_id long, score double, part int")
+    found = spread(rows, *keys).groupBy(*keys).cogroup(spread(asked, *keys).groupBy(*keys)).applyInPandas(find, "query_id long, vec_id long, score double, part int")
     for by in (("query_id", "part"), ("query_id",)):
         found = found.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("score", "vec_id"))).filter(F.col("rank") <= k)
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.storage import shared_dir, written
+from ..plans.storage import shared_dir, spread, written
 
-__all__ = ["SPACE", "fresh", "once", "shared_dir", "table", "text_of", "words_of", "written"]
+__all__ = ["SPACE", "fresh", "once", "shared_dir", "spread", "table", "text_of", "words_of", "written"]
 
 #: White space of the word rules: U+0020 and U+0009 to U+000D.
 SPACE = "\\x20\\x09-\\x0D"

@@ -125,12 +125,13 @@ def calibrate(measured: DataFrame, labels: DataFrame, key: str = "doc_id", strat
 def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
     """measured with base_failed and kept. The cutoffs table has a row per stratum at most here; Spark broadcasts it
     if its measured size allows and else shuffles, splitting hot strata."""
-    wide = cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs")).withColumnRenamed("stratum", "_stratum")
-    out = measured.join(wide, F.col(stratum).cast("string").eqNullSafe(F.col("_stratum")), "left")
+    at, of = fresh(measured, "stratum", "cutoffs")
+    wide = cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(of)).withColumnRenamed("stratum", at)
+    out = measured.join(wide, F.col(stratum).cast("string").eqNullSafe(F.col(at)), "left")
     fails = F.lit(False)
     for name, (number, _) in RULES.items():
-        fails = fails | F.coalesce(F.expr(f"double({number})") > F.col("_cutoffs")[name], F.lit(False))
-    return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~fails).drop("_stratum", "_cutoffs")
+        fails = fails | F.coalesce(F.expr(f"double({number})") > F.col(of)[name], F.lit(False))
+    return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~fails).drop(at, of)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang",

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, written
+from .common import fresh, spread, written
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 QUARTERS = 4
@@ -212,7 +212,7 @@ def fingerprint_links(nodes: DataFrame, radius: int = 4) -> DataFrame:
         return pd.DataFrame({"a": whole[root[linked]], "b": whole[linked]})
 
     dealt = nodes.select("fp").mapInArrow(deal, "shard long, home boolean, fp long")
-    return dealt.groupBy("shard").applyInPandas(join, "a long, b long").distinct()
+    return spread(dealt, "shard").groupBy("shard").applyInPandas(join, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
