@@ -370,10 +370,10 @@ def a36_comparison_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("control_cpm", F.round("control_cpm", 6)).withColumn("treatment_cpm", F.round("treatment_cpm", 6))
 
 
-@query(f"""{FULL}, {_FIT} SELECT comparison, gene_id, sum(delta) FILTER (false) AS nothing, round(quantile_cont(delta,0.025),9) AS low, round(quantile_cont(delta,0.975),9) AS high, count(*) AS successes FROM fitted GROUP BY 1,2 HAVING count(*)>=8""".replace(" sum(delta) FILTER (false) AS nothing,", ""))
+@query(f"""{FULL}, {_FIT} SELECT comparison, gene_id, sum(delta) FILTER (false) AS nothing, round(quantile_cont(delta,0.025),6) AS low, round(quantile_cont(delta,0.975),6) AS high, count(*) AS successes FROM fitted GROUP BY 1,2 HAVING count(*)>=8""".replace(" sum(delta) FILTER (false) AS nothing,", ""))
 def m14_percentile_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = testing.percentile_interval(fitted(spark, sf_dir), ["comparison", "gene_id"], "delta", replicates=10, share=0.8).filter("low is not null")
-    return out.select("comparison", "gene_id", _r(F.col("low"), "low"), _r(F.col("high"), "high"), "successes")
+    return out.select("comparison", "gene_id", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"), "successes")
 
 
 @query("""WITH s AS (SELECT l_returnflag AS k, l_suppkey%97 AS stratum, count(*) FILTER (l_linenumber%2=0 AND l_tax>0.04) AS a, count(*) FILTER (l_linenumber%2=0 AND l_tax<=0.04) AS b, count(*) FILTER (l_linenumber%2=1 AND l_tax>0.04) AS c, count(*) FILTER (l_linenumber%2=1 AND l_tax<=0.04) AS d FROM lineitem GROUP BY 1,2),

@@ -60,11 +60,11 @@ def j1_usage_by_strand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pau.join(v.atlas(spark, sf_dir).select("pac_id", "strand"), "pac_id").groupBy("strand", "sample_id").agg(F.count("*").alias("n"), _r(F.avg("pau"), "mean_pau"))
 
 
-@query(f"""{FULL}, {_FIT}, base AS (SELECT pac_id, comparison, delta FROM fitted), new AS (SELECT pac_id, comparison, CASE WHEN coordinate%5=0 THEN NULL ELSE delta/2 END AS delta FROM fitted WHERE coordinate%3=0)
+@query(f"""{FULL}, {_FIT}, base AS (SELECT pac_id, comparison, delta FROM fitted), new AS (SELECT pac_id, comparison, CASE WHEN coordinate%5=0 THEN NULL ELSE delta*2 END AS delta FROM fitted WHERE coordinate%3=0)
 SELECT b.pac_id, b.comparison, round(CASE WHEN n.pac_id IS NOT NULL THEN n.delta ELSE b.delta END,9) AS delta FROM base b LEFT JOIN new n ON n.pac_id=b.pac_id AND n.comparison=b.comparison""")
 def j16_keyed_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = fitted(spark, sf_dir)
-    new = d.filter("coordinate % 3 = 0").select("pac_id", "comparison", F.when(F.col("coordinate") % 5 != 0, F.col("delta") / 2).alias("delta"))
+    new = d.filter("coordinate % 3 = 0").select("pac_id", "comparison", F.when(F.col("coordinate") % 5 != 0, F.col("delta") * 2).alias("delta"))
     out = joins.updated(d.select("pac_id", "comparison", "delta"), new, ["pac_id", "comparison"], ["delta"])
     return out.withColumn("delta", F.round("delta", 9))
 
