@@ -56,7 +56,7 @@ def p6_p8_p9_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("l_orderkey", "l_linenumber", F.col("e").alias("ref_end"), records.boundary(F.col("strand"), F.col("l_partkey"), F.col("e"), F.lit("read_3p")).cast("long").alias("boundary"), F.size(records.splice_blocks(F.col("l_partkey"), F.col("cigar"))).alias("n_blocks"))
 
 
-@query(f"""WITH {SEQS} SELECT doc_id, reverse(translate(seq,'ACGTN','TGCAN')) AS revcomp, coalesce(list_max(list_transform(regexp_extract_all(seq,'A+'), lambda x: length(x))),0) AS a_run,
+@query(f"""WITH {SEQS} SELECT doc_id, reverse(translate(seq,'ACGTN','TGCAN')) AS revcomp, CAST(coalesce(list_max(list_transform(regexp_extract_all(seq,'A+'), lambda x: length(x))),0) AS INT) AS a_run,
  CASE WHEN length(seq)>0 THEN round((length(seq)-length(replace(seq,'A','')))/length(seq),9) ELSE 0 END AS a_fraction, CASE WHEN coalesce(seq,'')='' THEN 'none' ELSE translate(seq,'T','U') END AS rna,
  (length(seq)>=6 AND (length(seq)-length(replace(seq,'A','')))/length(seq)>=0.8) AS poly_a, contains(seq,'AATAAA') AS has_signal FROM seqs""")
 def f1_f4_f5_f6_f8_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
