@@ -87,8 +87,8 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).filter("trim(value) <> '' and not startswith(value, '#')").withColumn("f", F.split("value", "\t", -1))
     checked = lines.withColumn("f", F.when(F.size("f") == 9, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("not nine fields: "), "value"))))
     f = F.col("f")
-    kind = F.when(f[2].isin("ncRNA_gene", "pseudogene"), "gene").otherwise(f[2])
-    return checked.select(f[0].alias("contig"), kind.alias("type"), (f[3].cast("long") - 1).alias("start"), f[4].cast("long").alias("end"), f[6].alias("strand"), _attributes(f[8]).alias("attributes"))
+    kind = F.when(F.get(f, F.lit(2)).isin("ncRNA_gene", "pseudogene"), "gene").otherwise(F.get(f, F.lit(2)))
+    return checked.select(F.get(f, F.lit(0)).alias("contig"), kind.alias("type"), (F.get(f, F.lit(3)).cast("long") - 1).alias("start"), F.get(f, F.lit(4)).cast("long").alias("end"), F.get(f, F.lit(6)).alias("strand"), _attributes(F.get(f, F.lit(8))).alias("attributes"))
 
 
 def resolve_features(features: DataFrame, depth: int = 6) -> DataFrame:
@@ -119,7 +119,7 @@ def read_known_sites(spark: SparkSession, path: str) -> DataFrame:
     f = F.col("f")
     d = spark.read.text(path).filter("not startswith(value, '#')").withColumn("f", F.split("value", "\t")).filter(F.size("f") >= 3)
     strand = F.coalesce(F.when(F.get(f, F.lit(5)).isin("+", "-"), F.get(f, F.lit(5))), F.lit("+"))
-    return d.select(f[0].alias("contig"), strand.alias("strand"), F.when(strand == "-", f[1].cast("long")).otherwise(f[2].cast("long")).alias("coordinate")).distinct()
+    return d.select(F.get(f, F.lit(0)).alias("contig"), strand.alias("strand"), F.when(strand == "-", F.get(f, F.lit(1)).cast("long")).otherwise(F.get(f, F.lit(2)).cast("long")).alias("coordinate")).distinct()
 
 
 def read_motifs(spark: SparkSession, path: str) -> list[tuple[str, int]]:
@@ -135,7 +135,7 @@ def read_motifs(spark: SparkSession, path: str) -> list[tuple[str, int]]:
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:
     """(alias, target) of a two-column file; a header line is skipped."""
     f = F.split("value", "\t")
-    return spark.read.text(path).filter("trim(value) <> ''").select(f[0].alias("alias"), f[1].alias("target")).filter(~F.lower("alias").isin("alias", "source", "from"))
+    return spark.read.text(path).filter("trim(value) <> ''").select(F.get(f, F.lit(0)).alias("alias"), F.get(f, F.lit(1)).alias("target")).filter(~F.lower("alias").isin("alias", "source", "from"))
 
 
 def densify_kernel(sparse: DataFrame) -> DataFrame:
@@ -170,10 +170,11 @@ def fetch_windows(points: DataFrame, chunks: DataFrame, start: Column, end: Colu
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignment records of SAM text: name, flag, contig, start (0-based), mapq, cigar (array of op, len), sequence, hits (tag NH, null if absent)."""
-    f = F.split("value", "\t")
-    d = spark.read.text(path).filter("not startswith(value, '@') and trim(value) <> ''").withColumn("f", f)
+    record = ~F.col("value").startswith("@") & (F.trim("value") != "")
+    # filters may be evaluated in any order: header lines have no fields, so nothing fails on them
+    d = spark.read.text(path).filter(record).withColumn("f", F.when(record, F.split("value", "\t")))
     f = F.col("f")
     code = lambda m: (F.instr(F.lit("MIDNSHP=X"), F.right(m, F.lit(1))) - 1).cast("int")
-    cigar = F.transform(F.regexp_extract_all(f[5], F.lit("[0-9]+[MIDNSHP=X]"), F.lit(0)), lambda m: F.struct(code(m).alias("op"), F.regexp_extract(m, "^([0-9]+)", 1).cast("int").alias("len")))
+    cigar = F.transform(F.regexp_extract_all(F.get(f, F.lit(5)), F.lit("[0-9]+[MIDNSHP=X]"), F.lit(0)), lambda m: F.struct(code(m).alias("op"), F.regexp_extract(m, "^([0-9]+)", 1).cast("int").alias("len")))
     hits = F.try_element_at(F.filter(f, lambda x: x.startswith("NH:i:")), F.lit(1))
-    return d.select(f[0].alias("name"), f[1].cast("int").alias("flag"), f[2].alias("contig"), (f[3].cast("long") - 1).alias("start"), f[4].cast("int").alias("mapq"), cigar.alias("cigar"), f[9].alias("sequence"), F.substr(hits, F.lit(6)).cast("int").alias("hits"))
+    return d.select(F.get(f, F.lit(0)).alias("name"), F.get(f, F.lit(1)).cast("int").alias("flag"), F.get(f, F.lit(2)).alias("contig"), (F.get(f, F.lit(3)).cast("long") - 1).alias("start"), F.get(f, F.lit(4)).cast("int").alias("mapq"), cigar.alias("cigar"), F.get(f, F.lit(9)).alias("sequence"), F.substr(hits, F.lit(6)).cast("int").alias("hits"))
