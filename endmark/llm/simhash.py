@@ -252,8 +252,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
     """The rows of docs whose key is their component's id, one row for each such key (the least by digest of its text).
     Rows with a null key can't be named by one and stay."""
+    return one_each(docs, near_duplicates(docs.select(key, text), key, text, radius, shingle), key, text)
+
+
+def one_each(docs: DataFrame, kept: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows of docs that keep_one keeps by the component ids in kept (key, component_id)."""
     one, nth, order = fresh(docs, "kept", "nth", "order")
-    kept = near_duplicates(docs.select(key, text), key, text, radius, shingle)
     kept = written(kept.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias(one)).distinct())
     named = docs.join(kept, F.col(key) == F.col(one), "left_semi").withColumn(order, F.xxhash64(text))
     named = named.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(order))).filter(F.col(nth) == 1).drop(order, nth)
