@@ -24,12 +24,16 @@ KINDS = ("email", "ipv4", "phone", "date", "ssn", "card")
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ipv4": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
-    "phone": r"\+\d{1,3}[ -]?\(?[2-9]\d{2}\)?[ -]\d{3}[ -]\d{4}(?!\d)",
+    "phone": r"\+\d{1,3}(?:[ -]?\(?\d{3}\)?[ -]\d{3}[ -]\d{4}|[ .-]?(?:\(0\) ?)?\d(?:[ .-]\d{2}){4}|[ .-]\d{3}(?:[ .-]\d{2}){3}|[ .-]\d{3}(?:[ .-]\d{3}){2}|[ .-]\d{2}[ .-]\d{3}(?:[ .-]\d{2}){2})(?!\d)"
+    # any other grouping of 8 to 15 digits, not running on into a card, social security number, date or address behind it
+    r"|(?<![0-9A-Za-z])\+\d(?:(?![ -]\d{4}[ -]\d{4}[ -]\d{4}|[ ]\d{3}-\d\d-\d{4}|[ ](?:19|20)\d\d-\d\d-\d\d|[ ]\d{1,3}\.\d{1,3}\.\d{1,3}\.)[ ./-]?\(?\d\)?){7,14}(?!\d)",
     "date": r"(?<![\d-])(?:19|20)\d{2}-\d{2}-\d{2}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
 }
 ANY = "|".join(FORMS.values())
+# E.164 country codes of one and two digits, others of three; a shorter number before a separator stands for itself.
+COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\d{2}|\d{1,3})"
 #: Days from 1900-01-01 to 2099-12-31 as two radices: 319 x 229.
 FIRST_DAY, DAYS = "1900-01-01", (319, 229)
 
@@ -53,7 +57,7 @@ def kind_of(m: Column) -> Column:
     day = F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).isNotNull()
     return (
         F.when(F.contains(m, F.lit("@")), "email")
-        .when(m.startswith("+"), "phone")
+        .when(m.startswith("+"), F.when(F.size(_digits(m)).between(8, 15), "phone"))
         .when(m.rlike(r"^\d+\.\d+\.\d+\.\d+$"), F.when(F.forall(octets, lambda o: o.cast("int") <= 255), "ipv4"))
         .when(m.rlike(r"^\d{4}-\d\d-\d\d$"), F.when(day, "date"))
         .when(m.rlike(r"^\d{3}-\d\d-\d{4}$"), F.when(social, "ssn"))
@@ -111,9 +115,9 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """Country code kept; an area code doesn't begin with 0 or 1."""
-    start = F.length(F.regexp_extract(m, r"^(\+\d{1,3}[ -]?\(?)[2-9]\d{2}\)?[ -]\d{3}[ -]\d{4}$", 1))
-    return _spell(m, lambda c, i: i < start, "phone", key, lambda i: F.when(i == start, 2).otherwise(0))
+    """Country code and separators kept, all other digits permuted."""
+    start = F.length(F.regexp_extract(m, COUNTRY, 0))
+    return _spell(m, lambda c, i: i < start, "phone", key)
 
 
 def _ipv4(m: Column, key: str) -> Column:
