@@ -45,9 +45,14 @@ def site_counts(spark: SparkSession, sf_dir: str, radius: int = 9) -> DataFrame:
     return near.filter("pac_id is not null").groupBy("pac_id", "gene_id", "sample_id").agg(F.sum("count").alias("count"))
 
 
-def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+def whole_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
-    return load(spark, sf_dir, "documents").select("doc_id", F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTAACGTAAACGTAAACGTTACGA").substr(1, 60).alias("seq"))
+    return load(spark, sf_dir, "documents").select("doc_id", F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTAACGTAAACGTAAACGTTACGA").alias("seq"))
+
+
+def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 60 letters, as SEQS; whole_sequences has all."""
+    return whole_sequences(spark, sf_dir).withColumn("seq", F.col("seq").substr(1, 60))
 
 
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,15 +60,33 @@ def p6_p8_p9_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
  CASE WHEN length(seq)>0 THEN round((length(seq)-length(replace(seq,'A','')))/length(seq),9) ELSE 0 END AS a_fraction, CASE WHEN coalesce(seq,'')='' THEN 'none' ELSE translate(seq,'T','U') END AS rna,
  (length(seq)>=6 AND (length(seq)-length(replace(seq,'A','')))/length(seq)>=0.8) AS poly_a, contains(seq,'AATAAA') AS has_signal FROM seqs""")
 def f1_f4_f5_f6_f8_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _features(v.sequences(spark, sf_dir))
+
+
+@query()
+def f1_f4_f5_f6_f8_sequences_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _features(v.whole_sequences(spark, sf_dir))
+
+
+def _features(d: DataFrame) -> DataFrame:
     s = F.col("seq")
-    return v.sequences(spark, sf_dir).select(
+    return d.select(
         "doc_id", sequences.reverse_complement(s).alias("revcomp"), sequences.longest_run(s, "A").alias("a_run"), _r(sequences.base_fraction(s, "A"), "a_fraction"), sequences.to_rna(s).alias("rna"),
         sequences.poly_a_like(s).alias("poly_a"), F.contains(s, F.lit("AATAAA")).alias("has_signal"))
 
 
 @query(f"""WITH {SEQS} SELECT kmer, count(*) AS n FROM (SELECT doc_id, unnest(list_distinct(list_transform(range(1,length(seq)-2), lambda i: substr(seq,i,4)))) AS kmer FROM seqs WHERE length(seq)>=4) GROUP BY 1""")
 def f7_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.sequences(spark, sf_dir).select(F.explode(sequences.kmers(F.col("seq"), 4)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
+    return _kmer_counts(v.sequences(spark, sf_dir))
+
+
+@query()
+def f7_kmers_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kmer_counts(v.whole_sequences(spark, sf_dir))
+
+
+def _kmer_counts(d: DataFrame) -> DataFrame:
+    return d.select(F.explode(sequences.kmers(F.col("seq"), 4)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {SEQS}, m(motif,priority) AS (VALUES ('AATAAA',1),('ATTAAA',2),('AAGAAA',3),('ACGTAA',4)),
@@ -76,8 +94,17 @@ h AS (SELECT doc_id, motif, priority, length(seq)-i AS distance FROM seqs, m, ra
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY priority, CASE WHEN distance BETWEEN 15 AND 30 THEN 0 ELSE 1 END, abs(distance-22.5), distance) rn, count(*) OVER (PARTITION BY doc_id) n FROM h)
 SELECT s.doc_id, coalesce(motif,'no_recognized_motif') AS motif, CAST(distance AS INT) AS distance, CAST(coalesce(n,0) AS INT) AS hits FROM seqs s LEFT JOIN r ON r.doc_id=s.doc_id AND rn=1""")
 def f2_f3_motifs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _motifs(v.sequences(spark, sf_dir))
+
+
+@query()
+def f2_f3_motifs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _motifs(v.whole_sequences(spark, sf_dir))
+
+
+def _motifs(d: DataFrame) -> DataFrame:
     hits = sequences.motif_hits(F.col("seq"), [("AATAAA", 1), ("ATTAAA", 2), ("AAGAAA", 3), ("ACGTAA", 4)], (15, 30))
-    d = v.sequences(spark, sf_dir).withColumn("hits", hits)
+    d = d.withColumn("hits", hits)
     return d.select("doc_id", sequences.primary_motif(F.col("hits")).alias("motif"), F.get("hits", F.lit(0))["distance"].cast("int").alias("distance"), F.size("hits").alias("hits"))
 
 
