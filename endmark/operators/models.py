@@ -256,17 +256,18 @@ def usage_pca(pau: DataFrame, n_samples: int) -> tuple[list[str], np.ndarray, np
     return names, scores, values[order] / values[order].sum() if order else values[:0]
 
 
-def kmer_enrichment(sites: DataFrame, k: int = 4, window: str = "window") -> DataFrame:
-    """sites (gene_id, pac_id, event boolean, window): Mantel-Haenszel over genes with event and other sites, for k-mers seen in the gene: (kmer, strata, odds_ratio, chi_square, p, fdr)."""
+def kmer_enrichment(sites: DataFrame, k: int = 4, window: str = "window", keys: tuple[str, ...] = ()) -> DataFrame:
+    """sites (gene_id, pac_id, event boolean, window): Mantel-Haenszel over genes with event and other sites, for k-mers seen in the gene: (kmer, strata, odds_ratio, chi_square, p, fdr).
+    With keys (comparison) each of their values is tested by itself."""
     from ..functions.sequences import kmers
     from .testing import benjamini_hochberg, mantel_haenszel
 
-    w = Window.partitionBy("gene_id")
+    w = Window.partitionBy(*keys, "gene_id")
     d = sites.withColumn("_e", F.count_if("event").over(w)).withColumn("_b", F.count_if(~F.col("event")).over(w)).filter("_e > 0 and _b > 0")
-    seen = d.select("gene_id", "event", "_e", "_b", F.explode(kmers(F.col(window), k)).alias("kmer"))
-    strata = seen.groupBy("kmer", "gene_id", "_e", "_b").agg(F.count_if("event").alias("a"), F.count_if(~F.col("event")).alias("c")).withColumn("b", F.col("_e") - F.col("a")).withColumn("d", F.col("_b") - F.col("c"))
-    tested = mantel_haenszel(strata, ["kmer"])
-    return benjamini_hochberg(tested.withColumn("p", chi_square_tail(F.col("chi_square"), F.lit(1))), "p", "fdr")
+    seen = d.select(*keys, "gene_id", "event", "_e", "_b", F.explode(kmers(F.col(window), k)).alias("kmer"))
+    strata = seen.groupBy(*keys, "kmer", "gene_id", "_e", "_b").agg(F.count_if("event").alias("a"), F.count_if(~F.col("event")).alias("c")).withColumn("b", F.col("_e") - F.col("a")).withColumn("d", F.col("_b") - F.col("c"))
+    tested = mantel_haenszel(strata, [*keys, "kmer"])
+    return benjamini_hochberg(tested.withColumn("p", chi_square_tail(F.col("chi_square"), F.lit(1))), "p", "fdr", list(keys))
 
 
 def moderated_t(values: np.ndarray, design: np.ndarray, contrast: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

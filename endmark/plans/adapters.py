@@ -55,6 +55,14 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_sequences(spark, sf_dir).withColumn("seq", F.col("seq").substr(1, 60))
 
 
+def site_windows(sites: DataFrame, docs: DataFrame, size: int = 60) -> DataFrame:
+    """sites (with pac_id) and window: size letters of a document (doc_id, seq), ids and places in the whole text drawn by a hash of the site."""
+    top = docs.agg((F.max("doc_id") + 1).alias("ids"))  # one row
+    at = sites.crossJoin(top).withColumn("doc_id", F.pmod(F.xxhash64("pac_id"), "ids")).join(docs, "doc_id")
+    first = F.pmod(F.xxhash64("pac_id", F.lit(1)), F.greatest(F.char_length("seq") - size + 1, F.lit(1))) + 1
+    return at.withColumn("window", F.substr("seq", first.cast("int"), F.lit(size))).drop("ids", "doc_id", "seq")
+
+
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = (F.col("o_orderkey") * 20).cast("long")
     return load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("grp"), start.alias("start"), (start + 1 + F.floor("o_totalprice") % 90).alias("end"))

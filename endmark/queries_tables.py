@@ -206,6 +206,13 @@ def m18_kmer_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("kmer", "strata", F.round("odds_ratio", 6).alias("odds_ratio"), F.round("chi_square", 6).alias("chi_square"))
 
 
+@query()
+def m18_kmer_enrichment_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = v.site_windows(_called(spark, sf_dir), v.whole_sequences(spark, sf_dir))
+    out = models.kmer_enrichment(d.select("comparison", "gene_id", "pac_id", (F.col("event_type") != "none").alias("event"), "window"), 3, keys=("comparison",))
+    return out.select("comparison", "kmer", "strata", F.round("odds_ratio", 6).alias("odds_ratio"), F.round("chi_square", 6).alias("chi_square"))
+
+
 @query()
 def m2_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.moderated_precision(_family(spark, sf_dir))
