@@ -2,11 +2,17 @@
 
 E-mail addresses, phone, card and social security numbers, IPv4 addresses and dates are found by one regex and
 validated (Luhn sum, octets, calendar, number ranges); what fails stays as it is. A valid value is read as a list
-of digits in mixed radix - decimal digits, letters, octets, or a day number in two parts - and goes through a Feistel
-network on that list: in each round the entries at every other place are shifted, modulo their radix, by a keyed
-digest of the rest. That is a permutation of the format's values: equal values get equal pseudonyms
+of digits in mixed radix - decimal digits, letters, octets, or a day number in two parts whose radices multiply to the number of
+days - and goes through a Feistel network on that list: in each round the entries at every other place are shifted, modulo
+their radix, by a keyed digest of the rest. That is a permutation of the format's values: equal values get equal pseudonyms
 in all documents, different ones different, and a pseudonym is valid itself (check digits are recomputed). The key is a parameter.
 
+Separators are no part of a value: the digits are permuted and then laid into the format found, so a card or phone number keeps one
+pseudonym however it is written. A phone number's country code is read from its digits by E.164 and kept, a trunk prefix `(0)` too; numbers
+of 3-3-4 digits joined by hyphens or dots, or with the area code in brackets, are North American without a plus sign and get the pseudonym of the same
+number with +1. A run of digit groups is searched for cards: every stretch of whole groups of 13 to 19 digits with a valid
+check digit counts, usual groupings before others, then leftmost and longest, so a number beside a card doesn't hide it.
+
 Only DataFrame functions are used; there is no shuffle. Null texts are empty texts without values; repeated rows
 and extra columns are kept, columns named like the results replaced.
 """
@@ -17,25 +23,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, text_of
+from .secret_scan import running
 
 ROUNDS = 8
 KINDS = ("email", "ipv4", "phone", "date", "ssn", "card")
+_NATIONAL = r"(?:\([2-9]\d\d\)[ ]?|[2-9]\d\d[-.])[2-9]\d\d[-.]\d{4}(?![\d-])"
+_DATE = r"(?:19|20)\d{2}(?:-\d{2}-\d{2}|/\d{2}/\d{2})(?![\d/-])"
+_SSN = r"\d{3}-\d{2}-\d{4}(?![\d-])"
 # Forms of the kinds, tried in this order at each place.
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ipv4": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
     "phone": r"\+\d{1,3}(?:[ -]?\(?\d{3}\)?[ -]\d{3}[ -]\d{4}|[ .-]?(?:\(0\) ?)?\d(?:[ .-]\d{2}){4}|[ .-]\d{3}(?:[ .-]\d{2}){3}|[ .-]\d{3}(?:[ .-]\d{3}){2}|[ .-]\d{2}[ .-]\d{3}(?:[ .-]\d{2}){2})(?!\d)"
     # any other grouping of 8 to 15 digits, not running on into a card, social security number, date or address behind it
-    r"|(?<![0-9A-Za-z])\+\d(?:(?![ -]\d{4}[ -]\d{4}[ -]\d{4}|[ ]\d{3}-\d\d-\d{4}|[ ](?:19|20)\d\d-\d\d-\d\d|[ ]\d{1,3}\.\d{1,3}\.\d{1,3}\.)[ ./-]?\(?\d\)?){7,14}(?!\d)",
-    "date": r"(?<![\d-])(?:19|20)\d{2}-\d{2}-\d{2}(?![\d-])",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
+    rf"|(?<![0-9A-Za-z])\+\d(?:(?![ -]\d{{4}}[ -]\d{{4}}[ -]\d{{4}}|[ ]\d{{3}}-\d\d-\d{{4}}|[ ](?:19|20)\d\d[-/]\d\d[-/]\d\d|[ ]{_NATIONAL}|[ ]\d{{1,3}}\.\d{{1,3}}\.\d{{1,3}}\.)[ ./-]?\(?\d\)?){{7,14}}(?!\d)"
+    rf"|(?<![\d.+-]){_NATIONAL}",
+    "date": rf"(?<![\d/-]){_DATE}",
+    "ssn": rf"(?<![\d-]){_SSN}",
+    # a run of digit groups that may hold cards, ending before any other kind; possessive, so a run of any length takes no stack
+    "card": rf"(?<!\d)\d(?:(?![ -](?:{_DATE}|{_SSN}|{_NATIONAL}|\d{{1,3}}\.\d{{1,3}}\.\d{{1,3}}\.\d))[ -]?\d){{12,}}+(?!\d)",
 }
 ANY = "|".join(FORMS.values())
-# E.164 country codes of one and two digits, others of three; a shorter number before a separator stands for itself.
-COUNTRY = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\d{2}|\d{1,3})"
-#: Days from 1900-01-01 to 2099-12-31 as two radices: 319 x 229.
-FIRST_DAY, DAYS = "1900-01-01", (319, 229)
+# E.164 country codes of one and two digits, others of three.
+COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2}|0)"
+# How card numbers are usually grouped, by the lengths of the groups.
+USUAL = "^(?:1[3-9]|4-4-4-4(?:-[1-3])?|4-6-[45]|4-3-3-3)$"
+#: Days from 1900-01-01 to 2099-12-31: 73049 = 17 x 4297.
+FIRST_DAY, DAYS = "1900-01-01", (17, 4297)
 
 
 def _digits(m: Column) -> Column:
@@ -49,26 +63,30 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda s, d: s + d)
 
 
+def _day(m: Column) -> Column:
+    return F.try_to_timestamp(F.translate(m, "/", "-"), F.lit("yyyy-MM-dd"))
+
+
 def kind_of(m: Column) -> Column:
-    """The kind of a match, null if it isn't valid."""
+    """The kind of a match, null if it isn't valid; runs of digits, in which cards are yet to be found, have the kind card."""
     octets = F.split(m, "\\.")
     area = F.substring(m, 1, 3)
     social = ~area.isin("000", "666") & ~m.startswith("9") & (F.substring(m, 5, 2) != "00") & (F.substring(m, 8, 4) != "0000")
-    day = F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).isNotNull()
     return (
         F.when(F.contains(m, F.lit("@")), "email")
         .when(m.startswith("+"), F.when(F.size(_digits(m)).between(8, 15), "phone"))
         .when(m.rlike(r"^\d+\.\d+\.\d+\.\d+$"), F.when(F.forall(octets, lambda o: o.cast("int") <= 255), "ipv4"))
-        .when(m.rlike(r"^\d{4}-\d\d-\d\d$"), F.when(day, "date"))
+        .when(m.rlike(r"^\d{4}([-/])\d\d\1\d\d$"), F.when(_day(m).isNotNull(), "date"))
         .when(m.rlike(r"^\d{3}-\d\d-\d{4}$"), F.when(social, "ssn"))
-        .otherwise(F.when(luhn_sum(_digits(m)) % 10 == 0, "card"))
+        .when(F.char_length(F.regexp_replace(m, "[^0-9]", "")) == 10, "phone")
+        .otherwise("card")
     )
 
 
 def feistel(values: Column, radices: Column, tweak: Column, key: str) -> Column:
     """The permutation of the lists below radices that key and tweak name."""
 
-    def turn(v: Column, r: Column) -> Column:
+    def turn(v: Column, r: Column, radices: Column) -> Column:
         rest = F.array_join(F.transform(F.filter(v, lambda x, i: i % 2 != r % 2), lambda x: x.cast("string")), ".")
         salt = F.concat_ws("|", F.lit(key), tweak, r.cast("string"), rest)
 
@@ -78,7 +96,8 @@ def feistel(values: Column, radices: Column, tweak: Column, key: str) -> Column:
 
         return F.transform(v, shift)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), values, turn)
+    rounds = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+    return _let(F.struct(values.alias("v"), radices.alias("r")), lambda x: F.aggregate(rounds, x["v"], lambda v, r: turn(v, r, x["r"])))
 
 
 def _let(value: Column, of) -> Column:
@@ -86,38 +105,59 @@ def _let(value: Column, of) -> Column:
     return F.get(F.transform(F.array(value), of), F.lit(0))
 
 
+def _laid(m: Column, digits: Column) -> Column:
+    """m with its digits replaced in order."""
+    return F.array_join(F.zip_with(F.split(m, "[0-9]", -1), digits.cast("array<string>"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
+def _tens(digits: Column) -> Column:
+    return F.transform(digits, lambda d: F.lit(10))
+
+
 _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
-def _spell(m: Column, fixed, tweak: str, key: str, lowest=None) -> Column:
-    """m with its letters and digits permuted within their alphabets, those at places where fixed(c, i) holds kept. lowest(i): least digit allowed at a place."""
-    lowest = lowest or (lambda i: F.lit(0))
+def _email(m: Column, key: str) -> Column:
+    """Letters and digits before the @ permuted within their alphabets; the domain stays."""
 
-    def entry(c: Column, i: Column) -> Column:
-        none = F.struct(F.lit(0).alias("v"), F.lit(1).alias("r"), F.lit(0).alias("low"), F.lit("").alias("of"))
+    def entry(c: Column) -> Column:
+        one = F.struct(F.lit(0).alias("v"), F.lit(1).alias("r"), F.lit("").alias("of"))
         for alphabet in _ALPHABETS:
-            low = lowest(i) if alphabet == _ALPHABETS[0] else F.lit(0)
             at = F.instr(F.lit(alphabet), c) - 1
-            inside = F.struct((at - low).cast("int").alias("v"), (F.lit(len(alphabet)) - low).cast("int").alias("r"), low.cast("int").alias("low"), F.lit(alphabet).alias("of"))
-            none = F.when(~fixed(c, i) & (F.length(c) == 1) & (at >= low), inside).otherwise(none)
-        return none
+            inside = F.struct(at.cast("int").alias("v"), F.lit(len(alphabet)).alias("r"), F.lit(alphabet).alias("of"))
+            one = F.when((F.length(c) == 1) & (at >= 0), inside).otherwise(one)
+        return one
 
     def spelled(e: Column) -> Column:
-        out = feistel(F.transform(e, lambda x: x["v"]), F.transform(e, lambda x: x["r"]), F.lit(tweak), key)
-        chars = F.split(m, "")
-        return F.array_join(F.zip_with(F.zip_with(e, out, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), chars, lambda z, c: F.when(z["x"]["r"] > 1, F.substr(z["x"]["of"], z["y"] + z["x"]["low"] + 1, F.lit(1))).otherwise(c)), "")
+        out = feistel(F.transform(e, lambda x: x["v"]), F.transform(e, lambda x: x["r"]), F.lit("email"), key)
+        letters = F.zip_with(e, out, lambda x, y: F.when(x["r"] > 1, F.substr(x["of"], y + 1, F.lit(1))))
+        return F.array_join(F.zip_with(letters, F.split(F.substring_index(m, "@", 1), ""), lambda a, b: F.coalesce(a, b)), "")
 
-    return _let(F.transform(F.split(m, ""), entry), spelled)
+    return F.concat(_let(F.transform(F.split(F.substring_index(m, "@", 1), ""), entry), spelled), F.lit("@"), F.substring_index(m, "@", -1))
 
 
-def _email(m: Column, key: str) -> Column:
-    return F.concat(_spell(F.substring_index(m, "@", 1), lambda c, i: F.lit(False), "email", key), F.lit("@"), F.substring_index(m, "@", -1))
+def _phone(m: Column, key: str) -> Column:
+    """Country code, trunk prefix and separators kept, all other digits permuted. The area code and exchange of ten digits in country 1 keep
+    whether they begin below 2, so valid numbers stay valid."""
+    national = ~m.startswith("+")
+    all_ = F.regexp_replace(m, "[^0-9]", "")
+    code = F.when(national, F.lit("1")).otherwise(F.regexp_extract(all_, COUNTRY, 0))
+    kept = F.when(national, 0).otherwise(F.length(code) + F.when(m.rlike(r"^\+\d{1,3}[ .-]?\(0\)"), 1).otherwise(0))
 
+    def turned(x: Column) -> Column:
+        digits = F.split(F.substr(x["all"], x["kept"] + 1), "").cast("array<int>")
+        return _let(digits, lambda d: _let(F.transform(d, lambda c, i: entry(c, (x["code"] == "1") & (F.size(d) == 10) & i.isin(0, 3))), lambda es: placed(x, es)))
 
-def _phone(m: Column, key: str) -> Column:
-    """Country code and separators kept, all other digits permuted."""
-    start = F.length(F.regexp_extract(m, COUNTRY, 0))
-    return _spell(m, lambda c, i: i < start, "phone", key)
+    def entry(d: Column, first: Column) -> Column:
+        low = F.when(first & (d >= 2), 2).otherwise(0)
+        return F.struct((d - low).alias("v"), F.when(first, F.when(d >= 2, 8).otherwise(2)).otherwise(10).alias("r"), low.alias("low"))
+
+    def placed(x: Column, es: Column) -> Column:
+        out = feistel(F.transform(es, lambda e: e["v"]), F.transform(es, lambda e: e["r"]), F.concat(F.lit("phone|"), x["code"]), key)
+        fixed = F.slice(F.split(x["all"], "").cast("array<int>"), F.lit(1), x["kept"])
+        return _laid(m, F.concat(fixed, F.zip_with(out, es, lambda d, e: d + e["low"])))
+
+    return _let(F.struct(all_.alias("all"), code.alias("code"), kept.alias("kept")), turned)
 
 
 def _ipv4(m: Column, key: str) -> Column:
@@ -126,9 +166,10 @@ def _ipv4(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    day = F.datediff(F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).cast("date"), F.lit(FIRST_DAY).cast("date"))
+    day = F.datediff(_day(m).cast("date"), F.lit(FIRST_DAY).cast("date"))
     out = feistel(F.array(F.floor(day / DAYS[1]).cast("int"), day % DAYS[1]), F.array(*map(F.lit, DAYS)), F.lit("date"), key)
-    return _let(out, lambda x: F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), F.get(x, F.lit(0)) * DAYS[1] + F.get(x, F.lit(1))), "yyyy-MM-dd"))
+    new = _let(out, lambda x: F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), F.get(x, F.lit(0)) * DAYS[1] + F.get(x, F.lit(1))), "yyyy-MM-dd"))
+    return F.when(F.contains(m, F.lit("/")), F.translate(new, "-", "/")).otherwise(new)
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -142,22 +183,75 @@ def _ssn(m: Column, key: str) -> Column:
 
 def _card(m: Column, key: str) -> Column:
     """First digit and separators kept, check digit recomputed."""
-    last = F.length(m) - 1
-    def check(x: Column) -> Column:
-        body = F.substr(x, F.lit(1), last)
-        return F.concat(body, ((10 - luhn_sum(_digits(F.concat(body, F.lit("0")))) % 10) % 10).cast("string"))
 
-    return _let(_spell(m, lambda c, i: (i == 0) | (i == last), "card", key), check)
+    def turned(d: Column) -> Column:
+        body = F.slice(d, F.lit(2), F.size(d) - 2)
+        tweak = F.concat_ws("|", F.lit("card"), F.size(d).cast("string"), F.get(d, F.lit(0)).cast("string"))
+        return _let(F.concat(F.slice(d, 1, 1), feistel(body, _tens(body), tweak, key)), checked)
+
+    def checked(d: Column) -> Column:
+        return _laid(m, F.concat(d, F.array((10 - luhn_sum(F.concat(d, F.array(F.lit(0)))) % 10) % 10)))
+
+    return _let(_digits(m), turned)
+
+
+_OF = {"email": _email, "ipv4": _ipv4, "phone": _phone, "date": _date, "ssn": _ssn}
+_ITEMS = "array<struct<kind:string,pseudonym:string>>"
+
+
+def _stretches(groups: Column) -> Column:
+    """For a list of digit groups, the disjoint stretches (at, n) of whole groups that are cards."""
+
+    def here(i: Column) -> Column:
+        few = F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i)), lambda n: F.struct(n.alias("n"), F.slice(groups, i + 1, n).alias("gs")))
+        long_enough = F.filter(few, lambda x: F.char_length(F.array_join(x["gs"], "")).between(13, 19))
+        valid = F.filter(long_enough, lambda x: luhn_sum(_digits(F.array_join(x["gs"], ""))) % 10 == 0)
+        usual = F.filter(valid, lambda x: F.array_join(F.transform(x["gs"], lambda g: F.char_length(g).cast("string")), "-").rlike(USUAL))
+        most = lambda xs: F.coalesce(F.array_max(F.transform(xs, lambda x: x["n"])), F.lit(0))
+        return F.struct(most(usual).alias("usual"), most(valid).alias("any"))
+
+    def walk(best: Column) -> Column:
+        start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<at:int,n:int>>").alias("taken"))
+
+        def step(s: Column, i: Column) -> Column:
+            own = F.get(best, i)
+            covers = F.exists(F.slice(best, i + 2, F.greatest(own["any"] - 1, F.lit(0))), lambda x: x["usual"] > 0)
+            n = F.when(s["next"] > i, 0).when(own["usual"] > 0, own["usual"]).when(~covers, own["any"]).otherwise(0)
+            return F.when(n > 0, F.struct((i + n).alias("next"), F.concat(s["taken"], F.array(F.struct(i.alias("at"), n.alias("n")))).alias("taken"))).otherwise(s)
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda s: s["taken"])
+
+    return _let(F.transform(F.sequence(F.lit(0), F.size(groups) - 1), here), walk)
+
+
+def _cards(m: Column, key: str) -> Column:
+    """(now, items) of a run of digit groups: the cards in it replaced. Groups are joined by one character each."""
+
+    def of(groups: Column) -> Column:
+        ends = running(F.transform(groups, lambda g: F.char_length(g) + 1), lambda a, b: a + b)
+        placed = lambda x, e: F.struct((F.get(e, x["at"]) - F.char_length(F.get(groups, x["at"]))).alias("start"), (F.get(e, x["at"] + x["n"] - 1) - 1).alias("end"))
+        return _let(ends, lambda e: _let(F.transform(_stretches(groups), lambda x: placed(x, e)), written))
+
+    def written(cards: Column) -> Column:
+        new = F.transform(cards, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), _card(F.substr(m, c["start"], c["end"] - c["start"] + 1), key).alias("now")))
+        return _let(new, joined)
 
+    def joined(cards: Column) -> Column:
+        before = lambda i: F.when(i == 0, 0).otherwise(F.coalesce(F.get(cards, F.greatest(i - 1, F.lit(0)))["end"], F.lit(0)))
+        pieces = F.transform(cards, lambda c, i: F.concat(F.substr(m, before(i) + 1, c["start"] - before(i) - 1), c["now"]))
+        now = F.concat(F.array_join(pieces, ""), F.substr(m, before(F.size(cards)) + 1))
+        return F.struct(now.alias("now"), F.transform(cards, lambda c: F.struct(F.lit("card").alias("kind"), c["now"].alias("pseudonym"))).cast(_ITEMS).alias("items"))
 
-_OF = {"email": _email, "ipv4": _ipv4, "phone": _phone, "date": _date, "ssn": _ssn, "card": _card}
+    return _let(F.split(m, "[ -]"), of)
 
 
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
-    out = m
+    """(now, items): what a match is replaced by, and the values in it (none if it isn't valid)."""
+    one = lambda name: lambda now: F.struct(now.alias("now"), F.array(F.struct(F.lit(name).alias("kind"), now.alias("pseudonym"))).cast(_ITEMS).alias("items"))
+    out = F.struct(m.alias("now"), F.array().cast(_ITEMS).alias("items"))
     for name, of in _OF.items():
-        out = F.when(kind == name, of(m, key)).otherwise(out)
-    return out
+        out = F.when(kind == name, _let(of(m, key), one(name))).otherwise(out)
+    return F.when(kind == "card", _cards(m, key)).otherwise(out)
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -166,10 +260,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     t, hit, parts = fresh(docs, "t", "hit", "parts")
     d = docs.withColumn(t, text_of(text)).withColumn(hit, F.col(t).rlike(ANY))
     named = F.transform(F.regexp_extract_all(F.col(t), F.lit(ANY), F.lit(0)), lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
-    found = F.transform(named, lambda x: F.struct(x["kind"].alias("kind"), pseudonym(x["m"], x["kind"], key).alias("now")))
-    d = d.withColumn(parts, F.when(F.col(hit), found))
+    d = d.withColumn(parts, F.when(F.col(hit), F.transform(named, lambda x: pseudonym(x["m"], x["kind"], key))))
     between = F.split(F.col(t), ANY, -1)
     now = F.array_join(F.zip_with(between, F.transform(parts, lambda x: x["now"]), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    pii = F.transform(F.filter(F.col(parts), lambda x: x["kind"].isNotNull()), lambda x: F.struct(x["kind"].alias("kind"), x["now"].alias("pseudonym")))
-    none = F.array().cast("array<struct<kind:string,pseudonym:string>>")
-    return d.withColumn(text, F.when(F.col(hit), now).otherwise(F.col(text))).withColumn("pii", F.when(F.col(hit), pii).otherwise(none)).drop(t, hit, parts)
+    pii = F.flatten(F.transform(F.col(parts), lambda x: x["items"]))
+    return d.withColumn(text, F.when(F.col(hit), now).otherwise(F.col(text))).withColumn("pii", F.when(F.col(hit), pii).otherwise(F.array().cast(_ITEMS))).drop(t, hit, parts)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+import hashlib
 import re
+import string
 from collections import Counter
 
 import numpy as np
@@ -102,3 +105,111 @@ def mix(rows: list[tuple[str | None, int, str]], share: float = 1.5, most: float
             for k in groups[h]:
                 taken[k] = epochs * rows[k][1] + (give // len(groups[h]))
     return target, taken
+
+
+class Pseudonyms:
+    """Pseudonyms value by value: the Feistel network on lists of (entry, radix), cards by trying every stretch of groups."""
+
+    def __init__(self, key: str):
+        from endmark.llm import pii
+
+        self.key, self.pattern, self.country, self.usual = key, re.compile(pii.ANY, re.A), re.compile(pii.COUNTRY), re.compile(pii.USUAL)
+
+    def network(self, values: list[int], radices: list[int], tweak: str) -> list[int]:
+        for r in range(8):
+            rest = ".".join(str(x) for i, x in enumerate(values) if i % 2 != r % 2)
+            by = lambda i: int(hashlib.sha256(f"{self.key}|{tweak}|{r}|{rest}|{i}".encode()).hexdigest()[:12], 16)  # noqa: B023, E731
+            values = [(x + by(i)) % radices[i] if i % 2 == r % 2 else x for i, x in enumerate(values)]
+        return values
+
+    @staticmethod
+    def laid(m: str, digits: list[int]) -> str:
+        it = iter(digits)
+        return "".join(str(next(it)) if c in "0123456789" else c for c in m)
+
+    @staticmethod
+    def luhn(digits: list[int]) -> int:
+        return sum(d if k % 2 == 0 else d * 2 // 10 + d * 2 % 10 for k, d in enumerate(reversed(digits)))
+
+    def email(self, m: str) -> str:
+        at = m.rindex("@")
+        sets = [next((a for a in (string.digits, string.ascii_lowercase, string.ascii_uppercase) if c in a), c) for c in m[: m.index("@")]]
+        new = self.network([a.index(c) for a, c in zip(sets, m, strict=False)], [len(a) for a in sets], "email")
+        return "".join(a[v] for a, v in zip(sets, new, strict=True)) + m[at:]
+
+    def phone(self, m: str) -> str:
+        digits = re.sub("[^0-9]", "", m)
+        code = self.country.match(digits)[0] if m[0] == "+" else "1"
+        kept = (len(code) if m[0] == "+" else 0) + bool(re.match(r"\+\d{1,3}[ .-]?\(0\)", m))
+        own = [int(c) for c in digits[kept:]]
+        first = [code == "1" and len(own) == 10 and k in (0, 3) for k in range(len(own))]
+        low = [2 if f and d >= 2 else 0 for f, d in zip(first, own, strict=True)]
+        new = self.network([d - a for d, a in zip(own, low, strict=True)], [(8 if a else 2) if f else 10 for f, a in zip(first, low, strict=True)], f"phone|{code}")
+        return self.laid(m, [int(c) for c in digits[:kept]] + [d + a for d, a in zip(new, low, strict=True)])
+
+    def date(self, m: str) -> str:
+        low = datetime.date(1900, 1, 1)
+        day = (datetime.date(int(m[:4]), int(m[5:7]), int(m[8:])) - low).days
+        a, b = self.network([day // 4297, day % 4297], [17, 4297], "date")
+        return (low + datetime.timedelta(a * 4297 + b)).isoformat().replace("-", m[4])
+
+    def card(self, m: str) -> str:
+        d = [int(c) for c in m if c.isdigit()]
+        new = d[:1] + self.network(d[1:-1], [10] * (len(d) - 2), f"card|{len(d)}|{d[0]}")
+        return self.laid(m, [*new, -self.luhn([*new, 0]) % 10])
+
+    def cards(self, m: str) -> tuple[str, list]:
+        groups = [(x.start(), x.end()) for x in re.finditer("[0-9]+", m)]
+        ok = {}
+        for i in range(len(groups)):
+            for j in range(i, min(len(groups), i + 19)):
+                d = [int(c) for c in m[groups[i][0] : groups[j][1]] if c.isdigit()]
+                if 13 <= len(d) <= 19 and self.luhn(d) % 10 == 0:
+                    ok[i, j + 1] = bool(self.usual.match("-".join(str(b - a) for a, b in groups[i : j + 1])))
+        best = lambda i, usual: max((j for (a, j), u in ok.items() if a == i and (u or not usual)), default=None)
+        out, items, at, i = "", [], 0, 0
+        while i < len(groups):
+            j = best(i, True) or best(i, False)
+            if j and not best(i, True) and any(best(x, True) for x in range(i + 1, j)):
+                j = None
+            if j:
+                new = self.card(m[groups[i][0] : groups[j - 1][1]])
+                out, at = out + m[at : groups[i][0]] + new, groups[j - 1][1]
+                items.append(("card", new))
+            i = j or i + 1
+        return out + m[at:], items
+
+    def one(self, m: str) -> tuple[str, list]:
+        d = [int(c) for c in m if c in string.digits]
+        kind, new = None, m
+        if "@" in m:
+            kind, new = "email", self.email(m)
+        elif m[0] == "+":
+            if 8 <= len(d) <= 15:
+                kind, new = "phone", self.phone(m)
+        elif re.fullmatch(r"\d+\.\d+\.\d+\.\d+", m, re.A):
+            octets = [int(x) for x in m.split(".")]
+            if max(octets) <= 255:
+                kind, new = "ipv4", ".".join(map(str, self.network(octets, [256] * 4, "ipv4")))
+        elif re.fullmatch(r"\d{4}([-/])\d\d\1\d\d", m, re.A):
+            try:
+                kind, new = "date", self.date(m)
+            except ValueError:
+                kind = None
+        elif re.fullmatch(r"\d{3}-\d\d-\d{4}", m, re.A):
+            area, group, serial = int(m[:3]), int(m[4:6]), int(m[7:])
+            if area not in (0, 666) and area < 900 and group and serial:
+                x = self.network([area - 1 - (area > 666), group - 1, serial - 1], [898, 99, 9999], "ssn")
+                kind, new = "ssn", f"{x[0] + 1 + (x[0] > 664):03}-{x[1] + 1:02}-{x[2] + 1:04}"
+        elif len(d) == 10:
+            kind, new = "phone", self.phone(m)
+        else:
+            return self.cards(m)
+        return new, [(kind, new)] if kind else []
+
+    def text(self, text: str | None) -> tuple[str | None, list]:
+        out, items, at = "", [], 0
+        for m in self.pattern.finditer(text or ""):
+            new, found = self.one(m[0])
+            out, at, items = out + text[at : m.start()] + new, m.end(), items + found
+        return (None if text is None else out + text[at:]), items
