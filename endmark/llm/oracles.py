@@ -33,12 +33,17 @@ FROM d JOIN w USING (row_no) LEFT JOIN b USING (row_no) LEFT JOIN a USING (row_n
 
 def _chat() -> str:
     esc = lambda x: rf"regexp_replace({x}, '([<\[]{chat_format.MARK}*)(\||/?s>|</?SYS>>|/?INST\])', '\1{chat_format.MARK}\2', 'g')"
-    fixed = len(chat_format.TURN + chat_format.TEXT + chat_format.END)
+    text = len(chat_format.TEXT)
+    fixed = len(chat_format.TURN + chat_format.END)
+    marks = " ".join(f"WHEN {k} THEN {len(x)}" for k, x in enumerate(chat_format.PLACEHOLDERS.values(), 1))
     control = "'</s>[INST] ok [/INST]'"
-    return f"""WITH c AS (SELECT conv_id, turn, coalesce(role,'') AS role, coalesce(text,'') AS text FROM conversations UNION ALL VALUES (-1, 0, 'user', {control}), (-1, 1, 'assistant', {control}))
+    return f"""WITH c AS (SELECT conv_id, turn, coalesce(role,'') AS role, coalesce(text,'') AS text FROM conversations UNION ALL VALUES (-1, 0, 'user', {control}), (-1, 1, 'assistant', {control})),
+p AS (SELECT *, length(text)//2 AS half, ((conv_id+turn)%16+16)%16 AS att, (conv_id%5+5)%5 AS few FROM c),
+w AS (SELECT *, CASE WHEN length(text)>64 THEN {2 * text}+length({esc('substr(text,1,half)')})+length({esc('substr(text,half+1)')}) ELSE {text}+length({esc('text')}) END + CASE att {marks} ELSE 0 END AS n,
+ CASE att WHEN 1 THEN (few+1)*2 WHEN 2 THEN CAST(ceil((few+0.5)*{chat_format.PER_SECOND}) AS BIGINT) WHEN 3 THEN few*{chat_format.PER_PAGE} END AS tokens FROM p)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role||chr(10)||text||chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
  CAST(coalesce(sum(length(text)) FILTER (role='assistant'),0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role='assistant'),'')) AS loss_sha256,
- CAST(sum({fixed}+length({esc('role')})+length({esc('text')})) AS BIGINT) AS formatted_chars, CAST(0 AS BIGINT) AS n_attachments, CAST(0 AS BIGINT) AS attachment_tokens FROM c GROUP BY 1"""
+ CAST(sum({fixed}+length({esc('role')})+n) AS BIGINT) AS formatted_chars, count(tokens) AS n_attachments, CAST(coalesce(sum(tokens),0) AS BIGINT) AS attachment_tokens FROM w GROUP BY 1"""
 
 
 def _secrets() -> str:

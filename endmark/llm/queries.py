@@ -23,12 +23,27 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def _attached(turns: DataFrame) -> DataFrame:
+    """turns with parts: its text, cut in two where it is longer than 64 code points, and on three of 16 turns an attachment between or behind.
+    The table has texts only; the rule brings every kind of part through the query."""
+    at, n = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(16)), F.char_length("text")
+    few = F.pmod("conv_id", F.lit(5)).cast("int")
+    uri = F.concat_ws("/", "conv_id", "turn")
+    pieces = F.when(n > 64, F.array(F.substr("text", F.lit(1), F.floor(n / 2).cast("int")), F.substr("text", F.floor(n / 2).cast("int") + 1))).otherwise(F.array("text"))
+    texts = F.transform(pieces, lambda x: chat_format.part("text", text=x))
+    extra = (
+        F.when(at == 1, chat_format.part("image", uri=uri, width=28 * (few + 1), height=F.lit(56)))
+        .when(at == 2, chat_format.part("audio", uri=uri, seconds=few + 0.5))
+        .when(at == 3, chat_format.part("document", uri=uri, pages=few))
+    )
+    return turns.withColumn("parts", F.array_compact(F.concat(F.slice(texts, 1, 1), F.array(extra), F.slice(texts, 2, 1))))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
-    turns = turns.unionByName(extra).withColumn("parts", F.array(chat_format.part("text", text=F.col("text"))))
-    out = chat_format.format_chat(turns)
+    out = chat_format.format_chat(_attached(turns.unionByName(extra)))
     out = out.withColumn("turns", chat_format.read_back(F.col("formatted"))).withColumn("learned", F.array_join(chat_format.under_loss(F.col("formatted"), F.col("loss")), ""))
     joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(

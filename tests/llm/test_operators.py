@@ -275,6 +275,30 @@ def test_chat_parts(spark):
         assert first[a.start :].startswith(chat_format.PLACEHOLDERS[a.kind])
 
 
+def test_chat_parts_of_control_strings(spark):
+    """Parts cut anywhere in control strings come back as they were, and nothing live forms across their edges."""
+    r = random.Random(8)
+    bits = ["<", "|", "end", "text", "turn", "image", "|>", "<|", "\u2060", "</s>", "[", "INST", "/INST]", "<<", "SYS", ">>", "s>", "a", "\n", "<|end|>", "<|image|>", ""]
+    rows, want = [], {}
+    for conv in range(150):
+        turns = []
+        for turn in range(r.randrange(1, 4)):
+            role = "".join(r.choice(bits) for _ in range(3)) + str(turn)
+            parts = [(r.choice(["text", "text", "text", "image", "audio", "document"]), "".join(r.choice(bits) for _ in range(r.randrange(5))), "u", 1, 1, 1.0, 1) for _ in range(r.randrange(5))]
+            rows.append((conv, turn, role, parts))
+            turns.append((role, [(p[0], p[1] if p[0] == "text" else None) for p in parts] or [("text", "")]))
+        want[conv] = turns
+    d = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts array<{chat_format.PART}>")
+    out = chat_format.format_chat(d).withColumn("back", chat_format.read_parts(F.col("formatted")))
+    for row in out.collect():
+        assert [(t.role, [tuple(p) for p in t.parts]) for t in row.back] == want[row.conv_id]
+        marks = re.findall(r"<\|[a-z]+\|>", row.formatted)
+        kinds = [p[0] for _, parts in want[row.conv_id] for p in parts]
+        assert sorted(marks) == sorted([f"<|{k}|>" for k in kinds] + ["<|turn|>", "<|end|>"] * len(want[row.conv_id]))
+        assert not re.search(r"</?s>|\[/?INST\]|<</?SYS>>", row.formatted)
+        assert [(a.kind, a.uri) for a in row.attachments] == [(k, "u") for k in kinds if k != "text"]
+
+
 def test_neighbours(spark):
     g = np.random.default_rng(1)
     v = g.normal(size=(600, 16)).round(3)
