@@ -12,13 +12,17 @@ the inner side and any other to the outer side. One inside, but so near the boun
 inequality allows a partner outside, also visits the outer side, and a visitor visits each side that can hold a
 partner; so every pair meets in the shard where one of the two is at home. In a shard a
 local tree over the quarter values is searched in the same way, and what its leaves yield is compared on
-all 64 bits. Within a shard links are merged at once and only a spanning forest leaves it.
+all 64 bits. Within a shard links are merged at once and only a spanning forest leaves it. Rows are counted
+by shard; a crowded shard (equal quarters can't be split) is dealt again by the trees of the other quarters, on one
+of which its pairs are near too, and so on until shards are small or all quarters are named.
 
 Components over the whole corpus come from rounds of hooking and pointer jumping on DataFrames; each
-round is a written table. Nothing but counts and the sample reaches the driver.
+round is a written table. Nothing but a count and the sample reaches the driver.
 
 Null texts are empty texts; texts without words have fingerprint zero and link like others. Null doc_ids
 take part as links, are never the smallest id, and get their component's id (null if it has none). Every input row gives a row.
+`keep_one` keeps one row of each component: the one with the smallest key (null last), of several the least by digest of key and text; which
+of rows equal in both but not in other columns is not defined.
 """
 
 from __future__ import annotations
@@ -28,16 +32,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, spread, written
+from .common import forget, fresh, looked_up, spread, written
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 QUARTERS = 4
-#: Bounds of what the upper trees are built from and of a local tree's leaves.
-SAMPLE, SHARD, LEAF = 20_000, 12_000, 48
+#: Rows that the upper trees are built from, rows wished for in a shard, most shards of a tree, rows of a local tree's leaves.
+SAMPLE, SHARD, SHARDS, LEAF = 20_000, 12_000, 1024, 48
+#: A shard of over CROWD times the rows wished for is dealt again by the other quarters. WAYS: links of a row in the forest a shard returns, about.
+CROWD, WAYS = 4, 16
 
 
 def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
@@ -180,39 +187,72 @@ def shard_links(fps: np.ndarray, quarter: np.ndarray, home: np.ndarray, radius:
         todo.append((members[own > b], asking[seen > b - near]))
 
 
-def fingerprint_links(nodes: DataFrame, radius: int = 4) -> DataFrame:
+def fingerprint_links(nodes: DataFrame, radius: int = 4, shard: int = SHARD) -> DataFrame:
     """(a long, b long): links that connect all fingerprints of nodes (distinct longs in fp) that pairs within radius connect; a < b as unsigned numbers."""
     n = nodes.count()
-    rate = min(1.0, 1.5 * SAMPLE / max(n, 1))
-    sample = np.array([r.fp for r in nodes.sample(rate, seed=1).limit(SAMPLE).collect()], dtype=np.int64).view(np.uint64)
-    quarters = sample.view(np.uint16).reshape(-1, QUARTERS)
-    shards = max(16, -(-n // SHARD))
-    trees = [Tree(quarters[:, q], shards, q) for q in range(QUARTERS)]
-    near = radius // QUARTERS
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = batch.column(0).to_numpy()
-            own = fps.view(np.uint64).view(np.uint16).reshape(-1, QUARTERS)
-            for q, tree in enumerate(trees):
-                for shard, home, visits in tree.route(np.ascontiguousarray(own[:, q]), near):
-                    rows = np.concatenate([home, visits])
-                    at = np.arange(len(rows)) < len(home)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), q * 10_000_000 + shard)), pa.array(at), pa.array(fps[rows])], names=["shard", "home", "fp"])
+    sample = nodes.sample(min(1.0, SAMPLE / max(n, 1)), seed=1).limit(2 * SAMPLE).collect()  # the limit is a guard: about SAMPLE rows are expected
+    quarters = np.array([r.fp for r in sample], dtype=np.int64).view(np.uint64).view(np.uint16).reshape(-1, QUARTERS)
+    trees = [Tree(quarters[:, q], min(SHARDS, max(16, -(-n // shard))), q) for q in range(QUARTERS)]
+
+    def deal(near: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """By every quarter that a row's key doesn't name yet; a key is the quarters and shards so far, q:shard/."""
+            for batch in batches:
+                for key in batch.column(0).unique().to_pylist():
+                    fps = batch.column(1).filter(pc.equal(batch.column(0), key)).to_numpy()
+                    own = fps.view(np.uint64).view(np.uint16).reshape(-1, QUARTERS)
+                    for q, tree in enumerate(trees):
+                        if f"{q}:" in key:
+                            continue
+                        for at, home, visits in tree.route(np.ascontiguousarray(own[:, q]), near):
+                            rows = np.concatenate([home, visits])
+                            yield pa.RecordBatch.from_arrays([pa.array([f"{key}{q}:{at}/"] * len(rows)), pa.array(np.arange(len(rows)) < len(home)), pa.array(fps[rows])], names=["shard", "home", "fp"])
+
+        return run
 
     def join(part: pd.DataFrame) -> pd.DataFrame:
         part = part.assign(u=part.fp.to_numpy().view(np.uint64)).sort_values("u")
-        fps, q = part.u.to_numpy(), int(part.shard.iloc[0]) // 10_000_000
+        key = part["shard"].iloc[0].rstrip("/").split("/")
+        q, near = int(key[-1].split(":")[0]), radius // (QUARTERS + 1 - len(key))
+        fps = part.u.to_numpy()
         links = Links(len(fps))
-        quarter = np.ascontiguousarray(fps.view(np.uint16).reshape(-1, QUARTERS)[:, q])
-        shard_links(fps, quarter, part.home.to_numpy(), radius, near, links)
-        root = _roots(links.parent)
-        linked = np.flatnonzero(root != np.arange(len(root)))
+        shard_links(fps, np.ascontiguousarray(fps.view(np.uint16).reshape(-1, QUARTERS)[:, q]), part.home.to_numpy(), radius, near, links)
+        a, b = forest(_roots(links.parent))
         whole = fps.view(np.int64)
-        return pd.DataFrame({"a": whole[root[linked]], "b": whole[linked]})
-
-    dealt = nodes.select("fp").mapInArrow(deal, "shard long, home boolean, fp long")
-    return spread(dealt, "shard").groupBy("shard").applyInPandas(join, "a long, b long").distinct()
+        return pd.DataFrame({"a": whole[a], "b": whole[b]})
+
+    todo, links, tables = nodes.select(F.lit("").alias("shard"), "fp"), None, []
+    for level in range(QUARTERS):
+        dealt = written(todo.mapInArrow(deal(radius // (QUARTERS - level)), "shard string, home boolean, fp long"))
+        tables.append(dealt)
+        big = None
+        if level < QUARTERS - 1:
+            counts = dealt.groupBy("shard").count().filter(F.col("count") > CROWD * shard)
+            big = written(counts.select("shard"))
+            tables.append(big)
+            if big.isEmpty():
+                big = None
+        few = dealt if big is None else dealt.join(big, "shard", "left_anti")
+        found = written(spread(few, "shard").groupBy("shard").applyInPandas(join, "a long, b long"))
+        tables.append(found)
+        links = found if links is None else links.unionByName(found)
+        if big is None:
+            break
+        # pairs of a crowded shard are near on one of the other quarters too, one of the two at home there
+        todo = dealt.join(big, "shard", "left_semi").select("shard", "fp")
+    out = written(links.distinct())
+    forget(*tables)
+    return out
+
+
+def forest(roots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b), a < b, that connect rows of equal root: each row to the one WAYS times nearer its component's start, so that no row has many."""
+    order = np.argsort(roots, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(roots[order]) != 0]) if len(order) else order
+    start = np.repeat(first, np.diff(np.r_[first, len(order)]))
+    place = np.arange(len(order)) - start
+    linked = np.flatnonzero(place > 0)
+    return order[start[linked] + (place[linked] - 1) // WAYS], order[linked]
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -225,40 +265,70 @@ def components(links: DataFrame) -> DataFrame:
         far = both.join(label.select(F.col("node").alias("b"), F.col("root").alias("far")), "b").select("a", "far")
         near = far.join(label.select(F.col("node").alias("a"), "root"), "a")
         hooks = near.filter("far < root").groupBy("root").agg(F.min("far").alias("hook"))
-        new = label.join(hooks, "root", "left").select("node", F.coalesce("hook", "root").alias("root"))
-        new = written(new)
-        jumped = new.join(new.select(F.col("node").alias("root"), F.col("root").alias("up")), "root", "left")
-        new = written(jumped.select("node", F.least("root", F.coalesce("up", "root")).alias("root"), (F.coalesce("up", "root") < F.col("root")).alias("moved")))
-        changed = new.join(label.withColumnRenamed("root", "old"), "node").filter("root != old").limit(1).count()
-        label = new.select("node", "root")
+        new = written(looked_up(label, "root", hooks, "hook").select("node", F.coalesce("hook", "root").alias("root")))
+        # only roots that others name are looked up
+        ups = new.select("root").distinct().join(new.select(F.col("node").alias("root"), F.col("root").alias("up")), "root").filter("up < root")
+        jumped = written(looked_up(new, "root", ups, "up").select("node", F.coalesce("up", "root").alias("root")))
+        changed = not jumped.join(label.withColumnRenamed("root", "old"), "node").filter("root != old").isEmpty()
+        forget(label, new)
+        label = jumped
         if not changed:
+            forget(both)
             return label
 
 
+def rooted(nodes: DataFrame, links: DataFrame, least: tuple[str, ...]) -> DataFrame:
+    """nodes (node long, and the columns of least) with, for each of these, the smallest struct of them in a node's component as `of`."""
+    own = F.struct(*least)
+    roots = components(links)
+    named = nodes.join(roots, "node", "left")
+    linked = named.filter("root is not null").select("node", "root", own.alias("own"))
+    firsts = linked.groupBy("root").agg(F.min("own").alias("of"))
+    of = looked_up(linked.select("node", "root"), "root", firsts, "of").select("node", "of")
+    out = written(named.filter("root is null").select("node", own.alias("of")).unionByName(of))
+    forget(roots)
+    return out
+
+
+def digest(key: str, text: str) -> Column:
+    """What tells a row from others of another key or text."""
+    name = F.col(key).cast("string")
+    return F.md5(F.concat(F.coalesce(F.concat(F.char_length(name).cast("string"), F.lit(":"), name), F.lit("-:")), F.coalesce(F.col(text), F.lit(""))))
+
+
+#: A component's first row has the smallest key, null last, then the smallest digest.
+FIRST = ("unnamed", "first", "mark")
+
+
+def firsts(marked: DataFrame, key: str, node: str, mark: str, *also: str) -> DataFrame:
+    """(node, unnamed, first, mark) of each node's first row, with the columns of also, which are equal in a node."""
+    own = F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("first"), F.col(mark).alias("mark"))
+    return marked.groupBy(F.col(node).alias("node")).agg(F.min(own).alias("own"), *[F.any_value(c).alias(c) for c in also]).select("node", "own.*", *also)
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
-    """docs without the text, with fp (long) and component_id: the smallest key of the documents that links reach."""
-    fp, comp, node = fresh(docs, "fp", "comp", "node")
-    marked = written(fingerprints(docs.drop("fp", "component_id"), text, fp, shingle))
-    nodes = written(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(key).alias("first")))
-    roots = written(components(written(fingerprint_links(nodes, radius))))
-    joined = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
-    # only linked nodes need a second look; the rest keep their own first key
-    firsts = joined.filter("linked").groupBy("root").agg(F.min("first").alias("least"))
-    ids = written(joined.join(firsts, "root", "left").select(F.col("fp").alias(node), F.coalesce("least", "first").alias(comp)))
+    """docs without the text, with fp (long) and component_id: the smallest key of the documents that links reach; and `kept`: whether the row is the
+    component's first (rows equal in key and text are all first)."""
+    fp, mark, node, of = fresh(docs, "fp", "mark", "node", "of")
+    docs = docs.drop(*[c for c in ("fp", "component_id", "kept") if c not in (key, text)])
+    marked = written(fingerprints(docs.withColumn(mark, digest(key, text)), text, fp, shingle))
+    nodes = written(firsts(marked, key, fp, mark))
+    links = fingerprint_links(nodes.select(F.col("node").alias("fp")), radius)
+    ids = rooted(nodes, links, FIRST).select(F.col("node").alias(node), F.col("of").alias(of))
+    forget(nodes, links)
     # groups of copies make one fingerprint hot on the left; the right has it once, so the join can be split
-    return marked.join(ids, F.col(fp) == F.col(node)).drop(node).withColumnsRenamed({fp: "fp", comp: "component_id"})
+    out = marked.join(ids, F.col(fp) == F.col(node)).withColumns({"component_id": F.col(of)["first"], "kept": F.col(mark) == F.col(of)["mark"]})
+    return out.drop(node, of, mark).withColumnsRenamed({fp: "fp"})
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 4, shingle: int = 4) -> DataFrame:
-    """The rows of docs whose key is their component's id, one row for each such key (the least by digest of its text).
-    Rows with a null key can't be named by one and stay."""
-    return one_each(docs, near_duplicates(docs.select(key, text), key, text, radius, shingle), key, text)
+    """The first row of each component of docs. Different documents of one key are told apart by their texts."""
+    return one_each(docs, near_duplicates(docs.select(key, text).withColumn("__mark", digest(key, text)), key, text, radius, shingle).filter("kept").select("__mark"), key, text)
 
 
 def one_each(docs: DataFrame, kept: DataFrame, key: str, text: str) -> DataFrame:
-    """The rows of docs that keep_one keeps by the component ids in kept (key, component_id)."""
-    one, nth, order = fresh(docs, "kept", "nth", "order")
-    kept = written(kept.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias(one)).distinct())
-    named = docs.join(kept, F.col(key) == F.col(one), "left_semi").withColumn(order, F.xxhash64(text))
-    named = named.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(order))).filter(F.col(nth) == 1).drop(order, nth)
-    return named.unionByName(docs.filter(F.col(key).isNull()))
+    """One row of docs for each digest in kept (one column), with all its columns."""
+    mark, one, nth = fresh(docs, "mark", "one", "nth")
+    kept = written(kept.toDF(one).distinct())
+    named = docs.withColumn(mark, digest(key, text)).join(kept, F.col(mark) == F.col(one), "left_semi")
+    return named.withColumn(nth, F.row_number().over(Window.partitionBy(mark).orderBy(F.lit(1)))).filter(F.col(nth) == 1).drop(mark, nth)

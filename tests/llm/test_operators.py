@@ -12,9 +12,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from endmark.llm import ann, bpe, chat_format, license_scan, mixing, pii, quality, secret_scan, sharding, simhash, trigrams
+from endmark.llm import ann, bpe, chat_format, common, license_scan, mixing, pii, quality, secret_scan, sharding, simhash, trigrams
 from endmark.llm.feistel import permute
-from endmark.llm.queries import tokenizer_path
+from endmark.llm.queries import QUERIES, tokenizer_path
 
 from . import brute
 
@@ -141,10 +141,14 @@ def test_near_duplicates(docs, rows, empty):
     got = simhash.near_duplicates(docs).select("doc_id", "fp", "component_id").collect()
     assert sorted_rows((r.doc_id, r.fp % 2**64, r.component_id) for r in got) == sorted_rows((r[0], f, c) for r, f, c in zip(rows, fps, comp, strict=True))
     assert simhash.near_duplicates(empty).count() == 0
-    kept = simhash.keep_one(docs).select("doc_id").collect()
-    named = sorted(r.doc_id for r in kept if r.doc_id is not None)
-    assert named == sorted({r[0] for r, c in zip(rows, comp, strict=True) if r[0] is not None and r[0] == c})
-    assert sum(r.doc_id is None for r in kept) == sum(r[0] is None for r in rows)
+    # one row of each component: the smallest id, of several rows of it one
+    groups = brute.components(fps, list(range(len(rows))))
+    least = {}
+    for r, g in zip(rows, groups, strict=True):
+        least[g] = min([(r[0] is None, r[0] or 0), *([least[g]] if g in least else [])])
+    kept = simhash.keep_one(docs).select("doc_id", "text").collect()
+    assert sorted_rows((r.doc_id,) for r in kept) == sorted_rows((None if n else i,) for n, i in least.values())
+    assert {"another text with id five", "a b c a b c a b c"} <= {r.text for r in kept}  # different texts of one id
     assert simhash.keep_one(docs).columns == docs.columns
 
 
@@ -160,10 +164,39 @@ def test_fingerprint_links_complete(spark):
         walks.append(seeds)
     fps = np.unique(np.concatenate([*walks, g.integers(0, 2**63, 3000, dtype=np.uint64)]))
     nodes = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
-    roots = {r.node: r.root for r in simhash.components(simhash.fingerprint_links(nodes)).collect()}
     ids = fps.view(np.int64).tolist()
     want = brute.components(fps.tolist(), ids)
-    assert [roots.get(i, i) for i in ids] == want
+    for shard in (simhash.SHARD, 60):  # small shards are crowded and dealt again
+        roots = {r.node: r.root for r in simhash.components(simhash.fingerprint_links(nodes, shard=shard)).collect()}
+        assert [roots.get(i, i) for i in ids] == want
+
+
+def test_crowded_quarters(spark):
+    """All fingerprints share two quarters: shards of these are dealt again by the others. Links of one component have bounded degree."""
+    g = np.random.default_rng(4)
+    fps = np.unique(np.concatenate([g.integers(0, 2**32, 1500, dtype=np.uint64), np.uint64(1) << np.arange(32, dtype=np.uint64)]))
+    nodes = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    links = simhash.fingerprint_links(nodes, shard=100)
+    roots = {r.node: r.root for r in simhash.components(links).collect()}
+    ids = fps.view(np.int64).tolist()
+    assert [roots.get(i, i) for i in ids] == brute.components(fps.tolist(), ids)
+    a, b = simhash.forest(np.zeros(5000, dtype=np.int64))
+    assert np.bincount(np.concatenate([a, b])).max() <= simhash.WAYS + 2 and len(a) == 4999
+
+
+def test_lookup_by_a_hot_key(spark):
+    rows = spark.range(3000).select((F.col("id") % 3).alias("k"), "id")
+    got = common.looked_up(rows, "k", spark.createDataFrame([(0, "a"), (1, None), (7, "z")], "k long, v string"), "v", salts=8)
+    assert sorted_rows(got.collect()) == sorted_rows((k % 3, k, "a" if k % 3 == 0 else None) for k in range(3000))
+    assert got.columns == ["k", "id", "v"]
+
+
+def test_query_of_near_duplicates(spark, docs, rows, tmp_path):
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    fps = [brute.fingerprint(r[1]) for r in rows]
+    comp = brute.components(fps, [r[0] for r in rows])
+    got = QUERIES["op5_simhash"](spark, str(tmp_path)).collect()
+    assert sorted_rows(got) == sorted_rows((r[0], f"{f:016x}", c) for r, f, c in zip(rows, fps, comp, strict=True))
 
 
 def test_shards(docs, rows, empty):
