@@ -266,20 +266,86 @@ def test_bpe(docs, rows, empty):
     assert [r.decoded for r in bpe.decode(nothing, path).orderBy("k").collect()] == ["", "<|endoftext|>"]
 
 
-def test_bpe_random_texts():
+@pytest.mark.parametrize("breaks", [bpe.BREAKS, ""])
+def test_bpe_random_texts(breaks):
+    """Joins by pieces between breaks and by the tokenizer's words: the ids are those of the whole text, whatever stands at a cut."""
     from tokenizers import Tokenizer
 
+    r = random.Random(21)
     path = tokenizer_path()
     own = Tokenizer.from_file(path)
     own.no_truncation()
-    e = bpe.Encoder(path)
-    letters = ["a", "é", "é", " ", "\n", "\t", "'s", "<|endoftext|>", "İ", "ß", "中", "1", "!?", " ", "🙂", "Σ", "\x1c", "\r", "THE", ",", "."]
-    for k in range(400):
-        x = "".join(R.choice(letters) for _ in range(R.choice([0, 1, 5, 50, 2000 if k % 40 == 0 else 9])))
-        e.prepare([x.encode()])
+    own.no_padding()
+    e = bpe.Encoder(path, breaks)
+    assert e.breaks == breaks and e.margin == len("<|startoftext|>") and e.between_texts
+    letters = ["a", "é", "e\u0301", " ", " ", " ", "\n", "\t", "'s", "<|endoftext|>", "<|end", "oftext|>", "İ", "ß", "中", "1", "!?", "\u00a0", "🙂", "Σ", "\x1c", "\r", "THE", ",", ".", "\u0301"]
+    texts = ["".join(r.choice(letters) for _ in range(r.choice([0, 1, 5, 50, 4000 if k % 20 == 0 else 9]))) for k in range(300)]
+    texts += ["".join(r.choice(WORDS + [" "] * 20 + ["<|endoftext|>"]) for _ in range(3000)) for _ in range(8)]
+    for x in texts:
         assert e.encode_text(x) == own.encode(x, add_special_tokens=False).ids
-    x = "中文字" * 5000
-    assert e.encode_text(x) == own.encode(x, add_special_tokens=False).ids
+    data = [x.encode() for x in texts]
+    at_cuts = [[d[a:b] for a, b in zip([0, *c], [*c, len(d)], strict=True)] for d in data for c in [bpe.cuts(np.frombuffer(d, dtype=np.uint8)).tolist()]]
+    assert sum(len(x) > 1 for x in at_cuts) > 10
+    whole = [own.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(x, np.int32).tolist() for x in e.encode_texts(at_cuts)] == whole
+    if breaks:  # at any cut whatever
+        for x, ids in zip(texts, whole, strict=True):
+            c = sorted({r.randrange(len(x) + 1) for _ in range(4)})
+            pieces = [x[a:b].encode() for a, b in zip([0, *c], [*c, len(x)], strict=True)]
+            assert np.frombuffer(e.encode_texts([pieces])[0], np.int32).tolist() == ids
+
+
+def test_bpe_long_texts_without_spaces():
+    """A megabyte without a break, with and without cuts in it, and Chinese: exact ids, in time and memory of a few times the text."""
+    import time
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    own = Tokenizer.from_file(path)
+    own.no_truncation()
+    own.no_padding()
+    r = random.Random(3)
+    texts = ["x" * 1_000_000, "".join(r.choice("abcdefgh") for _ in range(1_000_000)), "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(300_000)), "中文字" * 100_000]
+    e = bpe.Encoder(path)
+    for x in texts:
+        began = time.process_time()
+        want = own.encode(x, add_special_tokens=False).ids
+        direct = time.process_time() - began
+        tracemalloc.start()
+        began = time.process_time()
+        assert e.encode_text(x) == want
+        assert time.process_time() - began < 5 * direct + 5
+        assert tracemalloc.get_traced_memory()[1] < 60 * len(x.encode())
+        tracemalloc.stop()
+    assert sum(len(k) for k in e.pieces.new) + sum(len(k) for k in e.pieces.old) < 10_000
+
+
+def test_bpe_memory_is_bounded_in_bytes(monkeypatch):
+    path = tokenizer_path()
+    monkeypatch.setattr(bpe, "KEEP_PIECES", 50_000)
+    monkeypatch.setattr(bpe, "KEEP_CHUNKS", 50_000)
+    e = bpe.Encoder(path)
+    r = random.Random(4)
+    for _ in range(30):
+        x = " ".join("".join(r.choice("abcdefghij") for _ in range(8)) for _ in range(2000))
+        assert e.encode_text(x) == e.tokenizer.encode(x, add_special_tokens=False).ids
+        assert len(e.pieces.new) + len(e.pieces.old) < 5000 and len(e.pieces.flat) < 50_000
+        assert sum(map(len, e.chunks.new)) + sum(map(len, e.chunks.old)) < 200_000
+
+
+def test_query_of_bpe(spark, docs, rows, tmp_path):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(tokenizer_path())
+    own.no_truncation()
+    own.no_padding()
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    coded = [(r[0], own.encode(r[1] or "", add_special_tokens=False).ids) for r in rows]
+    want = [(i, len(ids), sha(" ".join(map(str, ids))), sha(own.decode(ids, skip_special_tokens=False))) for i, ids in coded]
+    assert sorted_rows(QUERIES["op10_bpe"](spark, str(tmp_path)).collect()) == sorted_rows(want)
 
 
 def test_chat(spark):
