@@ -14,7 +14,7 @@ def _s(x: str) -> str:
 
 
 def _licenses() -> str:
-    templates = ", ".join(f"({k}, {_s(label)}, [{', '.join(map(_s, ws))}])" for k, (label, ws) in enumerate(license_scan.template_words(license_scan.TEMPLATES)))
+    templates = ", ".join(f"({k}, {_s(label)}, [{', '.join(map(_s, ws))}], {half})" for k, (label, ws, half) in enumerate(license_scan.template_words(license_scan.TEMPLATES)))
     tests = " UNION ALL ".join(
         f"SELECT row_no, i, {_s(label)} AS label FROM w, unnest(range(len(w))) u(i) WHERE " + " AND ".join(f"w[i+{k + 1}]={_s(x)}" for k, x in enumerate(phrase.split()))
         for phrase, label in license_scan.PHRASES.items())
@@ -22,9 +22,10 @@ def _licenses() -> str:
     return f"""WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, translate(coalesce(text,''),'{_UP}','{_LOW}') AS t FROM documents),
 w AS (SELECT row_no, list_filter(string_split_regex(t, {split}), lambda x: x<>'') AS w FROM d),
 p AS ({tests}), b AS (SELECT row_no, count(*) AS n, min(i) AS f, max(i) AS l, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM p GROUP BY 1),
-tpl(no, label, words) AS (VALUES {templates}),
-lines AS (SELECT row_no, list_distinct(list_filter(string_split_regex(l, {split}), lambda x: x<>'')) AS ws FROM (SELECT row_no, unnest(string_split(t, chr(10))) AS l FROM d)),
-m AS (SELECT row_no, label, len(list_intersect(words, ws)) / len(words) AS score FROM lines, tpl WHERE len(list_intersect(words, ws)) >= ceil(0.9*len(words)-1e-9)),
+tpl(no, label, words, half) AS (VALUES {templates}),
+blocks AS (SELECT row_no, NULL AS half, list_distinct(list_filter(string_split_regex(l, {split}), lambda x: x<>'')) AS ws FROM (SELECT row_no, unnest(string_split(t, chr(10))) AS l FROM d)
+ UNION ALL SELECT row_no, h, list_distinct(w[k*h+1:k*h+2*h]) FROM (SELECT row_no, w, h, unnest(range((len(w)+h-1)//h)) AS k FROM w, (SELECT DISTINCT half AS h FROM tpl))),
+m AS (SELECT row_no, label, len(list_intersect(words, ws)) / len(words) AS score FROM blocks b, tpl WHERE coalesce(b.half,tpl.half)=tpl.half AND len(list_intersect(words, ws)) >= ceil(0.9*len(words)-1e-9)),
 a AS (SELECT row_no, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT row_no, label FROM p UNION SELECT row_no, label FROM m) GROUP BY 1), s AS (SELECT row_no, max(score) AS score FROM m GROUP BY 1)
 SELECT doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(b.n,0) AS n_base, CAST(b.f AS BIGINT) AS first_word, CAST(b.l AS BIGINT) AS last_word, coalesce(b.labels,'') AS base_labels, coalesce(a.labels,'') AS labels,
  CASE WHEN b.n IS NOT NULL THEN 1.0::DOUBLE ELSE coalesce(s.score,0)::DOUBLE END AS score
