@@ -87,7 +87,7 @@ fill(round, level, n) AS (SELECT 0, 1.5*sum(size)/sum(weight), CAST(0 AS BIGINT)
 lvl AS (SELECT max(level) AS level FROM fill), t AS (SELECT source, size AS source_size, least(2.0*size, coalesce(level*weight, 2.0*size)) AS target FROM r, lvl),
 q AS (SELECT *, CAST(round(target) AS BIGINT) AS quota FROM t), e AS (SELECT *, CASE WHEN source_size>0 THEN quota//source_size ELSE 0 END AS epochs FROM q),
 g AS (SELECT source, h, count(*) AS n, sum(size) AS words FROM d GROUP BY 1,2), c AS (SELECT *, sum(words) OVER (PARTITION BY source ORDER BY h)-words AS before FROM g)
-SELECT d.doc_id, d.size, e.source_size, e.target, CAST(e.epochs*d.size+CASE WHEN e.source_size>0 THEN greatest(0, least(c.words, e.quota-e.epochs*e.source_size-c.before))//c.n ELSE 0 END AS BIGINT) AS taken
+SELECT d.doc_id, d.size, e.source_size, e.target, CAST(e.epochs*d.size+CASE WHEN e.source_size>0 THEN CASE WHEN 2*(e.quota-e.epochs*e.source_size-c.before)>=c.words THEN d.size ELSE 0 END ELSE 0 END AS BIGINT) AS taken
 FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h=c.h"""
 
 

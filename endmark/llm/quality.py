@@ -14,6 +14,8 @@ A document with several labels is good if all are 1. Repeated rows are judged al
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,12 +26,12 @@ EXTRA = ("n_lines", "n_upper", "n_shouts")
 
 #: Fixed before any label is seen: rule, its number, cutoffs from the loosest to the strictest.
 RULES: dict[str, tuple[str, tuple[float, ...]]] = {
-    "repeats": ("n_repeat_words / n_words", (0.45, 0.4, 0.35, 0.3, 0.25, 0.2)),
-    "symbols": ("n_symbols / n_words", (2.0, 1.5, 1.0, 0.75, 0.5, 0.3, 0.2, 0.1)),
+    "repeats": ("n_repeat_words / nullif(n_words, 0)", (0.45, 0.4, 0.35, 0.3, 0.25, 0.2)),
+    "symbols": ("n_symbols / nullif(n_words, 0)", (2.0, 1.5, 1.0, 0.75, 0.5, 0.3, 0.2, 0.1)),
     "dup_lines": ("n_dup_lines / greatest(n_lines, 1)", (0.8, 0.7, 0.6, 0.5, 0.4, 0.34)),
     "upper": ("n_upper / greatest(word_chars, 1)", (0.9, 0.7, 0.5, 0.4, 0.3)),
-    "shouts": ("n_shouts / n_words", (2.0, 1.5, 1.0, 0.5, 0.3, 0.2, 0.1)),
-    "long_words": ("word_chars / n_words", (40.0, 30.0, 20.0, 15.0)),
+    "shouts": ("n_shouts / nullif(n_words, 0)", (2.0, 1.5, 1.0, 0.5, 0.3, 0.2, 0.1)),
+    "long_words": ("word_chars / nullif(n_words, 0)", (40.0, 30.0, 20.0, 15.0)),
 }
 
 
@@ -88,16 +90,29 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def binomial_cdf(k: Column, n: Column, p: float) -> Column:
-    """P(X <= k) for X ~ Bin(n, p) and k <= n p, summed exactly from the largest term: cdf = term_k * (1 + term_(k-1)/term_k + ...)."""
-    start = F.struct((n * F.log1p(F.lit(-p))).alias("log_term"), F.lit(1.0).alias("total"))
+def _log_gamma(x: Column) -> Column:
+    """ln Gamma(x) for x >= 1, by Stirling's series from x + 8 on."""
+    y = x + 8
+    series = 1 / (12 * y) - 1 / (360 * F.pow(y, F.lit(3))) + 1 / (1260 * F.pow(y, F.lit(5))) - 1 / (1680 * F.pow(y, F.lit(7)))
+    below = F.log(x)
+    for k in range(1, 8):
+        below = below + F.log(x + k)
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - below
 
-    def step(s: Column, i: Column) -> Column:
-        ratio = (n - i + 1) / i * (p / (1 - p))
-        return F.struct((s["log_term"] + F.log(ratio)).alias("log_term"), (F.lit(1.0) + s["total"] / ratio).alias("total"))
 
-    terms = F.when(k > 0, F.sequence(F.lit(1).cast("long"), k)).otherwise(F.array().cast("array<bigint>"))
-    return F.aggregate(terms, start, step, lambda s: F.exp(s["log_term"]) * s["total"])
+def binomial_cdf(k: Column, n: Column, p: float) -> Column:
+    """P(X <= k) for X ~ Bin(n, p) and k <= n p, summed from the largest term down. Terms fall faster than exp(-j^2 / 2(k + 1)), so those more than
+    40 sqrt(k + 1) places below are less than rounding."""
+    kd, nd = k.cast("double"), n.cast("double")
+    log_term = _log_gamma(nd + 1) - _log_gamma(kd + 1) - _log_gamma(nd - kd + 1) + kd * math.log(p) + (nd - kd) * math.log1p(-p)
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def step(s: Column, j: Column) -> Column:
+        term = s["term"] * (kd - j) / (nd - kd + j + 1) * ((1 - p) / p)
+        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
+
+    terms = F.when(k > 0, F.sequence(F.lit(0), F.least(kd - 1, F.ceil(40 * F.sqrt(kd + 1))).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return F.exp(log_term) * F.aggregate(terms, start, step, lambda s: s["total"])
 
 
 def calibrate(measured: DataFrame, labels: DataFrame, key: str = "doc_id", stratum: str = "lang", quality: str = "quality",

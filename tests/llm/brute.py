@@ -100,10 +100,10 @@ def mix(rows: list[tuple[str | None, int, str]], share: float = 1.5, most: float
                 groups.setdefault(h, []).append(k)
         for h in sorted(groups):
             words = sum(rows[k][1] for k in groups[h])
-            give = max(0, min(words, rest))
+            give = 2 * rest >= words
             rest -= words
             for k in groups[h]:
-                taken[k] = epochs * rows[k][1] + (give // len(groups[h]))
+                taken[k] = rows[k][1] * (epochs + give)
     return target, taken
 
 

@@ -221,6 +221,35 @@ def test_shards(docs, rows, empty):
     assert sharding.shard_rows(empty, 4, 1, ["doc_id"]).count() == 0
 
 
+def test_query_of_shards(spark, docs, rows, tmp_path):
+    import zlib
+
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op8_feistel_sharding"](spark, str(tmp_path)).collect()
+    plain = [(r[0], len((r[1] or "").encode()) + 16, zlib.crc32((r[1] or "").encode())) for r in rows]
+    assert sorted_rows((r.doc_id, r["size"], r.text_crc32) for r in got) == sorted_rows(plain)
+    assert {(r.law, r.grown_shard) for r in got} == {("rows", None)}
+    order = sorted(plain, key=lambda x: (x[0] is not None, x[0] or 0, *x[1:]))
+    places = permute(np.arange(len(rows)), len(rows), 2024)
+    assert sorted_rows((r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in got) == sorted_rows((*x, int(p) % 40, int(p) // 40) for x, p in zip(order, places, strict=True))
+
+
+def test_query_of_neighbours(spark, tmp_path):
+    g = np.random.default_rng(6)
+    v = g.normal(size=(700, 24))
+    spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)] + [(700, None)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = QUERIES["op3_nearest_neighbours"](spark, str(tmp_path)).collect()
+    assert sorted((r.query_id, r["rank"]) for r in got) == [(q, k) for q in range(0, 700, 100) for k in range(1, 11)]
+    hits = 0
+    for q in range(0, 700, 100):
+        dist = np.sqrt(((v - v[q]) ** 2).sum(axis=1))
+        found = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [(s, i) for _, i, s in found] == sorted((s, i) for _, i, s in found) and [s for _, _, s in found] == pytest.approx([dist[i] for _, i, _ in found])
+        dist[q] = np.inf
+        hits += len(set(np.argsort(dist)[:10]) & {i for _, i, _ in found})
+    assert hits >= 63
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 65, 1000])
 def test_permutation(n):
     p = permute(np.arange(n), n, 9)
@@ -241,8 +270,10 @@ def test_mixing(docs, rows, empty):
     drawn = mixing.draw(out).withColumn("words", mixing.word_count(F.coalesce("text", F.lit(""))))
     assert drawn.agg(F.sum("words")).first()[0] == sum(taken)
     assert {r.shard for r in drawn.select("shard").distinct().collect()} == set(range(5))
-    ends = F.array(*map(F.lit, (2, 2, 5, 9)))
-    assert [r[0] for r in docs.sparkSession.range(10).orderBy("id").select(mixing._reached(ends, F.col("id"))).collect()] == [sum(e <= k for e in (2, 2, 5, 9)) for k in range(10)]
+    # every copy is a whole document, and an epoch's copies lie in one shard each
+    texts = {r[1] for r in rows}
+    assert all(r.text in texts for r in drawn.select("text").collect())
+    assert out.filter(F.exists("draws", lambda x: x["shard"].isNull() | (x["words"] != F.col("size")))).count() == 0
     assert mixing.mix(empty).count() == 0
 
 
@@ -251,6 +282,18 @@ def test_split_quotas():
     q = mixing.split_quotas(blocks, 6, 3)
     assert (q.sum(axis=1) == blocks).all() and np.ptp(q.sum(axis=0)) <= 1
     assert (q == mixing.split_quotas(blocks, 6, 3)).all()
+    assert [mixing.block_digits(n) for n in (1, 64, 256, 257, 4096, 200_000)] == [3, 3, 3, 4, 4, 6]
+
+
+def test_many_shards_get_blocks(spark):
+    """Blocks grow in number with the shards: each of 2000 shards gets some, and the table agrees with the bounds."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("two words").alias("text"), F.when(F.col("id") % 3 > 0, "a").alias("source"))
+    out = mixing.mix(docs, shards=2000)
+    shards = out.select(F.explode("draws.shard").alias("shard")).groupBy("shard").count()
+    assert shards.count() == 2000
+    ends = np.array([[2, 2, 5, 9]])
+    got = {r.at_block: r.shards for r in mixing.block_shards(spark, [4], ends, 5, 1).collect()}
+    assert got == {b: [sum(e <= k * 5 + b for e in ends[0]) for k in (0, 1)] for b in range(5)}
 
 
 def test_bpe(docs, rows, empty):
