@@ -33,11 +33,11 @@ from pyspark.sql import types as T
 BREAKS = " \n"
 CHUNK_BITS = 10  # a cut about every 1024 bytes
 #: Bytes of chunks and of pieces that a worker keeps a generation, with what Python needs beside them; the longest piece kept.
-KEEP_CHUNKS, KEEP_PIECES, LONGEST = 24 << 20, 80 << 20, 256
+KEEP_CHUNKS, KEEP_PIECES, LONGEST = 24 << 20, 64 << 20, 256
 SAME = 2  # outer pieces that must agree on either side of a window
 ENOUGH = 8  # pieces that a chunk must hold, or it is put together with the next
 EDGE = 96  # bytes on either side of a join that are tried first
-SLICE = 8 << 20  # bytes of texts handled at once (or one text)
+SLICE = 4 << 20  # bytes of texts handled at once (or one text)
 EXAMPLES = ("a", "it's", "Zé", "#!", "\u0301x", "12", " ")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
