@@ -37,34 +37,35 @@ def to_rna(seq: Column) -> Column:
 
 def kmers(seq: Column, k: int) -> Column:
     """Distinct k-mers over ACGT, sorted."""
-    starts = F.when(F.char_length(seq) >= k, F.sequence(F.lit(1), F.char_length(seq) - k + 1)).otherwise(F.array().cast("array<int>"))
-    grams = F.transform(starts, lambda i: F.substr(seq, i, F.lit(k)))
-    return F.array_sort(F.array_distinct(F.filter(grams, lambda g: g.rlike("^[ACGT]+$"))))
+    # a look-ahead yields the k letters at every place in one pass
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(seq, F.lit(f"(?=([ACGT]{{{k}}}))"), F.lit(1))))
 
 
-def motif_hits(seq: Column, motifs: list[tuple[str, int]], core: tuple[int, int]) -> Column:
-    """All (overlapping) hits of motifs (text, priority) in an upstream window: array of (priority, outside, off_centre, distance, motif) in order of
-    preference. distance counts from the window's 3' end to the hit's start; core is the preferred range of distances."""
-    centre = (core[0] + core[1]) / 2
+def motif_hits(seq: Column, motifs: list[tuple[str, str, int]], core: tuple[int, int], upstream: int | None = None, usual: int = 20) -> Column:
+    """All (overlapping) hits of motifs (text, class, priority) in an upstream window: array of (priority, outside, off, distance, motif, motif_class) in order of
+    preference: priority, in the core range of distances or not, how far off the usual distance, distance. It is counted from `upstream`, where the window
+    begins (its length, if none is given; a window cut at a contig's start is shorter), down to the hit's start."""
+    begin = F.char_length(seq) if upstream is None else F.lit(upstream)
     found = []
-    for motif, priority in motifs:
-        n = len(motif)
-        starts = F.when(F.char_length(seq) >= n, F.sequence(F.lit(0), F.char_length(seq) - n)).otherwise(F.array().cast("array<int>"))
-        hits = _hits(starts, seq, motif)
-        named = [F.lit(priority).alias("priority"), F.lit(motif).alias("motif")]
-        found.append(F.transform(hits, _hit(seq, named, core, centre)))
+    for motif, kind, priority in motifs:
+        hits = _hits(seq, motif)
+        named = [F.lit(priority).alias("priority"), F.lit(motif).alias("motif"), F.lit(kind).alias("motif_class")]
+        found.append(F.transform(hits, _hit(begin, named, core, usual)))
     return F.sort_array(F.concat(*found))
 
 
-def _hits(starts: Column, seq: Column, motif: str) -> Column:
-    return F.filter(starts, lambda i: F.substr(seq, i + 1, F.lit(len(motif))) == motif)
+def _hits(seq: Column, motif: str) -> Column:
+    """The places, from 0, where a motif begins, overlapping ones too: the text is cut before each, and the pieces' lengths add up (a piece may be shorter than the motif)."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("hits"))
+    step = lambda s, piece: F.struct((s["at"] + F.char_length(piece)).alias("at"), F.when((s["at"] > 0) | seq.startswith(motif), F.concat(s["hits"], F.array(s["at"]))).otherwise(s["hits"]).alias("hits"))
+    return F.aggregate(F.split(seq, f"(?={motif})", -1), start, step, lambda s: s["hits"])
 
 
-def _hit(seq: Column, named: list[Column], core: tuple[int, int], centre: float):
+def _hit(begin: Column, named: list[Column], core: tuple[int, int], usual: int):
     def of(i: Column) -> Column:
-        distance = F.char_length(seq) - i
+        distance = begin - i
         outside = (~distance.between(*core)).cast("int")
-        return F.struct(named[0], outside.alias("outside"), F.abs(distance - centre).alias("off_centre"), distance.alias("distance"), named[1])
+        return F.struct(named[0], outside.alias("outside"), F.abs(distance - usual).alias("off"), distance.alias("distance"), *named[1:])
 
     return of
 

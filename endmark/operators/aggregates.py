@@ -52,14 +52,15 @@ def weighted_rank_coordinate(points: DataFrame, keys: list[str], at: str, weight
     return run.groupBy(*keys).agg(F.max("_n").alias("n"), *[F.min(F.when(F.col("_cum") > F.rint(q * (F.col("_n") - 1)), F.col(at))).alias(name) for name, q in qs.items()])
 
 
-def offset_metrics(offsets: DataFrame, keys: list[str], low: float, high: float, near: int = 2) -> DataFrame:
-    """Calibration metrics of (offset, count): modal offset (smallest of ties), median, interval and the share within `near` of 0."""
-    mode = offsets.groupBy(*keys, "offset").agg(F.sum("count").alias("count"))
+def offset_metrics(offsets: DataFrame, keys: list[str], low: float, high: float, near: int = 1, clips: str | None = None) -> DataFrame:
+    """Calibration metrics of (offset, count): modal offset (smallest of ties), median, interval and the share within `near` of 0; with a column of
+    clipped reads, also their share."""
+    mode = offsets.groupBy(*keys, "offset").agg(F.sum("count").alias("count"), F.sum(clips or F.lit(0)).alias("_clips"))
     n = F.col("count")
     return mode.groupBy(*keys).agg(
         F.sum(n).alias("n"), F.min_by("offset", F.struct(-n, F.col("offset"))).alias("modal_offset"), F.percentile("offset", 0.5, n).alias("median_offset"),
         F.percentile("offset", low, n).alias("low_offset"), F.percentile("offset", high, n).alias("high_offset"),
-        (F.sum(F.when(F.abs("offset") <= near, n).otherwise(0)) / F.sum(n)).alias("boundary_fraction"))
+        (F.sum(F.when(F.abs("offset") <= near, n).otherwise(0)) / F.sum(n)).alias("boundary_fraction"), *([(F.sum("_clips") / F.sum(n)).alias("poly_a_clip_fraction")] if clips else []))
 
 
 def classify_endpoints(genes: Column, reproducibility: Column, median: Column, width: Column, boundary: Column, low: Column, high: Column,
@@ -102,18 +103,18 @@ def self_overlap(kernel: DataFrame) -> DataFrame:
 
 def condition_support(counts: DataFrame, samples: DataFrame, keys: list[str], least: int, wanted: float) -> DataFrame:
     """Samples with count >= least per condition against what is wanted (a share of the condition below 1, else a number):
-    best_condition by (passes, share, support), ties alphabetical, and the sorted list of passing conditions."""
+    best_condition by (passes, share or number as wanted is one or the other, support), ties alphabetical, and the sorted list of passing conditions."""
     sizes = samples.groupBy("condition").agg(F.count("*").alias("size"))
     need = F.ceil(wanted * F.col("size")) if wanted < 1 else F.lit(int(wanted))
     per = counts.filter(F.col("count") >= least).join(samples, "sample_id").groupBy(*keys, "condition").agg(F.count_distinct("sample_id").alias("support")).join(sizes, "condition")
-    per = per.withColumn("passes", F.col("support") >= need).withColumn("score", F.col("support") / F.col("size"))
+    per = per.withColumn("passes", F.col("support") >= need).withColumn("score", F.col("support") / F.col("size") if wanted < 1 else F.col("support").cast("double"))
     order = F.struct((~F.col("passes")).alias("a"), (-F.col("score")).alias("b"), (-F.col("support")).alias("c"), F.col("condition").alias("d"))
     return per.groupBy(*keys).agg(F.min_by("condition", order).alias("best_condition"), F.min_by("support", order).alias("best_support"), F.bool_or("passes").alias("supported"),
                                   F.array_join(F.array_sort(F.collect_list(F.when(F.col("passes"), F.col("condition")))), ";").alias("passing"))
 
 
 def seed_metrics(observed: DataFrame, radius: int, cap: int = 3) -> DataFrame:
-    """At each (contig, strand, coordinate) with reads: sums over +-radius: raw, capped (a sample's sum counts cap at most), supporting samples with 3 or more,
+    """At each (contig, strand, coordinate) with reads: sums over +-radius: raw, capped (a sample's sum counts cap at most), supporting samples with any,
     and flank: reads at radius < distance <= 2 radius."""
     per = observed.groupBy("contig", "strand", "coordinate", "sample_id").agg(F.sum("count").alias("count"))
     sites = per.groupBy("contig", "strand", "coordinate").agg(F.sum("count").alias("own"))
@@ -122,7 +123,7 @@ def seed_metrics(observed: DataFrame, radius: int, cap: int = 3) -> DataFrame:
     near = within(sites, per.withColumnRenamed("coordinate", "at"), ["contig", "strand"], "coordinate", "at", 2 * radius)
     inner = F.abs(F.col("coordinate") - F.col("at")) <= radius
     sums = near.groupBy("contig", "strand", "coordinate", "sample_id").agg(F.sum(F.when(inner, F.col("count")).otherwise(0)).alias("s"), F.sum(F.when(~inner, F.col("count")).otherwise(0)).alias("f"))
-    return sums.groupBy("contig", "strand", "coordinate").agg(F.count_if(F.col("s") >= cap).alias("supporting"), F.sum(F.least("s", F.lit(cap))).alias("capped"), F.sum("s").alias("raw"), F.sum("f").alias("flank"))
+    return sums.groupBy("contig", "strand", "coordinate").agg(F.count_if(F.col("s") > 0).alias("supporting"), F.sum(F.least("s", F.lit(cap))).alias("capped"), F.sum("s").alias("raw"), F.sum("f").alias("flank"))
 
 
 def merged_intervals(intervals: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
@@ -177,3 +178,8 @@ def with_zero_rows(rows: DataFrame, levels: DataFrame, name: str = "n") -> DataF
     """Counts of rows for every combination of levels (a small table), 0 where there are none."""
     keys = levels.columns
     return levels.join(rows.groupBy(*keys).agg(F.count("*").alias(name)), keys, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+
+
+def silent_groups(counts: DataFrame) -> DataFrame:
+    """(gene_id, condition) without a read, from complete counts (gene_id, condition, count)."""
+    return counts.groupBy("gene_id", "condition").agg(F.sum("count").alias("n")).filter("n = 0").select("gene_id", "condition")

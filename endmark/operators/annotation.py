@@ -17,13 +17,16 @@ def gene_names(features: DataFrame) -> DataFrame:
 
 
 def terminal_exons(exons: DataFrame) -> DataFrame:
-    """Each transcript's last exon, but one that overlaps another transcript's internal exon, or whose transcript has a single exon while the gene has spliced ones.
+    """Each transcript's last exon, but one that overlaps another transcript's internal exon, or whose transcript has a single exon that lies apart from all exons of the gene's spliced ones.
     exons: gene_id, transcript_id, contig, strand, start, end, line_no; equal 3' ends: the first in the file."""
     three = F.when(F.col("strand") == "+", F.col("end")).otherwise(-F.col("start"))
     w = Window.partitionBy("gene_id", "transcript_id")
     d = exons.withColumn("last", F.row_number().over(w.orderBy(three.desc(), "line_no")) == 1).withColumn("n", F.count("*").over(w))
     d = d.withColumn("spliced", F.max("n").over(Window.partitionBy("gene_id")) > 1)
-    final = d.filter(F.col("last") & ~((F.col("n") == 1) & F.col("spliced")))
+    many = d.filter("n > 1").select(F.col("gene_id").alias("_g"), F.col("start").alias("_s"), F.col("end").alias("_e"))
+    alone = (F.col("n") == 1) & F.col("spliced")
+    beside = (F.col("gene_id") == F.col("_g")) & (F.col("start") < F.col("_e")) & (F.col("_s") < F.col("end"))
+    final = d.filter(F.col("last") & ~alone).unionByName(d.filter(F.col("last") & alone).join(many, beside, "left_semi"))
     inner = d.filter("not last").select(F.col("gene_id").alias("_g"), F.col("transcript_id").alias("_t"), F.col("start").alias("_s"), F.col("end").alias("_e"))
     inside = (F.col("gene_id") == F.col("_g")) & (F.col("transcript_id") != F.col("_t")) & (F.col("start") < F.col("_e")) & (F.col("_s") < F.col("end"))
     return final.join(inner, inside, "left_anti").drop("last", "n", "spliced")
@@ -58,18 +61,20 @@ def confidence(ambiguous: Column, primed: Column, rescued: Column, known: Column
 
 
 def labels(sites: DataFrame, assembly: str) -> DataFrame:
-    """sites with pac_id, locus and browser interval (1-based)."""
+    """sites with pac_id, locus and browser interval: the boundary base, or the resolution region where sites have region_start and region_end."""
     c = F.col("coordinate")
     return sites.withColumns({"pac_id": F.concat_ws(".", F.lit("PACv1"), F.lit(assembly), "contig", "strand", c.cast("string")), "locus": F.format_string("%s:%d:%s", "contig", c, "strand"),
-                              "browser_interval": F.format_string("%s:%d-%d", "contig", F.greatest(c - 100, F.lit(0)) + 1, c + 100)})
+                              "browser_interval": F.format_string("%s:%d-%d", "contig", F.col("region_start") if "region_start" in sites.columns else c, F.col("region_end") if "region_end" in sites.columns else c + 1)})
 
 
 def motif_usage(pau: DataFrame, motifs: DataFrame, least_total: int = 10, level: str = "motif") -> DataFrame:
-    """(sample_id, level, score, genes): usage of the retained sites of a gene (pau rows: gene_id, pac_id, sample_id, count; motifs: pac_id, motif, rescued) summed by motif, averaged over
-    the genes that have the motif, arcsine-square-rooted. Rescued sites are left out; a gene counts in a sample with two sites or more and enough reads."""
+    """(sample_id, level, score, genes): usage of the retained sites of a gene (pau rows: gene_id, pac_id, sample_id, count, gene_total; motifs: pac_id, motif, rescued) summed by motif, averaged
+    over the genes that have the motif, arcsine-square-rooted. The genes are a fixed set: those with enough reads in every sample, rescued sites included. Then these are left out, and a gene counts in a
+    sample with reads and two sites or more."""
     w = Window.partitionBy("gene_id", "sample_id")
-    d = pau.join(motifs.filter("not rescued").select("pac_id", level), "pac_id")
-    d = d.withColumn("_t", F.sum("count").over(w)).withColumn("_n", F.size(F.collect_set("pac_id").over(w))).filter((F.col("_t") >= least_total) & (F.col("_n") >= 2) & (F.col("_t") > 0))
+    d = pau.join(motifs.select("pac_id", level, "rescued"), "pac_id")
+    d = d.withColumn("_least", F.min("gene_total").over(Window.partitionBy("gene_id"))).filter((F.col("_least") >= least_total) & ~F.col("rescued"))
+    d = d.withColumn("_t", F.sum("count").over(w)).filter("_t > 0").withColumn("_n", F.size(F.collect_set("pac_id").over(w))).filter("_n >= 2")
     per = d.groupBy("sample_id", "gene_id", level).agg(F.sum(F.col("count") / F.col("_t")).alias("share"))
     return per.groupBy("sample_id", level).agg(arcsine_sqrt(F.avg("share")).alias("score"), F.count("*").alias("genes"))
 

@@ -18,6 +18,7 @@ def sample_sheet(samples: DataFrame, least_replicates: int = 2) -> DataFrame:
     known = s.select(F.col("condition").alias("_known")).distinct()
     pick = lambda df, problem, item: df.select(F.lit(problem).alias("problem"), F.col(item).alias("item"))
     parts = [
+        pick(s.filter("control_condition = condition").select("condition").distinct(), "own_control", "condition"),
         pick(ids.filter("n > 1"), "duplicate_sample", "sample_id"), pick(ids.filter(~F.col("sample_id").rlike("^[A-Za-z0-9._-]+$")), "unsafe_sample", "sample_id"), pick(ids.filter(F.lower("sample_id").isin(*RESERVED)), "reserved_sample", "sample_id"),
         pick(conditions.filter("controls > 1"), "several_controls", "condition"), pick(conditions.filter(F.col("n") < least_replicates), "few_replicates", "condition"),
         pick(s.filter("control_condition is not null").join(known, F.col("control_condition") == F.col("_known"), "left_anti").select("control_condition").distinct(), "unknown_control", "control_condition"),

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sequences import nearest_bin
 from ..plans.storage import spread
 from .aggregates import islands, seed_metrics
 
@@ -42,27 +43,32 @@ def greedy_clusters(observed: DataFrame, seed_radius: int = 12, cluster_radius:
 
 
 def local_peaks(score: np.ndarray) -> np.ndarray:
-    """Strict local maxima, a plateau at its floor-midpoint; ends that top their neighbour count."""
-    out, n, i = [], len(score), 0
-    while i < n:
+    """Inner strict maxima, a plateau at its floor-midpoint; and an end that is positive and not below its neighbour."""
+    out, n, i = set(), len(score), 1
+    while i < n - 1:
         j = i
         while j + 1 < n and score[j + 1] == score[i]:
             j += 1
-        if score[i] > 0 and (i == 0 or score[i - 1] < score[i]) and (j == n - 1 or score[j + 1] < score[i]):
-            out.append((i + j) // 2)
+        if score[i] > 0 and score[i - 1] < score[i] and j < n - 1 and score[j + 1] < score[i]:
+            out.add((i + j) // 2)
         i = j + 1
-    return np.array(out, dtype=np.int64)
+    for end, next_ in ((0, 1), (n - 1, n - 2)) if n > 1 else ((0, 0),) if n else ():
+        if score[end] > 0 and score[end] >= score[next_]:
+            out.add(end)
+    return np.array(sorted(out), dtype=np.int64)
 
 
 def kernel_peaks(observed: DataFrame, kernel: list[float], low: int, bin_size: int, resolution: int, cap: int = 3) -> DataFrame:
-    """Kernel-matched peaks: counts capped per row, binned on the oriented axis, convolved with the kernel (weights for read offsets low, low + 1, ... bins
-    upstream of a site) in active blocks; local maxima, then non-maximum suppression within (resolution - 1) // bin_size bins by (-score, bin).
+    """Kernel-matched peaks: counts capped per row, binned on the oriented axis (to the nearest bin), convolved with the kernel (weights for read offsets low, low + 1, ... bins
+    upstream of a site) in blocks of bins no further apart than the kernel spans; local maxima, then non-maximum suppression within (resolution - 1) // bin_size bins by (-score, bin).
     -> (contig, strand, bin long, score double) on the oriented axis."""
     weights = np.array(kernel, dtype=float)
     sign = F.when(F.col("strand") == "+", 1).otherwise(-1)
-    at = F.floor(F.col("coordinate") * sign / F.lit(bin_size)).cast("long")
+    if not 1 <= bin_size <= resolution:
+        raise ValueError("the bin size must lie between 1 and the resolution")
+    at = nearest_bin(F.col("coordinate") * sign, bin_size).cast("long")
     binned = observed.withColumn("bin", at).groupBy("contig", "strand", "bin").agg(F.sum(F.least("count", F.lit(cap))).alias("depth"))
-    blocks = islands(binned, ["contig", "strand"], "bin", len(kernel) + abs(low) + (resolution - 1) // bin_size + 1)
+    blocks = islands(binned, ["contig", "strand"], "bin", len(kernel) - 1)
     apart = (resolution - 1) // bin_size
 
     def run(parts: pd.DataFrame) -> pd.DataFrame:
@@ -73,7 +79,7 @@ def kernel_peaks(observed: DataFrame, kernel: list[float], low: int, bin_size: i
         depth = np.zeros(int(part.bin.max()) - first + 1)
         depth[part.bin.to_numpy() - first] = part.depth
         score = np.convolve(depth, weights)
-        score[score <= 1e-12 * score.max()] = 0
+        score[score < max(1e-12 * score.max(), np.finfo(float).eps)] = 0
         peaks = local_peaks(score)
         kept: list[int] = []
         for p in peaks[np.lexsort((peaks, -score[peaks]))]:

@@ -214,28 +214,33 @@ def bootstrap_deltas(counts: DataFrame, fits: DataFrame, control: str, treatment
     return spread(d, "gene_id", "replicate").groupBy("gene_id", "replicate").applyInPandas(run, "gene_id string, pac_id string, replicate int, delta double")
 
 
-def stagewise(tests: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Screen genes, then confirm sites: tests (gene_id, pac_id, gene_p, pac_p). gene_fdr by Benjamini-Hochberg over genes; in a gene that passes, sites are adjusted by Holm within the
+def stagewise(tests: DataFrame, alpha: float = 0.05, keys: list[str] | None = None) -> DataFrame:
+    """Screen genes, then confirm sites, each value of keys (a comparison) by itself: tests (keys, gene_id, pac_id, gene_p, pac_p). gene_fdr by Benjamini-Hochberg over genes; in a gene that passes, sites are adjusted by Holm within the
     gene (with two sites both follow from the screen: 0) and scaled to the share of genes that pass; missing site p-values count as 1, then are null. Elsewhere pac_fdr is null."""
     from .testing import benjamini_hochberg
 
-    genes = benjamini_hochberg(tests.groupBy("gene_id").agg(F.first("gene_p").alias("gene_p")), "gene_p", "gene_fdr")
-    total = genes.agg(F.count("gene_fdr").alias("n"), F.count_if(F.col("gene_fdr") <= alpha).alias("r")).first()
-    d = tests.drop("gene_p").join(genes, "gene_id").withColumn("_p", F.coalesce("pac_p", F.lit(1.0)))
-    w = Window.partitionBy("gene_id").orderBy("_p", "pac_id")
-    n = F.count("*").over(Window.partitionBy("gene_id"))
+    keys = list(keys or [])
+    genes = benjamini_hochberg(tests.groupBy(*keys, "gene_id").agg(F.first("gene_p").alias("gene_p")), "gene_p", "gene_fdr", keys)
+    total = genes.groupBy(*keys).agg(F.count("gene_fdr").alias("_tested"), F.count_if(F.col("gene_fdr") <= alpha).alias("_passed"))  # a row for each comparison
+    d = tests.drop("gene_p").join(genes, [*keys, "gene_id"])
+    d = (d.join(total, keys) if keys else d.crossJoin(total)).withColumn("_p", F.coalesce("pac_p", F.lit(1.0)))
+    w = Window.partitionBy(*keys, "gene_id").orderBy("_p", "pac_id")
+    n = F.count("*").over(Window.partitionBy(*keys, "gene_id"))
     d = d.withColumn("_n", n).withColumn("_k", F.row_number().over(w))
     # with the gene's null rejected at most n - 2 site hypotheses can hold together when only differences count
     factor = F.greatest(F.least(F.col("_n") - F.col("_k") + 1, F.col("_n") - 2), F.lit(0))
     d = d.withColumn("_a", F.max(F.col("_p") * factor).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    scaled = F.least(F.lit(1.0), F.col("_a") * (total.n / max(total.r, 1)))
+    scaled = F.least(F.lit(1.0), F.col("_a") * (F.col("_tested") / F.greatest("_passed", F.lit(1))))
     passes = F.col("gene_fdr") <= alpha
-    return d.withColumn("pac_fdr", F.when(passes & F.col("pac_p").isNotNull(), F.when(F.col("_n") == 2, 0.0).otherwise(scaled))).drop("_p", "_n", "_k", "_a")
+    return d.withColumn("pac_fdr", F.when(passes & F.col("pac_p").isNotNull(), F.when(F.col("_n") == 2, 0.0).otherwise(scaled))).drop("_p", "_n", "_k", "_a", "_tested", "_passed")
 
 
-def usage_pca(pau: DataFrame, n_samples: int) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """(samples, scores samples x components, variance shares) over PACs used in all samples: the samples' Gram matrix is summed in Spark, its eigenvectors found on the
-    driver (samples are few); a component's sign makes its largest loading positive."""
+def usage_pca(pau: DataFrame, n_samples: int, least_total: int | None = None) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(samples, scores samples x components, variance shares) over PACs used in all samples, with least_total those of genes (gene_id, gene_total) with as many reads in every
+    sample: the samples' Gram matrix is summed in Spark, its eigenvectors found on the driver (samples are few); a component's sign makes its largest loading positive, of
+    loadings equal within 1e-6 the first by pac_id."""
+    if least_total is not None:
+        pau = pau.withColumn("_least", F.min("gene_total").over(Window.partitionBy("gene_id"))).filter(F.col("_least") >= least_total)
     whole = pau.filter("pau is not null").withColumn("_n", F.count("*").over(Window.partitionBy("pac_id"))).filter(F.col("_n") == n_samples)
     centred = whole.withColumn("x", F.col("pau") - F.avg("pau").over(Window.partitionBy("pac_id"))).select("pac_id", "sample_id", "x")
     other = centred.select("pac_id", F.col("sample_id").alias("b"), F.col("x").alias("y"))
@@ -251,7 +256,8 @@ def usage_pca(pau: DataFrame, n_samples: int) -> tuple[list[str], np.ndarray, np
         parts = F.array(*[F.sum(F.col("x") * F.when(F.col("sample_id") == s, F.lit(1.0)).otherwise(0.0)) for s in names])
         loads = [F.aggregate(F.zip_with("v", F.array(*[F.lit(float(c)) for c in vectors[:, k]]), lambda a, b: a * b), F.lit(0.0), lambda s, a: s + a).alias(f"l{j}") for j, k in enumerate(order)]
         rows = centred.groupBy("pac_id").agg(parts.alias("v")).select("pac_id", *loads)
-        best = rows.agg(*[F.max_by(f"l{j}", F.struct(F.round(F.abs(f"l{j}"), 6), F.col("pac_id"))).alias(f"b{j}") for j in range(len(order))]).first()
+        top = rows.agg(*[F.max(F.abs(f"l{j}")).alias(f"m{j}") for j in range(len(order))]).first()
+        best = rows.agg(*[F.min_by(f"l{j}", F.when(F.abs(f"l{j}") >= top[j] * (1 - 1e-6), F.col("pac_id"))).alias(f"b{j}") for j in range(len(order))]).first()
         scores = scores * np.array([1.0 if x >= 0 else -1.0 for x in best])
     return names, scores, values[order] / values[order].sum() if order else values[:0]
 

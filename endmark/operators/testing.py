@@ -51,7 +51,7 @@ def event_type(c_support: Column, t_support: Column, delta: Column, c_fit: Colum
             .when(cd & td & sig & pos, "increased_usage").when(cd & td & sig & neg, "decreased_usage").otherwise("none"))
 
 
-def comparison_depth(totals: DataFrame, libraries: DataFrame, samples: DataFrame, control: str, treatment: str, least_samples: int = 2, least_reads: int = 10, floor: float = 1.0) -> DataFrame:
+def comparison_depth(totals: DataFrame, libraries: DataFrame, samples: DataFrame, control: str, treatment: str, least_samples: int = 2, least_reads: int = 10, floor: float = 0.0) -> DataFrame:
     """Genes without enough depth in a comparison: (gene_id, status, control_cpm, treatment_cpm). totals: (gene_id, sample_id, gene_total), complete; libraries: (sample_id, library)."""
     d = totals.join(samples, "sample_id").join(libraries, "sample_id").filter(F.col("condition").isin(control, treatment))
     d = d.withColumn("cpm", F.when(F.col("library") > 0, F.col("gene_total") * 1e6 / F.col("library")).otherwise(0.0))
@@ -72,29 +72,38 @@ def comparison_depth(totals: DataFrame, libraries: DataFrame, samples: DataFrame
     return g.withColumn("status", status).filter("status is not null").select("gene_id", "status", "control_cpm", "treatment_cpm")
 
 
-def gene_shifts(calls: DataFrame) -> DataFrame:
-    """For genes with a confirmed call: from_pac, to_pac and direction. calls: gene_id, pac_id, strand, coordinate, delta, pac_fdr, event_type."""
+def gene_shifts(calls: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """For genes with a confirmed call, each value of keys by itself: from_pac, to_pac and direction. calls: keys, gene_id, pac_id, strand, coordinate, delta, pac_fdr, event_type."""
     up, down = F.col("event_type").isin("gained", "increased_usage"), F.col("event_type").isin("lost", "decreased_usage")
     d = calls.withColumn("_o", F.when(F.col("strand") == "+", F.col("coordinate")).otherwise(-F.col("coordinate")))
     d = d.withColumn("_up", up).withColumn("_down", down)
     nulls_last = F.coalesce("pac_fdr", F.lit(float("inf")))
     high, low = F.struct(-F.col("delta"), nulls_last, F.col("pac_id")), F.struct(F.col("delta"), nulls_last, F.col("pac_id"))
     row = F.struct("pac_id", "_o")
-    first = d.groupBy("gene_id").agg(F.min_by(F.when(F.col("_up"), row), F.when(F.col("_up"), high)).alias("_to"), F.min_by(F.when(F.col("_down"), row), F.when(F.col("_down"), low)).alias("_from"), F.bool_or(F.col("_up") | F.col("_down")).alias("_any")).filter("_any")
-    d = d.join(first, "gene_id")
+    gene = [*(keys or []), "gene_id"]
+    first = d.groupBy(*gene).agg(F.min_by(F.when(F.col("_up"), row), F.when(F.col("_up"), high)).alias("_to"), F.min_by(F.when(F.col("_down"), row), F.when(F.col("_down"), low)).alias("_from"), F.bool_or(F.col("_up") | F.col("_down")).alias("_any")).filter("_any")
+    d = d.join(first, gene)
     not_to, not_from = F.coalesce(F.col("pac_id") != F.col("_to.pac_id"), F.lit(True)), F.coalesce(F.col("pac_id") != F.col("_from.pac_id"), F.lit(True))
-    rest = d.groupBy("gene_id", "_to", "_from").agg(F.min_by(F.when(not_to, row), F.when(not_to, low)).alias("_f"), F.min_by(F.when(not_from, row), F.when(not_from, high)).alias("_t"))
-    out = rest.select("gene_id", F.coalesce("_from", "_f").alias("f"), F.coalesce("_to", "_t").alias("t"))
-    return out.select("gene_id", F.col("f.pac_id").alias("from_pac"), F.col("t.pac_id").alias("to_pac"), F.when(F.col("t._o") > F.col("f._o"), "distal").otherwise("proximal").alias("direction"))
+    rest = d.groupBy(*gene, "_to", "_from").agg(F.min_by(F.when(not_to, row), F.when(not_to, low)).alias("_f"), F.min_by(F.when(not_from, row), F.when(not_from, high)).alias("_t"))
+    out = rest.select(*gene, F.coalesce("_from", "_f").alias("f"), F.coalesce("_to", "_t").alias("t"))
+    return out.select(*gene, F.col("f.pac_id").alias("from_pac"), F.col("t.pac_id").alias("to_pac"), F.when(F.col("t._o") > F.col("f._o"), "distal").otherwise("proximal").alias("direction"))
 
 
 def mantel_haenszel(strata: DataFrame, keys: list[str]) -> DataFrame:
-    """Cochran-Mantel-Haenszel over 2 x 2 strata (a, b, c, d); strata with a zero margin are skipped: common odds ratio and the score chi-square without correction."""
+    """Cochran-Mantel-Haenszel over 2 x 2 strata (a, b, c, d); strata with a zero margin are skipped: common odds ratio (infinite without discordant
+    pairs on one side), its 95 % interval by the variance of Robins, Breslow and Greenland (null where the ratio is 0 or infinite) and the score chi-square without correction."""
     d = strata.filter("a + b > 0 and c + d > 0 and a + c > 0 and b + d > 0").withColumn("n", (F.col("a") + F.col("b") + F.col("c") + F.col("d")).cast("double"))
     e = (F.col("a") + F.col("b")) * (F.col("a") + F.col("c")) / F.col("n")
     v = (F.col("a") + F.col("b")) * (F.col("c") + F.col("d")) * (F.col("a") + F.col("c")) * (F.col("b") + F.col("d")) / (F.col("n") * F.col("n") * (F.col("n") - 1))
-    g = d.groupBy(*keys).agg(F.count("*").alias("strata"), (F.sum(F.col("a") * F.col("d") / F.col("n")) / F.nullif(F.sum(F.col("b") * F.col("c") / F.col("n")), F.lit(0.0))).alias("odds_ratio"), F.sum(F.col("a") - e).alias("_x"), F.sum(v).alias("_v"))
-    return g.withColumn("chi_square", F.when(F.col("_v") > 0, F.col("_x") * F.col("_x") / F.col("_v"))).drop("_x", "_v")
+    r, s = F.col("a") * F.col("d") / F.col("n"), F.col("b") * F.col("c") / F.col("n")
+    p, q = (F.col("a") + F.col("d")) / F.col("n"), (F.col("b") + F.col("c")) / F.col("n")
+    sums = {"_r": r, "_s": s, "_pr": p * r, "_mixed": p * s + q * r, "_qs": q * s, "_x": F.col("a") - e, "_v": v}
+    g = d.groupBy(*keys).agg(F.count("*").alias("strata"), *[F.sum(x).alias(k) for k, x in sums.items()])
+    ratio = F.when(F.col("_s") > 0, F.try_divide("_r", "_s")).otherwise(float("inf"))
+    spread = 1.959963984540054 * F.sqrt(F.col("_pr") / (2 * F.col("_r") * F.col("_r")) + F.col("_mixed") / (2 * F.col("_r") * F.col("_s")) + F.col("_qs") / (2 * F.col("_s") * F.col("_s")))
+    whole = (F.col("_r") > 0) & (F.col("_s") > 0)
+    g = g.withColumn("odds_ratio", ratio).withColumn("ci_low", F.when(whole, F.exp(F.log("odds_ratio") - spread))).withColumn("ci_high", F.when(whole, F.exp(F.log("odds_ratio") + spread)))
+    return g.withColumn("chi_square", F.when(F.col("_v") > 0, F.col("_x") * F.col("_x") / F.col("_v"))).drop(*sums)
 
 
 def percentile_interval(draws: DataFrame, keys: list[str], value: str, low: float = 0.025, high: float = 0.975, replicates: int = 200, share: float = 0.8) -> DataFrame:

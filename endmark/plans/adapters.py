@@ -45,21 +45,16 @@ def site_counts(spark: SparkSession, sf_dir: str, radius: int = 9) -> DataFrame:
     return near.filter("pac_id is not null").groupBy("pac_id", "gene_id", "sample_id").agg(F.sum("count").alias("count"))
 
 
-def whole_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
     return load(spark, sf_dir, "documents").select("doc_id", F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTAACGTAAACGTAAACGTTACGA").alias("seq"))
 
 
-def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 60 letters, as SEQS; whole_sequences has all."""
-    return whole_sequences(spark, sf_dir).withColumn("seq", F.col("seq").substr(1, 60))
-
-
 def site_windows(sites: DataFrame, docs: DataFrame, size: int = 60) -> DataFrame:
-    """sites (with pac_id) and window: size letters of a document (doc_id, seq), ids and places in the whole text drawn by a hash of the site."""
+    """sites (with coordinate) and window: size letters of a document (doc_id, seq); coordinates are dealt over all ids and all places of the whole text."""
     top = docs.agg((F.max("doc_id") + 1).alias("ids"))  # one row
-    at = sites.crossJoin(top).withColumn("doc_id", F.pmod(F.xxhash64("pac_id"), "ids")).join(docs, "doc_id")
-    first = F.pmod(F.xxhash64("pac_id", F.lit(1)), F.greatest(F.char_length("seq") - size + 1, F.lit(1))) + 1
+    at = sites.crossJoin(top).withColumn("doc_id", (F.col("coordinate") * 7919) % F.col("ids")).join(docs, "doc_id")
+    first = (F.col("coordinate") * 31) % F.greatest(F.char_length("seq") - size + 1, F.lit(1)) + 1
     return at.withColumn("window", F.substr("seq", first.cast("int"), F.lit(size))).drop("ids", "doc_id", "seq")
 
 
@@ -80,7 +75,7 @@ ATLAS = """atlas_v AS (SELECT 'PACv1.tpch.'||contig||'.'||strand||'.'||coordinat
 COUNTS = """near AS (SELECT o.*, a.pac_id, a.gene_id, row_number() OVER (PARTITION BY o.sample_id, o.contig, o.strand, o.coordinate ORDER BY abs(o.coordinate-a.coordinate), a.coordinate) rn
  FROM obs o JOIN atlas_v a ON a.chrom=o.contig AND a.strand=o.strand AND abs(o.coordinate-a.coordinate)<=9),
 counts AS (SELECT pac_id, gene_id, sample_id, CAST(SUM("count") AS BIGINT) AS "count" FROM near WHERE rn=1 GROUP BY 1,2,3)"""
-SEQS = """seqs AS (SELECT doc_id, substr(translate(regexp_replace(lower(text),'[^a-z]','','g'),'abcdefghijklmnopqrstuvwxyz','ACGTAACGTAAACGTAAACGTTACGA'),1,60) AS seq FROM documents)"""
+SEQS = """seqs AS (SELECT doc_id, translate(regexp_replace(lower(text),'[^a-z]','','g'),'abcdefghijklmnopqrstuvwxyz','ACGTAACGTAAACGTAAACGTTACGA') AS seq FROM documents)"""
 INTERVALS = """ivals AS (SELECT o_orderkey AS id, o_orderstatus AS grp, CAST(o_orderkey*20 AS BIGINT) AS start, o_orderkey*20+1+CAST(floor(o_totalprice) AS BIGINT)%90 AS "end" FROM orders)"""
 BASE = f"WITH {SAMPLES}, {OBS}, {ATLAS}"
 FULL = f"{BASE}, {COUNTS}"

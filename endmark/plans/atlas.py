@@ -11,7 +11,7 @@ from ..sources.readers import fetch_windows
 from .storage import written
 
 
-def annotate(clusters: DataFrame, features: DataFrame, chunks: DataFrame, motifs: list[tuple[str, int]], known: DataFrame, assembly: str, upstream: int = 50, core: tuple[int, int] = (10, 30), downstream: int = 20,
+def annotate(clusters: DataFrame, features: DataFrame, chunks: DataFrame, motifs: list[tuple[str, str, int]], known: DataFrame, assembly: str, upstream: int = 50, core: tuple[int, int] = (10, 30), downstream: int = 20,
              known_radius: int = 24, most_downstream: int = 5000, chunk_width: int = 10_000) -> DataFrame:
     """clusters: contig, strand, coordinate, total, samples. features: resolved, with line_no. chunks: the genome in chunks. -> one row a cluster; several genes are joined by commas."""
     sites = written(annotation.labels(clusters, assembly))
@@ -31,8 +31,8 @@ def annotate(clusters: DataFrame, features: DataFrame, chunks: DataFrame, motifs
     down = fetch_windows(row, chunks, F.when(plus, c).otherwise(c - downstream), F.when(plus, c + downstream).otherwise(c), chunk_width).select(F.col("row").alias("pac_id"), F.col("window").alias("downstream_window"))
     near = joins.within(place, known.select("contig", "strand", F.col("coordinate").alias("known")), ["contig", "strand"], "coordinate", "known", known_radius).groupBy("pac_id").agg(F.array_sort(F.collect_set("known")).alias("known_sites"))
     d = sites.join(gene, "pac_id", "left").join(last, "pac_id", "left").join(up, "pac_id", "left").join(down, "pac_id", "left").join(near, "pac_id", "left")
-    hits = sequences.motif_hits(F.coalesce("upstream_window", F.lit("")), motifs, core) if motifs else F.array().cast("array<struct<priority:int,outside:int,off_centre:double,distance:int,motif:string>>")
-    d = d.withColumn("motif_hits", hits).withColumn("primary_motif", sequences.primary_motif(F.col("motif_hits")))
+    hits = sequences.motif_hits(F.coalesce("upstream_window", F.lit("")), motifs, core, upstream) if motifs else F.array().cast("array<struct<priority:int,outside:int,off:int,distance:int,motif:string,motif_class:string>>")
+    d = d.withColumn("motif_hits", hits).withColumn("primary_motif", sequences.primary_motif(F.col("motif_hits"))).withColumn("primary_motif_class", F.get("motif_hits", F.lit(0))["motif_class"])
     d = d.withColumn("internal_priming_flag", annotation.priming(F.coalesce("downstream_window", F.lit(""))))
     ambiguous = F.contains(F.coalesce("gene_id", F.lit("")), F.lit(","))
     d = d.withColumn("confidence", annotation.confidence(ambiguous, F.col("internal_priming_flag"), F.lit(False), F.col("known_sites").isNotNull(), F.col("samples")))

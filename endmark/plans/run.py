@@ -13,6 +13,9 @@ from .storage import written
 
 @dataclass(frozen=True)
 class Settings:
+    depth_least_samples: int = 2
+    depth_least_reads: int = 10
+    depth_least_cpm: float = 0.0
     assembly: str = "x"
     seed_radius: int = 12
     cluster_radius: int = 24
@@ -49,29 +52,37 @@ def quantify(evidence: DataFrame, atlas: DataFrame, settings: Settings) -> DataF
 
 
 def compare(counts: DataFrame, atlas: DataFrame, samples: DataFrame, control: str, settings: Settings) -> dict[str, DataFrame]:
-    """Tables of one family: counts, usage, filtering, sites (with FDRs and events) and shifts. samples: sample_id, condition, the control's and its treatments'."""
+    """Tables of one family: counts, usage, filtering, sites (with FDRs and events, corrected within each treatment), shifts and the genes without depth. samples: sample_id, condition, the control's and its treatments'."""
     whole = written(aggregates.complete(counts, atlas.select("pac_id", "gene_id"), samples, ["pac_id", "gene_id"]))
     filtering = written(testing.family_filter(whole, samples))
     tested = whole.join(filtering.filter("tested").select("pac_id"), "pac_id", "left_semi").join(samples, "sample_id")
     fits = written(models.fit_genes(tested.join(models.moderated_precision(tested), "gene_id"), control))
     p = fits.withColumn("gene_p", models.chi_square_tail(F.col("gene_lr"), F.col("gene_df"))).withColumn("pac_p", models.chi_square_tail(F.col("pac_lr"), F.lit(1)))
-    p = p.withColumn("gene_id", F.concat_ws("\t", "treatment", "gene_id"))
-    staged = models.stagewise(p.select("gene_id", "pac_id", "gene_p", "pac_p"), settings.alpha).withColumnsRenamed({"gene_id": "_key", "pac_id": "_pac"}).select("_key", "_pac", "gene_fdr", "pac_fdr")
-    p = p.join(staged, (F.col("gene_id") == F.col("_key")) & (F.col("pac_id") == F.col("_pac"))).drop("_key", "_pac").withColumn("gene_id", F.substring_index("gene_id", "\t", -1))
+    # genes without depth in a comparison leave it before its corrections
+    totals = whole.groupBy("gene_id", "sample_id").agg(F.sum("count").alias("gene_total"))
+    libraries = whole.groupBy("sample_id").agg(F.sum("count").alias("library"))
+    shallow = None
+    for t in sorted({r.condition for r in samples.select("condition").distinct().collect()} - {control}):  # the conditions of a family's sheet
+        one = testing.comparison_depth(totals, libraries, samples.select("sample_id", "condition"), control, t, settings.depth_least_samples, settings.depth_least_reads, settings.depth_least_cpm).withColumn("treatment", F.lit(t))
+        shallow = one if shallow is None else shallow.unionByName(one)
+    if shallow is not None:
+        shallow = written(shallow)
+        p = p.join(shallow.select("gene_id", "treatment"), ["gene_id", "treatment"], "left_anti")
+    staged = models.stagewise(p.select("treatment", "gene_id", "pac_id", "gene_p", "pac_p"), settings.alpha, ["treatment"]).select("treatment", "gene_id", "pac_id", "gene_fdr", "pac_fdr")
+    p = p.join(staged, ["treatment", "gene_id", "pac_id"])
     group = tested.groupBy("pac_id", "gene_id", "condition").agg(F.count_if(F.col("count") > 0).alias("support"), F.sum("count").alias("reads"))
     total = group.withColumn("total", F.sum("reads").over(joins.Window.partitionBy("gene_id", "condition"))).select("pac_id", "condition", "support", "total")
     side = lambda x: total.select("pac_id", F.col("condition").alias(f"{x}_condition"), F.col("support").alias(f"{x}_support"), F.col("total").alias(f"{x}_total"))
     d = p.join(side("control").filter(F.col("control_condition") == control), "pac_id").join(side("treatment").withColumnRenamed("treatment_condition", "treatment"), ["pac_id", "treatment"])
-    d = d.withColumn("delta", F.col("treatment_fit") - F.col("control_fit"))
+    # without reads of the gene in a condition there is no usage to report
+    empty = (F.col("control_total") == 0) | (F.col("treatment_total") == 0)
+    d = d.withColumns({f: F.when(~empty, F.col(f)) for f in ("control_fit", "treatment_fit")}).withColumn("delta", F.col("treatment_fit") - F.col("control_fit"))
     c = F.col
     event = testing.event_type(c("control_support"), c("treatment_support"), c("delta"), c("control_fit"), c("treatment_fit"), c("gene_fdr"), c("pac_fdr"), F.lit(True), F.lit(True), c("control_total"), c("treatment_total"),
                                least_delta=settings.least_delta, alpha_g=settings.alpha, alpha_s=settings.alpha)
     sites = written(d.withColumn("event_type", event).join(atlas.select("pac_id", "strand", "coordinate"), "pac_id"))
-    shifts = {t.treatment: testing.gene_shifts(sites.filter(c("treatment") == t.treatment)).withColumn("treatment", F.lit(t.treatment)) for t in sites.select("treatment").distinct().collect()}
-    out = None
-    for one in shifts.values():
-        out = one if out is None else out.unionByName(one)
-    return {"counts": whole, "usage": aggregates.usage(whole), "filtering": filtering, "sites": sites} | ({"shifts": out} if out is not None else {})
+    out = {"counts": whole, "usage": aggregates.usage(whole), "filtering": filtering, "sites": sites, "shifts": testing.gene_shifts(sites, ["treatment"])}
+    return out | ({"without_depth": shallow} if shallow is not None else {})
 
 
 def discover_proximal(evidence: DataFrame, kernel: DataFrame, settings: Settings, bin_size: int = 10, span: int = 500, ratio: float = 2.0) -> DataFrame:
@@ -82,7 +93,9 @@ def discover_proximal(evidence: DataFrame, kernel: DataFrame, settings: Settings
     rows = kernel.orderBy("offset").collect()  # one row an offset of the kernel
     binned: dict[int, float] = {}
     for r in rows:
-        binned[int(r.offset) // bin_size] = binned.get(int(r.offset) // bin_size, 0.0) + r.weight
+        if r.weight > 0:
+            at = (abs(int(r.offset)) + bin_size // 2) // bin_size * (1 if r.offset >= 0 else -1)
+            binned[at] = binned.get(at, 0.0) + r.weight
     low, high = min(binned), max(binned)
     total = sum(binned.values())
     weights = [binned.get(k, 0.0) / total for k in range(low, high + 1)]

@@ -63,11 +63,6 @@ def f1_f4_f5_f6_f8_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(v.sequences(spark, sf_dir))
 
 
-@query()
-def f1_f4_f5_f6_f8_sequences_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _features(v.whole_sequences(spark, sf_dir))
-
-
 def _features(d: DataFrame) -> DataFrame:
     s = F.col("seq")
     return d.select(
@@ -80,32 +75,22 @@ def f7_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kmer_counts(v.sequences(spark, sf_dir))
 
 
-@query()
-def f7_kmers_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _kmer_counts(v.whole_sequences(spark, sf_dir))
-
-
 def _kmer_counts(d: DataFrame) -> DataFrame:
     return d.select(F.explode(sequences.kmers(F.col("seq"), 4)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {SEQS}, m(motif,priority) AS (VALUES ('AATAAA',1),('ATTAAA',2),('AAGAAA',3),('ACGTAA',4)),
-h AS (SELECT doc_id, motif, priority, length(seq)-i AS distance FROM seqs, m, range(0,60) r(i) WHERE i<=length(seq)-6 AND substr(seq,CAST(i AS INT)+1,6)=motif),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY priority, CASE WHEN distance BETWEEN 15 AND 30 THEN 0 ELSE 1 END, abs(distance-22.5), distance) rn, count(*) OVER (PARTITION BY doc_id) n FROM h)
-SELECT s.doc_id, coalesce(motif,'no_recognized_motif') AS motif, CAST(distance AS INT) AS distance, CAST(coalesce(n,0) AS INT) AS hits FROM seqs s LEFT JOIN r ON r.doc_id=s.doc_id AND rn=1""")
+@query(f"""WITH {SEQS}, m(motif,motif_class,priority) AS (VALUES ('AATAAA','canonical',1),('ATTAAA','variant',2),('AAGAAA','variant',3),('ACGTAA','other',4)),
+h AS (SELECT doc_id, motif, motif_class, priority, length(seq)-i AS distance FROM seqs, m, range(0,(SELECT max(length(seq)) FROM seqs)) r(i) WHERE i<=length(seq)-6 AND contains(seq,motif) AND substr(seq,CAST(i AS INT)+1,6)=motif),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY priority, CASE WHEN distance BETWEEN 15 AND 30 THEN 0 ELSE 1 END, abs(distance-20), distance) rn, count(*) OVER (PARTITION BY doc_id) n FROM h)
+SELECT s.doc_id, coalesce(motif,'no_recognized_motif') AS motif, motif_class, CAST(distance AS INT) AS distance, CAST(coalesce(n,0) AS INT) AS hits FROM seqs s LEFT JOIN r ON r.doc_id=s.doc_id AND rn=1""")
 def f2_f3_motifs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _motifs(v.sequences(spark, sf_dir))
 
 
-@query()
-def f2_f3_motifs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _motifs(v.whole_sequences(spark, sf_dir))
-
-
 def _motifs(d: DataFrame) -> DataFrame:
-    hits = sequences.motif_hits(F.col("seq"), [("AATAAA", 1), ("ATTAAA", 2), ("AAGAAA", 3), ("ACGTAA", 4)], (15, 30))
+    hits = sequences.motif_hits(F.col("seq"), [("AATAAA", "canonical", 1), ("ATTAAA", "variant", 2), ("AAGAAA", "variant", 3), ("ACGTAA", "other", 4)], (15, 30))
     d = d.withColumn("hits", hits)
-    return d.select("doc_id", sequences.primary_motif(F.col("hits")).alias("motif"), F.get("hits", F.lit(0))["distance"].cast("int").alias("distance"), F.size("hits").alias("hits"))
+    return d.select("doc_id", sequences.primary_motif(F.col("hits")).alias("motif"), F.get("hits", F.lit(0))["motif_class"].alias("motif_class"), F.get("hits", F.lit(0))["distance"].cast("int").alias("distance"), F.size("hits").alias("hits"))
 
 
 @query("""SELECT c_custkey, CAST(sign(b)*((abs(b)+3)//7) AS BIGINT) AS bin7, regexp_replace(c_name,'[^A-Za-z0-9._-]+','_','g') AS safe
@@ -198,9 +183,15 @@ def j6_nearest_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- aggregates and windows ------------------------------------------------------------------
 
 
-@query(f"{BASE} SELECT * FROM obs")
+@query(f"{BASE} SELECT *, 'read_3p' AS evidence_source FROM obs")
 def a1_read_end_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.observed(spark, sf_dir)
+    """A row for each read end of the table, counted again by the operator."""
+    n, clipped = F.col("l_quantity").cast("long"), F.round(F.col("l_discount") * 100).cast("long")
+    place = ((F.col("l_orderkey") % 500) * 200 + F.col("l_linenumber") * 3).cast("long")
+    reads = v.load(spark, sf_dir, "lineitem").filter(n > 0).select(
+        F.concat(F.lit("S"), F.col("l_suppkey") % 8).alias("sample_id"), F.concat(F.lit("ctg"), "l_returnflag").alias("contig"), F.when(F.col("l_linestatus") == "O", "+").otherwise("-").alias("strand"),
+        place.alias("coordinate"), F.lit("read_3p").alias("evidence_source"), clipped.alias("clipped"), F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("no"))
+    return aggregates.read_end_counts(reads.withColumn("poly_a_clip", F.col("no") <= F.col("clipped")))
 
 
 @query(f"{FULL}, g AS (SELECT gene_id, sample_id, CAST(sum(\"count\") AS BIGINT) AS gene_total FROM counts GROUP BY 1,2) SELECT gene_id, sample_id, gene_total FROM g")
@@ -239,16 +230,17 @@ def a11_weighted_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.weighted_rank_coordinate(d, ["contig", "strand", "locus"], "o", "count", {"q05": 0.05, "q50": 0.5, "q95": 0.95})
 
 
-_OFFS = 'offs AS (SELECT sample_id, coordinate%200-9 AS "offset", CAST(sum("count") AS BIGINT) AS c FROM obs GROUP BY 1,2)'
+_OFFS = 'offs AS (SELECT sample_id, coordinate%200-9 AS "offset", CAST(sum("count") AS BIGINT) AS c, CAST(sum(poly_a_clip_count) AS BIGINT) AS clips FROM obs GROUP BY 1,2)'
 
 
-@query(f"""{BASE}, {_OFFS}, x AS (SELECT sample_id, "offset", c, sum(c) OVER (PARTITION BY sample_id) AS n, sum(c) OVER (PARTITION BY sample_id ORDER BY "offset") AS cum FROM offs)
+@query(f"""{BASE}, {_OFFS}, x AS (SELECT sample_id, "offset", c, clips, sum(c) OVER (PARTITION BY sample_id) AS n, sum(c) OVER (PARTITION BY sample_id ORDER BY "offset") AS cum FROM offs)
 SELECT sample_id, CAST(max(n) AS BIGINT) AS n, arg_min("offset", (-c, "offset")) AS modal_offset,
  CAST(min(CASE WHEN cum>floor(0.5*(n-1)) THEN "offset" END)+(0.5*(max(n)-1)-floor(0.5*(max(n)-1)))*(min(CASE WHEN cum>floor(0.5*(n-1))+1 THEN "offset" END)-min(CASE WHEN cum>floor(0.5*(n-1)) THEN "offset" END)) AS DOUBLE) AS median_offset,
- round(sum(CASE WHEN abs("offset")<=2 THEN c ELSE 0 END)/sum(c),9) AS boundary_fraction FROM x GROUP BY 1""")
+ round(sum(CASE WHEN abs("offset")<=1 THEN c ELSE 0 END)/sum(c),9) AS boundary_fraction, round(sum(clips)/sum(c),9) AS poly_a_clip_fraction FROM x GROUP BY 1""")
 def a10_a12_calibration_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = v.observed(spark, sf_dir).select("sample_id", (F.col("coordinate") % 200 - 9).alias("offset"), "count")
-    return aggregates.offset_metrics(d, ["sample_id"], 0.05, 0.95).select("sample_id", "n", "modal_offset", "median_offset", _r(F.col("boundary_fraction"), "boundary_fraction"))
+    d = v.observed(spark, sf_dir).select("sample_id", (F.col("coordinate") % 200 - 9).alias("offset"), "count", "poly_a_clip_count")
+    out = aggregates.offset_metrics(d, ["sample_id"], 0.05, 0.95, clips="poly_a_clip_count")
+    return out.select("sample_id", "n", "modal_offset", "median_offset", *[_r(F.col(c), c) for c in ("boundary_fraction", "poly_a_clip_fraction")])
 
 
 _KERNEL = f"""{_OFFS}, grid AS (SELECT sample_id, CAST(i AS BIGINT) AS "offset" FROM samples_v, range(-30,31) t(i)),
@@ -286,9 +278,16 @@ def a22_condition_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.condition_support(v.site_counts(spark, sf_dir).drop("gene_id"), v.samples(spark).select("sample_id", "condition"), ["pac_id"], 40, 0.7)
 
 
+@query(f"""{FULL}, p AS (SELECT pac_id, c.condition, count(DISTINCT n.sample_id) AS support FROM counts n JOIN samples_v c ON c.sample_id=n.sample_id WHERE n."count">=40 GROUP BY 1,2),
+q AS (SELECT *, support>=2 AS passes, row_number() OVER (PARTITION BY pac_id ORDER BY support>=2 DESC, support DESC, condition) AS rn FROM p)
+SELECT pac_id, max(CASE WHEN rn=1 THEN condition END) AS best_condition, max(CASE WHEN rn=1 THEN support END) AS best_support, bool_or(passes) AS supported, coalesce(string_agg(CASE WHEN passes THEN condition END, ';' ORDER BY condition),'') AS passing FROM q GROUP BY 1""")
+def a22_condition_support_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.condition_support(v.site_counts(spark, sf_dir).drop("gene_id"), v.samples(spark).select("sample_id", "condition"), ["pac_id"], 40, 2)
+
+
 @query(f"""{BASE}, st AS (SELECT DISTINCT contig, strand, coordinate FROM obs), x AS (SELECT s.contig, s.strand, s.coordinate, o.sample_id, sum(CASE WHEN abs(s.coordinate-o.coordinate)<=4 THEN o."count" ELSE 0 END) AS s, sum(CASE WHEN abs(s.coordinate-o.coordinate)>4 THEN o."count" ELSE 0 END) AS f
  FROM st s JOIN obs o ON o.contig=s.contig AND o.strand=s.strand AND abs(s.coordinate-o.coordinate)<=8 GROUP BY 1,2,3,4)
-SELECT contig, strand, coordinate, count(*) FILTER (s>=3) AS supporting, CAST(sum(least(s,3)) AS BIGINT) AS capped, CAST(sum(s) AS BIGINT) AS raw, CAST(sum(f) AS BIGINT) AS flank FROM x GROUP BY 1,2,3""")
+SELECT contig, strand, coordinate, count(*) FILTER (s>0) AS supporting, CAST(sum(least(s,3)) AS BIGINT) AS capped, CAST(sum(s) AS BIGINT) AS raw, CAST(sum(f) AS BIGINT) AS flank FROM x GROUP BY 1,2,3""")
 def a23_a24_w8_seed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.seed_metrics(v.observed(spark, sf_dir), 4)
 
@@ -393,7 +392,7 @@ def a36_comparison_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = v.site_counts(spark, sf_dir)
     totals = aggregates.complete(aggregates.gene_totals(counts).withColumnRenamed("gene_total", "count"), v.atlas(spark, sf_dir).select("gene_id").distinct(), v.samples(spark), ["gene_id"]).withColumnRenamed("count", "gene_total")
     libraries = counts.groupBy("sample_id").agg(F.sum("count").alias("library"))
-    out = testing.comparison_depth(totals, libraries, v.samples(spark).select("sample_id", "condition"), "C0", "C2", least_reads=300)
+    out = testing.comparison_depth(totals, libraries, v.samples(spark).select("sample_id", "condition"), "C0", "C2", least_reads=300, floor=1.0)
     return out.withColumn("control_cpm", F.round("control_cpm", 6)).withColumn("treatment_cpm", F.round("treatment_cpm", 6))
 
 
@@ -405,12 +404,14 @@ def m14_percentile_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH s AS (SELECT l_returnflag AS k, l_suppkey%97 AS stratum, count(*) FILTER (l_linenumber%2=0 AND l_tax>0.04) AS a, count(*) FILTER (l_linenumber%2=0 AND l_tax<=0.04) AS b, count(*) FILTER (l_linenumber%2=1 AND l_tax>0.04) AS c, count(*) FILTER (l_linenumber%2=1 AND l_tax<=0.04) AS d FROM lineitem GROUP BY 1,2),
 n AS (SELECT *, CAST(a+b+c+d AS DOUBLE) AS n FROM s WHERE a+b>0 AND c+d>0 AND a+c>0 AND b+d>0)
-SELECT k, count(*) AS strata, round(sum(a*d/n)/sum(b*c/n),9) AS odds_ratio, round(pow(sum(a-(a+b)*(a+c)/n),2)/sum((a+b)*(c+d)*(a+c)*(b+d)/(n*n*(n-1))),6) AS chi_square FROM n GROUP BY 1""")
+SELECT k, count(*) AS strata, CASE WHEN sum(b*c/n)=0 THEN 'inf'::DOUBLE ELSE round(sum(a*d/n)/sum(b*c/n),9) END AS odds_ratio,
+ round(exp(ln(sum(a*d/n)/sum(b*c/n))-1.959963984540054*sqrt(sum((a+d)/n*a*d/n)/(2*pow(sum(a*d/n),2))+sum((a+d)/n*b*c/n+(b+c)/n*a*d/n)/(2*sum(a*d/n)*sum(b*c/n))+sum((b+c)/n*b*c/n)/(2*pow(sum(b*c/n),2)))),9) AS ci_low,
+ round(exp(ln(sum(a*d/n)/sum(b*c/n))+1.959963984540054*sqrt(sum((a+d)/n*a*d/n)/(2*pow(sum(a*d/n),2))+sum((a+d)/n*b*c/n+(b+c)/n*a*d/n)/(2*sum(a*d/n)*sum(b*c/n))+sum((b+c)/n*b*c/n)/(2*pow(sum(b*c/n),2)))),9) AS ci_high, round(pow(sum(a-(a+b)*(a+c)/n),2)/sum((a+b)*(c+d)*(a+c)*(b+d)/(n*n*(n-1))),6) AS chi_square FROM n GROUP BY 1""")
 def m17_mantel_haenszel(spark: SparkSession, sf_dir: str) -> DataFrame:
     even, high = F.col("l_linenumber") % 2 == 0, F.col("l_tax") > 0.04
     s = v.load(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("k"), (F.col("l_suppkey") % 97).alias("stratum")).agg(F.count_if(even & high).alias("a"), F.count_if(even & ~high).alias("b"), F.count_if(~even & high).alias("c"), F.count_if(~even & ~high).alias("d"))
     out = testing.mantel_haenszel(s, ["k"])
-    return out.select("k", "strata", _r(F.col("odds_ratio"), "odds_ratio"), F.round("chi_square", 6).alias("chi_square"))
+    return out.select("k", "strata", *[_r(F.col(c), c) for c in ("odds_ratio", "ci_low", "ci_high")], F.round("chi_square", 6).alias("chi_square"))
 
 
 # ---- sorts, pivots, sets ---------------------------------------------------------------------

@@ -14,7 +14,7 @@ from .queries import _EVENT, _FIT, _called, _r, fitted, query
 
 @query("""WITH s AS (SELECT 'c'||(c_custkey%1400) AS sample_id, 'n'||c_nationkey AS condition, CASE WHEN c_nationkey<20 THEN 'n'||(c_nationkey%7) ELSE 'n'||(c_nationkey+c_custkey%3) END AS control_condition FROM customer),
 i AS (SELECT sample_id, count(*) AS n FROM s GROUP BY 1), c AS (SELECT condition, count(*) AS n, count(DISTINCT control_condition) AS k FROM s GROUP BY 1)
-SELECT 'duplicate_sample' AS problem, sample_id AS item FROM i WHERE n>1 UNION ALL SELECT 'several_controls', condition FROM c WHERE k>1 UNION ALL SELECT 'few_replicates', condition FROM c WHERE n<60
+SELECT 'duplicate_sample' AS problem, sample_id AS item FROM i WHERE n>1 UNION ALL SELECT DISTINCT 'own_control', condition FROM s WHERE condition=control_condition UNION ALL SELECT 'several_controls', condition FROM c WHERE k>1 UNION ALL SELECT 'few_replicates', condition FROM c WHERE n<60
 UNION ALL SELECT DISTINCT 'unknown_control', control_condition FROM s WHERE control_condition NOT IN (SELECT condition FROM s)""")
 def v3_v4_v5_v7_sample_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     n, c = F.col("c_nationkey"), F.col("c_custkey")
@@ -49,9 +49,13 @@ def v11_several_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.several_names(v.load(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "gene"), "gene", "o_orderpriority")
 
 
-@query(f"{FULL} SELECT gene_id, sample_id FROM counts GROUP BY 1,2 HAVING sum(\"count\")<0")
+@query(f"""{FULL}, u AS (SELECT gene_id, pac_id, sample_id, "count", sum("count") OVER w AS t, "count"/nullif(sum("count") OVER w,0) AS pau FROM counts WINDOW w AS (PARTITION BY gene_id, sample_id)), x AS (SELECT a.coordinate, u.* FROM u JOIN atlas_v a ON a.pac_id=u.pac_id)
+SELECT gene_id, sample_id FROM x GROUP BY 1,2 HAVING sum("count")<>max(t+CASE WHEN coordinate%1400=0 THEN 3 ELSE 0 END) OR (max(t+CASE WHEN coordinate%1400=0 THEN 3 ELSE 0 END)>0 AND abs(sum(pau*CASE WHEN coordinate%2200=0 THEN 1.01 ELSE 1 END)-1)>1e-8+1e-5)""")
 def v10_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.broken_totals(aggregates.usage(v.site_counts(spark, sf_dir)))
+    """Totals and shares are spoiled at some sites."""
+    d = aggregates.usage(v.site_counts(spark, sf_dir)).join(v.atlas(spark, sf_dir).select("pac_id", "coordinate"), "pac_id")
+    d = d.withColumn("gene_total", F.col("gene_total") + F.when(F.col("coordinate") % 1400 == 0, 3).otherwise(0)).withColumn("pau", F.col("pau") * F.when(F.col("coordinate") % 2200 == 0, 1.01).otherwise(1.0))
+    return checks.broken_totals(d)
 
 
 @query(f"{FULL}, u AS (SELECT pac_id, sample_id, \"count\"/sum(\"count\") OVER (PARTITION BY gene_id, sample_id) AS pau FROM counts) SELECT a.strand, u.sample_id, count(*) AS n, round(avg(pau),9) AS mean_pau FROM u JOIN atlas_v a ON a.pac_id=u.pac_id GROUP BY 1,2")
@@ -109,10 +113,12 @@ def _family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.complete(v.site_counts(spark, sf_dir), pacs, v.samples(spark), ["pac_id", "gene_id"]).join(F.broadcast(v.samples(spark).select("sample_id", "condition")), "sample_id")  # 8 rows
 
 
-@query(f"""{FULL}, s AS (SELECT c.gene_id, s.condition, sum("count") AS n FROM counts c JOIN samples_v s ON s.sample_id=c.sample_id GROUP BY 1,2), g AS (SELECT DISTINCT gene_id FROM atlas_v)
+@query(f"""{FULL}, s AS (SELECT c.gene_id, s.condition, sum("count") AS n FROM counts c JOIN samples_v s ON s.sample_id=c.sample_id WHERE NOT (s.condition='C2' AND contains(c.gene_id,'7')) GROUP BY 1,2), g AS (SELECT DISTINCT gene_id FROM atlas_v)
 SELECT g.gene_id, c.condition FROM g CROSS JOIN (SELECT DISTINCT condition FROM samples_v) c LEFT JOIN s ON s.gene_id=g.gene_id AND s.condition=c.condition WHERE coalesce(n,0)=0""")
 def a35_silent_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _family(spark, sf_dir).groupBy("gene_id", "condition").agg(F.sum("count").alias("n")).filter("n = 0").select("gene_id", "condition")
+    """Reads of some genes are taken out of one condition."""
+    lost = (F.col("condition") == "C2") & F.contains("gene_id", F.lit("7"))
+    return aggregates.silent_groups(_family(spark, sf_dir).withColumn("count", F.when(lost, 0).otherwise(F.col("count"))))
 
 
 @query(f"""{FULL}, {_FIT}, d AS (SELECT comparison, gene_id, arg_min(pac_id, (-c_fit, coordinate)) AS control_dominant, arg_min(pac_id, (-t_fit, coordinate)) AS treatment_dominant, count(*) FILTER (c_fit>=0.05) AS control_active, count(*) FILTER (t_fit>=0.05) AS treatment_active FROM fitted GROUP BY 1,2)
@@ -182,7 +188,7 @@ def u2_u3_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return up.filter("comparison = 'C1'").select("pac_id").distinct().subtract(up.filter("comparison = 'C2'").select("pac_id"))
 
 
-@query(f"{BASE} SELECT chrom||chr(9)||greatest(coordinate-1,0)||chr(9)||greatest(coordinate,1)||chr(9)||pac_id||chr(9)||least(coordinate,1000)||chr(9)||strand AS value FROM atlas_v")
+@query(f"{BASE} SELECT chrom||chr(9)||coordinate||chr(9)||(coordinate+1)||chr(9)||pac_id||chr(9)||least(coordinate,1000)||chr(9)||strand AS value FROM atlas_v")
 def k5_bed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sources.sinks import bed6
 
@@ -196,19 +202,12 @@ def k4_bedgraph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bedgraph(v.observed(spark, sf_dir))
 
 
-@query(f"""{FULL}, {_FIT}, {SEQS}, ev AS (SELECT pac_id, gene_id, {_EVENT}<>'none' AS event, coordinate FROM fitted WHERE comparison='C1'), z AS (SELECT ev.*, s.seq AS w FROM ev JOIN seqs s ON s.doc_id=(ev.coordinate//9)%500),
-n AS (SELECT *, count(*) FILTER (event) OVER (PARTITION BY gene_id) AS e, count(*) FILTER (NOT event) OVER (PARTITION BY gene_id) AS b FROM z), k AS (SELECT *, unnest(list_distinct(list_transform(range(1,length(w)-1), lambda i: substr(w,i,3)))) AS kmer FROM n WHERE e>0 AND b>0 AND length(w)>=3),
-t AS (SELECT kmer, gene_id, e, b, count(*) FILTER (event) AS a, count(*) FILTER (NOT event) AS c FROM k GROUP BY 1,2,3,4), q AS (SELECT kmer, a, e-a AS b, c, b-c AS d, CAST(e+b AS DOUBLE) AS n FROM t WHERE a+c>0 AND (e-a)+(b-c)>0)
-SELECT kmer, count(*) AS strata, round(sum(a*d/n)/nullif(sum(b*c/n),0),6) AS odds_ratio, round(pow(sum(a-(a+b)*(a+c)/n),2)/sum((a+b)*(c+d)*(a+c)*(b+d)/(n*n*(n-1))),6) AS chi_square FROM q GROUP BY 1""")
+@query(f"""{FULL}, {_FIT}, {SEQS}, ev AS (SELECT comparison, pac_id, gene_id, {_EVENT}<>'none' AS event, coordinate FROM fitted), z AS (SELECT ev.*, substr(s.seq, CAST((ev.coordinate*31)%greatest(length(s.seq)-59,1)+1 AS INT), 60) AS w FROM ev JOIN seqs s ON s.doc_id=(ev.coordinate*7919)%(SELECT max(doc_id)+1 FROM seqs)),
+n AS (SELECT *, count(*) FILTER (event) OVER (PARTITION BY comparison, gene_id) AS e, count(*) FILTER (NOT event) OVER (PARTITION BY comparison, gene_id) AS b FROM z), k AS (SELECT *, unnest(list_distinct(list_transform(range(1,length(w)-1), lambda i: substr(w,i,3)))) AS kmer FROM n WHERE e>0 AND b>0 AND length(w)>=3),
+t AS (SELECT comparison, kmer, gene_id, e, b, count(*) FILTER (event) AS a, count(*) FILTER (NOT event) AS c FROM k GROUP BY 1,2,3,4,5), q AS (SELECT comparison, kmer, a, e-a AS b, c, b-c AS d, CAST(e+b AS DOUBLE) AS n FROM t WHERE a+c>0 AND (e-a)+(b-c)>0)
+SELECT comparison, kmer, count(*) AS strata, CASE WHEN sum(b*c/n)=0 THEN 'inf'::DOUBLE ELSE round(sum(a*d/n)/sum(b*c/n),6) END AS odds_ratio, round(pow(sum(a-(a+b)*(a+c)/n),2)/sum((a+b)*(c+d)*(a+c)*(b+d)/(n*n*(n-1))),6) AS chi_square FROM q GROUP BY 1,2""")
 def m18_kmer_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _called(spark, sf_dir).filter("comparison = 'C1'").withColumn("doc_id", F.expr("(coordinate div 9) % 500")).join(v.sequences(spark, sf_dir), "doc_id")
-    out = models.kmer_enrichment(d.select("gene_id", "pac_id", (F.col("event_type") != "none").alias("event"), F.col("seq").alias("window")), 3)
-    return out.select("kmer", "strata", F.round("odds_ratio", 6).alias("odds_ratio"), F.round("chi_square", 6).alias("chi_square"))
-
-
-@query()
-def m18_kmer_enrichment_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = v.site_windows(_called(spark, sf_dir), v.whole_sequences(spark, sf_dir))
+    d = v.site_windows(_called(spark, sf_dir), v.sequences(spark, sf_dir))
     out = models.kmer_enrichment(d.select("comparison", "gene_id", "pac_id", (F.col("event_type") != "none").alias("event"), "window"), 3, keys=("comparison",))
     return out.select("comparison", "kmer", "strata", F.round("odds_ratio", 6).alias("odds_ratio"), F.round("chi_square", 6).alias("chi_square"))
 
@@ -225,22 +224,23 @@ def m3_proportion_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def m19_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names, scores, shares = models.usage_pca(aggregates.usage(v.site_counts(spark, sf_dir)), 8)
+    names, scores, shares = models.usage_pca(aggregates.usage(v.site_counts(spark, sf_dir)), 8, 10)
     return spark.createDataFrame([(s, k + 1, float(scores[j, k]), float(shares[k])) for j, s in enumerate(names) for k in range(scores.shape[1])], "sample_id string, component int, score double, variance_share double")
 
 
-@query(f"""{FULL}, m AS (SELECT pac_id, 'M'||(coordinate%7) AS motif, coordinate%11=0 AS rescued FROM atlas_v), d AS (SELECT c.gene_id, c.pac_id, c.sample_id, c."count", motif FROM counts c JOIN m ON m.pac_id=c.pac_id WHERE NOT rescued),
+@query(f"""{FULL}, m AS (SELECT pac_id, 'M'||(coordinate%7) AS motif, coordinate%11=0 AS rescued FROM atlas_v), tot AS (SELECT gene_id, sample_id, sum("count") AS t FROM counts GROUP BY 1,2), cov AS (SELECT gene_id FROM tot GROUP BY 1 HAVING min(t)>=200),
+d AS (SELECT c.gene_id, c.pac_id, c.sample_id, c."count", motif FROM counts c JOIN m ON m.pac_id=c.pac_id WHERE NOT rescued AND c.gene_id IN (SELECT gene_id FROM cov)),
 w AS (SELECT *, sum("count") OVER (PARTITION BY gene_id, sample_id) AS t FROM d), n AS (SELECT gene_id, sample_id, count(DISTINCT pac_id) AS n FROM d GROUP BY 1,2),
-p AS (SELECT w.sample_id, w.gene_id, motif, sum("count"/t) AS share FROM w JOIN n ON n.gene_id=w.gene_id AND n.sample_id=w.sample_id WHERE t>=10 AND n>=2 GROUP BY 1,2,3) SELECT sample_id, motif, round(asin(sqrt(avg(share))),9) AS score, count(*) AS genes FROM p GROUP BY 1,2""")
+p AS (SELECT w.sample_id, w.gene_id, motif, sum("count"/t) AS share FROM w JOIN n ON n.gene_id=w.gene_id AND n.sample_id=w.sample_id WHERE t>0 AND n>=2 GROUP BY 1,2,3) SELECT sample_id, motif, round(asin(sqrt(avg(share))),9) AS score, count(*) AS genes FROM p GROUP BY 1,2""")
 def a9_w3_f9_motif_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .operators.annotation import motif_usage
 
     c = F.col("coordinate")
     motifs = v.atlas(spark, sf_dir).select("pac_id", F.concat(F.lit("M"), c % 7).alias("motif"), (c % 11 == 0).alias("rescued"))
-    return motif_usage(v.site_counts(spark, sf_dir), motifs).withColumn("score", F.round("score", 9))
+    return motif_usage(aggregates.usage(v.site_counts(spark, sf_dir)), motifs, 200).withColumn("score", F.round("score", 9))
 
 
-@query(f"""{BASE} SELECT 'PACv1.x.'||chrom||'.'||strand||'.'||coordinate AS pac_id, chrom||':'||coordinate||':'||strand AS locus, chrom||':'||(greatest(coordinate-100,0)+1)||'-'||(coordinate+100) AS browser_interval,
+@query(f"""{BASE} SELECT 'PACv1.x.'||chrom||'.'||strand||'.'||coordinate AS pac_id, chrom||':'||coordinate||':'||strand AS locus, chrom||':'||coordinate||'-'||(coordinate+1) AS browser_interval,
  CASE WHEN coordinate%13=0 OR coordinate%7=0 THEN 'low' WHEN coordinate%5=0 THEN 'moderate' WHEN coordinate%2=0 AND coordinate%9>=2 THEN 'high' ELSE 'moderate' END AS confidence FROM atlas_v""")
 def p15_p16_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .operators.annotation import confidence, labels
@@ -250,11 +250,11 @@ def p15_p16_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("pac_id", "locus", "browser_interval", confidence(c % 13 == 0, c % 7 == 0, c % 5 == 0, c % 2 == 0, c % 9).alias("confidence"))
 
 
-@query(f"""WITH {SEQS} SELECT doc_id, coalesce(list_max(list_transform(regexp_extract_all(w,'A+'), lambda x: length(x))),0)>3 OR (length(w)>0 AND (length(w)-length(replace(w,'A','')))/length(w)>0.5) AS primed FROM (SELECT doc_id, substr(seq,1,12) AS w FROM seqs)""")
+@query(f"""WITH {SEQS} SELECT doc_id, coalesce(list_max(list_transform(regexp_extract_all(w,'A+'), lambda x: length(x))),0)>8 OR (length(w)>0 AND (length(w)-length(replace(w,'A','')))/length(w)>0.5) AS primed FROM (SELECT doc_id, seq AS w FROM seqs)""")
 def p17_priming(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .operators.annotation import priming
 
-    return v.sequences(spark, sf_dir).select("doc_id", priming(F.substring("seq", 1, 12), 3, 0.5).alias("primed"))
+    return v.sequences(spark, sf_dir).select("doc_id", priming(F.col("seq"), 8, 0.5).alias("primed"))
 
 
 @query("""SELECT o_custkey AS gene_id, coalesce(arg_min(nm, o_orderkey) FILTER (g AND nm IS NOT NULL), arg_min(nm, o_orderkey) FILTER (nm IS NOT NULL), CAST(o_custkey AS VARCHAR)) AS gene_name FROM (SELECT *, o_orderstatus='F' AS g, CASE WHEN o_orderkey%3=0 THEN NULL ELSE o_orderpriority END AS nm FROM orders) GROUP BY o_custkey""")

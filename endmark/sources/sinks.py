@@ -34,9 +34,10 @@ def bedgraph(evidence: DataFrame) -> DataFrame:
 
 
 def bed6(atlas: DataFrame) -> DataFrame:
-    """Sites as BED6 lines, scores capped at 1000."""
+    """Sites as BED6 lines: the boundary base, or the resolution region where there is one; scores capped at 1000."""
     c = F.col("coordinate")
-    return atlas.select(F.concat_ws("\t", "chrom", F.greatest(c - 1, F.lit(0)).cast("string"), F.greatest(c, F.lit(1)).cast("string"), "pac_id", F.least("total", F.lit(1000)).cast("string"), "strand").alias("value"))
+    start, end = (F.col("region_start"), F.col("region_end")) if {"region_start", "region_end"} <= set(atlas.columns) else (c, c + 1)
+    return atlas.select(F.concat_ws("\t", "chrom", start.cast("string"), end.cast("string"), "pac_id", F.least("total", F.lit(1000)).cast("string"), "strand").alias("value"))
 
 
 def flattened(candidates: DataFrame, members: str = "members", conditions: str = "supporting_conditions") -> DataFrame:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from endmark.operators import annotation as a
@@ -16,10 +17,10 @@ def test_gene_names(spark):
 
 
 def test_terminal_exons(spark):
-    rows = [("g", "t1", "c", "+", 0, 10, 1), ("g", "t1", "c", "+", 20, 30, 2), ("g", "t1", "c", "+", 90, 100, 3), ("g", "t2", "c", "+", 0, 10, 4), ("g", "t2", "c", "+", 25, 40, 5), ("g", "t3", "c", "+", 95, 120, 6), ("m", "t4", "c", "-", 200, 210, 7), ("m", "t4", "c", "-", 230, 240, 8)]
+    rows = [("g", "t1", "c", "+", 0, 10, 1), ("g", "t1", "c", "+", 20, 30, 2), ("g", "t1", "c", "+", 90, 100, 3), ("g", "t2", "c", "+", 0, 10, 4), ("g", "t2", "c", "+", 25, 40, 5), ("g", "t3", "c", "+", 95, 120, 6), ("g", "t5", "c", "+", 50, 60, 9), ("m", "t4", "c", "-", 200, 210, 7), ("m", "t4", "c", "-", 230, 240, 8)]
     got = a.terminal_exons(spark.createDataFrame(rows, EXONS)).collect()
-    # t2 ends inside an internal exon of t1; t3 is a single exon of a spliced gene; t4 ends at its lowest exon
-    assert sorted((r.transcript_id, r.start) for r in got) == [("t1", 90), ("t4", 200)]
+    # t2 ends inside an internal exon of t1; t3 and t5 are single exons of a spliced gene, t5 apart from all its spliced exons; t4 ends at its lowest exon
+    assert sorted((r.transcript_id, r.start) for r in got) == [("t1", 90), ("t3", 95), ("t4", 200)]
 
 
 def test_assignment(spark):
@@ -40,12 +41,14 @@ def test_priming_confidence_labels(spark):
     got = spark.range(1).select(a.confidence(t, f, f, t, F.lit(3)), a.confidence(f, f, t, t, F.lit(3)), a.confidence(f, f, f, t, F.lit(2)), a.confidence(f, f, f, t, F.lit(1))).first()
     assert tuple(got) == ("low", "moderate", "high", "moderate")
     r = a.labels(spark.createDataFrame([("c", "+", 7)], "contig string, strand string, coordinate long"), "x1").first()
-    assert (r.pac_id, r.locus, r.browser_interval) == ("PACv1.x1.c.+.7", "c:7:+", "c:1-107")
+    assert (r.pac_id, r.locus, r.browser_interval) == ("PACv1.x1.c.+.7", "c:7:+", "c:7-8")
 
 
 def test_motif_usage(spark):
-    pau = spark.createDataFrame([("g", "a", "S", 30), ("g", "b", "S", 10), ("g", "c", "S", 60), ("h", "d", "S", 50), ("k", "e", "S", 20), ("k", "f", "S", 20)], "gene_id string, pac_id string, sample_id string, count long")
-    motifs = spark.createDataFrame([("a", "M", False), ("b", "N", False), ("c", "M", True), ("d", "M", False), ("e", "M", False), ("f", "M", False)], "pac_id string, motif string, rescued boolean")
+    pau = spark.createDataFrame([("g", "a", "S", 30), ("g", "b", "S", 10), ("g", "c", "S", 60), ("h", "d", "S", 50), ("k", "e", "S", 20), ("k", "f", "S", 20), ("u", "x", "S", 90), ("u", "y", "S", 90), ("u", "x", "R", 3), ("u", "y", "R", 3)], "gene_id string, pac_id string, sample_id string, count long")
+    pau = pau.withColumn("gene_total", F.sum("count").over(Window.partitionBy("gene_id", "sample_id")))
+    motifs = spark.createDataFrame([("a", "M", False), ("b", "N", False), ("c", "M", True), ("d", "M", False), ("e", "M", False), ("f", "M", False), ("x", "M", False), ("y", "N", False)], "pac_id string, motif string, rescued boolean")
+    # c is rescued, but counts for the gene's depth; u has too few reads in R, and so counts nowhere
     got = {r.motif: (r.score, r.genes) for r in a.motif_usage(pau, motifs).collect()}
     assert got["M"] == (pytest.approx(math.asin(math.sqrt((0.75 + 1) / 2))), 2) and got["N"] == (pytest.approx(math.asin(0.5)), 1)
 

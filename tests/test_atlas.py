@@ -14,7 +14,7 @@ def test_atlas(spark, tmp_path):
                                      "gene_id string, transcript_id string, type string, contig string, strand string, start long, end long, line_no int")
     clusters = spark.createDataFrame([("c", "+", 101, 50, 3), ("c", "+", 300, 20, 3), ("c", "+", 20, 20, 1), ("c", "-", 200, 20, 3)], "contig string, strand string, coordinate long, total long, samples long")
     known = spark.createDataFrame([("c", "+", 103), ("c", "+", 25)], "contig string, strand string, coordinate long")
-    out = {r.coordinate: r for r in atlas.annotate(clusters, features, chunks, [("AATAAA", 1)], known, "x", chunk_width=100).collect()}
+    out = {r.coordinate: r for r in atlas.annotate(clusters, features, chunks, [("AATAAA", "canonical", 1)], known, "x", chunk_width=100).collect()}
     assert len(out) == 4
     a, b, c, d = (out[k] for k in (101, 300, 20, 200))
     assert (a.gene_id, a.region, a.last_exon_locus, a.primary_motif, a.confidence, a.known_sites, a.site_rank, a.n_sites) == ("g", "last_exon", "c:90:110:+", "AATAAA", "high", [103], 2, 3)

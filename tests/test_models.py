@@ -85,6 +85,11 @@ def test_stagewise(spark):
     got = {r.pac_id: r.pac_fdr for r in models.stagewise(d).collect()}
     assert got["a1"] == got["a2"] == 0 and got["b3"] is None and got["c1"] is None
     assert got["b1"] == pytest.approx(0.0015) and got["b2"] == pytest.approx(0.006)
+    # two comparisons are corrected apart: each as if alone
+    both = d.withColumn("treatment", F.lit("T1")).unionByName(d.withColumn("treatment", F.lit("T2")).withColumn("gene_p", F.col("gene_p") / 10).filter("gene_id <> 'c'"))
+    out = models.stagewise(both, keys=["treatment"]).collect()
+    assert {r.pac_id: r.pac_fdr for r in out if r.treatment == "T1"} == got
+    assert {r.pac_id: r.gene_fdr for r in out if r.treatment == "T2"}["a1"] == pytest.approx(0.0002)
 
 
 def test_moderated_t():
@@ -106,6 +111,11 @@ def test_pca(spark):
     assert names == ["S0", "S1", "S2", "S3"] and shares.sum() == pytest.approx(1)
     assert np.abs(scores) == pytest.approx(np.abs(u[:, :3] * s[:3]), abs=1e-8)
     assert shares == pytest.approx(s[:3] ** 2 / (s[:3] ** 2).sum())
+    # two sites a gene have loadings of one size: the first by id is made positive; a gene short of reads in one sample is left out
+    y = rng.uniform(size=4)
+    two = [("g", p, f"S{j}", 10, float(v)) for j in range(4) for p, v in (("a", y[j]), ("b", 1 - y[j]))] + [("h", "c", f"S{j}", 9 if j else 100, float(rng.uniform())) for j in range(4)]
+    _, scores, shares = models.usage_pca(spark.createDataFrame(two, "gene_id string, pac_id string, sample_id string, gene_total long, pau double"), 4, 10)
+    assert scores[:, 0] == pytest.approx((y - y.mean()) * np.sqrt(2), abs=1e-8) and shares == pytest.approx([1.0])
 
 
 def test_cycles(spark):

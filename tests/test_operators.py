@@ -35,7 +35,7 @@ def greedy(rows, seed_radius, cluster_radius):
             for s, _, st, x, n in rows:
                 if st == strand and abs(x - c) <= seed_radius:
                     per[s] = per.get(s, 0) + n
-            return (-sum(v >= 3 for v in per.values()), -sum(min(v, 3) for v in per.values()), -sum(per.values()), c)
+            return (-sum(v > 0 for v in per.values()), -sum(min(v, 3) for v in per.values()), -sum(per.values()), c)
 
         free = set(at)
         for c in sorted(at, key=rank):
@@ -56,8 +56,33 @@ def test_greedy_clusters(spark):
 def test_kernel_peaks(spark):
     rows = [("S0", "c1", "+", c, 3) for c in (100, 103, 106, 400)] + [("S0", "c1", "-", 50, 2)]
     got = clustering.kernel_peaks(spark.createDataFrame(rows, OBS), [1.0, 2.0, 1.0], 0, 3, 12).orderBy("strand", "bin").collect()
+    # bins are the nearest: 100 -> 33, 103 -> 34, 106 -> 35, 400 -> 133, -50 -> -17
     assert [(r.strand, r.bin, r.score) for r in got] == [("+", 35, 12.0), ("+", 134, 6.0), ("-", -16, 4.0)]
     assert clustering.local_peaks(np.array([0, 1, 1, 0, 2, 3])).tolist() == [1, 5]
+    assert clustering.local_peaks(np.array([2, 2, 1, 0, 3, 3])).tolist() == [0, 5]  # plateaus at the ends count at the end itself
+    assert clustering.local_peaks(np.array([4.0])).tolist() == [0] and not len(clustering.local_peaks(np.array([])))
+    up = [("S0", "c1", "+", 8, 1)]
+    assert [r.bin for r in clustering.kernel_peaks(spark.createDataFrame(up, OBS), [1.0], 0, 10, 10).collect()] == [1]
+    with pytest.raises(ValueError):
+        clustering.kernel_peaks(spark.createDataFrame(up, OBS), [1.0], 0, 20, 10)
+
+
+def test_support_by_number_and_seeds_of_single_reads(spark):
+    samples = spark.createDataFrame([(f"A{k}", "A") for k in range(4)] + [(f"B{k}", "B") for k in range(2)], "sample_id string, condition string")
+    counts = spark.createDataFrame([("p", f"A{k}", 5) for k in range(3)] + [("p", f"B{k}", 5) for k in range(2)], "pac_id string, sample_id string, count long")
+    assert aggregates.condition_support(counts, samples, ["pac_id"], 1, 2).first().best_condition == "A"  # 3 of 4 against 2 of 2
+    assert aggregates.condition_support(counts, samples, ["pac_id"], 1, 0.5).first().best_condition == "B"
+    one = spark.createDataFrame([("S1", "c", "+", 10, 1), ("S2", "c", "+", 11, 1)], OBS)
+    assert [(r.supporting, r.capped, r.raw) for r in aggregates.seed_metrics(one, 4).collect()] == [(2, 2, 2)] * 2
+
+
+def test_odds_ratio_interval(spark):
+    rows = [("x", 10, 5, 3, 12), ("x", 7, 9, 4, 15), ("y", 4, 0, 3, 2), ("z", 4, 0, 3, 0)]
+    got = {r.k: r for r in testing.mantel_haenszel(spark.createDataFrame(rows, "k string, a long, b long, c long, d long"), ["k"]).collect()}
+    assert got["x"].odds_ratio == pytest.approx((10 * 12 / 30 + 7 * 15 / 35) / (5 * 3 / 30 + 9 * 4 / 35))
+    assert got["x"].ci_low < got["x"].odds_ratio < got["x"].ci_high
+    assert got["x"].ci_low * got["x"].ci_high == pytest.approx(got["x"].odds_ratio ** 2)
+    assert got["y"].odds_ratio == float("inf") and got["y"].ci_low is None and "z" not in got
 
 
 def test_joins_with_ties_and_nothing_near(spark):

@@ -122,7 +122,7 @@ def test_sinks(spark, tmp_path):
     assert readers.is_sorted(d.orderBy("coordinate"), ["coordinate"]) and not readers.is_sorted(d.orderBy(F.desc("coordinate")), ["coordinate"])
     assert readers.merged([d, d], ["contig", "strand", "coordinate", "sample_id"]).count() == 6
     sites = spark.createDataFrame([("c1", "+", 9, "p", 5000)], "chrom string, strand string, coordinate long, pac_id string, total long")
-    assert sinks.bed6(sites).first().value == "c1\t8\t9\tp\t1000\t+"
+    assert sinks.bed6(sites).first().value == "c1\t9\t10\tp\t1000\t+"
     with pytest.raises(ValueError, match="other columns"):
         sinks.concatenated({"a": d, "b": d.drop("count")})
     assert sinks.concatenated({"b": d, "a": d}).first().family == "a"
