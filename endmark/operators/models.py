@@ -33,14 +33,29 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return 0.5 * math.log(2 * math.pi) + (x + 0.5) * np.log(t) - t + np.log(total) - np.log(x)
 
 
-def chi_square_tail(x: Column, df: Column) -> Column:
-    """Upper tail for whole degrees of freedom, null unless finite: a finite sum for even df, the normal tail plus one for odd df."""
+def _erfc(z: Column) -> Column:
+    """The complementary error function for z >= 0: the power series below 2, the continued fraction, 80 levels deep, from there on."""
+    steps = F.sequence(F.lit(1), F.lit(80))
+    start = F.struct(z.alias("term"), z.alias("total"))
+    grown = lambda s, n: s["term"] * 2 * z * z / (2 * n + 1)
+    series = F.aggregate(steps, start, lambda s, n: F.struct(grown(s, n).alias("term"), (s["total"] + grown(s, n)).alias("total")), lambda s: s["total"])
+    gauss = F.exp(-z * z)
+    fraction = F.aggregate(steps, z, lambda f, n: z + (81 - n) / 2 / f)
+    return F.when(z < 2, 1 - 2 / math.sqrt(math.pi) * gauss * series).otherwise(gauss / math.sqrt(math.pi) / fraction)
 
-    @F.pandas_udf("double")
-    def tail(x: pd.Series, df: pd.Series) -> pd.Series:
-        return pd.Series([chi_square_sf(a, int(b)) if pd.notna(a) and pd.notna(b) and math.isfinite(a) and b >= 1 else None for a, b in zip(x, df, strict=True)], dtype="float64")
 
-    return tail(x, df)
+def chi_square_tail(x: Column, df: Column) -> Column:
+    """Upper tail for whole degrees of freedom, null unless finite: a finite sum for even df, the normal tail plus one for odd df."""
+    x, df = x.cast("double"), df.cast("int")
+    odd = df % 2 == 1
+    first = F.when(odd, F.sqrt(2 * x / math.pi)).otherwise(F.lit(1.0)) * F.exp(-x / 2)
+    n = F.floor(df / 2).cast("int")
+    terms = F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    start = F.struct(first.alias("term"), F.lit(0.0).alias("total"))
+    step = lambda s, k: F.struct((s["term"] * x / F.when(odd, 2 * k + 1).otherwise(2 * k)).alias("term"), (s["total"] + s["term"]).alias("total"))
+    total = F.aggregate(terms, start, step, lambda s: s["total"]) + F.when(odd, _erfc(F.sqrt(x / 2))).otherwise(0.0)
+    finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")) & (df >= 1)
+    return F.when(finite, F.when(x <= 0, 1.0).otherwise(F.least(F.lit(1.0), total)))
 
 
 def chi_square_sf(x: float, df: int) -> float:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.checks import cyclic
+from ..plans.storage import written
+
 YES = ("true", "t", "1", "yes")
 
 
@@ -91,17 +94,21 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return checked.select(F.get(f, F.lit(0)).alias("contig"), kind.alias("type"), (F.get(f, F.lit(3)).cast("long") - 1).alias("start"), F.get(f, F.lit(4)).cast("long").alias("end"), F.get(f, F.lit(6)).alias("strand"), _attributes(F.get(f, F.lit(8))).alias("attributes"))
 
 
-def resolve_features(features: DataFrame, depth: int = 6) -> DataFrame:
-    """Stranded features with gene_id, transcript_id and gene_name; GFF3 parents are followed up to a gene, level by level. An exon, transcript or gene
-    without a gene is an error when it is read."""
+def resolve_features(features: DataFrame) -> DataFrame:
+    """Stranded features with gene_id, transcript_id and gene_name; GFF3 parents are followed up to a gene, level by level, however many there are. An exon, transcript
+    or gene without a gene is an error when it is read, parents that form a cycle one at once."""
     a = F.col("attributes")
     d = features.filter("strand in ('+', '-')").withColumns({"id": attribute(a, "ID"), "parent": attribute(a, "Parent"), "gene_id": attribute(a, "gene_id"), "transcript_id": attribute(a, "transcript_id"), "gene_name": attribute(a, "gene_name", "Name", "gene")})
     d = d.withColumn("gene_id", F.coalesce("gene_id", F.when(F.col("type") == "gene", F.col("id")))).withColumn("transcript_id", F.coalesce("transcript_id", F.when(F.col("type").isin("transcript", "mRNA"), F.col("id")), F.when(F.col("type") == "exon", F.col("parent"))))
     named = d.filter("id is not null").select(F.col("id").alias("_id"), F.col("parent").alias("_up"), F.col("gene_id").alias("_gene")).dropDuplicates(["_id"])
     d = d.withColumn("_at", F.col("parent"))
-    for _ in range(depth):
-        if not d.filter("gene_id is null and _at is not null").limit(1).count():
-            break
+    above = 0
+    while d.filter("gene_id is null and _at is not null").limit(1).count():
+        if above and above % 8 == 0:
+            if cyclic(named, "_id", "_up").limit(1).count():
+                raise ValueError("parents form a cycle")
+            d = written(d)  # a long plan costs more than a table
+        above += 1
         d = d.join(named, d["_at"] == named["_id"], "left").withColumn("gene_id", F.coalesce("gene_id", "_gene")).withColumn("_at", F.when(F.col("gene_id").isNull(), F.col("_up"))).drop("_id", "_up", "_gene")
     needed = F.col("type").isin("gene", "exon", "transcript", "mRNA") & F.col("gene_id").isNull()
     d = d.withColumn("gene_id", F.when(needed, F.raise_error(F.concat(F.lit("no gene for "), F.coalesce("id", "type")))).otherwise(F.col("gene_id")))

@@ -79,6 +79,14 @@ def test_boundary_and_stabilised(spark):
     assert out["g.1"].delta > 0.5 and out["g.1"].unstable == ""
 
 
+def test_chi_square_tail(spark):
+    rows = [(float(x), df) for x in (-1, 0, 1e-9, 0.5, 3.84, 7.9, 8.1, 30, 200, 5000) for df in (1, 2, 3, 4, 7, 10, 51)]
+    d = spark.createDataFrame([*rows, (None, 1), (float("nan"), 1), (float("inf"), 1), (1.0, 0), (1.0, None)], "x double, df int")
+    got = [r.p for r in d.coalesce(1).select(models.chi_square_tail(F.col("x"), F.col("df")).alias("p")).collect()]
+    assert got[: len(rows)] == pytest.approx([models.chi_square_sf(x, df) for x, df in rows], rel=1e-9, abs=1e-14)
+    assert got[len(rows) :] == [None] * 5
+
+
 def test_stagewise(spark):
     rows = [("a", "a1", 0.001, 0.2), ("a", "a2", 0.001, 0.9), ("b", "b1", 0.002, 0.001), ("b", "b2", 0.002, 0.004), ("b", "b3", 0.002, None), ("c", "c1", 0.9, 0.001), ("c", "c2", 0.9, 0.001)]
     d = spark.createDataFrame(rows, "gene_id string, pac_id string, gene_p double, pac_p double")

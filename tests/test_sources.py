@@ -41,6 +41,11 @@ def test_features(spark, tmp_path):
         readers.read_features(spark, put(tmp_path / "bad.gtf", "c1\tx\n")).collect()
     with pytest.raises(Exception, match="no gene"):
         readers.resolve_features(readers.read_features(spark, put(tmp_path / "b.gff3", "c1\ts\texon\t5\t9\t.\t-\t.\tID=e1;Parent=t7\n"))).collect()
+    deep = "c1\ts\tgene\t1\t100\t.\t-\t.\tID=p0\n" + "".join(f"c1\ts\tregion\t1\t90\t.\t-\t.\tID=p{k};Parent=p{k - 1}\n" for k in range(1, 11)) + "c1\ts\texon\t5\t9\t.\t-\t.\tParent=p10\n"
+    assert {r.gene_id for r in readers.resolve_features(readers.read_features(spark, put(tmp_path / "d.gff3", deep))).collect()} == {"p0"}
+    ring = "".join(f"c1\ts\tregion\t1\t90\t.\t-\t.\tID=r{k};Parent=r{(k + 1) % 3}\n" for k in range(3))
+    with pytest.raises(ValueError, match="cycle"):
+        readers.resolve_features(readers.read_features(spark, put(tmp_path / "c.gff3", ring)))
 
 
 def test_sites_motifs_aliases_kernel(spark, tmp_path):
