@@ -13,6 +13,7 @@ from endmark.llm.queries import tokenizer_path
 
 from . import brute
 from .test_operators import documents, prose
+from .test_resemblance import plain
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +31,7 @@ def sf_dir(spark, tmp_path_factory):
 def test_pipeline(spark, sf_dir):
     at, rows = sf_dir
     rows = [r for r in rows if (m := brute.measures(r[1]))[0] >= 50 and 100 * m[4] <= 50 * m[0]]
-    comp = brute.components([brute.fingerprint(r[1]) for r in rows], list(range(len(rows))))
+    comp = plain([(k, r[1]) for k, r in enumerate(rows)])  # all pairs of five-word shingle sets at 0.8
     first = lambda r: (r[0], hashlib.md5(f"{len(str(r[0]))}:{r[0]}{r[1]}".encode()).hexdigest())
     rows = [min((r for r, c in zip(rows, comp, strict=True) if c == g), key=first) for g in sorted(set(comp))]
     rows = [(i, brute.redacted(t, brute.spans(t, secret_scan.RULES), "[SECRET]"), lang, s) for i, t, lang, s, _ in rows]
