@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import sequences
+from .functions import labels, sequences
 from .operators import aggregates, checks, joins, models
 from .plans import adapters as v
 from .plans.adapters import BASE, FULL, SEQS
@@ -280,8 +280,8 @@ def a29_terminal_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{FULL}, {_FIT} SELECT comparison, round(median(delta),9) AS median_delta, round(quantile_cont(delta,0.25),9) AS q25 FROM fitted GROUP BY 1""")
 def f12_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
-    finite = F.when(F.abs("delta") < float("inf"), F.col("delta"))
-    return fitted(spark, sf_dir).groupBy("comparison").agg(_r(F.median(finite), "median_delta"), _r(F.percentile(finite, 0.25), "q25"))
+    delta = F.col("delta")
+    return fitted(spark, sf_dir).groupBy("comparison").agg(_r(labels.median_finite(delta), "median_delta"), _r(F.percentile(labels.finite(delta), 0.25), "q25"))
 
 
 @query(f"""{FULL}, x AS (SELECT c.pac_id, c.gene_id, s.condition, count(*) FILTER ("count">0) AS supporting, CAST(sum("count") AS BIGINT) AS reads, string_agg("count"::VARCHAR, ',' ORDER BY c.sample_id) AS raw FROM counts c JOIN samples_v s ON s.sample_id=c.sample_id GROUP BY 1,2,3) SELECT pac_id, condition, supporting, reads, CAST(sum(reads) OVER (PARTITION BY gene_id, condition) AS BIGINT) AS gene_total, raw FROM x""")
@@ -305,3 +305,42 @@ def a44_counts_with_zero_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t1_t2_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("comparison").orderBy("gene_id", "coordinate", "pac_id")
     return fitted(spark, sf_dir).select("pac_id", "comparison", F.row_number().over(w).cast("long").alias("place"))
+
+
+@query("""WITH s AS (SELECT 'c'||c_custkey AS sample_id, CASE c_nationkey%5 WHEN 0 THEN '' WHEN 1 THEN 'SE' WHEN 2 THEN 'PE' WHEN 3 THEN 'auto' ELSE 'se' END AS layout, CASE WHEN c_custkey%9=0 THEN 'reversed' ELSE 'reverse' END AS strandedness, CASE WHEN c_custkey%13=0 THEN '' ELSE c_mktsegment END AS donor FROM customer)
+SELECT sample_id, 'layout' AS field, 'invalid' AS problem FROM s WHERE layout='se' UNION ALL SELECT sample_id, 'strandedness', 'invalid' FROM s WHERE strandedness='reversed' UNION ALL SELECT sample_id, 'donor', 'missing' FROM s WHERE donor='' UNION ALL SELECT NULL, 'batch', 'no_column'""")
+def v8_sample_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, c = F.col("c_nationkey") % 5, F.col("c_custkey")
+    layout = F.when(n == 0, "").when(n == 1, "SE").when(n == 2, "PE").when(n == 3, "auto").otherwise("se")
+    s = v.load(spark, sf_dir, "customer").select(F.concat(F.lit("c"), c).alias("sample_id"), layout.alias("layout"), F.when(c % 9 == 0, "reversed").otherwise("reverse").alias("strandedness"), F.when(c % 13 == 0, "").otherwise(F.col("c_mktsegment")).alias("donor"))
+    return checks.sample_fields(s, ("donor", "batch"))
+
+
+@query("""WITH c AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) SELECT c_custkey AS sample_id, n<(SELECT avg(n) FROM c) AS exploratory FROM customer JOIN c USING (c_nationkey)""")
+def v7_exploratory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = v.load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sample_id"), F.col("c_nationkey").alias("condition"))
+    mean = s.groupBy("condition").count().agg(F.avg("count").alias("m")).first()["m"]
+    return checks.replicates(s, mean, "warn").select("sample_id", "exploratory")
+
+
+@query("""WITH i AS (SELECT 'C'||(l_linenumber%3) AS comparison, CASE WHEN l_orderkey%17=0 THEN '' ELSE 'g'||l_orderkey END AS gene_id, 'p'||(l_linenumber//3) AS feature_id, l_discount-0.05 AS lo, 0.04-l_tax AS hi, l_quantity-(CASE WHEN l_partkey%31=0 THEN 0.5 ELSE 0 END) AS n, l_suppkey%20-1 AS p, CASE WHEN l_partkey%7=0 THEN 'none' ELSE 'ok' END AS st FROM lineitem),
+b AS (SELECT *, n>=0 AND n=floor(n) AND p>=0 AS whole FROM i)
+SELECT comparison, gene_id, feature_id, 'no_key' AS problem FROM b WHERE gene_id='' UNION ALL SELECT comparison, gene_id, feature_id, 'counts' FROM b WHERE NOT whole UNION ALL SELECT comparison, gene_id, feature_id, 'perturbed' FROM b WHERE whole AND p>n
+UNION ALL SELECT comparison, gene_id, feature_id, 'status' FROM b WHERE st='none' UNION ALL SELECT comparison, gene_id, feature_id, 'bounds' FROM b WHERE lo>hi UNION ALL SELECT comparison, gene_id, feature_id, 'repeated' FROM b GROUP BY 1,2,3 HAVING count(*)>1""")
+def v12_bootstrap_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, part = F.col("l_linenumber"), F.col("l_partkey")
+    i = v.load(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("C"), line % 3).alias("comparison"), F.when(F.col("l_orderkey") % 17 == 0, "").otherwise(F.concat(F.lit("g"), "l_orderkey")).alias("gene_id"), F.concat(F.lit("p"), F.expr("l_linenumber div 3")).alias("feature_id"),
+        (F.col("l_discount") - 0.05).alias("delta_pau_ci_low"), (0.04 - F.col("l_tax")).alias("delta_pau_ci_high"), (F.col("l_quantity") - F.when(part % 31 == 0, 0.5).otherwise(0)).alias("bootstrap_successes"),
+        (F.col("l_suppkey") % 20 - 1).alias("bootstrap_perturbed"), F.when(part % 7 == 0, "none").otherwise("ok").alias("bootstrap_status"))
+    return checks.bootstrap_intervals(i)
+
+
+@query("""WITH d AS (SELECT o_orderkey, o_orderpriority AS stem, CASE o_orderkey%5 WHEN 0 THEN NULL WHEN 1 THEN 'utr_shortening;intronic_gain' WHEN 2 THEN 'intronic_loss_potential_internal_priming;utr_lengthening' WHEN 3 THEN 'other' ELSE 'utr_lengthening_potential_internal_priming' END AS p FROM orders)
+SELECT o_orderkey, replace('a_vs_'||stem, '_vs_', ' vs ') AS title, CASE o_orderkey%5 WHEN 1 THEN 'utr_shortening' WHEN 2 THEN 'intronic_loss' WHEN 4 THEN 'utr_lengthening' ELSE 'none' END AS pattern, coalesce(split_part(p,';',1) LIKE '%_potential_internal_priming', false) AS flagged,
+format('{:,}', o_orderkey)||CASE WHEN o_orderkey=1 THEN ' read' ELSE ' reads' END AS reads, CASE WHEN abs(o_custkey%50-10)<=abs(o_custkey%50-30) THEN 10 ELSE 30 END AS nearest FROM d JOIN (SELECT o_orderkey, o_custkey FROM orders) USING (o_orderkey)""")
+def f14_f15_j20_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    p = F.when(key % 5 == 1, "utr_shortening;intronic_gain").when(key % 5 == 2, "intronic_loss_potential_internal_priming;utr_lengthening").when(key % 5 == 3, "other").when(key % 5 == 4, "utr_lengthening_potential_internal_priming")
+    peaks = F.array(F.lit(10), F.lit(30))
+    return v.load(spark, sf_dir, "orders").select("o_orderkey", labels.comparison_title(F.concat(F.lit("a_vs_"), "o_orderpriority")).alias("title"), labels.first_pattern(p).alias("pattern"), labels.first_flagged(p).alias("flagged"), labels.plural(key, "read").alias("reads"), labels.nearest_of(F.col("o_custkey") % 50, peaks).cast("int").alias("nearest"))

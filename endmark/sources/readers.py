@@ -185,3 +185,51 @@ def read_sam(spark: SparkSession, path: str) -> DataFrame:
     cigar = F.transform(F.regexp_extract_all(F.get(f, F.lit(5)), F.lit("[0-9]+[MIDNSHP=X]"), F.lit(0)), lambda m: F.struct(code(m).alias("op"), F.regexp_extract(m, "^([0-9]+)", 1).cast("int").alias("len")))
     hits = F.try_element_at(F.filter(f, lambda x: x.startswith("NH:i:")), F.lit(1))
     return d.select(F.get(f, F.lit(0)).alias("name"), F.get(f, F.lit(1)).cast("int").alias("flag"), F.get(f, F.lit(2)).alias("contig"), (F.get(f, F.lit(3)).cast("long") - 1).alias("start"), F.get(f, F.lit(4)).cast("int").alias("mapq"), cigar.alias("cigar"), F.get(f, F.lit(9)).alias("sequence"), F.substr(hits, F.lit(6)).cast("int").alias("hits"))
+
+
+CONTINUATION = "sample_id string, contig string, strand string, upstream_start long, upstream_end long, downstream_start long, downstream_end long, count long"
+
+
+def _typed(df: DataFrame, schema: str) -> DataFrame:
+    fields = [f.rsplit(" ", 1) for f in schema.split(", ")]
+    return conform(df, [n for n, _ in fields]).select(*[F.col(n).cast(t).alias(n) for n, t in fields])
+
+
+def read_transcript_ends(spark: SparkSession, path: str) -> DataFrame:
+    """(contig, strand, coordinate, gene_id) of reference transcript ends; a coordinate that is no number is an error. Rows are looked up by the joins, so they have no order."""
+    return _typed(read_tsv(spark, path), "contig string, strand string, coordinate long, gene_id string")
+
+
+def read_continuations(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Splice continuations of several files as one table; other columns are left out."""
+    parts = [_typed(read_tsv(spark, p), CONTINUATION) for p in paths]
+    out = spark.createDataFrame([], CONTINUATION)
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
+def read_scan(spark: SparkSession, path: str) -> dict[str, object]:
+    """The manifest that sinks.write_scan left: its fields, with each source's table as an absolute path and the order of its filter counts kept. A table it
+    names that isn't there is an error. Opened through Hadoop, as the tables are."""
+    import json
+
+    text = "".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+    found = json.loads(text)
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    folder = jvm.org.apache.hadoop.fs.Path(path).getParent()
+    lacking = []
+
+    def at(name: str) -> str:
+        where = jvm.org.apache.hadoop.fs.Path(folder, name)
+        if not where.getFileSystem(conf).exists(where):
+            lacking.append(name)
+        return where.toString()
+
+    for one in found["sources"].values():
+        one["table"], one["filtering"] = at(one["table"]), dict(one["filtering"])
+    if found["splice"]:
+        found["splice"]["table"], found["splice"]["filtering"] = at(found["splice"]["table"]), dict(found["splice"]["filtering"])
+    if lacking:
+        raise ValueError(f"{path} names missing tables: {', '.join(lacking)}")
+    return found

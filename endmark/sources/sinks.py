@@ -64,3 +64,52 @@ def concatenated(parts: dict[str, DataFrame], name: str = "family") -> DataFrame
             raise ValueError(f"{key} has other columns")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def write_continuations(df: DataFrame, path: str) -> None:
+    """Splice continuations as one TSV in their fixed columns, sorted. They are bounded by the introns a sample uses, and stream by partition."""
+    columns = ["sample_id", "contig", "strand", "upstream_start", "upstream_end", "downstream_start", "downstream_end", "count"]
+    write_small_tsv(df.orderBy(*columns[:-1]), path, columns)
+
+
+def write_scan(folder: str, sample_id: str, layout: str, strandedness: str, sources: dict[str, tuple[DataFrame, list[tuple[str, int]]]], splice: tuple[DataFrame, list[tuple[str, int]]] | None = None) -> str:
+    """A sample's scan: each source's evidence and the continuations as Parquet tables, and the manifest that names them, whose path is returned. Filter counts
+    keep their order. The folder must be one that driver and executors share."""
+    named = {}
+    for source, (df, filtering) in sources.items():
+        table = f"{sample_id}.{source}.parquet"
+        df.write.parquet(f"{folder}/{table}")
+        named[source] = {"table": table, "filtering": [[k, n] for k, n in filtering]}
+    spliced = None
+    if splice is not None:
+        table = f"{sample_id}.splice_continuations.parquet"
+        splice[0].write.parquet(f"{folder}/{table}")
+        spliced = {"table": table, "filtering": [[k, n] for k, n in splice[1]]}
+    manifest = f"{folder}/{sample_id}.filtering.json"
+    write_json({"sample_id": sample_id, "layout": layout, "strandedness": strandedness, "sources": named, "splice": spliced}, manifest)
+    return manifest
+
+
+def fingerprint(path: str) -> dict[str, int]:
+    """Size and time of change of a file, which tell whether it is still the one that was scanned."""
+    at = Path(path).stat()
+    return {"source_size": at.st_size, "source_mtime_ns": at.st_mtime_ns}
+
+
+def check_fingerprint(path: str, recorded: dict[str, int]) -> None:
+    """An error if the file is gone or isn't the recorded one."""
+    if not Path(path).is_file():
+        raise ValueError(f"{path} is not readable")
+    if lacking := {"source_size", "source_mtime_ns"} - set(recorded):
+        raise ValueError(f"the record of {path} lacks {', '.join(sorted(lacking))}")
+    if fingerprint(path) != {k: int(recorded[k]) for k in ("source_size", "source_mtime_ns")}:
+        raise ValueError(f"{path} changed after it was recorded")
+
+
+def write_r_tsv(df: DataFrame, path: str, columns: list[str]) -> None:
+    """A gz table for R: missing values and NaN are empty fields."""
+    from pyspark.sql import types as T
+
+    d = conform(df, columns)
+    doubles = {f.name: F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)) for f in d.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    write_small_tsv(d.withColumns(doubles) if doubles else d, path if path.endswith(".gz") else f"{path}.gz", columns)
