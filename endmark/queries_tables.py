@@ -268,7 +268,7 @@ def a5_gene_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH e AS (SELECT o_custkey AS gene_id, o_orderkey AS tx, CASE WHEN o_custkey%2=0 THEN '+' ELSE '-' END AS strand, CAST(l_linenumber*100000+l_partkey*10+l_suppkey%10 AS BIGINT) AS line_no, (l_partkey%50)*40 AS start, (l_partkey%50)*40+10+l_suppkey%60 AS "end" FROM lineitem JOIN orders ON l_orderkey=o_orderkey),
 d AS (SELECT *, row_number() OVER (PARTITION BY gene_id, tx ORDER BY CASE WHEN strand='+' THEN "end" ELSE -start END DESC, line_no)=1 AS last, count(*) OVER (PARTITION BY gene_id, tx) AS n FROM e), s AS (SELECT *, max(n) OVER (PARTITION BY gene_id)>1 AS spliced FROM d)
-SELECT gene_id, tx AS transcript_id, start, "end" FROM s WHERE last AND NOT (n=1 AND spliced) AND NOT EXISTS (SELECT 1 FROM s i WHERE NOT i.last AND i.gene_id=s.gene_id AND i.tx<>s.tx AND s.start<i."end" AND i.start<s."end")""")
+SELECT gene_id, tx AS transcript_id, start, "end" FROM s WHERE last AND NOT (n=1 AND spliced AND NOT EXISTS (SELECT 1 FROM s m WHERE m.n>1 AND m.gene_id=s.gene_id AND s.start<m."end" AND m.start<s."end")) AND NOT EXISTS (SELECT 1 FROM s i WHERE NOT i.last AND i.gene_id=s.gene_id AND i.tx<>s.tx AND s.start<i."end" AND i.start<s."end")""")
 def a29_terminal_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .operators.annotation import terminal_exons
 
