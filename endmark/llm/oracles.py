@@ -91,4 +91,23 @@ SELECT d.doc_id, d.size, e.source_size, e.target, CAST(e.epochs*d.size+CASE WHEN
 FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h=c.h"""
 
 
-ORACLES = {"op1_license_scan": _licenses(), "op2_chat_format": _chat(), "op4_secret_scan": _secrets(), "op7_quality_rules": _quality(), "op9_mixing": _mixing()}
+def _collocations() -> str:
+    words = "array_to_string(string_split({}, ' ')[{}], ' ')"
+    return f"""WITH t AS (SELECT coalesce(lang,'und') AS lang, translate(coalesce(text,''),'{_UP}','{_LOW}') AS t FROM documents),
+p AS (SELECT row_number() OVER () AS no, lang, piece FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t) WHERE regexp_matches(piece, '[^\\x20\\x09]')),
+w AS (SELECT no, lang, unnest(x) AS w, generate_subscripts(x, 1) AS i FROM (SELECT no, lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x<>'') AS x FROM p)),
+v AS (SELECT lang, w AS a, lead(w,1) OVER o AS b, lead(w,2) OVER o AS c, lead(w,3) OVER o AS d, lead(w,4) OVER o AS e FROM w WINDOW o AS (PARTITION BY no ORDER BY i)),
+g AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, 1 AS k, a AS phrase FROM v UNION ALL SELECT lang, 2, a||' '||b FROM v WHERE b IS NOT NULL UNION ALL SELECT lang, 3, a||' '||b||' '||c FROM v WHERE c IS NOT NULL
+ UNION ALL SELECT lang, 4, a||' '||b||' '||c||' '||d FROM v WHERE d IS NOT NULL UNION ALL SELECT lang, 5, a||' '||b||' '||c||' '||d||' '||e FROM v WHERE e IS NOT NULL) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k=1 GROUP BY 1),
+m AS MATERIALIZED (SELECT * FROM g WHERE f>=100),
+c AS (SELECT * FROM m WHERE k>1),
+h AS (SELECT c.*, j, {words.format('phrase', '1:j')} AS first, {words.format('phrase', 'j+1:k')} AS rest FROM c, unnest(range(1,k)) u(j)),
+s AS (SELECT h.lang, h.phrase, h.k, h.f AS a, a.f AS l, b.f AS r, n.n, j, (1000::HUGEINT*h.f*n.n)//(a.f::HUGEINT*b.f) AS score
+ FROM h JOIN m a ON a.lang=h.lang AND a.phrase=h.first JOIN m b ON b.lang=h.lang AND b.phrase=h.rest JOIN n ON n.lang=h.lang),
+o AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j)=1),
+q AS (SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang=o.lang AND c.k>o.k AND contains(' '||c.phrase||' ', ' '||o.phrase||' ') AND 100*c.f>=100*o.a))
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM q WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY rank<=2000"""
+
+
+ORACLES = {"op1_license_scan": _licenses(), "op2_chat_format": _chat(), "op4_secret_scan": _secrets(), "op7_quality_rules": _quality(), "op9_mixing": _mixing(), "op11_collocations": _collocations()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat_format, license_scan, mixing, pii, secret_scan, sharding, simhash
+from . import ann, bpe, chat_format, collocations, license_scan, mixing, pii, secret_scan, sharding, simhash, token_files
 from .common import table, text_of
 from .oracles import ORACLES
 from .quality import MEASURES, quality_report
@@ -100,13 +100,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, first=2000)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.new_folder(spark)
+    token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), folder, key="doc_id", end=1)
+    return token_files.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
     return run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_nearest_neighbours, op4_secret_scan, op5_simhash, op6_pii, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_chat_format, op3_nearest_neighbours, op4_secret_scan, op5_simhash, op6_pii, op7_quality_rules, op8_feistel_sharding, op9_mixing, op10_bpe, op11_collocations, op12_token_files, pipeline)}
 
 
 __all__ = ["ORACLES", "QUERIES"]
