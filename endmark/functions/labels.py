@@ -26,23 +26,22 @@ def plural(count: Column, word: str) -> Column:
 
 def wrapped_name(name: Column, limit: int = 30) -> Column:
     """name over lines of at most limit characters where it can be broken after `_`, `.` or `-`; a longer part has its own line."""
-    parts = F.filter(F.regexp_extract_all(name, F.lit("[^_.-]*[_.-]?"), F.lit(0)), lambda p: p != "")
-    empty = F.struct(F.lit("").alias("done"), F.lit("").alias("line"))
-
-    def add(state: Column, part: Column) -> Column:
-        full = (state["line"] != "") & (F.char_length(state["line"]) + F.char_length(part) > limit)
-        done = F.when(full, F.concat(state["done"], state["line"], F.lit("\n"))).otherwise(state["done"])
-        return F.struct(done.alias("done"), F.when(full, part).otherwise(F.concat(state["line"], part)).alias("line"))
-
-    return F.aggregate(parts, empty, add, lambda s: F.concat(s["done"], s["line"]))
+    length = F.char_length(name)
+    # places where a line may end, and of these the ones where it does: the next one lies too far from where the line began
+    ends = F.filter(F.sequence(F.lit(1), length), lambda i: (i == length) | F.substr(name, i, F.lit(1)).isin(*SEPARATORS))
+    begun = lambda cuts: F.element_at(cuts, -1)
+    pairs = F.arrays_zip(ends.alias("here"), F.slice(ends, F.lit(2), F.size(ends)).alias("next"))
+    cuts = F.aggregate(pairs, F.array(F.lit(0)), lambda cuts, p: F.when(F.coalesce(p["next"] - begun(cuts) > limit, F.lit(False)), F.array_append(cuts, p["here"])).otherwise(cuts))
+    lines = F.transform(cuts, lambda at, k: F.substr(name, at + 1, F.coalesce(F.get(cuts, k + 1), length) - at))
+    return F.when(length > 0, F.array_join(lines, "\n")).otherwise(name)
 
 
 def sample_labels(samples: DataFrame, sample: str = "sample_id", condition: str = "condition") -> DataFrame:
     """samples with `label`: the ids without their condition and its separator if every id starts so and has more to it, else the whole ids."""
-    width = F.char_length(condition)
-    short = F.startswith(sample, condition) & F.substr(sample, width + 1, F.lit(1)).isin(*SEPARATORS) & (F.char_length(sample) > width + 1)
-    all_short = samples.agg(F.bool_and(F.coalesce(short, F.lit(False))).alias("all")).first()["all"]
-    return samples.withColumn("label", F.substr(sample, width + 2) if all_short else F.col(sample))
+    tail = F.expr(f"substr(`{sample}`, char_length(`{condition}`) + 2)")
+    rest = F.nullif(F.coalesce(*[F.when(F.startswith(sample, F.concat(condition, F.lit(s))), tail) for s in SEPARATORS]), F.lit(""))
+    whole = samples.filter(rest.isNull()).limit(1).count() > 0
+    return samples.withColumn("label", F.col(sample) if whole else rest)
 
 
 def first_pattern(patterns: Column) -> Column:

@@ -20,6 +20,7 @@ class Layout:
     columns: list[str]
     design: np.ndarray
     exploratory: bool
+    conditions: dict[str, str] | None = None
 
 
 def family_layout(samples: list[dict[str, str]], control: str, covariates: tuple[str, ...] = ()) -> Layout:
@@ -37,7 +38,7 @@ def family_layout(samples: list[dict[str, str]], control: str, covariates: tuple
     if np.linalg.matrix_rank(design) < design.shape[1]:
         raise ValueError("the design has not full rank: a covariate and the conditions can't be told apart")
     sizes = [sum(s["condition"] == c for s in samples) for c in (control, *treatments)]
-    return Layout([s["sample_id"] for s in samples], [control, *treatments], columns, design, min(sizes) < 2)
+    return Layout([s["sample_id"] for s in samples], [control, *treatments], columns, design, min(sizes) < 2, {s["sample_id"]: s["condition"] for s in samples})
 
 
 def bootstrap_genes(sites: DataFrame, cut: float = 0.05, candidates: bool = True) -> DataFrame:

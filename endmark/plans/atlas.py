@@ -20,7 +20,7 @@ def annotate(clusters: DataFrame, features: DataFrame, chunks: DataFrame, motifs
     terminal = written(annotation.terminal_exons(exons))
     place = sites.select("pac_id", "contig", "strand", "coordinate")
     assigned = written(annotation.assigned_genes(place, terminal, exons, genes, most_downstream))
-    loci = aggregates.merged_intervals(terminal, ["contig", "strand", "gene_id"]).withColumn("locus", F.concat_ws(":", "contig", F.col("start").cast("string"), F.col("end").cast("string"), "strand"))
+    loci = aggregates.merged_intervals(terminal, ["contig", "strand", "gene_id"]).withColumn("locus", F.concat("contig", F.lit(":"), (F.col("start") + 1).cast("string"), F.lit("-"), F.col("end").cast("string")))
     last = annotation.last_exon_locus(assigned.filter("gene_id is not null"), loci).select("pac_id", "last_exon_locus").distinct()
     # a site's genes are the few that tie
     gene = assigned.groupBy("pac_id").agg(F.array_join(F.array_sort(F.collect_set("gene_id")), ",").alias("gene_id"), F.min("region").alias("region"))

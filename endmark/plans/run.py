@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, clustering, joins, models, testing
+from ..operators import aggregates, candidates, clustering, joins, models, testing
 from .storage import written
 
 
@@ -44,6 +44,20 @@ def discover(evidence: DataFrame, settings: Settings) -> DataFrame:
     return kept.select(name.alias("pac_id"), "contig", "strand", F.col("seed").alias("coordinate"), "members", "total", "samples")
 
 
+def judge(evidence: DataFrame, samples: DataFrame, settings: Settings, known: DataFrame | None = None, continuations: DataFrame | None = None, support: candidates.Support | None = None, least_continuations: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) clusters with support by condition, metrics, status and reasons. evidence: sample_id, contig, strand, coordinate, count, poly_a_clip_count; samples: sample_id, condition. With splice continuations the
+    sites whose reads end in an exon that is spliced onward in every supporting condition are rejected too. Accepted ones carry what the atlas needs: pac_id, total, samples."""
+    support = support or candidates.Support(least_total=settings.pac_least_count, least_samples=settings.pac_least_samples)
+    clusters = written(clustering.greedy_clusters(evidence, settings.seed_radius, settings.cluster_radius))
+    found = written(candidates.exact_candidates(clusters, evidence, samples, settings.cluster_radius, support, known))
+    good, bad = found.filter("status <> 'rejected'"), found.filter("status = 'rejected'")
+    if continuations is not None:
+        good, through = candidates.readthrough(good, continuations, samples, least_continuations, 0, 1)
+        bad = bad.unionByName(through)
+    name = F.concat_ws(".", F.lit("PACv1"), F.lit(settings.assembly), "contig", "strand", F.col("coordinate").cast("string"))
+    return good.withColumns({"pac_id": name, "total": F.col("total_count"), "samples": F.col("total_supporting_samples")}), bad
+
+
 def quantify(evidence: DataFrame, atlas: DataFrame, settings: Settings) -> DataFrame:
     """Reads by site, gene and sample. atlas: pac_id, gene_id, contig, strand, coordinate."""
     sites = atlas.select("pac_id", "gene_id", "contig", "strand", F.col("coordinate").alias("site"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,22 +87,37 @@ def _named(key: str):
     return lambda x: x["k"] == key
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, value): the lines of text files, numbered from 1 through the files in path order. Lines are numbered in their split, and splits, of which there are few, by the lines before them; no task sees a whole file."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+    lines = written(spark.read.text(path).select("value", place.alias("split"), F.monotonically_increasing_id().alias("seen")))
+    splits = lines.groupBy("split").agg(F.min("seen").alias("first"), F.count("*").alias("n")).collect()  # a row a split
+    before, starts = 0, []
+    for r in sorted(splits, key=lambda r: (r.split.file, r.split.at)):
+        starts.append((r.split, before - r.first + 1))
+        before += r.n
+    shifts = spark.createDataFrame(starts, "split struct<file:string,at:long>, shift long")
+    return lines.join(shifts, "split").select((F.col("seen") + F.col("shift")).alias("line_no"), "value")
+
+
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """Records of a GTF or GFF3 file: contig, type, start (0-based), end, strand, attributes. A record without nine fields is an error when it is read."""
-    lines = spark.read.text(path).filter("trim(value) <> '' and not startswith(value, '#')").withColumn("f", F.split("value", "\t", -1))
+    """Records of a GTF or GFF3 file: contig, type, start (0-based), end, strand, attributes, line_no. A record without nine fields is an error when it is read."""
+    lines = numbered_lines(spark, path).filter("trim(value) <> '' and not startswith(value, '#')").withColumn("f", F.split("value", "\t", -1))
     checked = lines.withColumn("f", F.when(F.size("f") == 9, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("not nine fields: "), "value"))))
     f = F.col("f")
     kind = F.when(F.get(f, F.lit(2)).isin("ncRNA_gene", "pseudogene"), "gene").otherwise(F.get(f, F.lit(2)))
-    return checked.select(F.get(f, F.lit(0)).alias("contig"), kind.alias("type"), (F.get(f, F.lit(3)).cast("long") - 1).alias("start"), F.get(f, F.lit(4)).cast("long").alias("end"), F.get(f, F.lit(6)).alias("strand"), _attributes(F.get(f, F.lit(8))).alias("attributes"))
+    return checked.select(
+        F.get(f, F.lit(0)).alias("contig"), kind.alias("type"), (F.get(f, F.lit(3)).cast("long") - 1).alias("start"), F.get(f, F.lit(4)).cast("long").alias("end"), F.get(f, F.lit(6)).alias("strand"), _attributes(F.get(f, F.lit(8))).alias("attributes"), "line_no")
 
 
 def resolve_features(features: DataFrame) -> DataFrame:
-    """Stranded features with gene_id, transcript_id and gene_name; GFF3 parents are followed up to a gene, level by level, however many there are. An exon, transcript
+    """Stranded features with gene_id, transcript_id, gene_name and line_no; GFF3 parents are followed up to a gene, level by level, however many there are. Of records that share an id the first
+    in the file is the parent; a gene's name is that of its first gene record with one, else the first elsewhere, else its id. An exon, transcript
     or gene without a gene is an error when it is read, parents that form a cycle one at once."""
     a = F.col("attributes")
     d = features.filter("strand in ('+', '-')").withColumns({"id": attribute(a, "ID"), "parent": attribute(a, "Parent"), "gene_id": attribute(a, "gene_id"), "transcript_id": attribute(a, "transcript_id"), "gene_name": attribute(a, "gene_name", "Name", "gene")})
     d = d.withColumn("gene_id", F.coalesce("gene_id", F.when(F.col("type") == "gene", F.col("id")))).withColumn("transcript_id", F.coalesce("transcript_id", F.when(F.col("type").isin("transcript", "mRNA"), F.col("id")), F.when(F.col("type") == "exon", F.col("parent"))))
-    named = d.filter("id is not null").select(F.col("id").alias("_id"), F.col("parent").alias("_up"), F.col("gene_id").alias("_gene")).dropDuplicates(["_id"])
+    named = d.filter("id is not null").groupBy(F.col("id").alias("_id")).agg(F.min_by(F.struct(F.col("parent").alias("_up"), F.col("gene_id").alias("_gene")), "line_no").alias("_first")).select("_id", "_first.*")
     d = d.withColumn("_at", F.col("parent"))
     above = 0
     while d.filter("gene_id is null and _at is not null").limit(1).count():
@@ -113,8 +130,9 @@ def resolve_features(features: DataFrame) -> DataFrame:
     needed = F.col("type").isin("gene", "exon", "transcript", "mRNA") & F.col("gene_id").isNull()
     d = d.withColumn("gene_id", F.when(needed, F.raise_error(F.concat(F.lit("no gene for "), F.coalesce("id", "type")))).otherwise(F.col("gene_id")))
     w = Window.partitionBy("gene_id")
-    name = F.coalesce(F.min(F.when(F.col("type") == "gene", F.col("gene_name"))).over(w), F.min("gene_name").over(w), F.col("gene_id"))
-    return d.withColumn("gene_name", F.when(F.col("gene_id").isNotNull(), name)).select("contig", "type", "start", "end", "strand", "gene_id", "transcript_id", "gene_name")
+    first = lambda of: F.min_by("gene_name", F.when(of & F.col("gene_name").isNotNull(), F.col("line_no"))).over(w)
+    name = F.coalesce(first(F.col("type") == "gene"), first(F.lit(True)), F.col("gene_id"))
+    return d.withColumn("gene_name", F.when(F.col("gene_id").isNotNull(), name)).select("contig", "type", "start", "end", "strand", "gene_id", "transcript_id", "gene_name", "line_no")
 
 
 def annotated_contigs(features: DataFrame) -> DataFrame:
@@ -129,14 +147,22 @@ def read_known_sites(spark: SparkSession, path: str) -> DataFrame:
     return d.select(F.get(f, F.lit(0)).alias("contig"), strand.alias("strand"), F.when(strand == "-", F.get(f, F.lit(1)).cast("long")).otherwise(F.get(f, F.lit(2)).cast("long")).alias("coordinate")).distinct()
 
 
-def read_motifs(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(motif, priority) of a catalog (motif, optional priority, optional header), sorted; a motif is six of ACGT. Catalogs are small."""
-    rows = [r.value.split("\t") for r in spark.read.text(path).filter("trim(value) <> ''").collect()]
-    rows = rows[1:] if rows and rows[0][0].strip().lower() == "motif" else rows
-    out = [(r[0].strip().upper().replace("U", "T"), int(r[1]) if len(r) > 1 and r[1].strip() else k + 1) for k, r in enumerate(rows)]
-    if wrong := [m for m, _ in out if len(m) != 6 or set(m) - set("ACGT")]:
-        raise ValueError(f"not a motif of six bases: {wrong[0]}")
-    return sorted(out, key=lambda x: (x[1], x[0]))
+def read_motifs(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """(motif, class, priority) of a catalogue, sorted by priority and motif. Lines are a motif of six of ACGT, its class and, if given, its priority (else its number among the motifs); empty lines, those that start with `#` and a header in
+    the first line are skipped; anything else is an error that names the line. Catalogues are small."""
+    lines = "".join(r.value for r in spark.read.text(path, wholetext=True).collect()).splitlines()
+    out: list[tuple[str, str, int]] = []
+    for no, line in enumerate(lines, 1):
+        fields = [x.strip() for x in line.split("\t")]
+        if not line.strip() or line.startswith("#") or (no == 1 and fields[0].lower() == "motif"):
+            continue
+        motif, kind, priority = (*fields[:3], "", "")[:3]
+        if not re.fullmatch("[ACGT]{6}", motif.upper()):
+            raise ValueError(f"{path}, line {no}: not a motif of six bases: {motif}")
+        if not kind or not re.fullmatch("-?[0-9]*", priority):
+            raise ValueError(f"{path}, line {no}: a class is needed, and a whole number if there is a priority")
+        out.append((motif.upper(), kind, int(priority) if priority else len(out) + 1))
+    return sorted(out, key=lambda m: (m[2], m[0]))
 
 
 def read_aliases(spark: SparkSession, path: str) -> DataFrame:

@@ -20,6 +20,8 @@ def test_names(spark):
     assert one(spark, labels.wrapped_name(F.lit("abc_def-ghi"), 8)) == "abc_def-\nghi"
     assert one(spark, labels.wrapped_name(F.lit("abcdefghijk_l"), 4)) == "abcdefghijk_\nl"
     assert one(spark, labels.wrapped_name(F.lit(""), 4)) == ""
+    assert one(spark, labels.wrapped_name(F.lit("a-b-c-d-e"), 4)) == "a-b-\nc-d-\ne" and one(spark, labels.wrapped_name(F.lit("--..__"), 3)) == "--.\n.__"
+    assert one(spark, labels.wrapped_name(F.lit("x_averylongpart_y"), 5)) == "x_\naverylongpart_\ny" and one(spark, labels.wrapped_name(F.lit("plain"), 2)) == "plain"
     d = spark.createDataFrame([("ctl_1", "ctl"), ("drug.2", "drug")], "sample_id string, condition string")
     assert [r.label for r in labels.sample_labels(d).orderBy("sample_id").collect()] == ["1", "2"]
     d = d.union(spark.createDataFrame([("drug3", "drug")], d.schema))

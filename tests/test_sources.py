@@ -33,7 +33,7 @@ GFF = "c1\ts\tpseudogene\t1\t100\t.\t-\t.\tID=g1;Name=Beta\nc1\ts\tmRNA\t1\t90\t
 
 def test_features(spark, tmp_path):
     gtf = readers.resolve_features(readers.read_features(spark, put(tmp_path / "a.gtf", GTF)))
-    assert sorted(tuple(r) for r in gtf.collect()) == [("c1", "exon", 10, 20, "+", "G1", "T1", "Alpha"), ("c1", "gene", 0, 100, "+", "G1", None, "Alpha")]
+    assert sorted(tuple(r) for r in gtf.collect()) == [("c1", "exon", 10, 20, "+", "G1", "T1", "Alpha", 2), ("c1", "gene", 0, 100, "+", "G1", None, "Alpha", 1)]
     gff = readers.resolve_features(readers.read_features(spark, put(tmp_path / "a.gff3", GFF))).collect()
     assert {(r.type, r.gene_id, r.transcript_id, r.gene_name) for r in gff} == {("gene", "g1", None, "Beta"), ("mRNA", "g1", "t1", "Beta"), ("exon", "g1", "t1", "Beta"), ("CDS", "g1", None, "Beta")}
     assert [r.contig for r in readers.annotated_contigs(readers.read_features(spark, str(tmp_path / "a.gtf"))).collect()] == ["c1"]
@@ -48,12 +48,40 @@ def test_features(spark, tmp_path):
         readers.resolve_features(readers.read_features(spark, put(tmp_path / "c.gff3", ring)))
 
 
+def test_line_numbers_over_splits_and_files(spark, tmp_path):
+    texts = {"b.txt": [f"b{k}" for k in range(500)], "a.txt": ["first", "", "# third"] + [f"a{k} " + "x" * (k % 7) for k in range(700)]}
+    (tmp_path / "in").mkdir()
+    for name, lines in texts.items():
+        put(tmp_path / "in" / name, "\n".join(lines) + "\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        got = readers.numbered_lines(spark, str(tmp_path / "in")).orderBy("line_no").collect()
+        assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert [(r.line_no, r.value) for r in got] == list(enumerate(texts["a.txt"] + texts["b.txt"], 1))
+
+
+def test_the_first_record_in_the_file_counts(spark, tmp_path):
+    """Repeated ids: the first is the parent. Names: the first gene record's, not the least."""
+    gff = "c\ts\tgene\t1\t9\t.\t+\t.\tID=g1;Name=Zeta\nc\ts\tgene\t1\t9\t.\t+\t.\tID=g1;Name=Alpha\n"
+    gff += "".join(f"c\ts\tmRNA\t1\t9\t.\t+\t.\tID=t;Parent=g{k}\n" for k in (1, 2)) + "c\ts\tgene\t1\t9\t.\t+\t.\tID=g2\nc\ts\texon\t1\t9\t.\t+\t.\tParent=t\n"
+    got = readers.resolve_features(readers.read_features(spark, put(tmp_path / "r.gff3", gff))).filter("type = 'exon'").collect()
+    assert [(r.gene_id, r.gene_name, r.line_no) for r in got] == [("g1", "Zeta", 6)]
+
+
 def test_sites_motifs_aliases_kernel(spark, tmp_path):
     bed = readers.read_known_sites(spark, put(tmp_path / "k.bed", "c1\t5\t9\tn\t0\t-\nc1\t5\t9\n#x\nc1\t5\nc1\t5\t9\tn\t0\t-\n"))
     assert sorted(tuple(r) for r in bed.collect()) == [("c1", "+", 9), ("c1", "-", 5)]
-    assert readers.read_motifs(spark, put(tmp_path / "m.tsv", "motif\tpriority\nATTAAA\t2\nAAUAAA\t1\n")) == [("AATAAA", 1), ("ATTAAA", 2)]
-    with pytest.raises(ValueError, match="six bases"):
-        readers.read_motifs(spark, put(tmp_path / "n.tsv", "AAAA\n"))
+    catalogue = "motif\tclass\tpriority\n# own\nATTAAA\tvariant\t2\n\naataaa\tcanonical\t1\nAAGAAA\tother\n"
+    assert readers.read_motifs(spark, put(tmp_path / "m.tsv", catalogue)) == [("AATAAA", "canonical", 1), ("ATTAAA", "variant", 2), ("AAGAAA", "other", 3)]
+    with gzip.open(tmp_path / "m.tsv.gz", "wt") as f:
+        f.write(catalogue)
+    assert len(readers.read_motifs(spark, str(tmp_path / "m.tsv.gz"))) == 3
+    for line, why in (("AAAA\tx", "line 2: not a motif of six bases"), ("AAUAAA\tx", "six bases"), ("AATAAA", "a class is needed"), ("AATAAA\tx\tfirst", "whole number"), ("motif\tclass", "six bases")):
+        with pytest.raises(ValueError, match=why):
+            readers.read_motifs(spark, put(tmp_path / "n.tsv", f"ATTAAA\tvariant\n{line}\n"))
     assert [tuple(r) for r in readers.read_aliases(spark, put(tmp_path / "a.tsv", "alias\ttarget\nchr1\t1\n")).collect()] == [("chr1", "1")]
     sparse = spark.createDataFrame([(-1, 0.25), (2, 0.75)], "offset long, weight double")
     assert [tuple(r) for r in readers.densify_kernel(sparse).orderBy("offset").collect()] == [(-1, 0.25), (0, 0.0), (1, 0.0), (2, 0.75)]
