@@ -4,6 +4,10 @@ Texts are lower-cased (A-Z), split at `[.,;:!?\\x0A-\\x0D]` into pieces and thes
 level k reads the texts again with the frequent (k-1)-grams sent along and emits a k-gram only where both of its (k-1)-grams are frequent; its counts are
 exact, so what the level keeps is too. Scores are cut from the level tables.
 
+Level 2 has by far the most different grams, so its pass counts their digests first; the grams themselves are counted where the digest's sum reaches the
+threshold (those of a frequent gram do, whatever shares it). The same reading keeps, of each text, the stretches in which all neighbours may be frequent pairs, three words
+long at least: all occurrences of longer frequent phrases lie in them, and the later levels read nothing else.
+
 What is sent along is a bitmap of 64-bit digests of the frequent grams (language and words): 16 bits a gram or more, at most 2**MOST_BITS bits (64 MB). Two grams
 that share a bit let a gram through that the count then drops; so results are the same at every size, and only pruning weakens beyond some 2**25 frequent grams a level.
 A worker counts what it holds (SLICE bytes of texts) before anything is shuffled, so a phrase of any frequency arrives as a row for each such slice.
@@ -79,21 +83,28 @@ def spots(digests: np.ndarray, bits: int) -> np.ndarray:
     return digests * _MIX >> np.uint64(64 - bits)
 
 
-def bitmap(level: DataFrame) -> Bitmap:
-    """The bitmap of a level's grams; what is gathered is its words, bounded by its size."""
-    bits = min(MOST_BITS, max(LEAST_BITS, (16 * level.count()).bit_length()))
+def bitmap(rows: DataFrame, digests) -> Bitmap:
+    """The bitmap of rows' digests, which a function of batches gives; what is gathered is the bitmap's words, bounded by its size."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * rows.count()).bit_length()))
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests = [gram_digest(lang.encode(), phrase.encode()) for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            at = spots(np.array(digests, np.uint64), bits)
+            at = spots(digests(batch), bits)
             bit = np.uint64(1) << (at & np.uint64(63))
             yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(bit.view(np.int64))], ["place", "word"])
 
-    words = level.select("lang", "phrase").mapInArrow(marked, "place long, word long").groupBy("place").agg(F.bit_or("word").alias("word")).toPandas()
+    words = rows.mapInArrow(marked, "place long, word long").groupBy("place").agg(F.bit_or("word").alias("word")).toPandas()
     return Bitmap(bits, words["place"].to_numpy(np.int64), words["word"].to_numpy(np.int64).view(np.uint64))
 
 
+def _of_grams(batch: pa.RecordBatch) -> np.ndarray:
+    return np.array([gram_digest(lang.encode(), phrase.encode()) for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)], np.uint64)
+
+
+def _of_digests(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("digest").to_numpy().view(np.uint64)
+
+
 def gram_digest(lang: bytes, phrase: bytes) -> int:
     own = _word_digests(lang, phrase.split(b" "))
     out = own[:1]
@@ -102,11 +113,33 @@ def gram_digest(lang: bytes, phrase: bytes) -> int:
     return int(out[0])
 
 
+def pairs(lang: bytes, names: list[bytes], codes: np.ndarray, frequent: Bitmap) -> tuple[np.ndarray, np.ndarray]:
+    """For each word but the last: whether it and the next are frequent, and the pair's digest."""
+    words = np.append(_word_digests(lang, names), np.uint64(0))[codes]  # what stands at -1 is never used
+    good = (codes >= 0) & frequent.holds(words)
+    return good[:-1] & good[1:], _longer(words[:-1], words[1:])
+
+
+def stretches(names: list[bytes], codes: np.ndarray, good: np.ndarray) -> bytes:
+    """The words of runs of good pairs that are three words long at least, runs being pieces of their own."""
+    triple = np.zeros(len(codes), bool)
+    triple[: len(good) - 1] = good[:-1] & good[1:]
+    kept = triple.copy()
+    kept[1:] |= triple[:-1]
+    kept[2:] |= triple[:-2]
+    at = np.flatnonzero(kept)
+    # a run ends where the next kept word stands elsewhere or the pair is not good
+    ends = np.append((np.diff(at) > 1) | ~good[at[:-1]], True) if len(at) else np.zeros(0, bool)
+    own = np.insert(codes[at], np.flatnonzero(ends) + 1, len(names))
+    every = [*names, b"\n"]
+    return b" ".join([every[c] for c in own.tolist()])
+
+
 def grams(lang: bytes, names: list[bytes], codes: np.ndarray, k: int, filters: list[Bitmap]) -> tuple[list[bytes], np.ndarray]:
     """The k-grams (k over 1) of coded words with their counts, where both (k-1)-grams may be frequent; filters: of levels 1 to k-1."""
     if len(codes) < k:
         return [], np.zeros(0, np.int64)
-    words = np.append(_word_digests(lang, names), np.uint64(0))[codes]  # what stands at -1 is never used
+    words = np.append(_word_digests(lang, names), np.uint64(0))[codes]
     digests, good = words, (codes >= 0) & filters[0].holds(words)
     for level in range(2, k):
         good = good[:-1] & good[1:]
@@ -119,13 +152,30 @@ def grams(lang: bytes, names: list[bytes], codes: np.ndarray, k: int, filters: l
         if j > 1:
             key = np.unique(key, return_inverse=True)[1]
         key = key * len(names) + codes[at + j]
-    if k == 2:
-        pairs, count = np.unique(key, return_counts=True)
-        return [names[a] + b" " + names[b] for a, b in zip((pairs // len(names)).tolist(), (pairs % len(names)).tolist(), strict=True)], count
     _, first, count = np.unique(key, return_index=True, return_counts=True)
     return [b" ".join([names[c] for c in codes[i : i + k].tolist()]) for i in at[first].tolist()], count
 
 
+def _sliced(of):
+    """A function of batches (lang, text) that gives what `of` makes of SLICE bytes of texts at a time: a dictionary of each language's texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[bytes]] = {}
+        size = 0
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                own = text.as_py()
+                held.setdefault(lang, []).append(own)
+                size += len(own)
+                if size >= SLICE:
+                    yield of(held)
+                    held, size = {}, 0
+        if held:
+            yield of(held)
+
+    return run
+
+
 def _pass(k: int, filters: list[Bitmap]):
     """Rows (lang, phrase, f): the counts of a slice. At level 1 the row without a phrase has the number of words."""
 
@@ -144,37 +194,63 @@ def _pass(k: int, filters: list[Bitmap]):
             counts.append(count)
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(np.concatenate(counts), pa.int64())], ["lang", "phrase", "f"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[bytes]] = {}
-        size = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
-                own = text.as_py()
-                held.setdefault(lang, []).append(own)
-                size += len(own)
-                if size >= SLICE:
-                    yield counted(held)
-                    held, size = {}, 0
-        if held:
-            yield counted(held)
+    return _sliced(counted)
 
-    return run
+
+def _pair_digests(frequent: Bitmap):
+    """Rows (digest, f): how often pairs of frequent words occur in a slice."""
+
+    def counted(texts: dict[str, list[bytes]]) -> pa.RecordBatch:
+        found = []
+        for lang, own in texts.items():
+            good, digests = pairs(lang.encode(), *coded(own), frequent)
+            found.append(digests[good])
+        digests, count = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(digests.view(np.int64)), pa.array(count, pa.int64())], ["digest", "f"])
+
+    return _sliced(counted)
+
+
+def _pairs_and_stretches(frequent: Bitmap, likely: Bitmap):
+    """Rows (lang, phrase, f) for the pairs of a slice that may be frequent, and a row whose f is 0 for the stretches of such pairs."""
+
+    def counted(texts: dict[str, list[bytes]]) -> pa.RecordBatch:
+        langs, phrases, counts = [], [], []
+        for lang, own in texts.items():
+            names, codes = coded(own)
+            good, digests = pairs(lang.encode(), names, codes, frequent)
+            good[good] = likely.holds(digests[good])
+            at = np.flatnonzero(good)
+            key, count = np.unique(codes[at] * len(names) + codes[at + 1], return_counts=True)
+            found = [names[a] + b" " + names[b] for a, b in zip((key // max(len(names), 1)).tolist(), (key % max(len(names), 1)).tolist(), strict=True)]
+            langs += [lang] * (len(found) + 1)
+            phrases += [*found, stretches(names, codes, good)]
+            counts += [*count.tolist(), 0]
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "f"])
+
+    return _sliced(counted)
 
 
 def levels(docs: DataFrame, least: int, longest: int, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, phrase, f): phrases of 1 to `longest` words found `least` times or more, and for each language a row without a phrase: its number of words. A written table."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).filter("text IS NOT NULL AND text <> ''")
-    tables, filters = [], []
-    for k in range(1, longest + 1):
-        found = rows.mapInArrow(_pass(k, filters), LEVEL).groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(f"phrase IS NULL OR f >= {int(least)}")
-        tables.append(written(found))
-        if k < longest:
-            filters.append(bitmap(tables[-1].filter("phrase IS NOT NULL")))
+    kept = lambda found: written(found.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(f"phrase IS NULL OR f >= {int(least)}"))
+    tables = [kept(rows.mapInArrow(_pass(1, []), LEVEL))]
+    filters, made = [bitmap(tables[0].filter("phrase IS NOT NULL"), _of_grams)], []
+    if longest > 1:
+        digests = written(rows.mapInArrow(_pair_digests(filters[0]), "digest long, f long").groupBy("digest").agg(F.sum("f").alias("f")).filter(F.col("f") >= least))
+        second = written(rows.mapInArrow(_pairs_and_stretches(filters[0], bitmap(digests, _of_digests)), LEVEL))
+        made = [digests, second]
+        tables.append(kept(second.filter("f > 0")))
+        rows = second.filter("f = 0 AND phrase <> ''").select("lang", F.col("phrase").alias("text"))
+    for k in range(3, longest + 1):
+        filters.append(bitmap(tables[-1], _of_grams))
+        tables.append(kept(rows.mapInArrow(_pass(k, filters), LEVEL)))
     every = tables[0]
     for t in tables[1:]:
         every = every.unionByName(t)
     out = written(every)
-    forget(*tables)
+    forget(*tables, *made)
     return out
 
 

@@ -91,6 +91,14 @@ def test_only_grams_of_frequent_parts_are_emitted():
     assert found == [b"a b"] and count.tolist() == [4]
 
 
+def test_stretches_hold_all_longer_phrases():
+    names, codes = collocations.coded([b"a b c x a b. a b c d e, y z z z z"])
+    good = np.array([names[a] + names[b] in (b"ab", b"bc", b"cd", b"zz") if min(a, b) >= 0 else False for a, b in zip(codes, codes[1:], strict=False)])
+    got = collocations.coded([collocations.stretches(names, codes, good)])
+    assert [" ".join("|" if c < 0 else got[0][c].decode() for c in got[1])] == ["a b c | a b c d | z z z z |"]
+    assert collocations.stretches([], np.zeros(0, np.int64), np.zeros(0, bool)) == b"" and collocations.stretches([b"a"], np.array([0]), np.zeros(0, bool)) == b""
+
+
 def test_slices_add_up(spark, monkeypatch):
     rows = texts()
     docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
