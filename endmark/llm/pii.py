@@ -8,7 +8,8 @@ their radix, by a keyed digest of the rest. That is a permutation of the format'
 in all documents, different ones different, and a pseudonym is valid itself (check digits are recomputed). The key is a parameter.
 
 Separators are no part of a value: the digits are permuted and then laid into the format found, so a card or phone number keeps one
-pseudonym however it is written. A phone number's country code is read from its digits by E.164 and kept, a trunk prefix `(0)` too; numbers
+pseudonym however it is written. A phone number's country code is read from its digits by E.164 and kept, a trunk prefix `(0)` too. It ends with
+the fewest whole digit groups that make a number of its country's length, so a number behind it stays as it is and one phone keeps one pseudonym; numbers
 of 3-3-4 digits joined by hyphens or dots, or with the area code in brackets, are North American without a plus sign and get the pseudonym of the same
 number with +1. A run of digit groups is searched for cards: every stretch of whole groups of 13 to 19 digits with a valid
 check digit counts, usual groupings before others, then leftmost and longest, so a number beside a card doesn't hide it.
@@ -30,13 +31,38 @@ KINDS = ("email", "ipv4", "phone", "date", "ssn", "card")
 _NATIONAL = r"(?:\([2-9]\d\d\)[ ]?|[2-9]\d\d[-.])[2-9]\d\d[-.]\d{4}(?![\d-])"
 _DATE = r"(?:19|20)\d{2}(?:-\d{2}-\d{2}|/\d{2}/\d{2})(?![\d/-])"
 _SSN = r"\d{3}-\d{2}-\d{4}(?![\d-])"
+# a digit of a number with what may stand before it, not running on into a social security number, date or address behind it; and not into a card either
+_NO = rf"[ ]\d{{3}}-\d\d-\d{{4}}|[ ](?:19|20)\d\d[-/]\d\d[-/]\d\d|[ ]{_NATIONAL}|[ ]\d{{1,3}}\.\d{{1,3}}\.\d{{1,3}}\."
+_DIGIT = rf"(?:(?!{_NO})[ ./-]?\(?\d\)?)"
+_STEP = rf"(?:(?![ -]\d{{4}}[ -]\d{{4}}[ -]\d{{4}}|{_NO})[ ./-]?\(?\d\)?)"
+# How many digits the national numbers of countries have, by country code (a German mobile number begins 15, 16 or 17).
+NATIONAL_LENGTHS = {
+    "1": (10, 10), "7": (10, 10), "20": (8, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9), "36": (8, 9), "39": (8, 11), "40": (9, 9), "41": (9, 9), "43": (8, 12), "44": (10, 10),
+    "45": (8, 8), "46": (7, 9), "47": (8, 8), "48": (9, 9), "49(?=[ ./(0)-]*1[5-7])": (10, 11), "49": (7, 11), "51": (8, 9), "52": (10, 10), "53": (8, 8), "54": (10, 11), "55": (10, 11), "56": (9, 9), "57": (10, 10),
+    "58": (10, 10), "60": (9, 10), "61": (9, 9), "62": (9, 12), "63": (10, 10), "64": (8, 10), "65": (8, 8), "66": (8, 9), "81": (9, 10), "82": (9, 10), "84": (9, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10),
+    "92": (10, 10), "93": (9, 9), "94": (9, 9), "95": (8, 10), "98": (10, 10), "212": (9, 9), "213": (8, 9), "216": (8, 8), "234": (8, 10), "254": (9, 9), "351": (9, 9), "352": (8, 9), "353": (8, 9), "354": (7, 7), "355": (9, 9),
+    "356": (8, 8), "357": (8, 8), "358": (8, 10), "359": (8, 9), "370": (8, 8), "371": (8, 8), "372": (7, 8), "373": (8, 8), "374": (8, 8), "375": (9, 9), "380": (9, 9), "381": (8, 9), "385": (8, 9), "386": (8, 8), "420": (9, 9),
+    "421": (9, 9), "852": (8, 8), "853": (8, 8), "880": (10, 10), "886": (9, 9), "961": (7, 8), "962": (8, 9), "966": (9, 9), "971": (8, 9), "972": (8, 9), "973": (8, 8), "974": (8, 8),
+}
+
+
+def _countries() -> str:
+    """A form for each pair of lengths: the country code, a trunk prefix and the fewest whole groups of so many digits."""
+    forms = []
+    for least, most in dict.fromkeys(NATIONAL_LENGTHS.values()):
+        codes = "|".join(code for code, lengths in NATIONAL_LENGTHS.items() if lengths == (least, most))
+        forms.append(rf"(?:{codes})(?:[ ./-]?\(0\))?{_DIGIT}{{{least},{most}}}?(?!\d)")
+    return rf"(?<![0-9A-Za-z])\+(?:{'|'.join(forms)})"
+
+
+_COUNTRIES = _countries()
 # Forms of the kinds, tried in this order at each place.
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "ipv4": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
     "phone": r"\+\d{1,3}(?:[ -]?\(?\d{3}\)?[ -]\d{3}[ -]\d{4}|[ .-]?(?:\(0\) ?)?\d(?:[ .-]\d{2}){4}|[ .-]\d{3}(?:[ .-]\d{2}){3}|[ .-]\d{3}(?:[ .-]\d{3}){2}|[ .-]\d{2}[ .-]\d{3}(?:[ .-]\d{2}){2})(?!\d)"
-    # any other grouping of 8 to 15 digits, not running on into a card, social security number, date or address behind it
-    rf"|(?<![0-9A-Za-z])\+\d(?:(?![ -]\d{{4}}[ -]\d{{4}}[ -]\d{{4}}|[ ]\d{{3}}-\d\d-\d{{4}}|[ ](?:19|20)\d\d[-/]\d\d[-/]\d\d|[ ]{_NATIONAL}|[ ]\d{{1,3}}\.\d{{1,3}}\.\d{{1,3}}\.)[ ./-]?\(?\d\)?){{7,14}}(?!\d)"
+    # any other grouping: the fewest whole groups whose digits are as many as the country's numbers have, else the fewest of 10 to 15 digits, else of 8 or 9
+    rf"|{_COUNTRIES}|(?<![0-9A-Za-z])\+\d{_STEP}{{9,14}}?(?!\d)|(?<![0-9A-Za-z])\+\d{_STEP}{{7,8}}?(?!\d)"
     rf"|(?<![\d.+-]){_NATIONAL}",
     "date": rf"(?<![\d/-]){_DATE}",
     "ssn": rf"(?<![\d-]){_SSN}",
