@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sequences import reasons
 from ..plans.storage import spread
 from .family import Layout
 from .models import digamma, log_gamma
@@ -235,3 +236,38 @@ def fit_family(counts: DataFrame, layout: Layout) -> DataFrame:
         return pd.DataFrame(out, columns=[f.split()[0] for f in FITS.split(", ")])
 
     return spread(counts, "gene_id").groupBy("gene_id").applyInPandas(run, FITS)
+
+
+#: Draws that replace zeros lie below this; a share of the repeats must succeed; a change of direction counts beyond the tolerance.
+PERTURBATION, LEAST_SHARE, TOLERANCE = 0.1, 0.8, 0.001
+
+
+def stabilised(counts: DataFrame, fits: DataFrame, layout: Layout, repeats: int = 10, most_spread: float = 0.2, seed: int = 1) -> DataFrame:
+    """fits (of `fit_family`) with the genes at a boundary (a site that a condition doesn't use, or a failed fit) taken from repeated fits in which their zeros are
+    uniform draws below 0.1; counts as for `fit_family`. Every value of such a gene is the median over the repeats that succeeded, whose number is `successes`; the spread of the difference is `delta_spread` and
+    `unstable` says what speaks against it, joined by `;`: insufficient_successes (under 80 % of the repeats), direction_change, delta_spread (over most_spread). An unstable site has no ratio of its own.
+    status: `fitted`, `fitted_with_zero_count_stabilization`, `fit_unavailable` (a boundary gene without zeros, or whose repeats fail) or `group_without_counts`. Draws depend on the gene, the repeat, the site and the
+    sample alone; perturbed counts reach no output."""
+    boundary = fits.filter(F.col("status").isin("boundary", "failed")).select("gene_id").distinct()
+    zeros = counts.join(boundary, "gene_id", "left_semi").groupBy("gene_id").agg(F.count_if(F.col("count") == 0).alias("_zeros")).filter("_zeros > 0").select("gene_id")
+    many = counts.join(zeros, "gene_id", "left_semi").withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    noise = (F.pmod(F.xxhash64(F.lit(seed), "gene_id", "pac_id", "sample_id", "repeat"), F.lit(1_000_003)) + 1) / F.lit(1_000_004.0) * PERTURBATION
+    many = many.withColumn("count", F.when(F.col("count") == 0, noise).otherwise(F.col("count").cast("double"))).withColumn("gene_id", F.concat_ws("\t", F.col("repeat").cast("string"), "gene_id"))
+    again = fit_family(many.drop("repeat"), layout).withColumn("gene_id", F.expr("substr(gene_id, instr(gene_id, '\t') + 1)"))
+    delta = F.col("treatment_fit") - F.col("control_fit")
+    good = F.coalesce(F.abs("gene_lr") + F.abs("pac_lr") + F.abs(delta) < float("inf"), F.lit(False)) & (F.col("status") != "failed")
+    of = lambda c: F.when(good, c)
+    middle = {n: F.percentile(of(F.col(n)), 0.5).alias(f"_{n}") for n in ("control_fit", "treatment_fit", "gene_lr", "pac_lr", "omnibus_lr")}
+    per = again.groupBy("gene_id", "treatment", "pac_id").agg(*middle.values(), F.count_if(good).cast("int").alias("_successes"), F.min(of(delta)).alias("_low"), F.max(of(delta)).alias("_high"))
+    d = fits.join(per, ["gene_id", "treatment", "pac_id"], "left").join(boundary.withColumn("_boundary", F.lit(True)), "gene_id", "left")
+    redone, few = F.col("_successes").isNotNull(), F.col("_successes") < math.ceil(LEAST_SHARE * repeats - 1e-9)
+    spread_ = F.col("_high") - F.col("_low")
+    why = reasons((few, "insufficient_successes"), ((F.col("_low") < -TOLERANCE) & (F.col("_high") > TOLERANCE), "direction_change"), (spread_ > most_spread, "delta_spread"))
+    empty = F.col("status") == "empty_group"
+    status = F.when(empty, "group_without_counts").when(redone & (F.col("_successes") > 0), "fitted_with_zero_count_stabilization").when(F.col("_boundary"), "fit_unavailable").otherwise("fitted")
+    d = d.withColumn("_status", status).withColumn("unstable", F.when(redone & ~empty, why).otherwise(""))
+    taken = {n: F.when(F.col("_status") == "fitted", F.col(n)).when(F.col("_status") == "fitted_with_zero_count_stabilization", F.col(f"_{n}")).alias(n) for n in middle}
+    taken["gene_lr"] = F.when(~(redone & few), taken["gene_lr"]).alias("gene_lr")
+    taken["pac_lr"] = F.when(F.col("unstable") == "", taken["pac_lr"]).alias("pac_lr")
+    columns = [taken.get(f.split()[0], F.col("_status").alias("status") if f.startswith("status") else F.col(f.split()[0])) for f in FITS.split(", ")]
+    return d.select(*columns, F.coalesce("_successes", F.lit(0)).alias("successes"), spread_.alias("delta_spread"), "unstable")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, candidates, clustering, joins, models, testing
+from ..operators import aggregates, candidates, clustering, family, joins, models, regression, testing
 from .storage import written
 
 
@@ -24,6 +24,8 @@ class Settings:
     pac_least_samples: int = 2
     alpha: float = 0.05
     least_delta: float = 0.1
+    zero_repeats: int = 10
+    zero_most_spread: float = 0.2
 
     def __post_init__(self) -> None:
         for name in ("seed_radius", "cluster_radius", "quantify_radius"):
@@ -65,13 +67,21 @@ def quantify(evidence: DataFrame, atlas: DataFrame, settings: Settings) -> DataF
     return near.filter("pac_id is not null").groupBy("pac_id", "gene_id", "sample_id").agg(F.sum("count").alias("count"))
 
 
-def compare(counts: DataFrame, atlas: DataFrame, samples: DataFrame, control: str, settings: Settings) -> dict[str, DataFrame]:
-    """Tables of one family: counts, usage, filtering, sites (with FDRs and events, corrected within each treatment), shifts and the genes without depth. samples: sample_id, condition, the control's and its treatments'."""
+def compare(counts: DataFrame, atlas: DataFrame, samples: DataFrame, control: str, settings: Settings, covariates: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """Tables of one family: counts, usage, filtering, sites (with FDRs, model status, stability and events, corrected within each treatment), shifts and the genes without depth. samples: sample_id, condition and the
+    covariates, the control's and its treatments'. The model is `~ covariates + condition` over the whole family; genes at a boundary are taken from repeated fits with their zeros perturbed. A call is sure only where the fit
+    is stable and the atlas, if it has a column `confidence`, doesn't hold the site for low."""
+    rows = [r.asDict() for r in samples.select("sample_id", "condition", *covariates).orderBy("sample_id").collect()]  # a family's sheet
+    layout = family.family_layout(rows, control, covariates)
+    samples = samples.select("sample_id", "condition")
     whole = written(aggregates.complete(counts, atlas.select("pac_id", "gene_id"), samples, ["pac_id", "gene_id"]))
     filtering = written(testing.family_filter(whole, samples))
     tested = whole.join(filtering.filter("tested").select("pac_id"), "pac_id", "left_semi").join(samples, "sample_id")
-    fits = written(models.fit_genes(tested.join(models.moderated_precision(tested), "gene_id"), control))
+    ready = written(tested.join(regression.precisions(tested, layout), "gene_id"))
+    fits = written(regression.fit_family(ready, layout))
+    fits = written(regression.stabilised(ready, fits, layout, settings.zero_repeats, settings.zero_most_spread))
     p = fits.withColumn("gene_p", models.chi_square_tail(F.col("gene_lr"), F.col("gene_df"))).withColumn("pac_p", models.chi_square_tail(F.col("pac_lr"), F.lit(1)))
+    p = p.withColumn("omnibus_p", F.when(F.col("status") != "group_without_counts", models.chi_square_tail(F.col("omnibus_lr"), F.col("omnibus_df"))))
     # genes without depth in a comparison leave it before its corrections
     totals = whole.groupBy("gene_id", "sample_id").agg(F.sum("count").alias("gene_total"))
     libraries = whole.groupBy("sample_id").agg(F.sum("count").alias("library"))
@@ -92,9 +102,10 @@ def compare(counts: DataFrame, atlas: DataFrame, samples: DataFrame, control: st
     empty = (F.col("control_total") == 0) | (F.col("treatment_total") == 0)
     d = d.withColumns({f: F.when(~empty, F.col(f)) for f in ("control_fit", "treatment_fit")}).withColumn("delta", F.col("treatment_fit") - F.col("control_fit"))
     c = F.col
-    event = testing.event_type(c("control_support"), c("treatment_support"), c("delta"), c("control_fit"), c("treatment_fit"), c("gene_fdr"), c("pac_fdr"), F.lit(True), F.lit(True), c("control_total"), c("treatment_total"),
-                               least_delta=settings.least_delta, alpha_g=settings.alpha, alpha_s=settings.alpha)
-    sites = written(d.withColumn("event_type", event).join(atlas.select("pac_id", "strand", "coordinate"), "pac_id"))
+    believed = atlas.select("pac_id", "strand", "coordinate", (F.col("confidence") if "confidence" in atlas.columns else F.lit("moderate")).alias("confidence"))
+    event = testing.event_type(c("control_support"), c("treatment_support"), c("delta"), c("control_fit"), c("treatment_fit"), c("gene_fdr"), c("pac_fdr"), c("unstable") == "", F.coalesce(c("confidence") != "low", F.lit(False)),
+                               c("control_total"), c("treatment_total"), least_delta=settings.least_delta, alpha_g=settings.alpha, alpha_s=settings.alpha)
+    sites = written(d.join(believed, "pac_id").withColumn("event_type", event))
     out = {"counts": whole, "usage": aggregates.usage(whole), "filtering": filtering, "sites": sites, "shifts": testing.gene_shifts(sites, ["treatment"])}
     return out | ({"without_depth": shallow} if shallow is not None else {})
 

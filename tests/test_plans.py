@@ -62,6 +62,7 @@ def test_whole_analysis(spark):
     assert {g for g, _ in events} == {f"g{g}" for g in range(0, 12, 2)}
     assert {r.direction for r in out["shifts"].collect()} == {"distal"}
     assert out["usage"].filter("pau is null").count() == 0
+    assert {r.status for r in out["sites"].select("status").distinct().collect()} == {"fitted"}
     with pytest.raises(ValueError, match="alpha"):
         run.Settings(alpha=2)
 
@@ -73,3 +74,19 @@ def test_proximal_discovery(spark):
     kernel = spark.createDataFrame([(o, max(0.0, 1 - abs(o - 50) / 60)) for o in range(0, 101)], "offset long, weight double")
     got = {(r.strand, round(r.coordinate, -2)): (r.total, r.samples, len(r.members)) for r in run.discover_proximal(evidence, kernel, run.Settings()).collect()}
     assert got == {("+", 1000): (27, 3, 3), ("+", 3000): (27, 3, 3), ("-", 2000): (27, 3, 3)}
+
+
+def test_stability_and_confidence_decide_calls(spark):
+    """A site that only the treatment uses is gained; held for low, or with a fit that changes from repeat to repeat, it stays a candidate. A covariate is part of the design."""
+    samples = [(f"S{s}", "T" if s >= 4 else "C", "xy"[s % 2]) for s in range(8)]
+    rows = [(f"g{g}.{k}", f"g{g}", s, int(n)) for g in range(6) for s, c, _ in samples for k, n in enumerate((60, 0 if c == "C" else 60) if g < 3 else (60, 50)) if n]
+    counts = spark.createDataFrame(rows, "pac_id string, gene_id string, sample_id string, count long")
+    sites = [(f"g{g}.{k}", f"g{g}", "+", 100 * k, "low" if g == 1 else "high") for g in range(6) for k in range(2)]
+    atlas = spark.createDataFrame(sites, "pac_id string, gene_id string, strand string, coordinate long, confidence string")
+    sheet = spark.createDataFrame(samples, "sample_id string, condition string, batch string")
+    out = run.compare(counts, atlas, sheet, "C", run.Settings(), ("batch",))
+    got = {r.pac_id: r for r in out["sites"].collect()}
+    assert {p: r.event_type for p, r in got.items() if p.endswith(".1")} == {"g0.1": "gained", "g1.1": "gained_candidate", "g2.1": "gained", "g3.1": "none", "g4.1": "none", "g5.1": "none"}
+    assert got["g0.1"].status == "fitted_with_zero_count_stabilization" and got["g0.1"].successes == 10 and got["g3.1"].status == "fitted" and got["g0.1"].omnibus_p < 1e-6
+    strict = run.compare(counts, atlas, sheet, "C", run.Settings(zero_most_spread=0.0))
+    assert {r.event_type for r in strict["sites"].filter("pac_id = 'g0.1'").collect()} <= {"gained_candidate"} and "delta_spread" in strict["sites"].filter("pac_id = 'g0.1'").first().unstable

@@ -157,3 +157,23 @@ def test_peak_and_between():
     curve = -((at - 1.7) ** 2)
     assert regression.peak(at, curve) == pytest.approx(1.7) and regression.peak(at, at) == 3.0
     assert np.allclose(regression.between(at, curve, np.array([0.2, 1.9, 2.9])), -((np.array([0.2, 1.9, 2.9]) - 1.7) ** 2))
+
+
+def test_boundary_genes_are_taken_from_repeats(spark):
+    """A site that a condition doesn't use: medians over repeats, the same each time; an unused condition leaves its contrast untested; a changing direction makes a site unstable."""
+    samples = sheet()
+    own = {"on": {"C": [60, 40, 0], "T1": [30, 40, 30], "T2": [60, 40, 5]}, "off": {"C": [50, 50], "T1": [0, 0], "T2": [40, 60]}, "plain": {"C": [50, 50], "T1": [40, 60], "T2": [45, 55]}, "tiny": {"C": [1, 0], "T1": [1, 0], "T2": [1, 1]}}
+    rows = [(g, f"{g}.{k}", s["sample_id"], s["condition"], float(v + (v > 1) * (n % 3)), 40.0) for g, levels in own.items() for n, s in enumerate(samples) for k, v in enumerate(levels[s["condition"]])]
+    counts = spark.createDataFrame(rows, "gene_id string, pac_id string, sample_id string, condition string, count double, precision double")
+    layout = family.family_layout(samples, "C")
+    fits = regression.fit_family(counts, layout)
+    out = [{(r.pac_id, r.treatment): r for r in regression.stabilised(counts, fits, layout).collect()} for _ in range(2)]
+    assert out[0] == out[1] and len(out[0]) == 18
+    got = out[0]
+    before = {(r.pac_id, r.treatment): r for r in fits.collect()}
+    on = got["on.2", "T1"]
+    assert (on.status, on.successes, on.unstable) == ("fitted_with_zero_count_stabilization", 10, "") and on.delta_spread < 0.05 and 0 < on.control_fit < 0.01 and on.pac_lr > 10
+    assert {got[f"off.{k}", "T1"].status for k in range(2)} == {"group_without_counts"} and got["off.0", "T1"].gene_lr is None and got["off.0", "T2"].gene_lr is not None
+    assert got["plain.0", "T1"].status == "fitted" and got["plain.0", "T1"].gene_lr == before["plain.0", "T1"].gene_lr and got["plain.0", "T1"].successes == 0
+    tiny = [got[f"tiny.{k}", "T1"] for k in range(2)]
+    assert all("direction_change" in r.unstable and r.pac_lr is None for r in tiny)
