@@ -1,8 +1,8 @@
 """Dirichlet-multinomial regression of site usage on a design, for all genes of a comparison family.
 
 In each sample a gene's counts over its K sites are Dirichlet-multinomial; the log-ratios of its K - 1 first sites to the last are linear in the sample's
-design row, and the precision is the gene's. The family's samples, covariates and contrasts come from `family.Layout`. Coefficients are found by scoring
-steps (a curvature whose expectation is the Fisher information) with step halving; a nested design, without all treatments (omnibus) or
+design row, and the precision is the gene's. The family's samples, covariates and contrasts come from `family.Layout`. Coefficients are found by Newton
+steps, where the observed information isn't positive definite by scoring steps (a curvature whose expectation is the Fisher information), with step halving; a nested design, without all treatments (omnibus) or
 without one (contrast), gives likelihood-ratio tests. Each site is tested in its two-category margin at the gene's precision.
 
 The precision maximises the profile likelihood less half the log determinant of the observed information (Cox and Reid): first the mean over all
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.sequences import reasons
-from ..plans.storage import spread
+from ..plans.storage import spread, written
 from .family import Layout
 from .models import digamma, log_gamma
 
@@ -80,7 +80,7 @@ def _derivatives(y: np.ndarray, x: np.ndarray, share: np.ndarray, precision: np.
     return np.einsum("sp,bsk->bpk", x, score), full(curve), full(curve - bend)
 
 
-def fit(y: np.ndarray, x: np.ndarray, precision: np.ndarray, rounds: int = 60, tolerance: float = 1e-9) -> tuple[np.ndarray, np.ndarray]:
+def fit(y: np.ndarray, x: np.ndarray, precision: np.ndarray, rounds: int = 60, tolerance: float = 1e-8) -> tuple[np.ndarray, np.ndarray]:
     """Coefficients (models x columns x sites - 1) and log-likelihoods of a batch. y: models x samples x sites, x: samples x columns."""
     n = y.sum(axis=2)
     weight = np.sqrt(np.minimum(n, precision[:, None]) + 1e-3)
@@ -90,8 +90,10 @@ def fit(y: np.ndarray, x: np.ndarray, precision: np.ndarray, rounds: int = 60, t
     todo = np.arange(len(y))
     for _ in range(rounds):
         share = shares(x, beta[todo])
-        score, curve, _ = _derivatives(y[todo], x, share, precision[todo])
+        score, curve, observed = _derivatives(y[todo], x, share, precision[todo])
         size = curve.shape[1]
+        low = np.linalg.eigvalsh(observed)
+        curve = np.where((low[:, 0] > 1e-9 * low[:, -1])[:, None, None], observed, curve)
         ridge = (1e-9 + 1e-9 * np.trace(curve, axis1=1, axis2=2) / size)[:, None, None] * np.eye(size)
         step = np.linalg.solve(curve + ridge, score.reshape(len(todo), size, 1)).reshape(score.shape)
         step /= np.maximum(1.0, np.abs(step).max(axis=(1, 2)) / 5)[:, None, None]
@@ -113,7 +115,7 @@ def fit(y: np.ndarray, x: np.ndarray, precision: np.ndarray, rounds: int = 60, t
 def adjusted(y: np.ndarray, x: np.ndarray, precisions: np.ndarray) -> np.ndarray:
     """The adjusted profile log-likelihood of a gene (samples x sites) at each precision. Directions in which the likelihood is flat count alike at all."""
     many = np.broadcast_to(y, (len(precisions), *y.shape))
-    beta, value = fit(many, x, precisions, tolerance=1e-7)
+    beta, value = fit(many, x, precisions, tolerance=1e-6)
     observed = _derivatives(many, x, shares(x, beta), precisions)[2]
     return value - 0.5 * np.log(np.maximum(np.linalg.eigvalsh(observed), FLAT)).sum(axis=1)
 
@@ -167,10 +169,10 @@ def _mean_curve(own: DataFrame) -> np.ndarray:
     return np.array([r.v for r in rows])
 
 
-def common_precision(counts: DataFrame, layout: Layout) -> tuple[float, np.ndarray]:
-    """The precision at which the mean curve of all genes peaks, and that curve over `grid()`; nan and nothing without genes."""
+def common_precision(counts: DataFrame, layout: Layout, own: DataFrame) -> tuple[float, np.ndarray]:
+    """The precision at which the mean curve of all genes peaks, and that curve over `grid()`; nan and nothing without genes. own: `curves` over the grid."""
     at = grid()
-    mean = _mean_curve(curves(counts, layout, at))
+    mean = _mean_curve(own)
     if not len(mean):
         return math.nan, mean
     step, best = at[1] - at[0], peak(at, mean)
@@ -178,23 +180,26 @@ def common_precision(counts: DataFrame, layout: Layout) -> tuple[float, np.ndarr
     return math.exp(peak(near, _mean_curve(curves(counts, layout, near)))), mean
 
 
+PRECISION = "gene_id string, precision double, common_precision double"
+
+
 def precisions(counts: DataFrame, layout: Layout, weight: float = 5.0) -> DataFrame:
     """(gene_id, precision, common_precision): each gene's precision where its own curve plus `weight` times the mean one is highest."""
-    common, mean = common_precision(counts, layout)
     at = grid()
+    own = written(curves(counts, layout, at))
+    common, mean = common_precision(counts, layout, own)
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        _, y, keep = _counts(part, layout)
-        if not _usable(y, keep):
+    def run(part: pd.DataFrame, curve: pd.DataFrame) -> pd.DataFrame:
+        if not len(curve) or not len(part):
             return pd.DataFrame(columns=["gene_id", "precision", "common_precision"])
-        y, x, step = y[keep], layout.design[keep], at[1] - at[0]
-        best = peak(at, adjusted(y, x, np.exp(at)) + weight * mean)
-        near = np.clip(np.linspace(best - step / 2, best + step / 2, FINE), at[0], at[-1])
-        near = np.unique(near)
-        fine = adjusted(y, x, np.exp(near)) + weight * between(at, mean, near)
+        _, y, keep = _counts(part, layout)
+        step = at[1] - at[0]
+        best = peak(at, np.array(curve.curve.iloc[0]) + weight * mean)
+        near = np.unique(np.clip(np.linspace(best - step / 2, best + step / 2, FINE), at[0], at[-1]))
+        fine = adjusted(y[keep], layout.design[keep], np.exp(near)) + weight * between(at, mean, near)
         return pd.DataFrame([(part.gene_id.iloc[0], math.exp(peak(near, fine)), common)], columns=["gene_id", "precision", "common_precision"])
 
-    return spread(counts, "gene_id").groupBy("gene_id").applyInPandas(run, "gene_id string, precision double, common_precision double")
+    return spread(counts, "gene_id").groupBy("gene_id").cogroup(spread(own, "gene_id").groupBy("gene_id")).applyInPandas(run, PRECISION)
 
 
 FITS = ("gene_id string, treatment string, pac_id string, control_fit double, treatment_fit double, gene_lr double, gene_df int, pac_lr double, omnibus_lr double, omnibus_df int, status string")

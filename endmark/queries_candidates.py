@@ -14,9 +14,9 @@ from .queries import query
 SUPPORT = candidates.Support(least_total=420, least_count=60, least_samples=0.7, rescue_total=200, known_radius=4)
 
 # A cluster holds the coordinates of a stretch of 200; its seed is the least one that has as many reads as any.
-_CLUSTERS = f"""{BASE}, at AS (SELECT contig, strand, coordinate, coordinate//200 AS block, sum("count") AS n, sum(poly_a_clip_count) AS clips FROM obs GROUP BY 1, 2, 3, 4),
-cl AS (SELECT contig, strand, block, arg_min(coordinate, (-n, coordinate)) AS seed FROM at GROUP BY 1, 2, 3),
-m AS (SELECT cl.seed, at.* FROM at JOIN cl USING (contig, strand, block)),
+_CLUSTERS = f"""{BASE}, pos AS (SELECT contig, strand, coordinate, coordinate//200 AS block, sum("count") AS n, sum(poly_a_clip_count) AS clips FROM obs GROUP BY 1, 2, 3, 4),
+cl AS (SELECT contig, strand, block, arg_min(coordinate, (-n, coordinate)) AS seed FROM pos GROUP BY 1, 2, 3),
+m AS (SELECT cl.seed, pos.* FROM pos JOIN cl USING (contig, strand, block)),
 ps AS (SELECT m.contig, m.strand, m.seed, o.sample_id, sum(o."count") AS n FROM m JOIN obs o ON o.contig=m.contig AND o.strand=m.strand AND o.coordinate=m.coordinate GROUP BY 1, 2, 3, 4),
 size AS (SELECT condition, count(*) AS size FROM samples_v GROUP BY 1),
 sup AS (SELECT contig, strand, seed, s.condition, count(*) AS support, max(size) AS size FROM ps JOIN samples_v s USING (sample_id) JOIN size ON size.condition=s.condition WHERE n>={SUPPORT.least_count} GROUP BY 1, 2, 3, 4),
@@ -25,8 +25,8 @@ best AS (SELECT *, row_number() OVER (PARTITION BY contig, strand, seed ORDER BY
 sc AS (SELECT contig, strand, seed, CAST(sum(support) AS BIGINT) AS total_supporting, max(support) FILTER (rn=1) AS supporting, max(condition) FILTER (rn=1) AS best, bool_or(passes) AS supported,
  coalesce(string_agg(condition, ';' ORDER BY condition) FILTER (passes), '') AS conditions FROM best GROUP BY 1, 2, 3),
 run AS (SELECT *, sum(n) OVER (PARTITION BY contig, strand, seed ORDER BY coordinate) AS cum, sum(n) OVER (PARTITION BY contig, strand, seed) AS total FROM m),
-wide AS (SELECT contig, strand, seed, min(coordinate) FILTER (cum>rint(0.95*(total-1)))-min(coordinate) FILTER (cum>rint(0.05*(total-1))) AS width FROM run GROUP BY 1, 2, 3),
-flank AS (SELECT cl.contig, cl.strand, cl.seed, sum(at.n) AS flank FROM cl JOIN at ON at.contig=cl.contig AND at.strand=cl.strand AND abs(at.coordinate-cl.seed)>24 AND abs(at.coordinate-cl.seed)<=48 GROUP BY 1, 2, 3),
+wide AS (SELECT contig, strand, seed, min(coordinate) FILTER (cum>round_even(0.95::DOUBLE*(total-1)::DOUBLE, 0))-min(coordinate) FILTER (cum>round_even(0.05::DOUBLE*(total-1)::DOUBLE, 0)) AS width FROM run GROUP BY 1, 2, 3),
+flank AS (SELECT cl.contig, cl.strand, cl.seed, sum(pos.n) AS flank FROM cl JOIN pos ON pos.contig=cl.contig AND pos.strand=cl.strand AND abs(pos.coordinate-cl.seed)>24 AND abs(pos.coordinate-cl.seed)<=48 GROUP BY 1, 2, 3),
 cap AS (SELECT contig, strand, seed, sum(least(n, 3)) AS capped FROM ps GROUP BY 1, 2, 3),
 known AS (SELECT DISTINCT cl.contig, cl.strand, cl.seed FROM cl JOIN atlas_v a ON a.chrom=cl.contig AND a.strand=cl.strand AND abs(a.coordinate-cl.seed)<={SUPPORT.known_radius}),
 met AS (SELECT contig, strand, seed, sum(n) AS total, sum(clips) AS clips, sum(n) FILTER (abs(coordinate-seed)<=2) AS near, min(coordinate) AS low, max(coordinate)+1 AS high, count(*) AS members FROM m GROUP BY 1, 2, 3),
