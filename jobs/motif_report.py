@@ -90,6 +90,7 @@ def result(spark: SparkSession, out: str, settings: dict) -> DataFrame:
     kinds = {"sequences": "id long, stratum string, length int, a_fraction double, longest_a_run int, tail_of_a boolean, n_hits int, primary_motif string, motif_class string, distance int, motifs string, part string",
              "enrichment": "motif string, n_sequences long, with_motif long, strata long, odds_ratio double, chi_square double, p double, fdr double, part string"}
     tables = [spark.read.schema(kind).parquet(f"{out}/{name}").withColumn("table", F.lit(name)) for name, kind in kinds.items()]
+    tables[0] = tables[0].withColumn("tail_of_a", F.col("tail_of_a").cast("int"))  # nulls of the other table join it
     return tables[0].unionByName(tables[1], allowMissingColumns=True)
 
 

@@ -48,7 +48,7 @@ def _motifs() -> str:
     run = "CAST(coalesce(list_max(list_transform(regexp_extract_all({0}, 'A+'), lambda x: length(x))), 0) AS INT)"
     share = "CASE WHEN length({0})>0 THEN (length({0})-length(replace({0}, 'A', '')))/length({0}) ELSE 0 END"
     tests = ("odds_ratio", "chi_square", "p", "fdr")
-    texts = {"stratum": "VARCHAR", "length": "INT", "a_fraction": "DOUBLE", "longest_a_run": "INT", "tail_of_a": "BOOLEAN", "n_hits": "INT", "primary_motif": "VARCHAR", "motif_class": "VARCHAR", "distance": "INT", "motifs": "VARCHAR"}
+    texts = {"stratum": "VARCHAR", "length": "INT", "a_fraction": "DOUBLE", "longest_a_run": "INT", "tail_of_a": "INT", "n_hits": "INT", "primary_motif": "VARCHAR", "motif_class": "VARCHAR", "distance": "INT", "motifs": "VARCHAR"}
     counts = {"motif": "VARCHAR", "n_sequences": "BIGINT", "with_motif": "BIGINT", "strata": "BIGINT", **dict.fromkeys(tests, "DOUBLE")}
     none = lambda kinds: ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name, kind in kinds.items())
     return f"""WITH s AS (SELECT row_number() OVER () AS no, doc_id AS id, coalesce(nullif(lang, ''), 'none') AS part, source AS stratum,
@@ -59,7 +59,7 @@ h AS (SELECT no, motif, motif_class, priority, length(seq)-i AS distance FROM (S
 r AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY priority, CASE WHEN distance BETWEEN {low} AND {high} THEN 0 ELSE 1 END, abs(distance-20), distance) AS rn FROM h),
 q AS (SELECT no, CAST(count(*) AS INT) AS n, string_agg(DISTINCT motif, ',' ORDER BY motif) AS motifs FROM h GROUP BY 1),
 t AS MATERIALIZED (SELECT id, stratum, CAST(length(seq) AS INT) AS length, round({share.format('seq')}, 9) AS a_fraction, {run.format('seq')} AS longest_a_run,
- {run.format(tail)}>6 OR {share.format(tail)}>0.7 AS tail_of_a, coalesce(q.n, 0) AS n_hits, coalesce(r.motif, 'no_recognized_motif') AS primary_motif, r.motif_class, CAST(r.distance AS INT) AS distance, coalesce(q.motifs, '') AS motifs, part
+ CAST({run.format(tail)}>6 OR {share.format(tail)}>0.7 AS INT) AS tail_of_a, coalesce(q.n, 0) AS n_hits, coalesce(r.motif, 'no_recognized_motif') AS primary_motif, r.motif_class, CAST(r.distance AS INT) AS distance, coalesce(q.motifs, '') AS motifs, part
  FROM s LEFT JOIN r ON r.no=s.no AND r.rn=1 LEFT JOIN q ON q.no=s.no),
 z AS (SELECT part, stratum, motif, count(*) AS n, count(*) FILTER (list_contains(string_split(motifs, ','), motif)) AS a FROM t, (SELECT motif FROM m) GROUP BY 1, 2, 3),
 u AS (SELECT *, n-a AS b, sum(a) OVER w-a AS c, sum(n-a) OVER w-(n-a) AS d FROM z WINDOW w AS (PARTITION BY stratum, motif)),
