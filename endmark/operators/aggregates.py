@@ -126,19 +126,41 @@ def seed_metrics(observed: DataFrame, radius: int, cap: int = 3) -> DataFrame:
     return sums.groupBy("contig", "strand", "coordinate").agg(F.count_if(F.col("s") > 0).alias("supporting"), F.sum(F.least("s", F.lit(cap))).alias("capped"), F.sum("s").alias("raw"), F.sum("f").alias("flank"))
 
 
-def merged_intervals(intervals: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:
-    """Unions of touching or overlapping intervals per key: (keys, island, start, end, members)."""
-    w = Window.partitionBy(*keys).orderBy(start, end)
-    opened = intervals.withColumn("_reach", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    numbered = opened.withColumn("island", F.sum(F.when(F.col("_reach").isNull() | (F.col(start) > F.col("_reach")), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+#: Coordinates of a bin in which islands are numbered by themselves; a key's bins are what one task sees of it.
+BIN = 1 << 17
+
+
+def _bins(rows: DataFrame, keys: list[str], **values: Column) -> tuple[DataFrame, Window]:
+    """Values of each (keys, _bin), and the window over a key's bins in order: a row a bin, however many rows it holds."""
+    return rows.groupBy(*keys, "_bin").agg(*[v.alias(k) for k, v in values.items()]), Window.partitionBy(*keys).orderBy("_bin")
+
+
+def merged_intervals(intervals: DataFrame, keys: list[str], start: str = "start", end: str = "end", width: int = BIN) -> DataFrame:
+    """Unions of touching or overlapping intervals per key: (keys, island, start, end, members); islands are numbered from 1 in order. What reaches into a bin of coordinates from those before it, and how many islands
+    begin there, is carried from bin to bin, so no task sees all of a key."""
+    d = intervals.withColumn("_bin", F.floor(F.col(start) / F.lit(width)))
+    before = Window.unboundedPreceding, -1
+    ends, over = _bins(d, keys, _high=F.max(end))
+    d = d.join(ends.select(*keys, "_bin", F.max("_high").over(over.rowsBetween(*before)).alias("_carried")), [*keys, "_bin"])
+    w = Window.partitionBy(*keys, "_bin").orderBy(start, end)
+    reach = F.greatest("_carried", F.max(end).over(w.rowsBetween(*before)))
+    d = d.withColumn("_opens", (reach.isNull() | (F.col(start) > reach)).cast("long"))
+    opened, over = _bins(d, keys, _n=F.sum("_opens"))
+    d = d.join(opened.select(*keys, "_bin", F.coalesce(F.sum("_n").over(over.rowsBetween(*before)), F.lit(0)).alias("_earlier")), [*keys, "_bin"])
+    numbered = d.withColumn("island", F.col("_earlier") + F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return numbered.groupBy(*keys, "island").agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count("*").alias("members"))
 
 
-def islands(points: DataFrame, keys: list[str], at: str, gap: int, name: str = "island") -> DataFrame:
-    """Points numbered by runs whose neighbours are at most gap apart."""
-    w = Window.partitionBy(*keys).orderBy(at)
-    far = F.coalesce(F.col(at) - F.lag(at).over(w) > gap, F.lit(True))
-    return points.withColumn("_far", far.cast("int")).withColumn(name, F.sum("_far").over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("_far")
+def islands(points: DataFrame, keys: list[str], at: str, gap: int, name: str = "island", width: int = BIN) -> DataFrame:
+    """Points numbered, from 1 in each key, by runs whose neighbours are at most gap apart. Runs are counted within bins of coordinates and carried over their borders, so no task sees all of a key."""
+    d = points.withColumn("_bin", F.floor(F.col(at) / F.lit(width)))
+    w = Window.partitionBy(*keys, "_bin").orderBy(at)
+    # the first point of a bin is judged by the bins before it
+    d = d.withColumn("_far", F.coalesce(F.col(at) - F.lag(at).over(w) > gap, F.lit(False)).cast("long")).withColumn("_own", F.sum("_far").over(w.rangeBetween(Window.unboundedPreceding, 0)))
+    bins, over = _bins(d, keys, _low=F.min(at), _high=F.max(at), _n=F.max("_own"))
+    opens = F.coalesce(F.col("_low") - F.lag("_high").over(over) > gap, F.lit(True)).cast("long") + F.coalesce(F.lag("_n").over(over), F.lit(0))
+    first = bins.withColumn("_opens", opens).select(*keys, "_bin", F.sum("_opens").over(over.rowsBetween(Window.unboundedPreceding, 0)).alias("_first"))
+    return d.join(first, [*keys, "_bin"]).withColumn(name, F.col("_first") + F.col("_own")).drop("_bin", "_far", "_own", "_first")
 
 
 def concordance(calls: DataFrame) -> DataFrame:
@@ -165,13 +187,13 @@ def single_ends(exons: DataFrame) -> DataFrame:
     return tx.groupBy("gene_id").agg(F.max(site).alias("end_site"), F.count_distinct(site).alias("n")).filter("n = 1").select("gene_id", "end_site")
 
 
-def unit_histogram(values: DataFrame, column: str) -> DataFrame:
-    """(bin, n) of values in [0, 1] in min(10, max(3, ceil(sqrt(count)))) bins."""
-    import math
-
-    n = values.filter(F.col(column).isNotNull()).count()
-    bins = min(10, max(3, math.ceil(math.sqrt(n))))
-    return values.filter(F.col(column).isNotNull()).groupBy(F.least(F.floor(F.col(column) * bins), F.lit(bins - 1)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+def unit_histogram(values: DataFrame, column: str, keys: list[str] | None = None) -> DataFrame:
+    """(keys, bin, n) of values in [0, 1] in min(10, max(3, ceil(sqrt(count)))) bins, counted for each value of keys by itself."""
+    keys = list(keys or [])
+    some = values.filter(F.col(column).isNotNull())
+    sizes = some.groupBy(*keys).agg(F.count("*").alias("_n")).withColumn("_bins", F.least(F.lit(10), F.greatest(F.lit(3), F.ceil(F.sqrt("_n")))))  # a row for each value of keys
+    d = some.join(sizes, keys) if keys else some.crossJoin(sizes)
+    return d.groupBy(*keys, F.least(F.floor(F.col(column) * F.col("_bins")), F.col("_bins") - 1).cast("long").alias("bin")).agg(F.count("*").alias("n"))
 
 
 def with_zero_rows(rows: DataFrame, levels: DataFrame, name: str = "n") -> DataFrame:

@@ -355,12 +355,15 @@ def a43_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _called(spark, sf_dir).groupBy("comparison", "event_type").agg(F.count("*").alias("n"))
 
 
-@query(f"""{FULL}, {_FIT}, e AS (SELECT *, {_EVENT} AS ev, CASE WHEN strand='+' THEN coordinate ELSE -coordinate END AS o FROM fitted WHERE comparison='C1'),
-x AS (SELECT *, ev IN ('gained','increased_usage') AS up, ev IN ('lost','decreased_usage') AS down FROM e), f AS (SELECT gene_id, arg_min((pac_id,o), (-delta,p,pac_id)) FILTER (up) AS t, arg_min((pac_id,o), (delta,p,pac_id)) FILTER (down) AS fr FROM x GROUP BY 1 HAVING bool_or(up OR down)),
-y AS (SELECT x.gene_id, any_value(f.t) AS t, any_value(f.fr) AS fr, arg_min((pac_id,o),(delta,p,pac_id)) FILTER (f.t IS NULL OR pac_id<>f.t[1]) AS f2, arg_min((pac_id,o),(-delta,p,pac_id)) FILTER (f.fr IS NULL OR pac_id<>f.fr[1]) AS t2 FROM x JOIN f ON f.gene_id=x.gene_id GROUP BY 1),
-z AS (SELECT gene_id, coalesce(fr,f2) AS a, coalesce(t,t2) AS b FROM y) SELECT gene_id, a[1] AS from_pac, b[1] AS to_pac, CASE WHEN b[2]>a[2] THEN 'distal' ELSE 'proximal' END AS direction FROM z""")
+@query(f"""{FULL}, {_FIT}, e AS (SELECT *, {_EVENT} AS ev, CASE WHEN strand='+' THEN coordinate ELSE -coordinate END AS o FROM fitted),
+x AS (SELECT *, ev IN ('gained','increased_usage') AS up, ev IN ('lost','decreased_usage') AS down FROM e),
+f AS (SELECT comparison, gene_id, arg_min((pac_id,o), (-delta,p,pac_id)) FILTER (up) AS t, arg_min((pac_id,o), (delta,p,pac_id)) FILTER (down) AS fr FROM x GROUP BY 1, 2 HAVING bool_or(up OR down)),
+y AS (SELECT x.comparison, x.gene_id, any_value(f.t) AS t, any_value(f.fr) AS fr, arg_min((pac_id,o),(delta,p,pac_id)) FILTER (f.t IS NULL OR pac_id<>f.t[1]) AS f2, arg_min((pac_id,o),(-delta,p,pac_id)) FILTER (f.fr IS NULL OR pac_id<>f.fr[1]) AS t2
+ FROM x JOIN f ON f.gene_id=x.gene_id AND f.comparison=x.comparison GROUP BY 1, 2),
+z AS (SELECT comparison, gene_id, coalesce(fr,f2) AS a, coalesce(t,t2) AS b FROM y)
+SELECT comparison, gene_id, a[1] AS from_pac, b[1] AS to_pac, CASE WHEN b[2]>a[2] THEN 'distal' ELSE 'proximal' END AS direction FROM z""")
 def a41_gene_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return testing.gene_shifts(_called(spark, sf_dir).filter("comparison = 'C1'").withColumnRenamed("p", "pac_fdr"))
+    return testing.gene_shifts(_called(spark, sf_dir).withColumnRenamed("p", "pac_fdr"), ["comparison"])
 
 
 @query(f"""{FULL}, {_FIT}, d AS (SELECT pac_id, comparison, delta, abs(delta)>=0.05 AS called FROM fitted) SELECT x.comparison AS a, y.comparison AS b, count(*) AS n, count(*) FILTER (x.called AND y.called) AS called_in_both, round(corr(x.delta,y.delta),6) AS r

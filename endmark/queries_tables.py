@@ -96,11 +96,15 @@ def j13_stabbing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("pac_id").agg(F.count("*").alias("blocks"), F.sum("n").alias("reads"))
 
 
-@query(f"""{BASE}, tx AS (SELECT gene_id, strand, coordinate//200 AS tx, min(coordinate) AS start, max(coordinate)+50 AS "end" FROM atlas_v WHERE coordinate%600<200 GROUP BY 1,2,3), e AS (SELECT gene_id, max(CASE WHEN strand='+' THEN "end" ELSE start END) AS hi, count(DISTINCT CASE WHEN strand='+' THEN "end" ELSE start END) AS n FROM tx GROUP BY 1)
-SELECT gene_id, hi AS end_site FROM e WHERE n=1""")
+@query("""WITH tx AS (SELECT o_custkey AS gene_id, o_orderkey AS tx, CASE WHEN o_custkey%2=0 THEN '+' ELSE '-' END AS strand, min((l_partkey%50)*40) AS start, max((l_partkey%50)*40+10+l_suppkey%60) AS "end"
+ FROM lineitem JOIN orders ON l_orderkey=o_orderkey GROUP BY 1, 2, 3),
+e AS (SELECT gene_id, CASE WHEN strand='+' THEN "end" ELSE start END AS site FROM tx) SELECT gene_id, max(site) AS end_site FROM e GROUP BY 1 HAVING count(DISTINCT site)=1""")
 def a4_single_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    exons = v.atlas(spark, sf_dir).filter("coordinate % 600 < 200").select("gene_id", "strand", F.expr("coordinate div 200").alias("transcript_id"), F.col("coordinate").alias("start"), (F.col("coordinate") + 50).alias("end"))
-    return aggregates.single_ends(exons)
+    """Customers as genes, their orders as transcripts and line items as exons."""
+    lines = v.load(spark, sf_dir, "lineitem").join(v.load(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    start = F.col("l_partkey") % 50 * 40
+    return aggregates.single_ends(lines.select(
+        F.col("o_custkey").alias("gene_id"), F.col("o_orderkey").alias("transcript_id"), F.when(F.col("o_custkey") % 2 == 0, "+").otherwise("-").alias("strand"), start.alias("start"), (start + 10 + F.col("l_suppkey") % 60).alias("end")))
 
 
 @query(f"""{FULL}, x AS (SELECT pac_id, gene_id, s.condition, sum(coalesce(c."count",0)) AS n FROM (SELECT a.pac_id, a.gene_id, s.sample_id, c."count" FROM atlas_v a CROSS JOIN samples_v s LEFT JOIN counts c ON c.pac_id=a.pac_id AND c.sample_id=s.sample_id) c JOIN samples_v s ON s.sample_id=c.sample_id GROUP BY 1,2,3) SELECT DISTINCT gene_id FROM x WHERE n=0""")
@@ -129,9 +133,10 @@ def a38_a39_dominant_pacs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("comparison", "gene_id", "control_dominant", "treatment_dominant", (F.col("ta") - F.col("ca")).alias("active_change"), (F.col("control_dominant") != F.col("treatment_dominant")).alias("dominant_switch"))
 
 
-@query(f"""{FULL}, {_FIT}, n AS (SELECT count(*) AS n FROM fitted WHERE comparison='C1'), b AS (SELECT least(10, greatest(3, ceil(sqrt(n)))) AS bins FROM n) SELECT CAST(least(floor(p*bins), bins-1) AS BIGINT) AS bin, count(*) AS n FROM fitted, b WHERE comparison='C1' GROUP BY 1""")
+@query(f"""{FULL}, {_FIT}, b AS (SELECT comparison, least(10, greatest(3, ceil(sqrt(count(*))))) AS bins FROM fitted GROUP BY 1)
+SELECT comparison, CAST(least(floor(p*bins), bins-1) AS BIGINT) AS bin, count(*) AS n FROM fitted JOIN b USING (comparison) GROUP BY 1, 2""")
 def a47_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.unit_histogram(fitted(spark, sf_dir).filter("comparison = 'C1'"), "p")
+    return aggregates.unit_histogram(fitted(spark, sf_dir), "p", ["comparison"])
 
 
 @query(f"""{FULL}, t AS (SELECT gene_id, sum("count") AS n FROM counts GROUP BY 1 ORDER BY n DESC, gene_id LIMIT 8), u AS (SELECT c.gene_id, c.pac_id, s.condition, "count"/sum("count") OVER (PARTITION BY c.gene_id, c.sample_id) AS pau FROM counts c JOIN samples_v s ON s.sample_id=c.sample_id)
@@ -171,15 +176,20 @@ def t8_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fitted(spark, sf_dir).select("comparison", "pac_id", F.least("c_total", "t_total").alias("depth"), "delta").filter("depth > 0 and delta is not null")
 
 
-@query(f"WITH {v.SAMPLES} SELECT DISTINCT condition AS treatment, control_condition AS control FROM samples_v WHERE condition<>control_condition ORDER BY 1,2")
+@query(f"""{BASE} SELECT DISTINCT s.condition AS treatment, s.control_condition AS control
+FROM samples_v s WHERE s.condition<>s.control_condition AND s.sample_id IN (SELECT sample_id FROM obs)""")
 def t9_comparisons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.samples(spark).filter("condition <> control_condition").select(F.col("condition").alias("treatment"), F.col("control_condition").alias("control")).distinct()
+    """The comparisons of samples that have evidence."""
+    sheet = v.samples(spark).join(v.observed(spark, sf_dir).select("sample_id").distinct(), "sample_id", "left_semi")
+    return sheet.filter("condition <> control_condition").select(F.col("condition").alias("treatment"), F.col("control_condition").alias("control")).distinct()
 
 
-@query(f"{FULL}, w AS (SELECT pac_id, sum(\"count\") FILTER (sample_id='S0') AS a, sum(\"count\") FILTER (sample_id='S1') AS b FROM counts GROUP BY 1) SELECT pac_id, 'S0' AS sample_id, CAST(a AS BIGINT) AS \"count\" FROM w WHERE a IS NOT NULL UNION ALL SELECT pac_id, 'S1', CAST(b AS BIGINT) FROM w WHERE b IS NOT NULL")
+@query(f"""{FULL} SELECT pac_id, sample_id, CAST(sum("count") AS BIGINT) AS "count" FROM counts GROUP BY 1, 2""")
 def u4_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = v.site_counts(spark, sf_dir).groupBy("pac_id").pivot("sample_id", ["S0", "S1"]).agg(F.sum("count"))
-    return wide.unpivot("pac_id", ["S0", "S1"], "sample_id", "count").filter("count is not null")
+    """Counts of all samples, made wide and long again."""
+    names = [f"S{k}" for k in range(8)]
+    wide = v.site_counts(spark, sf_dir).groupBy("pac_id").pivot("sample_id", names).agg(F.sum("count"))
+    return wide.unpivot("pac_id", names, "sample_id", "count").filter("count is not null")
 
 
 @query(f"{FULL}, {_FIT} SELECT pac_id FROM fitted WHERE comparison='C1' AND delta>0.05 EXCEPT SELECT pac_id FROM fitted WHERE comparison='C2' AND delta>0.05")

@@ -123,3 +123,26 @@ def test_endpoint_classes(spark):
     d = spark.createDataFrame(rows, "g int, r double, m double, w double, b double, lo double, hi double")
     got = [x[0] for x in d.select(aggregates.classify_endpoints(*[F.col(c) for c in ("g", "r", "m", "w", "b", "lo", "hi")])).collect()]
     assert got == ["exact", "proximal", "ambiguous", "ambiguous", "ambiguous"]
+
+
+@pytest.mark.parametrize("width", [1, 7, 64, 1 << 17])
+def test_islands_over_bins(spark, width):
+    """Equal results whatever the bins: runs and unions cross any number of borders."""
+    r = random.Random(width)
+    points = [(k, r.randrange(-400, 400)) for k in "ab" for _ in range(120)] + [("c", 5), ("c", 5)]
+    want, last, number = {}, {}, {}
+    for k, at in sorted(points):
+        number[k] = number.get(k, 0) + (k not in last or at - last[k] > 6)
+        last[k] = at
+        want[k, at] = number[k]
+    got = aggregates.islands(spark.createDataFrame(points, "k string, at long"), ["k"], "at", 6, width=width).collect()
+    assert len(got) == len(points) and {(x.k, x.at): x.island for x in got} == want
+    spans = [(k, a := r.randrange(-300, 300), a + r.choice([0, 1, 3, 9, 120])) for k in "ab" for _ in range(40)]
+    unions = []
+    for k, a, b in sorted(spans):
+        if unions and unions[-1][0] == k and a <= unions[-1][3]:
+            unions[-1][3], unions[-1][4] = max(unions[-1][3], b), unions[-1][4] + 1
+        else:
+            unions.append([k, unions[-1][1] + 1 if unions and unions[-1][0] == k else 1, a, b, 1])
+    got = aggregates.merged_intervals(spark.createDataFrame(spans, "k string, start long, end long"), ["k"], width=width).collect()
+    assert sorted(map(list, got)) == sorted(unions)
