@@ -44,6 +44,7 @@ def _motifs() -> str:
     settings = json.loads(motif_report.CONFIG.read_text(encoding="utf-8"))
     motifs = ", ".join(f"('{m}', '{kind}', {priority})" for m, kind, priority in settings["motifs"])
     low, high = settings["core"]
+    longest = max(len(m) for m, _, _ in settings["motifs"])
     tail = f"right(seq, {settings['tail']})"
     run = "CAST(coalesce(list_max(list_transform(regexp_extract_all({0}, 'A+'), lambda x: length(x))), 0) AS INT)"
     share = "CASE WHEN length({0})>0 THEN (length({0})-length(replace({0}, 'A', '')))/length({0}) ELSE 0 END"
@@ -54,8 +55,10 @@ def _motifs() -> str:
     return f"""WITH s AS (SELECT row_number() OVER () AS no, doc_id AS id, coalesce(nullif(lang, ''), 'none') AS part, source AS stratum,
  coalesce(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTAACGTAAACGTAAACGTTACGA'), '') AS seq FROM documents),
 m(motif, motif_class, priority) AS (VALUES {motifs}),
-h AS (SELECT no, motif, motif_class, priority, length(seq)-i AS distance FROM (SELECT no, seq, motif, motif_class, priority,
- unnest(list_filter(range(0, length(seq)-length(motif)+1), lambda i: substr(seq, CAST(i AS INT)+1, length(motif))=motif)) AS i FROM s, m WHERE contains(seq, motif))),
+-- in pieces of 200 letters, as finding a letter's place costs time in long texts
+c AS (SELECT no, n, k*200 AS base, substr(seq, CAST(k*200 AS INT)+1, {199 + longest}) AS piece FROM (SELECT no, seq, length(seq) AS n, unnest(range(0, (length(seq)+199)//200)) AS k FROM s)),
+h AS (SELECT no, motif, motif_class, priority, n-base-i AS distance FROM (SELECT no, n, base, motif, motif_class, priority,
+ unnest(list_filter(range(0, 200), lambda i: substr(piece, CAST(i AS INT)+1, length(motif))=motif)) AS i FROM c, m WHERE contains(piece, motif))),
 r AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY priority, CASE WHEN distance BETWEEN {low} AND {high} THEN 0 ELSE 1 END, abs(distance-20), distance) AS rn FROM h),
 q AS (SELECT no, CAST(count(*) AS INT) AS n, string_agg(DISTINCT motif, ',' ORDER BY motif) AS motifs FROM h GROUP BY 1),
 t AS MATERIALIZED (SELECT id, stratum, CAST(length(seq) AS INT) AS length, round({share.format('seq')}, 9) AS a_fraction, {run.format('seq')} AS longest_a_run,
