@@ -368,12 +368,12 @@ def _with_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.Recor
     return pa.RecordBatch.from_arrays([*[c for _, c in kept], values], schema=pa.schema([*[f for f, _ in kept], pa.field(name, values.type)]))
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
-    """(from, rows) of stretches of SLICE bytes, which bounds what a worker holds beside the batch it was sent."""
+def _slices(column: pa.Array, most: int = SLICE) -> Iterator[tuple[int, int]]:
+    """(from, rows) of stretches of `most` bytes, which bounds what a worker holds beside the batch it was sent."""
     ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())).to_numpy() if pa.types.is_string(column.type) else 64 * np.arange(1, len(column) + 1)
     low = 0
     while low < len(column):
-        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + SLICE, side="right")))
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + most, side="right")))
         yield low, high - low
         low = high
 

@@ -27,39 +27,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import bpe, rans
+from . import bpe, piecewise, rans
 from .common import forget, shared_dir, written
 
 VERSION = 1
 BLOCK = 4 * rans.SEGMENT
 AT_ONCE = 16  # blocks that are encoded or decoded together
+SLICE = 24 << 20  # bytes of texts whose pieces are told apart together
 COUNT = "id int, n long"
 PACKED = "<u4"
 
 
-def packed(docs: DataFrame, path: str, key: str, end: int, text: str = "text") -> DataFrame:
-    """(key, ids): the token ids of each text and the end id, four little-endian bytes each."""
+def packing(tokenizer: str) -> str:
+    """The type that ids have between the steps: two bytes where the vocabulary allows."""
+    return "<u2" if bpe.encoder(tokenizer).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
-    def with_end(own: bpe.Encoder, column: pa.Array) -> pa.Array:
-        coded = bpe._encoded(own, column)
-        at, tail = coded.offsets.to_numpy(), np.array([end], PACKED).tobytes()
-        every = memoryview(coded.values.to_numpy().astype(PACKED, copy=False).tobytes())
-        return pa.array([b"".join((every[4 * a : 4 * b], tail)) for a, b in zip(at, at[1:], strict=False)], pa.binary())
+
+def packed(docs: DataFrame, tokenizer: str, key: str, end: int, text: str = "text") -> DataFrame:
+    """(key, ids, counts): the packed token ids of each text and the end id. A row with counts, one a task, has how often each id occurs in the task's rows instead: 64-bit numbers by id."""
+    kind = np.dtype(packing(tokenizer))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, total, keys = bpe.encoder(tokenizer), np.zeros(0, np.int64), None
+        for batch in batches:
+            keys = batch.column(0).type
+            for low, rows in bpe._slices(batch.column(1), SLICE):
+                part = batch.slice(low, rows)
+                ids, at = piecewise.encoded(own, tokenizer, part.column(1))
+                whole = np.insert(ids, at[1:], end).astype(kind)
+                ends = at + np.arange(len(at))
+                found = np.bincount(whole)
+                total = np.pad(total, (0, max(0, len(found) - len(total))))
+                total[: len(found)] += found
+                column = pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(ends * kind.itemsize), pa.py_buffer(whole)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), column, pa.array([False] * rows)], ["key", "ids", "counts"])
+        if keys is not None:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, keys), pa.array([total.tobytes()]), pa.array([True])], ["key", "ids", "counts"])
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("ids"))
-    return bpe._apply(rows, path, bpe.BREAKS, [("ids", "ids", with_end, T.BinaryType())])
+    return rows.mapInArrow(run, T.StructType([rows.schema["key"], T.StructField("ids", T.BinaryType()), T.StructField("counts", T.BooleanType())]))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
+    """(id, n) of rows with counts."""
     for batch in batches:
         for ids in batch.column("ids"):
-            found = np.bincount(np.frombuffer(ids.as_buffer(), PACKED))
-            if len(found) > len(total):
-                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-            total[: len(found)] += found
-    seen = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["id", "n"])
+            total = np.frombuffer(ids.as_buffer(), np.int64)
+            seen = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
 
 def _model(frequencies: DataFrame) -> rans.Model:
@@ -76,47 +91,47 @@ def _block_schema(key: T.DataType) -> T.StructType:
     ])
 
 
-def _rows(model: rans.Model, ready: list[tuple[list, list[bytes]]], part: int, block: int, at: int, key: pa.DataType) -> pa.RecordBatch:
+def _rows(model: rans.Model, ready: list[tuple[list, list[np.ndarray]]], part: int, block: int, at: int, key: pa.DataType) -> pa.RecordBatch:
     """Block rows of (keys, ids) lists."""
-    plain = [b"".join(ids) for _, ids in ready]
-    coded = rans.encode(model, [model.symbols(np.frombuffer(x, PACKED)) for x in plain])
-    sizes = [len(x) // 4 for x in plain]
+    plain = [np.concatenate(ids).astype(PACKED) for _, ids in ready]
+    coded = rans.encode(model, [model.symbols(x) for x in plain])
+    sizes = [len(x) for x in plain]
     words = [[w.astype("<u4").tobytes() for w in c.words] for c in coded]
-    counts = [[len(x) // 4 for x in ids] for _, ids in ready]
+    counts = [[len(x) for x in ids] for _, ids in ready]
     documents = pa.ListArray.from_arrays(
         pa.array(np.cumsum([0, *map(len, counts)]), pa.int32()),
         pa.StructArray.from_arrays([pa.array([k for keys, _ in ready for k in keys], key), pa.array([n for x in counts for n in x], pa.int64())], ["key", "n"]))
     return pa.RecordBatch.from_arrays([
         pa.array([part] * len(ready), pa.int32()), pa.array(range(block, block + len(ready)), pa.int32()), pa.array(at + np.cumsum([0, *sizes[:-1]]), pa.int64()), pa.array(sizes, pa.int64()), documents,
         pa.array([b"".join(x) for x in words], pa.binary()), pa.array([[len(w) // 4 for w in x] for x in words], pa.list_(pa.int32())), pa.array([c.states.astype("<u8").tobytes() for c in coded], pa.binary()),
-        pa.array([[zlib.crc32(w) for w in x] for x in words], pa.list_(pa.int64())), pa.array([zlib.crc32(x) for x in plain], pa.int64()),
+        pa.array([[zlib.crc32(w) for w in x] for x in words], pa.list_(pa.int64())), pa.array([zlib.crc32(x.tobytes()) for x in plain], pa.int64()),
     ], ["part", "block", "at", "n_ids", "documents", "words", "word_counts", "states", "word_crc32", "ids_crc32"])
 
 
-def _blocks(model: rans.Model):
-    """A task's documents, in order, as blocks."""
+def _blocks(model: rans.Model, kind: str):
+    """A task's documents, in order, as blocks. kind: the type of their packed ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, block, at = TaskContext.get().partitionId(), 0, 0
-        keys, ids, have, ready, kind = [], [], 0, [], pa.null()
+        keys, ids, have, ready, of = [], [], 0, [], pa.null()
         for batch in batches:
-            kind = batch.column("key").type
+            of = batch.column("key").type
             for key, own in zip(batch.column("key").to_pylist(), batch.column("ids"), strict=True):
                 keys.append(key)
-                ids.append(own.as_py())
-                have += len(ids[-1]) // 4
+                ids.append(np.frombuffer(own.as_py(), kind))
+                have += len(ids[-1])
                 if have >= BLOCK:
                     ready.append((keys, ids))
                     keys, ids, have = [], [], 0
                 if len(ready) == AT_ONCE or ready and len(ready[-1][1][-1]) > 16 * BLOCK:
-                    yield (out := _rows(model, ready, part, block, at, kind))
+                    yield (out := _rows(model, ready, part, block, at, of))
                     block, at, ready = block + len(ready), at + sum(out.column("n_ids").to_pylist()), []
         if keys:
             ready.append((keys, ids))
         if ready:
-            yield _rows(model, ready, part, block, at, kind)
+            yield _rows(model, ready, part, block, at, of)
 
     return run
 
@@ -124,8 +139,9 @@ def _blocks(model: rans.Model):
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, key: str = "doc_id", end: int = 1, text: str = "text") -> None:
     """Write the token ids of each text, and `end` behind each, into a new folder."""
     spark = docs.sparkSession
-    coded = written(packed(docs, tokenizer, key, end, text))
-    counts = coded.mapInArrow(_counted, COUNT).groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()  # a row an id of the vocabulary
+    made = written(packed(docs, tokenizer, key, end, text))
+    coded = made.filter("not counts").drop("counts")
+    counts = made.filter("counts").select("ids").mapInArrow(_counted, COUNT).groupBy("id").agg(F.sum("n").alias("n")).orderBy("id").toPandas()  # a row an id of the vocabulary
     freq = rans.frequencies(counts["n"].to_numpy())
     spark.createDataFrame([(int(i), int(f)) for i, f in zip(counts["id"], freq, strict=True)], "id int, freq int").coalesce(1).write.parquet(f"{path}/frequencies")
     spark.createDataFrame([(VERSION, rans.LANES, rans.CHECK, rans.SCALE)], "version int, lanes int, check int, scale int").coalesce(1).write.parquet(f"{path}/format")
@@ -134,14 +150,14 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, key: str = "doc_id"
     tied = coded.withColumns({"digest": F.xxhash64("ids"), "tie": F.monotonically_increasing_id()})  # rows of one key may be many: they are dealt too
     dealt = tied.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
     schema = _block_schema(coded.schema["key"].dataType)
-    dealt.select("key", "ids").mapInArrow(_blocks(model), schema).write.parquet(f"{path}/blocks")
+    dealt.select("key", "ids").mapInArrow(_blocks(model, packing(tokenizer)), schema).write.parquet(f"{path}/blocks")
     parts = spark.read.schema(schema).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"), F.sum(F.size("documents")).alias("n_documents"))
     first, rows = 0, []
     for part in sorted(parts.collect()):  # a row for each task that wrote
         rows.append((part.part, first, part.n_ids, part.n_documents))
         first += part.n_ids
     spark.createDataFrame(rows, "part int, first long, n_ids long, n_documents long").coalesce(1).write.parquet(f"{path}/parts")
-    forget(coded)
+    forget(made)
 
 
 def _opened(spark: SparkSession, path: str) -> tuple[DataFrame, rans.Model]:

@@ -6,12 +6,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from endmark.llm import rans, token_files
+from endmark.llm import bpe, piecewise, rans, token_files
 from endmark.llm.queries import QUERIES, tokenizer_path
 
 
@@ -72,6 +73,21 @@ def test_frequencies():
         rans.Model.of(np.array([3]), np.array([1 << rans.SCALE], np.uint32)).symbols(np.array([4]))
 
 
+def test_pieces_give_the_library_s_ids():
+    path, tok = tokenizer_path(), library()
+    own = bpe.Encoder(path)
+    assert own.breaks and piecewise.borders(path)[256 * ord("a") + ord(",")] and not piecewise.borders(path)[256 * ord("'") + ord("s")] and not piecewise.borders(path)[256 * ord("|") + ord("e")]
+    r = random.Random(5)
+    parts = ["it's", "'ll", "we're", "x'", "''s", "Word,", "(left", "a.b.c", "...", "?!", "12.5", "é,", ",é", "e\u0301", "\u0301", "İ", "Σ.", "ﬁ-", "<|endoftext|>", "<|endoftext", "|e", "t|", "\t", "\r\n", "\x0b", "\xa0", "\x00", "ǅ", "字", "a_b", "--", "\ud7ff", "😀x", "x😀"]
+    texts = [None, "", " ", "\n\n", *["".join(r.choice([*parts, " ", "\n", " "]) for _ in range(r.randrange(1, 40))) for _ in range(1500)], "z" * 3000]
+    ids, at = piecewise.encoded(own, path, pa.array(["skipped", *texts], pa.string()).slice(1))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    plain = bpe.Encoder(path, breaks="")
+    few, at = piecewise.encoded(plain, path, pa.array(texts[:50], pa.string()))
+    assert [few[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [tok.encode(t or "", add_special_tokens=False).ids for t in texts[:50]]
+    assert piecewise.encoded(own, path, pa.array([], pa.string()))[1].tolist() == [0]
+
+
 @pytest.fixture(scope="module")
 def folder(spark):
     out = token_files.new_folder(spark)
