@@ -3,7 +3,8 @@
 A piece is a string between places across which the tokenizer joins nothing: break characters, and the borders between an ASCII letter and an ASCII
 punctuation mark (but `'`, which contractions begin with). Both are tested on examples, border by border; no border lies inside a token that is looked for in
 the text as a whole. A slice of texts is cut in one vectorised pass, its pieces are told apart, the tokenizers library encodes each different one, and the
-ids are gathered back in text order. Where breaks don't hold, texts go to `bpe`'s chunks instead. Nothing is kept between slices.
+ids are gathered back in text order. Where breaks don't hold, texts go to `bpe`'s chunks instead. What a worker keeps between slices is bounded in bytes (the pieces of the last
+two generations, `bpe.Pieces`); forgetting only costs time.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import pyarrow as pa
 
 from . import bpe
 
+KEEP = 32 << 20  # bytes of pieces a generation
 MARKS = "".join(c for c in string.punctuation if c != "'")
 
 
@@ -65,9 +67,11 @@ def encoded(own: bpe.Encoder, path: str, column: pa.Array) -> tuple[np.ndarray,
     data = np.frombuffer(buffer, np.uint8)[edges[0] : edges[-1]] if buffer is not None else np.zeros(0, np.uint8)
     kept, places, upto = cut(data, edges[1:] - edges[0], own.breaks.encode(), borders(path))
     pieces = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(kept)]).dictionary_encode()
-    flat, size = own.many(pieces.dictionary.cast(pa.large_string()).to_pylist())
-    which = pieces.indices.to_numpy()
-    sizes, starts = size[which], (np.cumsum(size) - size)[which]
+    if own.pieces.most > KEEP:
+        own.pieces = bpe.Pieces(KEEP, own.many)
+    known = own.pieces
+    which = known.places(pieces.dictionary.cast(pa.large_string()).to_pylist())[pieces.indices.to_numpy()]
+    sizes, starts = known.size[which], known.start[which]
     after = np.cumsum(sizes)
-    ids = flat[np.arange(after[-1] if len(after) else 0) - np.repeat(after - sizes - starts, sizes)]
+    ids = known.flat[np.arange(after[-1] if len(after) else 0) - np.repeat(after - sizes - starts, sizes)]
     return ids, np.concatenate([[0], np.concatenate([[0], after])[upto]])

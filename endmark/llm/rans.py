@@ -51,8 +51,10 @@ class Model(NamedTuple):
 
     def symbols(self, ids: np.ndarray) -> np.ndarray:
         """The symbol of each id; an id without one is an error."""
-        at = np.minimum(np.searchsorted(self.ids, ids), max(len(self.ids) - 1, 0))
-        if len(ids) and (not len(self.ids) or (self.ids[at] != ids).any()):
+        known = np.full(max(int(self.ids.max(initial=0)), int(ids.max(initial=0))) + 1, len(self.ids), np.uint32)
+        known[self.ids] = np.arange(len(self.ids))
+        at = known[ids]
+        if (at == len(self.ids)).any():
             raise ValueError("an id is missing in the frequency table")
         return at
 

@@ -32,8 +32,8 @@ from .common import forget, shared_dir, written
 
 VERSION = 1
 BLOCK = 4 * rans.SEGMENT
-AT_ONCE = 16  # blocks that are encoded or decoded together
-SLICE = 24 << 20  # bytes of texts whose pieces are told apart together
+AT_ONCE = 24  # blocks that are encoded or decoded together
+SLICE = 12 << 20  # bytes of texts whose pieces are told apart together
 COUNT = "id int, n long"
 PACKED = "<u4"
 
