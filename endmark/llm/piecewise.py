@@ -10,10 +10,12 @@ two generations, `bpe.Pieces`); forgetting only costs time.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from . import bpe
 
@@ -56,6 +58,16 @@ def cut(data: np.ndarray, ends: np.ndarray, breaks: bytes, border: np.ndarray) -
     return data[keep], places, np.searchsorted(places, before[ends])
 
 
+def slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(from, rows) of stretches of texts of `most` bytes, or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < len(column):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + most, side="right")))
+        yield low, high - low
+        low = high
+
+
 def encoded(own: bpe.Encoder, path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of the texts (null: empty), one after another, and where each text's begin and the last one's end."""
     if not own.breaks or any(b in t.content for t in own.tokenizer.get_added_tokens_decoder().values() for b in own.breaks):

@@ -51,7 +51,7 @@ def packed(docs: DataFrame, tokenizer: str, key: str, end: int, text: str = "tex
         own, total, keys = bpe.encoder(tokenizer), np.zeros(0, np.int64), None
         for batch in batches:
             keys = batch.column(0).type
-            for low, rows in bpe._slices(batch.column(1), SLICE):
+            for low, rows in piecewise.slices(batch.column(1), SLICE):
                 part = batch.slice(low, rows)
                 ids, at = piecewise.encoded(own, tokenizer, part.column(1))
                 whole = np.insert(ids, at[1:], end).astype(kind)

@@ -86,6 +86,7 @@ def test_pieces_give_the_library_s_ids():
     few, at = piecewise.encoded(plain, path, pa.array(texts[:50], pa.string()))
     assert [few[a:b].tolist() for a, b in zip(at, at[1:], strict=False)] == [tok.encode(t or "", add_special_tokens=False).ids for t in texts[:50]]
     assert piecewise.encoded(own, path, pa.array([], pa.string()))[1].tolist() == [0]
+    assert list(piecewise.slices(pa.array(["aa", None, "bbb", "c" * 9, "", "d"], pa.string()), 5)) == [(0, 3), (3, 1), (4, 2)] and list(piecewise.slices(pa.array([], pa.string()), 5)) == []
 
 
 @pytest.fixture(scope="module")
