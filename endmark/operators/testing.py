@@ -92,7 +92,9 @@ def gene_shifts(calls: DataFrame, keys: list[str] | None = None) -> DataFrame:
 def mantel_haenszel(strata: DataFrame, keys: list[str]) -> DataFrame:
     """Cochran-Mantel-Haenszel over 2 x 2 strata (a, b, c, d); strata with a zero margin are skipped: common odds ratio (infinite without discordant
     pairs on one side), its 95 % interval by the variance of Robins, Breslow and Greenland (null where the ratio is 0 or infinite) and the score chi-square without correction."""
-    d = strata.filter("a + b > 0 and c + d > 0 and a + c > 0 and b + d > 0").withColumn("n", (F.col("a") + F.col("b") + F.col("c") + F.col("d")).cast("double"))
+    full = strata.filter("a + b > 0 and c + d > 0 and a + c > 0 and b + d > 0")
+    # products of four margins pass 64 bits from some 55,000 rows a margin
+    d = full.withColumns({x: F.col(x).cast("double") for x in "abcd"}).withColumn("n", F.col("a") + F.col("b") + F.col("c") + F.col("d"))
     e = (F.col("a") + F.col("b")) * (F.col("a") + F.col("c")) / F.col("n")
     v = (F.col("a") + F.col("b")) * (F.col("c") + F.col("d")) * (F.col("a") + F.col("c")) * (F.col("b") + F.col("d")) / (F.col("n") * F.col("n") * (F.col("n") - 1))
     r, s = F.col("a") * F.col("d") / F.col("n"), F.col("b") * F.col("c") / F.col("n")

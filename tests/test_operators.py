@@ -85,6 +85,15 @@ def test_odds_ratio_interval(spark):
     assert got["y"].odds_ratio == float("inf") and got["y"].ci_low is None and "z" not in got
 
 
+def test_mantel_haenszel_of_large_strata(spark):
+    rows = [("x", 60_000, 50_000, 40_000, 70_000), ("y", 4_000_000_000, 3_000_000_000, 2_000_000_000, 5_000_000_000)]
+    got = {r.k: r for r in testing.mantel_haenszel(spark.createDataFrame(rows, "k string, a long, b long, c long, d long"), ["k"]).collect()}
+    for k, a, b, c, d in rows:
+        n = a + b + c + d
+        assert got[k].odds_ratio == pytest.approx(a * d / (b * c)) and got[k].ci_low < got[k].odds_ratio < got[k].ci_high
+        assert got[k].chi_square == pytest.approx((a * d - b * c) ** 2 * (n - 1) / ((a + b) * (c + d) * (a + c) * (b + d)))
+
+
 def test_joins_with_ties_and_nothing_near(spark):
     left = spark.createDataFrame([(1, "c", "+", 10), (2, "c", "+", 100), (3, "d", "+", 10)], "row int, contig string, strand string, at long")
     right = spark.createDataFrame([("a", "c", "+", 5), ("b", "c", "+", 15), ("x", "c", "-", 10)], "pac string, contig string, strand string, site long")
