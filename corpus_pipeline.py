@@ -21,7 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of five words, Jaccard similarity 0.8 or more. It has the smallest id, null last; of several rows of that
+    """One document of each group of near copies: shingles of five words, Jaccard similarity 0.8 or more. Pairs come from SimHash fingerprints by operator 5's vantage-point trees, and those
+    whose fingerprints lie further apart from MinHash bands; exact similarity decides. The one that stays has the smallest id, null last; of several rows of that
     id in a group the least by digest stays, and different documents that share an id stay both. Null and empty texts are copies of each other."""
     return resemblance.keep_one(docs).select(*docs.columns)
 

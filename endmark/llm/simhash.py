@@ -56,7 +56,11 @@ def fingerprint(text: bytes, shingle: int = 4, seed: int = 42) -> int:
         return 0
     grams = [b" ".join(words)] if len(words) < shingle else map(b" ".join, zip(*[words[k:] for k in range(shingle)], strict=False))
     one = xxhash.xxh64_intdigest
-    hashes = np.array([one(g, seed) for g in grams], dtype=np.uint64)
+    return majority(np.array([one(g, seed) for g in grams], dtype=np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bits set in over half of the hashes; zero of none."""
     ones = np.zeros(64, dtype=np.int64)
     for low in range(0, len(hashes), 65536):  # bounded memory for any length
         bits = np.unpackbits(hashes[low : low + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

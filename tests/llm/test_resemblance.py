@@ -7,7 +7,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from endmark.llm import resemblance
+from endmark.llm import resemblance, simhash
 
 from . import brute
 
@@ -69,6 +69,24 @@ def test_pipeline_stage_drops_near_copies_beyond_four_bits(spark):
     assert not any({docs[j][0], docs[k][0]} <= kept for j, k in far)
 
 
+def test_fingerprints_propose_pairs(spark, monkeypatch):
+    docs = rows()
+    texts = [t for _, t in docs if brute.SPACE.findall(t or "")]
+    fps = [simhash.fingerprint(t.encode(), 5) for t in texts]
+    near = {(j, k) for k in range(len(fps)) for j in range(k) if (fps[j] ^ fps[k]).bit_count() <= resemblance.REACH}
+    assert near and any(grams(texts[j]) != grams(texts[k]) for j, k in near)
+    nodes = spark.createDataFrame([(k, fp - (fp >> 63 << 64)) for k, fp in enumerate(fps)], "node long, fp long")
+    bucket = {r.node: r.bucket for r in resemblance.fingerprint_buckets(nodes).collect()}
+    assert sorted(bucket) == list(range(len(fps))) and all(bucket[j] == bucket[k] for j, k in near)
+    # the pipeline's stage searches the fingerprints of its five-word shingles, by operator 5's trees
+    seen = []
+    search = resemblance.fingerprint_links
+    monkeypatch.setattr(resemblance, "fingerprint_links", lambda nodes, reach: (seen.extend(r.fp for r in nodes.collect()), search(nodes, reach))[1])
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    corpus_pipeline.dedup_stage(spark, table, "").count()
+    assert set(seen) == {fp - (fp >> 63 << 64) for fp in fps}
+
+
 def test_two_documents_of_one_id_both_stay(spark):
     words = [" ".join(f"{c}{k}" for k in range(80)) for c in "abc"]
     docs = [(1, words[0]), (1, words[1]), (1, words[1]), (2, words[0]), (None, words[2]), (None, words[2]), (None, words[0])]
