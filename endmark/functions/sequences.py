@@ -13,8 +13,12 @@ def reverse_complement(seq: Column) -> Column:
 
 def longest_run(seq: Column, base: str) -> Column:
     """Length of the longest run of a base."""
-    runs = F.regexp_extract_all(seq, F.lit(f"{base}+"), F.lit(0))
-    return F.coalesce(F.array_max(F.transform(runs, F.char_length)), F.lit(0))
+    # plain searches for short runs, as a long sequence has very many; only runs of 8 and more are taken out and measured
+    runs = F.regexp_extract_all(seq, F.lit(f"{base}{{8,}}"), F.lit(0))
+    longest = F.when(seq.contains(base * 8), F.array_max(F.transform(runs, F.char_length)))
+    for n in range(7, 0, -1):
+        longest = longest.when(seq.contains(base * n), F.lit(n))
+    return longest.otherwise(F.lit(0))
 
 
 def base_count(seq: Column, base: str) -> Column:
@@ -54,6 +58,25 @@ def motif_hits(seq: Column, motifs: list[tuple[str, str, int]], core: tuple[int,
     return F.sort_array(F.concat(*found))
 
 
+def motif_count(seq: Column, motifs: list[str]) -> Column:
+    """Number of (overlapping) hits of different motifs."""
+    if any(a != b and b.startswith(a) for a in motifs for b in motifs):  # a place may have several hits
+        return sum((F.regexp_count(seq, F.lit(f"(?={m})")) for m in motifs[1:]), F.regexp_count(seq, F.lit(f"(?={motifs[0]})")))
+    return F.regexp_count(seq, F.lit(f"(?={'|'.join(motifs)})")) if motifs else F.lit(0)
+
+
+def preferred_hit(seq: Column, turned: Column, motifs: list[tuple[str, str, int]], core: tuple[int, int], usual: int = 20) -> Column:
+    """The first of motif_hits of a whole sequence, null if there are none; turned: the sequence reversed. Beyond both the core range and the usual distance nearer
+    is better, so a motif's hits near the end and the last one before them decide, however many there are."""
+    near = max(core[1], usual)
+    found = []
+    for motif, kind, priority in motifs:
+        place = F.locate(motif[::-1], turned, max(0, near - len(motif) + 1) + 1)
+        named = [F.lit(priority).alias("priority"), F.lit(motif).alias("motif"), F.lit(kind).alias("motif_class")]
+        found.append(F.when(place > 0, _hit(place - 1 + len(motif), named, core, usual)(F.lit(0))))
+    return F.array_min(F.concat(motif_hits(F.right(seq, F.lit(near)), motifs, core, usual=usual), F.array(*found)))
+
+
 def _hits(seq: Column, motif: str) -> Column:
     """The places, from 0, where a motif begins, overlapping ones too: the text is cut before each, and the pieces' lengths add up (a piece may be shorter than the motif)."""
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("hits"))

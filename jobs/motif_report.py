@@ -43,13 +43,14 @@ def described(texts: DataFrame, settings: dict) -> DataFrame:
     """The sequences table, `part` being the group."""
     rows = texts.select(F.col(settings["id"]).alias("id"), F.coalesce(F.nullif(F.col(settings["group"]).cast("string"), F.lit("")), F.lit("none")).alias("part"), F.col(settings["stratum"]).cast("string").alias("stratum"), F.coalesce(F.expr(settings["sequence"]), F.lit("")).alias("seq"))
     seq = F.col("seq")
-    hits = sequences.motif_hits(seq, [tuple(m) for m in settings["motifs"]], tuple(settings["core"]))
-    rows = rows.withColumn("hits", hits)
-    best = F.get("hits", F.lit(0))
+    motifs = [tuple(m) for m in settings["motifs"]]
+    names = sorted(m for m, _, _ in motifs)
+    rows = rows.withColumn("turned", F.reverse(seq))
+    rows = rows.withColumn("best", sequences.preferred_hit(seq, F.col("turned"), motifs, tuple(settings["core"])))
     return rows.select(
         "id", "stratum", F.char_length(seq).alias("length"), F.round(sequences.base_fraction(seq, "A"), 9).alias("a_fraction"), sequences.longest_run(seq, "A").cast("int").alias("longest_a_run"),
-        annotation.priming(F.right(seq, F.lit(settings["tail"]))).alias("tail_of_a"), F.size("hits").alias("n_hits"), sequences.primary_motif(F.col("hits")).alias("primary_motif"), best["motif_class"].alias("motif_class"),
-        best["distance"].cast("int").alias("distance"), F.array_join(F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["motif"]))), ",").alias("motifs"), "part")
+        annotation.priming(F.right(seq, F.lit(settings["tail"]))).alias("tail_of_a"), sequences.motif_count(seq, names).alias("n_hits"), F.coalesce("best.motif", F.lit("no_recognized_motif")).alias("primary_motif"), F.col("best.motif_class").alias("motif_class"),
+        F.col("best.distance").cast("int").alias("distance"), F.concat_ws(",", *[F.when(seq.contains(m), m) for m in names]).alias("motifs"), "part")
 
 
 def enriched(rows: DataFrame, settings: dict) -> DataFrame:

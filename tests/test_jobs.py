@@ -5,10 +5,13 @@ from __future__ import annotations
 import json
 import logging
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from endmark.functions import sequences
 from jobs import motif_report, queries, site_counts
 
 READS = "run string, sample string, ctg string, side string, at long, n long, clipped long"
@@ -150,6 +153,25 @@ def test_motif_report(spark, tmp_path):
     assert {(r.table, r.part) for r in motif_report.result(spark, out, SEQUENCES).collect()} == {("sequences", "x"), ("enrichment", "x")}
 
 
+def test_preferred_hit_and_counts_against_all_hits(spark):
+    r = random.Random(4)
+    seqs = ["", "A", None, *("".join(r.choice("AAACT") for _ in range(r.randrange(120))) for _ in range(400)), "C" * 50 + "AATAAATAAA" + "C" * 40, "A" * 30 + "C" + "A" * 9]
+    rows = spark.createDataFrame([(k, s) for k, s in enumerate(seqs)], "no int, seq string")
+    c = F.col("seq")
+    for motifs in ([("AATAAA", "x", 1), ("ACA", "y", 2), ("TA", "z", 2)], [("AA", "x", 2), ("AAT", "y", 1), ("C" * 35, "z", 1)]):
+        for core in ((15, 30), (3, 8), (40, 60)):
+            got = rows.select("no", "seq", sequences.motif_hits(c, motifs, core).alias("hits"), sequences.preferred_hit(c, F.reverse(c), motifs, core).alias("best"), sequences.motif_count(c, [m for m, _, _ in motifs]).alias("n"), sequences.longest_run(c, "A").alias("run")).collect()
+            for x in got:
+                assert x.best == (x.hits[0] if x.hits else None) and (x.seq is None or x.n == len(x.hits))
+                assert x.run == max(map(len, re.findall("A+", x.seq or "")), default=0)
+
+
+def test_whole_sequences_take_no_list_of_hits(spark):
+    texts = spark.createDataFrame([(1, "aataaa", "x", "s")], "doc_id long, text string, lang string, source string")
+    plan = motif_report.described(texts, SEQUENCES)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(seq" not in plan and "A+" not in plan
+
+
 def test_config_is_tested(tmp_path):
     bad = tmp_path / "bad.json"
     for motifs in ([["AA", "x", 1], ["AA", "y", 2]], [["A+", "x", 1]]):
