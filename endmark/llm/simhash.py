@@ -11,10 +11,12 @@ the quarter's space into shards: a node sends a fingerprint inside its vantage p
 the inner side and any other to the outer side. One inside, but so near the boundary that the triangle
 inequality allows a partner outside, also visits the outer side, and a visitor visits each side that can hold a
 partner; so every pair meets in the shard where one of the two is at home. In a shard a
-local tree over the quarter values is searched in the same way, and what its leaves yield is compared on
-all 64 bits. Within a shard links are merged at once and only a spanning forest leaves it. Rows are counted
-by shard; a crowded shard (equal quarters can't be split) is dealt again by the trees of the other quarters, on one
-of which its pairs are near too, and so on until shards are small or all quarters are named.
+local tree over the different quarter values is searched in the same way; its leaves name the values near each other, and
+the rows of these are compared on all 64 bits. Within a shard links are merged at once and only a spanning forest leaves it. Rows at home are
+counted by shard; a crowded shard (equal quarters can't be split) is dealt again by the trees of the other quarters, on one
+of which its pairs are near too, and so on until shards are small or all quarters are named. Visitors don't count: they grow with the number of shards
+(on 16 bits a row visits 2 of 48 and 5 of 236), so dealing again for their sake would multiply them. Shards take large shares for the same reason, and what
+goes to a shard is packed, many fingerprints a row.
 
 Components over the whole corpus come from rounds of hooking and pointer jumping on DataFrames; each
 round is a written table. Nothing but a count and the sample reaches the driver.
@@ -41,8 +43,9 @@ from .common import forget, fresh, looked_up, spread, written
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 QUARTERS = 4
-#: Rows that the upper trees are built from, rows wished for in a shard, most shards of a tree, rows of a local tree's leaves.
-SAMPLE, SHARD, SHARDS, LEAF = 20_000, 12_000, 1024, 48
+#: Rows that the upper trees are built from, rows at home wished for in a shard, most shards of a tree, values of a local tree's leaves, pairs compared or
+#: linked at once, rows dealt at once.
+SAMPLE, SHARD, SHARDS, LEAF, BLOCK, DEAL = 20_000, 60_000, 1024, 128, 1 << 18, 100_000
 #: A shard of over CROWD times the rows wished for is dealt again by the other quarters. WAYS: links of a row in the forest a shard returns, about.
 CROWD, WAYS = 4, 16
 
@@ -168,27 +171,51 @@ class Links:
 
 
 def shard_links(fps: np.ndarray, quarter: np.ndarray, home: np.ndarray, radius: int, near: int, links: Links) -> None:
-    """Link all pairs of rows within `near` on the quarter and `radius` on the whole, one of them at home: a local vantage-point tree."""
+    """Link all pairs of rows within `near` on the quarter and `radius` on the whole, one of them at home: a local vantage-point tree over the quarter's
+    different values, whose leaves name the values within `near` of each other; the rows of these are compared on all bits."""
     rng = np.random.default_rng(len(fps))
-    rows = np.arange(len(fps))
-    todo = [(rows[home], rows)]
+    order = np.lexsort((~home, quarter))  # a value's rows at home come first
+    fps = fps[order]
+    values, first, count = np.unique(quarter[order], return_index=True, return_counts=True)
+    own = np.add.reduceat(home[order], first, dtype=np.int64) if len(first) else first
+    found: list[np.ndarray] = []
+
+    def flush() -> None:
+        if found:
+            links.add(*order[np.concatenate(found, axis=1)])
+            found.clear()
+
+    todo, held = [(np.flatnonzero(own), np.arange(len(values)))], 0
     while todo:
         members, asking = todo.pop()
         if not len(members) or not len(asking):
             continue
-        split = _vantage(quarter[members], rng) if len(members) > LEAF else None
+        split = _vantage(values[members], rng) if len(members) > LEAF else None
         if split is None:
-            for low in range(0, len(asking), 4096):
-                part = asking[low : low + 4096]
-                for m in range(0, len(members), 1024):
-                    some = members[m : m + 1024]
-                    a, b = np.nonzero(np.bitwise_count(fps[part][:, None] ^ fps[some][None, :]) <= radius)
-                    links.add(part[a], some[b])
+            close = np.bitwise_count(values[members][:, None] ^ values[asking][None, :]) <= near
+            for m, there in zip(members, close, strict=True):
+                to = asking[there]
+                n = count[to]
+                rows = np.arange(n.sum()) + np.repeat(first[to] - np.cumsum(n) + n, n)
+                end, step = first[m] + own[m], max(1, BLOCK // len(rows))
+                for low in range(first[m], end, step):
+                    for at in range(0, len(rows), BLOCK):
+                        some = rows[at : at + BLOCK]
+                        a, b = np.nonzero(np.bitwise_count(fps[low : min(low + step, end)][:, None] ^ fps[some][None, :]) <= radius)
+                        a, b = a + low, some[b]
+                        apart = a != b
+                        if apart.any():
+                            found.append(np.stack([a[apart], b[apart]]))
+                            held += found[-1].shape[1]
+                            if held > BLOCK:  # not more often: a union passes over all rows
+                                flush()
+                                held = 0
             continue
         vantage, b = split
-        own, seen = _away(quarter[members], vantage), _away(quarter[asking], vantage)
-        todo.append((members[own <= b], asking[seen <= b + near]))
-        todo.append((members[own > b], asking[seen > b - near]))
+        mine, seen = _away(values[members], vantage), _away(values[asking], vantage)
+        todo.append((members[mine <= b], asking[seen <= b + near]))
+        todo.append((members[mine > b], asking[seen > b - near]))
+    flush()
 
 
 def fingerprint_links(nodes: DataFrame, radius: int = 4, shard: int = SHARD) -> DataFrame:
@@ -196,45 +223,54 @@ def fingerprint_links(nodes: DataFrame, radius: int = 4, shard: int = SHARD) ->
     n = nodes.count()
     sample = nodes.sample(min(1.0, SAMPLE / max(n, 1)), seed=1).limit(2 * SAMPLE).collect()  # the limit is a guard: about SAMPLE rows are expected
     quarters = np.array([r.fp for r in sample], dtype=np.int64).view(np.uint64).view(np.uint16).reshape(-1, QUARTERS)
-    trees = [Tree(quarters[:, q], min(SHARDS, max(16, -(-n // shard))), q) for q in range(QUARTERS)]
 
-    def deal(near: int):
+    def deal(near: int, most: int):
+        """most: rows to be dealt of one key."""
+        trees = [Tree(quarters[:, q], min(SHARDS, max(16, -(-most // shard))), q) for q in range(QUARTERS)]
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            """By every quarter that a row's key doesn't name yet; a key is the quarters and shards so far, q:shard/."""
+            """By every quarter that a row's key doesn't name yet; a key is the quarters and shards so far, q:shard/. What goes to a shard from a batch is one row or two."""
             for batch in batches:
                 for key in batch.column(0).unique().to_pylist():
-                    fps = batch.column(1).filter(pc.equal(batch.column(0), key)).to_numpy()
-                    own = fps.view(np.uint64).view(np.uint16).reshape(-1, QUARTERS)
-                    for q, tree in enumerate(trees):
-                        if f"{q}:" in key:
-                            continue
-                        for at, home, visits in tree.route(np.ascontiguousarray(own[:, q]), near):
-                            rows = np.concatenate([home, visits])
-                            yield pa.RecordBatch.from_arrays([pa.array([f"{key}{q}:{at}/"] * len(rows)), pa.array(np.arange(len(rows)) < len(home)), pa.array(fps[rows])], names=["shard", "home", "fp"])
+                    part = batch.column(1).filter(pc.equal(batch.column(0), key))
+                    fps = part.to_numpy() if pa.types.is_int64(part.type) else np.frombuffer(b"".join(part.to_pylist()), dtype=np.int64)
+                    for low in range(0, len(fps), DEAL):
+                        some = fps[low : low + DEAL]
+                        own = some.view(np.uint64).view(np.uint16).reshape(-1, QUARTERS)
+                        for q, tree in enumerate(trees):
+                            if f"{q}:" in key:
+                                continue
+                            out = [(f"{key}{q}:{at}/", here, some[rows].tobytes()) for at, *sides in tree.route(np.ascontiguousarray(own[:, q]), near) for here, rows in zip((True, False), sides, strict=True) if len(rows)]
+                            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.string(), pa.bool_(), pa.binary()), strict=True)], names=["shard", "home", "fps"])
 
         return run
 
     def join(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.assign(u=part.fp.to_numpy().view(np.uint64)).sort_values("u")
+        fps = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in part.fps])
+        home = np.repeat(part.home.to_numpy(dtype=bool), part.fps.str.len() // 8)
+        order = np.argsort(fps)
+        fps, home = fps[order], home[order]
         key = part["shard"].iloc[0].rstrip("/").split("/")
         q, near = int(key[-1].split(":")[0]), radius // (QUARTERS + 1 - len(key))
-        fps = part.u.to_numpy()
         links = Links(len(fps))
-        shard_links(fps, np.ascontiguousarray(fps.view(np.uint16).reshape(-1, QUARTERS)[:, q]), part.home.to_numpy(), radius, near, links)
+        shard_links(fps, np.ascontiguousarray(fps.view(np.uint16).reshape(-1, QUARTERS)[:, q]), home, radius, near, links)
         a, b = forest(_roots(links.parent))
         whole = fps.view(np.int64)
         return pd.DataFrame({"a": whole[a], "b": whole[b]})
 
-    todo, links, tables = nodes.select(F.lit("").alias("shard"), "fp"), None, []
+    todo, links, tables, most = nodes.select(F.lit("").alias("shard"), "fp"), None, [], n
     for level in range(QUARTERS):
-        dealt = written(todo.mapInArrow(deal(radius // (QUARTERS - level)), "shard string, home boolean, fp long"))
+        dealt = written(todo.mapInArrow(deal(radius // (QUARTERS - level), most), "shard string, home boolean, fps binary"))
         tables.append(dealt)
         big = None
         if level < QUARTERS - 1:
-            counts = dealt.groupBy("shard").count().filter(F.col("count") > CROWD * shard)
-            big = written(counts.select("shard"))
+            # visitors don't make a shard crowded: finer shards would have more of them
+            rows = F.octet_length("fps") / 8
+            counts = dealt.groupBy("shard").agg(F.sum(rows).alias("n"), F.sum(F.when(F.col("home"), rows)).alias("own")).filter(F.col("own") > CROWD * shard)
+            big = written(counts.select("shard", "n"))
             tables.append(big)
-            if big.isEmpty():
+            most = int(big.agg(F.max("n")).first()[0] or 0)
+            if not most:
                 big = None
         few = dealt if big is None else dealt.join(big, "shard", "left_anti")
         found = written(spread(few, "shard").groupBy("shard").applyInPandas(join, "a long, b long"))
@@ -243,7 +279,7 @@ def fingerprint_links(nodes: DataFrame, radius: int = 4, shard: int = SHARD) ->
         if big is None:
             break
         # pairs of a crowded shard are near on one of the other quarters too, one of the two at home there
-        todo = dealt.join(big, "shard", "left_semi").select("shard", "fp")
+        todo = dealt.join(big, "shard", "left_semi").select("shard", "fps")
     out = written(links.distinct())
     forget(*tables)
     return out

@@ -190,6 +190,38 @@ def test_crowded_quarters(spark):
     assert np.bincount(np.concatenate([a, b])).max() <= simhash.WAYS + 2 and len(a) == 4999
 
 
+def test_visitors_do_not_crowd_shards(spark, monkeypatch):
+    """Even fingerprints over many shards, most rows in which are visitors, are dealt once; a shard that equal quarters crowd is dealt again, its rows in several rows and pieces."""
+    g = np.random.default_rng(6)
+    even = g.integers(0, 2**63, 6000, dtype=np.uint64) * np.uint64(2)
+    even = np.unique(np.concatenate([even, *(even[k : k + 200] ^ (np.uint64(1) << g.integers(0, 64, 200, dtype=np.uint64)) for k in range(0, 1000, 100))]))
+    crowded = np.unique(np.concatenate([even[:400], g.integers(0, 2**48, 1500, dtype=np.uint64), np.uint64(1) << np.arange(48, dtype=np.uint64)]))
+    dealt = []
+    write = simhash.written
+    monkeypatch.setattr(simhash, "written", lambda df: (dealt.append(df.columns), write(df))[1])
+    monkeypatch.setattr(simhash, "DEAL", 300, raising=False)
+    for fps, shard, times in ((even, 30, 1), (crowded, 100, 2)):
+        dealt.clear()
+        links = simhash.fingerprint_links(spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long").repartition(3), shard=shard)
+        assert sum("home" in columns for columns in dealt) == times
+        roots = {r.node: r.root for r in simhash.components(links).collect()}
+        ids = fps.view(np.int64).tolist()
+        assert [roots.get(i, i) for i in ids] == brute.components(fps.tolist(), ids)
+
+
+def test_shard_links_of_many_rows_a_value():
+    """Rows at home and visitors on few quarter values, in blocks smaller than a value's rows; pairs of two visitors aren't searched."""
+    g = np.random.default_rng(7)
+    fps = np.unique((g.integers(0, 3, 900, dtype=np.uint64) << np.uint64(48)) | g.integers(0, 2**9, 900, dtype=np.uint64))
+    quarter, home = np.ascontiguousarray(fps.view(np.uint16).reshape(-1, 4)[:, 3]), g.random(len(fps)) < 0.5
+    for near in (0, 1):
+        got, want = simhash.Links(len(fps)), simhash.Links(len(fps))
+        simhash.shard_links(fps, quarter, home, 1, near, got)
+        far = np.bitwise_count(fps[:, None] ^ fps[None, :])
+        want.add(*np.nonzero((far <= 1) & (np.bitwise_count(quarter[:, None] ^ quarter[None, :]) <= near) & home[:, None]))
+        assert np.array_equal(simhash._roots(got.parent), simhash._roots(want.parent))
+
+
 def test_lookup_by_a_hot_key(spark):
     rows = spark.range(3000).select((F.col("id") % 3).alias("k"), "id")
     got = common.looked_up(rows, "k", spark.createDataFrame([(0, "a"), (1, None), (7, "z")], "k long, v string"), "v", salts=8)
