@@ -9,7 +9,7 @@ with the same words in the same order are one node, so groups of exact copies co
   with probability (1 - s^ROWS)^BANDS, 3e-6 at 0.8.
 
 Each pair of nodes that share a bucket is linked if its exact similarity reaches the bound, unless links in its bucket already connect it. No bucket is capped; buckets with equal members are
-searched once. Components come from the rounds of hooking and pointer jumping in simhash.
+searched once, and in larger ones bitmaps rule out pairs whose exact similarity can't reach the bound. Components come from the rounds of hooking and pointer jumping in simhash.
 
 Null texts are empty texts, which are near copies of each other alone. Null doc_ids take part as links, are never the smallest id, and get
 their component's id (null if it has none). Every input row gives a row. `keep_one` keeps one row of each component, as in simhash.
@@ -31,6 +31,8 @@ from .simhash import FIRST, LOWER, Links, _roots, components, digest, fingerprin
 
 BANDS, ROWS, BLOCK = 24, 4, 4096
 REACH = 7
+#: Buckets of more sets get bitmaps.
+FEW = 16
 _RNG = np.random.default_rng(17)
 # Multipliers (odd) and offsets of the permutations.
 _TIMES = _RNG.integers(0, 2**63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -62,11 +64,26 @@ def bands(grams: np.ndarray) -> list[int]:
     return [xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)]
 
 
+def bitmaps(grams: list[np.ndarray], width: int) -> np.ndarray:
+    """A row of width bits (a power of two) for each set: those named by its members' low bits."""
+    out = np.zeros((len(grams), width // 64), dtype=np.uint64)
+    for k, g in enumerate(grams):
+        row = np.zeros(width, dtype=bool)
+        row[(g & np.uint64(width - 1)).astype(np.int64)] = True
+        out[k] = np.packbits(row).view(np.uint64)
+    return out
+
+
 def bucket_links(grams: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Smallest row of each row's component, where pairs of sorted sets with at least this Jaccard similarity are linked."""
+    """Smallest row of each row's component, where pairs of sorted sets with at least this Jaccard similarity are linked. In a larger bucket bitmaps rule out most
+    other pairs: a bit that only one of two sets has stands for a member that only it has, so their common members are at most its size less such bits."""
     n = len(grams)
     size = np.array([len(g) for g in grams])
     links = Links(n)
+    bits = ones = None
+    if n > FEW:
+        bits = bitmaps(grams, 1 << min(16, max(6, int(8 * size.mean()).bit_length())))
+        ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
     for k in range(n - 1):
         root = links.parent = _roots(links.parent)
         if not root.any():
@@ -74,6 +91,10 @@ def bucket_links(grams: list[np.ndarray], similarity: float) -> np.ndarray:
         others = np.arange(k + 1, n)
         others = others[root[k + 1 :] != root[k]]
         others = others[np.minimum(size[others], size[k]) >= similarity * np.maximum(size[others], size[k]) - 1e-9]
+        if bits is not None and len(others):
+            both = np.concatenate([np.bitwise_count(bits[some] & bits[k]).sum(axis=1, dtype=np.int64) for some in np.array_split(others, -(-len(others) // FEW**2))])
+            most = np.minimum(size[k] - ones[k], size[others] - ones[others]) + both
+            others = others[most >= similarity * (size[others] + size[k] - most) - 1e-9]
         if not len(others):
             continue
         flat = np.concatenate([grams[j] for j in others])

@@ -99,3 +99,30 @@ def test_two_documents_of_one_id_both_stay(spark):
 def test_bucket_links():
     sets = [np.arange(a, a + 100, dtype=np.uint64) for a in (0, 500, 10, 505, 20)]
     assert list(resemblance.bucket_links(sets, 0.8)) == [0, 1, 0, 1, 0]  # a chain: 0 and 4 have 80 of 120
+
+
+def test_large_bucket_looks_up_few_sets(monkeypatch):
+    """One text copied with ever more words changed: most pairs lie below the bound and are ruled out without looking up their shingles; components are those of all pairs."""
+    r = np.random.default_rng(5)
+    sets = []
+    for k in range(400):
+        words = [f"w{n}" for n in range(300)]
+        for at in r.integers(0, 300, 3 + k % 30):
+            words[at] = f"x{r.integers(0, 10**6)}"
+        sets.append(np.unique(resemblance.shingles(" ".join(words).encode())[1]))
+    sets.append(np.zeros(1, dtype=np.uint64))  # far smaller
+    sets.append(np.unique(r.integers(0, 2**63, 200_000, dtype=np.uint64)))  # fills every bit of a bitmap
+    looked, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: (looked.append(len(v)), search(a, v, *more))[1])
+    got = resemblance.bucket_links(sets, 0.8)
+    monkeypatch.undo()
+    links = simhash.Links(len(sets))
+    pairs = [(j, k) for k in range(len(sets)) for j in range(k) if jaccard_of(sets[j], sets[k]) >= 0.8]
+    links.add(*np.array(pairs).T)
+    assert np.array_equal(got, simhash._roots(links.parent)) and len(set(got.tolist())) > 50
+    assert sum(looked) < 0.05 * 300 * 400 * 400 / 2
+
+
+def jaccard_of(a: np.ndarray, b: np.ndarray) -> float:
+    common = len(np.intersect1d(a, b, assume_unique=True)) if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) else 0
+    return common / (len(a) + len(b) - common)
